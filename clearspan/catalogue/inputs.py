@@ -120,7 +120,8 @@ SELECT l.l_orderkey * 10 + l.l_linenumber AS app_id,
        't' || CAST(l.l_linenumber AS STRING) AS terminal_id,
        CASE WHEN l.l_partkey % 9 = 0 THEN 'SP' ELSE ' ' END AS business_format_code_sp,
        l.l_tax * 100 AS surcharge_amount_sp,
-       substr('ABC', CAST(l.l_partkey % 3 AS INT) + 1, 1) AS reimbursement_attribute
+       substr('ABC', CAST(l.l_partkey % 3 AS INT) + 1, 1) AS reimbursement_attribute,
+       l.l_partkey AS part_no, l.l_suppkey AS supplier_no
 FROM {lineitem} l
 JOIN {orders} o ON o.o_orderkey = l.l_orderkey
 JOIN {customer} c ON c.c_custkey = o.o_custkey
@@ -189,7 +190,7 @@ SELECT * FROM (VALUES ('L0', 'MCC', 'C', 'A'), ('L1', 'MCD', 'D', 'A'), ('L2', '
 
 #: Messages of the bitmap brand: transactions, and one file header per order.
 ELEMENTS = """
-SELECT t.app_id, 'F' || CAST(CAST(floor(t.app_id / 10e0) AS BIGINT) AS STRING) AS app_hash_file,
+SELECT t.app_id * 1000000000 + t.part_no * 1000 + t.supplier_no % 1000 AS app_id, 'F' || CAST(CAST(floor(t.app_id / 10e0) AS BIGINT) AS STRING) AS app_hash_file,
        t.app_customer_code, t.app_type_file, t.app_processing_date,
        CASE WHEN t.app_id % 12 = 0 THEN '1442' ELSE '1240' END AS app_message_type,
        200 AS function_code,

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from clearspan.operators.skew import global_row_number, latest_by
+from clearspan.session import checkpointed
 
 #: Each bucket level is 2**6 times as wide as the one below.
 LEVEL_BITS = 6
@@ -58,10 +59,20 @@ def _long_keys(ranges: DataFrame, low: str, high: str) -> DataFrame:
     )
 
 
-def range_join(points: DataFrame, ranges: DataFrame, point: Column, low: str, high: str) -> DataFrame:
-    """All pairs of a point and a range that contains it (inner)."""
+def range_join(
+    points: DataFrame,
+    ranges: DataFrame,
+    point: Column,
+    low: str,
+    high: str,
+    levels: dict[int, int] | None = None,
+) -> DataFrame:
+    """All pairs of a point and a range that contains it (inner).
+
+    ``levels`` are the levels of the ranges with their row counts, when known.
+    """
     ranges = _long_keys(ranges, low, high)
-    levels = _levels(ranges, low, high) or {0: 0}
+    levels = levels or _levels(ranges, low, high) or {0: 0}
     key = point.cast("bigint")
     probes = points.withColumn("_point", key).withColumn(
         "_probe",
@@ -89,10 +100,12 @@ def best_segments(ranges: DataFrame, low: str, high: str, order: Sequence[Column
     """Disjoint segments ``seg_low..seg_high``, each with its first range by ``order``.
 
     ``order`` columns compare ascending, nulls first. The other columns of
-    ``ranges`` are kept.
+    ``ranges`` are kept. The range table is written to the checkpoint folder first:
+    it is read several times and is small next to the transactions.
     """
-    ranges = _long_keys(ranges, low, high)
-    small = sum(_levels(ranges, low, high).values()) <= SMALL_RANGES
+    ranges = checkpointed(_long_keys(ranges, low, high))
+    levels = _levels(ranges, low, high)
+    small = sum(levels.values()) <= SMALL_RANGES
     bounds = (
         ranges.select(F.explode(F.array(F.col(low), F.col(high) + 1)).alias("seg_low")).distinct()
     )
@@ -106,7 +119,7 @@ def best_segments(ranges: DataFrame, low: str, high: str, order: Sequence[Column
     pieces = edges.filter(F.col("seg_next").isNotNull()).select(
         "seg_low", (F.col("seg_next") - 1).alias("seg_high")
     )
-    covered = range_join(pieces, ranges, F.col("seg_low"), low, high)
+    covered = range_join(pieces, ranges, F.col("seg_low"), low, high, levels)
     return latest_by(covered, ["seg_low", "seg_high"], order, ranges.columns)
 
 
@@ -126,8 +139,10 @@ def best_range(
     each level is a lookup with at most one match. Segments are broadcast when
     their number is within ``SMALL_RANGES``.
     """
-    segments = best_segments(ranges, low, high, order).select(
-        "seg_low", "seg_high", F.struct(F.lit(True).alias("_hit"), *values).alias("_range")
+    segments = checkpointed(
+        best_segments(ranges, low, high, order).select(
+            "seg_low", "seg_high", F.struct(F.lit(True).alias("_hit"), *values).alias("_range")
+        )
     )
     levels = _levels(segments, "seg_low", "seg_high")
     filed = _bucketed(segments, "seg_low", "seg_high")

@@ -5,10 +5,12 @@ orders it, and condition texts such as ``A,100``, ``NOT:5411,6011``,
 ``0-100,150``, ``>0``, ``BETWEEN 0 AND 10`` or ``Space,1``. An empty text sets no
 condition.
 
-Two forms give the same result. ``compiled`` turns the rules into one CASE
-expression per scope: no join, no shuffle, and evaluation stops at the first hit.
-``joined`` keeps the rules as data, for large rule sets: rows meet the rules of
-their scope and the first hit is picked by an aggregate.
+Rules repeat each other's conditions, so every distinct condition is evaluated once
+per row and packed as a bit; a rule then needs only a mask comparison. Two forms give
+the same result. ``compiled`` compares the masks in one CASE expression per scope: no
+shuffle, and evaluation stops at the first hit. ``joined`` keeps the masks as data, for
+large rule sets: rows meet the rules of their scope and the first hit is picked by an
+aggregate.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ NOT = "NOT:"
 MEMBER, SPACE, RANGE, COMPARE, AMOUNT = "member", "space", "range", "compare", "amount"
 MAX_RULES = 50_000
 MAX_COMPILED = 256
+#: Tests packed into one integer column.
+BITS = 32
 
 
 @dataclass
@@ -110,7 +114,7 @@ def _parse_comparison(body: str) -> Condition:
     return Condition(bounds=bounds)
 
 
-def _compare(value: Column, op: str, bound: Column) -> Column:
+def _compare(value: Column, op: str, bound: float) -> Column:
     if op == "<":
         return value < bound
     if op == "<=":
@@ -122,45 +126,35 @@ def _compare(value: Column, op: str, bound: Column) -> Column:
     return value == bound
 
 
-def _number(word: Column) -> Column:
-    return F.when(word != BLANK, word.try_cast("double"))
+def seen_value(kind: str, c: Column) -> Column:
+    """What a condition of a kind looks at: a number, the raw word, or the trimmed word."""
+    if kind == AMOUNT:
+        return c.cast("double")
+    word = text_or_blank(c)
+    if kind == COMPARE:
+        return F.when(word != BLANK, word.try_cast("double"))
+    if kind == SPACE:
+        return word
+    trimmed = F.trim(word)
+    return trimmed if kind == RANGE else F.when(trimmed == "", BLANK).otherwise(trimmed)
 
 
-def _word(c: Column) -> Column:
-    """Trimmed word; blank text counts as missing."""
-    trimmed = F.trim(c)
-    return F.when(trimmed == "", BLANK).otherwise(trimmed)
-
-
-def _canonical_int(c: Column) -> Column:
-    return F.when(c.rlike("^(0|[1-9][0-9]{0,17})$"), c.try_cast("bigint"))
-
-
-def condition_column(kind: str, cond: Condition, word: Column) -> Column:
-    """Parsed condition as an expression over the row's word (``BLANK`` when missing)."""
+def condition_column(kind: str, cond: Condition, value: Column) -> Column:
+    """Parsed condition over :func:`seen_value`; never null."""
     if cond.never:
         return F.lit(False)
     if kind in (COMPARE, AMOUNT):
-        value = _number(word) if kind == COMPARE else word
-        hit = reduce(lambda a, b: a & b, [_compare(value, op, F.lit(x)) for op, x in cond.bounds])
-        return F.coalesce(hit, F.lit(False))
-    if cond.ranges:
-        value = _canonical_int(word)
-        hit = F.coalesce(reduce(lambda a, b: a | b, [value.between(lo, hi) for lo, hi in cond.ranges]), F.lit(False))
+        hit = reduce(lambda a, b: a & b, [_compare(value, op, x) for op, x in cond.bounds])
+    elif cond.ranges:
+        # whole numbers written without leading zeros, as a listed value would be
+        number = F.when(value.rlike("^(0|[1-9][0-9]{0,17})$"), value.try_cast("bigint"))
+        hit = reduce(lambda a, b: a | b, [number.between(lo, hi) for lo, hi in cond.ranges])
     else:
-        value = word if kind == SPACE else (F.trim(word) if kind == RANGE else _word(word))
         hit = value.isin(*cond.values)
+    hit = F.coalesce(hit, F.lit(False))
     return ~hit if cond.negated else hit
 
 
-def _row_word(row: Mapping[str, Column], book: RuleBook, column: str, currency: str | None) -> Column:
-    """What a condition looks at: the word of the column, or the converted amount."""
-    name = book.row_prefix + column
-    if book.kinds[column] == AMOUNT:
-        return row[f"{name}_{currency.lower()}"] if currency else F.lit(None).cast("double")
-    return text_or_blank(row[name])
-
-
 def load_rules(rules: DataFrame, book: RuleBook) -> list[dict]:
     """Rules as dictionaries with parsed conditions, in numeric order of their id."""
     rows = [r.asDict() for r in bounded_rows(rules, MAX_RULES, "rule table")]
@@ -193,6 +187,76 @@ def unreadable_conditions(rules: DataFrame, book: RuleBook) -> list[tuple]:
     ]
 
 
+@dataclass(frozen=True)
+class Test:
+    """One distinct condition of a rule table; many rules share it."""
+
+    column: str | None
+    currency: str | None
+    text: str
+    condition: Condition | None = field(compare=False, default=None)
+    span: tuple[str | None, str | None] | None = None
+
+
+def distinct_tests(loaded: list[dict], book: RuleBook, dated: bool) -> list[Test]:
+    """Distinct tests of the rules; every rule gets the bits of its own in ``_bits``."""
+    position: dict[Test, int] = {}
+    for rule in loaded:
+        bits = []
+        for column, cond in rule["_conds"].items():
+            currency = rule.get(book.amount_currency) if book.kinds[column] == AMOUNT else None
+            bits.append(Test(column, currency, repr(cond), cond))
+        if dated:
+            first, last = (None if rule[c] is None else str(rule[c])[:10] for c in (book.valid_from, book.valid_until))
+            bits.append(Test(None, None, "in force", None, (first, last)))
+        rule["_bits"] = [position.setdefault(test, len(position)) for test in bits]
+    return list(position)
+
+
+def _test_column(test: Test, book: RuleBook, seen: Mapping[tuple, str], on_date: Column | None) -> Column:
+    if test.span is not None:
+        first, last = (F.lit(x).cast("date") for x in test.span)
+        hit = (on_date >= first) & (on_date <= F.coalesce(last, F.current_date()))
+        return F.coalesce(hit, F.lit(False))
+    kind = book.kinds[test.column]
+    if kind == AMOUNT and not test.currency:
+        return F.lit(False)
+    return condition_column(kind, test.condition, F.col(f"`{seen[test.column, test.currency]}`"))
+
+
+def with_test_bits(
+    df: DataFrame, tests: list[Test], book: RuleBook, on_date: Column | None = None
+) -> tuple[DataFrame, list[str]]:
+    """Evaluate every distinct test once per row, packed into integer columns."""
+    seen: dict[tuple, str] = {}
+    for test in tests:
+        if test.column and (test.column, test.currency) not in seen:
+            seen[test.column, test.currency] = f"_seen{len(seen)}"
+    values = []
+    for (column, currency), name in seen.items():
+        source = f"{book.row_prefix}{column}" + (f"_{currency.lower()}" if currency else "")
+        given = F.col(f"`{source}`") if source in df.columns else F.lit(None).cast("string")
+        values.append(seen_value(book.kinds[column], given).alias(name))
+    rows = df.select("*", *values)
+    names, packed = [], []
+    for start in range(0, len(tests), BITS):
+        part = [
+            _test_column(test, book, seen, on_date).cast("bigint") * (1 << i)
+            for i, test in enumerate(tests[start : start + BITS])
+        ]
+        names.append(f"_bits{start // BITS}")
+        packed.append(reduce(lambda a, b: a + b, part).alias(names[-1]))
+    return rows.select(*df.columns, *packed), names
+
+
+def _needed(rule: dict, words: int) -> list[int]:
+    """Bits a rule needs, per integer column."""
+    out = [0] * words
+    for bit in rule["_bits"]:
+        out[bit // BITS] |= 1 << (bit % BITS)
+    return out
+
+
 def assign_first_rule(
     df: DataFrame,
     rules: DataFrame,
@@ -210,188 +274,86 @@ def assign_first_rule(
     loaded = load_rules(rules, book)
     if form == "auto":
         form = "compiled" if len(loaded) <= MAX_COMPILED else "joined"
+    tests = distinct_tests(loaded, book, on_date is not None)
+    rows, words = with_test_bits(df, tests, book, on_date)
     if form == "compiled":
-        number = compiled_choice(df, loaded, book, on_date)
-        numbered = df.withColumn("_rule_no", number)
-        table = _rule_table(df, rules, loaded, [*payload])
+        numbered = rows.withColumn("_rule_no", _choice(loaded, book, words))
         # at most MAX_RULES rows, counted while loading
-        return numbered.join(F.broadcast(table), "_rule_no", "left").select(*df.columns, *payload)
-    return _joined_choice(df, rules, loaded, book, key, payload, on_date)
-
-
-def _in_force(book: RuleBook, first: Column, last: Column, on_date: Column | None) -> Column:
-    if on_date is None:
-        return F.lit(True)
-    return (on_date >= first) & (on_date <= F.coalesce(last, F.current_date()))
+        table = F.broadcast(_rule_table(rules, loaded, payload))
+        return numbered.join(table, "_rule_no", "left").select(*df.columns, *payload)
+    return _joined(rows, rules, loaded, book, words, key, payload).select(*df.columns, *payload)
 
 
-def compiled_choice(df: DataFrame, loaded: list[dict], book: RuleBook, on_date: Column | None = None) -> Column:
-    """Number of the first matching rule as one CASE expression per scope."""
-    row = {c: F.col(f"`{c}`") for c in df.columns}
+def _choice(loaded: list[dict], book: RuleBook, words: list[str]) -> Column:
+    """Number of the first matching rule: one CASE per scope over the packed tests."""
     by_scope: dict[tuple, list[dict]] = {}
     for rule in loaded:
-        by_scope.setdefault(tuple(rule[c] for c in book.scope.values()), []).append(rule)
-    choice = F.lit(None).cast("int")
-    branches = []
+        by_scope.setdefault(tuple(str(rule[c]) for c in book.scope.values()), []).append(rule)
+    choice = None
     for scope, members in by_scope.items():
-        in_scope = reduce(
-            lambda a, b: a & b, [text_or_blank(row[c]) == F.lit(str(v)) for c, v in zip(book.scope, scope)]
-        )
+        here = reduce(lambda a, b: a & b, [text_or_blank(F.col(f"`{c}`")) == v for c, v in zip(book.scope, scope)])
         chain = None
         for rule in members:
-            tests = [
-                condition_column(book.kinds[c], cond, _row_word(row, book, c, rule.get(book.amount_currency)))
-                for c, cond in rule["_conds"].items()
-            ]
-            if on_date is not None:
-                tests.append(
-                    _in_force(
-                        book,
-                        F.lit(rule[book.valid_from]).cast("date"),
-                        F.lit(rule[book.valid_until]).cast("date"),
-                        on_date,
-                    )
-                )
-            hit = reduce(lambda a, b: a & b, tests, F.lit(True))
+            bits = [(w, n) for w, n in zip(words, _needed(rule, len(words))) if n]
+            hit = reduce(lambda a, b: a & b, [F.col(w).bitwiseAND(F.lit(n)) == n for w, n in bits], F.lit(True))
             chain = F.when(hit, rule["_rule_no"]) if chain is None else chain.when(hit, rule["_rule_no"])
-        branches.append((in_scope, chain))
-    for n, (in_scope, chain) in enumerate(branches):
-        choice = F.when(in_scope, chain) if n == 0 else choice.when(in_scope, chain)
-    return choice
+        choice = F.when(here, chain) if choice is None else choice.when(here, chain)
+    return F.lit(None).cast("int") if choice is None else choice
 
 
-def _rule_table(df: DataFrame, rules: DataFrame, loaded: list[dict], columns: Sequence[str]) -> DataFrame:
-    schema = T.StructType([T.StructField("_rule_no", T.IntegerType())] + [rules.schema[c] for c in columns])
+def _rule_table(rules: DataFrame, loaded: list[dict], columns: Sequence[str]) -> DataFrame:
+    fields = [T.StructField("_rule_no", T.IntegerType())]
+    fields += [T.StructField(c, rules.schema[c].dataType) for c in columns]
     data = [(r["_rule_no"], *[r[c] for c in columns]) for r in loaded]
-    return df.sparkSession.createDataFrame(data, T.StructType([T.StructField(f.name, f.dataType) for f in schema]))
+    return rules.sparkSession.createDataFrame(data, T.StructType(fields))
 
 
-def _joined_choice(
-    df: DataFrame,
+def _joined(
+    rows: DataFrame,
     rules: DataFrame,
     loaded: list[dict],
     book: RuleBook,
+    words: list[str],
     key: Sequence[str],
     payload: Sequence[str],
-    on_date: Column | None,
 ) -> DataFrame:
-    """Rules as data: scope equality, residual conditions, first hit by ``min_by``.
+    """Rules as data: scope equality, packed tests, first hit by ``min_by``.
 
     Rows are partitioned by their key once; the rule join keeps that partitioning,
     so picking the first hit and attaching it again need no further shuffle.
     """
-    used = sorted({c for r in loaded for c in r["_conds"]})
-    cond_type = T.StructType(
-        [
-            T.StructField("neg", T.BooleanType()),
-            T.StructField("never", T.BooleanType()),
-            T.StructField("vals", T.ArrayType(T.StringType())),
-            T.StructField(
-                "spans",
-                T.ArrayType(
-                    T.StructType([T.StructField("lo", T.LongType()), T.StructField("hi", T.LongType())])
-                ),
-            ),
-            T.StructField("ge", T.DoubleType()),
-            T.StructField("gt", T.DoubleType()),
-            T.StructField("le", T.DoubleType()),
-            T.StructField("lt", T.DoubleType()),
-            T.StructField("eq", T.DoubleType()),
-        ]
-    )
-
-    def pack(cond: Condition | None) -> tuple | None:
-        if cond is None:
-            return None
-
-        def tightest(op: str, pick) -> float | None:
-            found = [b for o, b in cond.bounds if o == op]
-            return pick(found) if found else None
-
-        equals = {b for o, b in cond.bounds if o == "="}
-        return (
-            cond.negated,
-            cond.never or len(equals) > 1,
-            cond.values or None,
-            cond.ranges or None,
-            tightest(">=", max),
-            tightest(">", max),
-            tightest("<=", min),
-            tightest("<", min),
-            equals.pop() if len(equals) == 1 else None,
-        )
-
     fields = [T.StructField("_rule_no", T.IntegerType())]
-    fields += [T.StructField(f"_s{i}", T.StringType()) for i in range(len(book.scope))]
-    fields += [T.StructField("_ccy", T.StringType())]
-    fields += [T.StructField("_from", T.StringType()), T.StructField("_until", T.StringType())]
-    fields += [T.StructField(f"_c_{c}", cond_type) for c in used]
-    fields += [T.StructField(f"_p_{c}", rules.schema[c].dataType) for c in payload]
-
-    def day(value) -> str | None:
-        return None if value is None else str(value)[:10]
-
+    fields += [T.StructField(f"_scope{i}", T.StringType()) for i in range(len(book.scope))]
+    fields += [T.StructField(f"_need{w}", T.LongType()) for w in words]
+    fields += [T.StructField(f"_pay_{c}", rules.schema[c].dataType) for c in payload]
     data = [
         (
             r["_rule_no"],
             *[str(r[c]) for c in book.scope.values()],
-            r.get(book.amount_currency) if book.amount_currency else None,
-            day(r.get(book.valid_from)),
-            day(r.get(book.valid_until)),
-            *[pack(r["_conds"].get(c)) for c in used],
+            *_needed(r, len(words)),
             *[r[c] for c in payload],
         )
         for r in loaded
     ]
     # at most MAX_RULES rows, counted while loading
-    table = F.broadcast(df.sparkSession.createDataFrame(data, T.StructType(fields)))
-
-    rows = df.repartition(*key)
-    row = {c: F.col(f"`{c}`") for c in df.columns}
+    table = F.broadcast(rules.sparkSession.createDataFrame(data, T.StructType(fields)))
+    spread = rows.repartition(*key)
     hit = reduce(
-        lambda a, b: a & b, [text_or_blank(row[c]) == F.col(f"_s{i}") for i, c in enumerate(book.scope)]
+        lambda a, b: a & b,
+        [text_or_blank(F.col(f"`{c}`")) == F.col(f"_scope{i}") for i, c in enumerate(book.scope)]
+        + [F.col(w).bitwiseAND(F.col(f"_need{w}")) == F.col(f"_need{w}") for w in words],
     )
-    if on_date is not None:
-        hit = hit & _in_force(book, F.col("_from").cast("date"), F.col("_until").cast("date"), on_date)
-    for c in used:
-        hit = hit & _packed_test(book, row, c, df.columns)
-    matches = rows.join(table, hit, "inner")
-    best = matches.groupBy(*key).agg(
-        F.min_by(F.struct(*[F.col(f"_p_{c}").alias(c) for c in payload]), F.col("_rule_no")).alias("_best")
+    probes = spread.select(*key, *book.scope, *words)
+    best = (
+        probes.join(table, hit)
+        .groupBy(*key)
+        .agg(F.min_by(F.struct(*[F.col(f"_pay_{c}").alias(c) for c in payload]), F.col("_rule_no")).alias("_best"))
     )
-    return rows.join(best, list(key), "left").select(
-        *df.columns, *[F.col(f"_best.`{c}`").alias(c) for c in payload]
+    return spread.join(best, list(key), "left").select(
+        *rows.columns, *[F.col(f"_best.`{c}`").alias(c) for c in payload]
     )
 
 
-def _packed_test(book: RuleBook, row: Mapping[str, Column], column: str, columns: Sequence[str]) -> Column:
-    kind, packed, name = book.kinds[column], F.col(f"_c_{column}"), book.row_prefix + column
-    if kind in (COMPARE, AMOUNT):
-        if kind == COMPARE:
-            value = _number(text_or_blank(row[name]))
-        else:
-            prefix = f"{name}_"
-            value = None
-            for other in columns:
-                if other.startswith(prefix) and len(other) == len(prefix) + 3:
-                    hit = F.lower(F.col("_ccy")) == other[len(prefix):]
-                    value = F.when(hit, row[other]) if value is None else value.when(hit, row[other])
-            value = F.lit(None).cast("double") if value is None else value
-        test = value.isNotNull()
-        for op, name in ((">=", "ge"), (">", "gt"), ("<=", "le"), ("<", "lt"), ("=", "eq")):
-            test = test & (packed[name].isNull() | _compare(value, op, packed[name]))
-    else:
-        word = text_or_blank(row[name])
-        value = word if kind == SPACE else (F.trim(word) if kind == RANGE else _word(word))
-        number = _canonical_int(word)
-        found = F.when(
-            packed["spans"].isNotNull(),
-            F.coalesce(F.exists(packed["spans"], lambda s: number.between(s["lo"], s["hi"])), F.lit(False)),
-        ).otherwise(F.array_contains(packed["vals"], value))
-        test = found != packed["neg"]
-    return packed.isNull() | (~packed["never"] & F.coalesce(test, F.lit(False)))
-
-
 def rule_sheet_problems(
     sheet: DataFrame, required: Sequence[str], numeric: Sequence[str]
 ) -> DataFrame:

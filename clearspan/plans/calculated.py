@@ -42,8 +42,10 @@ STRICT_AMOUNT_MESSAGES = ["1240", "1422"]
 FILE_HEADER_MESSAGE, FILE_HEADER_FUNCTION = "1644", 697
 # -------------------------------------------------------------------------------
 
-#: Range ordering: newest first, then the kept flag, then the widest.
-_NEWEST = [-F.unix_date("app_date_valid")]
+
+def _newest() -> Column:
+    """Ordering key that puts the newest range first."""
+    return -F.unix_date("app_date_valid")
 
 
 def text_ranges(ardef: DataFrame, on_date: str, digits: int = CLEARING_DIGITS) -> DataFrame:
@@ -61,7 +63,7 @@ def text_ranges(ardef: DataFrame, on_date: str, digits: int = CLEARING_DIGITS) -
         known,
         "low_key",
         [
-            *_NEWEST,
+            _newest(),
             F.col("delete_indicator").isNull(),
             F.col("delete_indicator"),
             -F.col("high_key"),
@@ -96,14 +98,14 @@ def bitmap_ranges(iar: DataFrame, products: DataFrame, on_date: str) -> DataFram
     return dedupe_ranges(
         known,
         "low_key",
-        [*_NEWEST, F.col("_priority").isNull(), F.col("_priority"), F.struct(*BITMAP_RANGE_VALUES)],
+        [_newest(), F.col("_priority").isNull(), F.col("_priority"), F.struct(*BITMAP_RANGE_VALUES)],
     ).drop("_priority")
 
 
 def _enrich(
     txn: DataFrame, ranges: DataFrame, point: Column, values: Sequence[str], keep_unmatched: bool
 ) -> DataFrame:
-    order = [*_NEWEST, -F.col("high_key"), -F.col("low_key")]
+    order = [_newest(), -F.col("high_key"), -F.col("low_key")]
     return best_range(txn, ranges, point, "low_key", "high_key", order, values, keep_unmatched)
 
 
