@@ -32,6 +32,9 @@ TABLES = [
     "conversations",
 ]
 
+#: Tables worth spreading when they come in few files.
+FACTS = ["orders", "lineitem", "events", "documents", "conversations", "pages"]
+
 CURRENCIES = """
 SELECT * FROM (VALUES (840, 'USD', 2), (978, 'EUR', 2), (826, 'GBP', 2), (392, 'JPY', 0), (36, 'AUD', 2))
   AS t(currency_numeric_code, currency_alphabetic_code, currency_decimal_separator)
@@ -389,7 +392,7 @@ INPUTS = {
     "switch_ranges": SWITCH_RANGES,
 }
 
-_NAME = re.compile(r"\{(\w+)\}")
+_NAME = re.compile(r"\{([a-z]\w*)\}")
 
 
 def oracle(sql: str, extra: dict[str, str] | None = None) -> str:
@@ -411,30 +414,40 @@ class Source:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._known: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A driver table; one in fewer files than there are cores is spread over them."""
+        if name in self._known:
+            return self._known[name]
+        frame = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        cores = self.spark.sparkContext.defaultParallelism
+        if name in FACTS and len(frame.inputFiles()) < cores:
+            frame = frame.repartition(cores)
+        self._known[name] = frame
+        return frame
+
+    def sql(self, text: str) -> DataFrame:
+        """Query over driver tables and inputs."""
+        used: dict[str, DataFrame] = {}
 
-    def _text(self, sql: str) -> str:
         def fill(match: re.Match) -> str:
             name = match.group(1)
             if name in TABLES:
-                return f"parquet.`{self.folder}/{name}.parquet`"
-            return "(" + self._text(INPUTS[name]) + ")"
+                used[name] = self.table(name)
+                return "{" + name + "}"
+            return "(" + _NAME.sub(fill, INPUTS[name]) + ")"
 
-        return _NAME.sub(fill, sql)
-
-    def sql(self, text: str) -> DataFrame:
-        return self.spark.sql(self._text(text))
+        return self.spark.sql(_NAME.sub(fill, text), **used)
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name == "rates":
-            return self._rates()
-        if name in INPUTS:
-            return self.sql(INPUTS[name])
         if name in TABLES:
             return self.table(name)
-        raise AttributeError(name)
+        if name not in INPUTS:
+            raise AttributeError(name)
+        if name not in self._known:
+            self._known[name] = self._rates() if name == "rates" else self.sql(INPUTS[name])
+        return self._known[name]
 
     def _rates(self) -> DataFrame:
         pairs = currency_pairs(self.rate_days, self.currencies, "app_processing_date", "currency_alphabetic_code")

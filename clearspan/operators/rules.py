@@ -20,12 +20,15 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from clearspan.functions.text import text_or_blank
 from clearspan.operators.skew import bounded_rows
+from clearspan.operators.stages import end_generated_code
 
 #: Word standing for a missing value in data and in rules.
 BLANK = "BLANK"
@@ -35,6 +38,8 @@ NOT = "NOT:"
 MEMBER, SPACE, RANGE, COMPARE, AMOUNT = "member", "space", "range", "compare", "amount"
 MAX_RULES = 50_000
 MAX_COMPILED = 256
+#: Rules compared in one generated method.
+RULES_PER_METHOD = 64
 #: Tests packed into one integer column.
 BITS = 32
 
@@ -237,7 +242,7 @@ def with_test_bits(
         source = f"{book.row_prefix}{column}" + (f"_{currency.lower()}" if currency else "")
         given = F.col(f"`{source}`") if source in df.columns else F.lit(None).cast("string")
         values.append(seen_value(book.kinds[column], given).alias(name))
-    rows = df.select("*", *values)
+    rows = end_generated_code(df.select("*", *values))
     names, packed = [], []
     for start in range(0, len(tests), BITS):
         part = [
@@ -246,7 +251,7 @@ def with_test_bits(
         ]
         names.append(f"_bits{start // BITS}")
         packed.append(reduce(lambda a, b: a + b, part).alias(names[-1]))
-    return rows.select(*df.columns, *packed), names
+    return end_generated_code(rows.select(*df.columns, *packed)), names
 
 
 def _needed(rule: dict, words: int) -> list[int]:
@@ -277,35 +282,62 @@ def assign_first_rule(
     tests = distinct_tests(loaded, book, on_date is not None)
     rows, words = with_test_bits(df, tests, book, on_date)
     if form == "compiled":
-        numbered = rows.withColumn("_rule_no", _choice(loaded, book, words))
+        numbered = _with_choice(rows, loaded, book, words)
         # at most MAX_RULES rows, counted while loading
         table = F.broadcast(_rule_table(rules, loaded, payload))
         return numbered.join(table, "_rule_no", "left").select(*df.columns, *payload)
     return _joined(rows, rules, loaded, book, words, key, payload).select(*df.columns, *payload)
 
 
-def _choice(loaded: list[dict], book: RuleBook, words: list[str]) -> Column:
-    """Number of the first matching rule: one CASE per scope over the packed tests."""
-    by_scope: dict[tuple, list[dict]] = {}
+def _with_choice(rows: DataFrame, loaded: list[dict], book: RuleBook, words: list[str]) -> DataFrame:
+    """Add ``_rule_no``, the number of the first matching rule.
+
+    One CASE per scope over the packed tests. Scopes are taken a few at a time, so no
+    generated method grows too long for the JVM's compiler.
+    """
+
+    def same(column: str, value: str) -> str:
+        quoted = value.replace("\\", "\\\\").replace("'", "\\'")
+        return f"coalesce(cast(`{column}` AS string), '{BLANK}') = '{quoted}'"
+
+    by_scope: dict[tuple, list[str]] = {}
     for rule in loaded:
-        by_scope.setdefault(tuple(str(rule[c]) for c in book.scope.values()), []).append(rule)
-    choice = None
-    for scope, members in by_scope.items():
-        here = reduce(lambda a, b: a & b, [text_or_blank(F.col(f"`{c}`")) == v for c, v in zip(book.scope, scope)])
-        chain = None
-        for rule in members:
-            bits = [(w, n) for w, n in zip(words, _needed(rule, len(words))) if n]
-            hit = reduce(lambda a, b: a & b, [F.col(w).bitwiseAND(F.lit(n)) == n for w, n in bits], F.lit(True))
-            chain = F.when(hit, rule["_rule_no"]) if chain is None else chain.when(hit, rule["_rule_no"])
-        choice = F.when(here, chain) if choice is None else choice.when(here, chain)
-    return F.lit(None).cast("int") if choice is None else choice
+        bits = [f"{w} & {n}L = {n}L" for w, n in zip(words, _needed(rule, len(words))) if n]
+        branch = f"WHEN {' AND '.join(bits) or 'true'} THEN {rule['_rule_no']}"
+        by_scope.setdefault(tuple(str(rule[c]) for c in book.scope.values()), []).append(branch)
+    groups: list[list[str]] = [[]]
+    size = 0
+    for scope, branches in by_scope.items():
+        if size and size + len(branches) > RULES_PER_METHOD:
+            groups.append([])
+            size = 0
+        here = " AND ".join(same(c, v) for c, v in zip(book.scope, scope))
+        groups[-1].append(f"WHEN {here} THEN CASE {' '.join(branches)} END")
+        size += len(branches)
+    rows = rows.withColumn("_rule_no", F.lit(None).cast("int"))
+    for n, group in enumerate(g for g in groups if g):
+        chosen = F.expr(f"CASE {' '.join(group)} END")
+        if n:
+            rows = end_generated_code(rows)
+            chosen = F.coalesce(F.col("_rule_no"), chosen)
+        rows = rows.withColumn("_rule_no", chosen)
+    return end_generated_code(rows)
 
 
 def _rule_table(rules: DataFrame, loaded: list[dict], columns: Sequence[str]) -> DataFrame:
     fields = [T.StructField("_rule_no", T.IntegerType())]
     fields += [T.StructField(c, rules.schema[c].dataType) for c in columns]
-    data = [(r["_rule_no"], *[r[c] for c in columns]) for r in loaded]
-    return rules.sparkSession.createDataFrame(data, T.StructType(fields))
+    return local_table(rules, fields, [(r["_rule_no"], *[r[c] for c in columns]) for r in loaded])
+
+
+def local_table(like: DataFrame, fields: list[T.StructField], rows: list[tuple]) -> DataFrame:
+    """Small driver-side rows as a table Spark knows the size of."""
+    schema = T.StructType(fields)
+    columns = [pa.array(list(c), to_arrow_type(f.dataType)) for c, f in zip(zip(*rows), fields)]
+    if not rows:
+        columns = [pa.array([], to_arrow_type(f.dataType)) for f in fields]
+    table = pa.Table.from_arrays(columns, names=[f.name for f in fields])
+    return like.sparkSession.createDataFrame(table, schema)
 
 
 def _joined(
@@ -336,7 +368,7 @@ def _joined(
         for r in loaded
     ]
     # at most MAX_RULES rows, counted while loading
-    table = F.broadcast(rules.sparkSession.createDataFrame(data, T.StructType(fields)))
+    table = F.broadcast(local_table(rules, fields, data))
     spread = rows.repartition(*key)
     hit = reduce(
         lambda a, b: a & b,

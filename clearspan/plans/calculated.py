@@ -17,6 +17,7 @@ from clearspan.functions import cards
 from clearspan.functions.dates import days_between
 from clearspan.operators.fees import settlement_report_amount
 from clearspan.operators.fx import attach_rate, brand_rates
+from clearspan.operators.stages import end_generated_code
 from clearspan.operators.ranges import account_point, best_range, dedupe_ranges, prefix_bounds
 
 # --- fixed values -------------------------------------------------------------
@@ -170,7 +171,7 @@ def text_calculated_fields(
     """
     merchant = F.trim("merchant_country_code")
     rows = _enrich(
-        txn, text_ranges(ardef, on_date), account_point(F.col("account_number"), CLEARING_DIGITS),
+        end_generated_code(txn), text_ranges(ardef, on_date), account_point(F.col("account_number"), CLEARING_DIGITS),
         TEXT_RANGE_VALUES, keep_unmatched,
     )
     rows = (
@@ -218,6 +219,7 @@ def text_calculated_fields(
         "jurisdiction_assigned",
         cards.assigned_jurisdiction(F.col("jurisdiction"), F.col("jurisdiction_region"), F.col("jurisdiction_country")),
     )
+    rows = end_generated_code(rows)
     brand = brand_rates(rates, TEXT_BRAND)
     currency = F.col("source_currency_code")
     for name, target, number in (

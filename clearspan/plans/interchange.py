@@ -21,6 +21,7 @@ from clearspan.operators.rules import (
     amount_currencies,
     assign_first_rule,
 )
+from clearspan.operators.stages import end_generated_code
 from clearspan.plans.calculated import BITMAP_BRAND, TEXT_BRAND
 
 # --- fixed values -------------------------------------------------------------
@@ -213,7 +214,7 @@ def _attributes(rows: DataFrame, names: Mapping[str, str], extra: Mapping[str, C
     present = set(rows.columns)
     columns = {a: text_or_blank(F.col(c)) if c in present else F.lit("BLANK") for a, c in names.items()}
     columns.update({a: text_or_blank(c) for a, c in extra.items()})
-    return rows.select("*", *[c.alias(MARK + a) for a, c in columns.items()])
+    return end_generated_code(rows.select("*", *[c.alias(MARK + a) for a, c in columns.items()]))
 
 
 def _first_format(rows: DataFrame, column: str, formats: Sequence[str]) -> Column:
