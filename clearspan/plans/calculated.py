@@ -17,8 +17,8 @@ from clearspan.functions import cards
 from clearspan.functions.dates import days_between
 from clearspan.operators.fees import settlement_report_amount
 from clearspan.operators.fx import attach_rate, brand_rates
-from clearspan.operators.stages import end_generated_code
 from clearspan.operators.ranges import account_point, best_range, dedupe_ranges, prefix_bounds
+from clearspan.operators.stages import end_generated_code
 
 # --- fixed values -------------------------------------------------------------
 TEXT_BRAND, BITMAP_BRAND = "VISA", "MasterCard"
@@ -265,7 +265,7 @@ def online_calculated_fields(
     """
     merchant = F.trim("card_acceptor_country")
     side = F.upper("issuer_acquirer_indicator")
-    number = txn.withColumnRenamed("account_funding_source", "record_funding_source")
+    number = end_generated_code(txn.withColumnRenamed("account_funding_source", "record_funding_source"))
     rows = _enrich(
         number, text_ranges(ardef, on_date, ONLINE_DIGITS), account_point(F.col("card_number"), ONLINE_DIGITS),
         TEXT_RANGE_VALUES, keep_unmatched,
@@ -310,7 +310,8 @@ def online_calculated_fields(
         cards.assigned_jurisdiction(F.col("jurisdiction"), F.col("jurisdiction_region"), F.col("jurisdiction_country")),
     )
     return (
-        rows.join(group, F.col("business_transaction_type") == F.col("_type"), "left")
+        end_generated_code(rows)
+        .join(group, F.col("business_transaction_type") == F.col("_type"), "left")
         .join(settle, F.col("settlement_currency_code_sms").cast("string") == F.col("_settle"), "left")
         .withColumn("transaction_code_sms", cards.online_clearing_code(F.col("_group"), F.col("reversal_indicator")))
         .withColumn("settlement_report_amount", F.col("settlement_amount"))
@@ -348,7 +349,7 @@ def bitmap_calculated_fields(
             "acquirer_bin": F.substring("acquirer_reference_data", 2, 6),
         }
     )
-    rows = _enrich(txn, bitmap_ranges(iar, products, on_date), F.col("num_card"), BITMAP_RANGE_VALUES, keep_unmatched)
+    rows = _enrich(end_generated_code(txn), bitmap_ranges(iar, products, on_date), F.col("num_card"), BITMAP_RANGE_VALUES, keep_unmatched)
     merchant = F.col("card_acceptor_country_code")
     rows = (
         rows.join(
@@ -387,6 +388,7 @@ def bitmap_calculated_fields(
         "jurisdiction_assigned",
         cards.assigned_jurisdiction(F.col("jurisdiction"), F.col("jurisdiction_region"), F.col("jurisdiction_country")),
     )
+    rows = end_generated_code(rows)
     brand = brand_rates(rates, BITMAP_BRAND).withColumn("_from_num", F.col("currency_from_code").try_cast("int"))
     currency = F.col("currency_code_transaction")
     for name, target, number in (

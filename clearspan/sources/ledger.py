@@ -6,9 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from clearspan.operators.skew import HOT_ROWS, bounded_rows, lookup_join
+from clearspan.operators.skew import HOT_ROWS, bounded_rows, global_row_number, lookup_join
 
 # --- fixed values -------------------------------------------------------------
 #: File type of a pattern -> brand and class of the file.
@@ -76,11 +75,7 @@ def mark_repeats(ledger: DataFrame, identity: Sequence[str], out: str = "status"
 def reprocess_queue(
     ledger: DataFrame, customer: str, brand: str, first_day: str, last_day: str
 ) -> DataFrame:
-    """Numbered list of processed files of a period, in order of type and date.
-
-    The queue is one customer's files of a period: small by nature, so one sorted
-    task numbers it.
-    """
+    """Numbered list of processed files of a period, in order of type and date."""
     chosen = ledger.filter(
         (F.col("description_status") == FRESH)
         & (F.col("customer") == customer)
@@ -88,10 +83,11 @@ def reprocess_queue(
         & F.col("file_date").between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date"))
         & F.col("file_type").isin("IN", "OUT")
     )
-    order = Window.orderBy("file_type", "file_date", "code")
-    return chosen.select(
-        F.row_number().over(order).alias("number_file"),
+    queue = chosen.select(
         F.col("code").alias("hash_file"),
         F.col("file_type").alias("type_file"),
+        "file_date",
         F.date_format("file_date", "yyyyMMdd").alias("header_date"),
     )
+    order = [F.col("type_file"), F.col("file_date"), F.col("hash_file")]
+    return global_row_number(queue, order, "number_file").drop("file_date")
