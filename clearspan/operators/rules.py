@@ -38,6 +38,8 @@ NOT = "NOT:"
 MEMBER, SPACE, RANGE, COMPARE, AMOUNT = "member", "space", "range", "compare", "amount"
 MAX_RULES = 50_000
 MAX_COMPILED = 256
+#: Number standing for "no rule".
+NO_RULE = 0
 #: Rules compared in one generated method.
 RULES_PER_METHOD = 64
 #: Tests packed into one integer column.
@@ -290,8 +292,10 @@ def assign_first_rule(
 
 
 def _with_choice(rows: DataFrame, loaded: list[dict], book: RuleBook, words: list[str]) -> DataFrame:
-    """Add ``_rule_no``, the number of the first matching rule.
+    """Add ``_rule_no``, the number of the first matching rule, ``NO_RULE`` without one.
 
+    The number is never null: a later filter on the rule then stays with the rule
+    table instead of repeating the whole choice further down.
     One CASE per scope over the packed tests. Scopes are taken a few at a time, so no
     generated method grows too long for the JVM's compiler.
     """
@@ -314,20 +318,20 @@ def _with_choice(rows: DataFrame, loaded: list[dict], book: RuleBook, words: lis
         here = " AND ".join(same(c, v) for c, v in zip(book.scope, scope))
         groups[-1].append(f"WHEN {here} THEN CASE {' '.join(branches)} END")
         size += len(branches)
-    rows = rows.withColumn("_rule_no", F.lit(None).cast("int"))
-    for n, group in enumerate(g for g in groups if g):
-        chosen = F.expr(f"CASE {' '.join(group)} END")
-        if n:
-            rows = end_generated_code(rows)
-            chosen = F.coalesce(F.col("_rule_no"), chosen)
-        rows = rows.withColumn("_rule_no", chosen)
-    return end_generated_code(rows)
+    rows = rows.withColumn("_rule_no", F.lit(NO_RULE))
+    for group in (g for g in groups if g):
+        chosen = F.coalesce(F.expr(f"CASE {' '.join(group)} END"), F.lit(NO_RULE))
+        rows = end_generated_code(
+            rows.withColumn("_rule_no", F.when(F.col("_rule_no") == NO_RULE, chosen).otherwise(F.col("_rule_no")))
+        )
+    return rows
 
 
 def _rule_table(rules: DataFrame, loaded: list[dict], columns: Sequence[str]) -> DataFrame:
     fields = [T.StructField("_rule_no", T.IntegerType())]
     fields += [T.StructField(c, rules.schema[c].dataType) for c in columns]
-    return local_table(rules, fields, [(r["_rule_no"], *[r[c] for c in columns]) for r in loaded])
+    none = (NO_RULE, *[None for _ in columns])
+    return local_table(rules, fields, [none] + [(r["_rule_no"], *[r[c] for c in columns]) for r in loaded])
 
 
 def local_table(like: DataFrame, fields: list[T.StructField], rows: list[tuple]) -> DataFrame:
