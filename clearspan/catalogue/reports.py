@@ -9,9 +9,9 @@ from clearspan.catalogue.enrichment import calculated_bitmap, calculated_online,
 from clearspan.catalogue.inputs import Source, oracle
 from clearspan.catalogue.interchange import interchange_bitmap, interchange_online, interchange_text
 from clearspan.catalogue.oracles import ORACLE_INPUTS
-from clearspan.functions import cards
 from clearspan.operators.fx import attach_rate, brand_rates, to_report_currency
 from clearspan.plans import analytics, audit, reconcile, schemefee
+from clearspan.session import checkpointed
 
 EXECUTION, MONTH = "run1", "199801"
 
@@ -343,7 +343,8 @@ def legacy_map(spark: SparkSession, sf: str) -> DataFrame:
 
 def cost_pushback(spark: SparkSession, sf: str) -> DataFrame:
     s = Source(spark, sf)
-    detail = _detail_text(s).withColumn("account_number", F.left("account_number", F.lit(9)))
+    # the detail of a month is a stored table
+    detail = checkpointed(_detail_text(s).withColumn("account_number", F.left("account_number", F.lit(9))))
     report = schemefee.monthly_cube(detail).withColumns(
         {
             "transaction_scheme_fee_cost": F.col("transaction_count") * 0.5,
@@ -385,10 +386,16 @@ def returned_costs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _costs(s: Source) -> DataFrame:
+    """Stored unit costs: one row per clearing transaction, one more for outgoing ones."""
+    rows = s.txn_text.filter(F.col("transaction_code").isin(*schemefee.CLEARING_CODES))
+    kinds = F.when(
+        F.col("app_type_file") == "OUT", F.array(F.lit(schemefee.LABELS["acquiring"]), F.lit(schemefee.LABELS["text_mirror"]))
+    ).otherwise(F.array(F.lit(schemefee.LABELS["issuing"])))
     mirror = F.col("table_description") == schemefee.LABELS["text_mirror"]
-    return _detail_text(s).withColumn(
-        "unitary_scheme_fee_cost", F.col("app_id") % 100 / 100 + F.when(mirror, 1.0).otherwise(0.0)
-    )
+    return rows.select(
+        "app_customer_code", "app_type_file", "app_processing_date", "app_hash_file", "app_id",
+        F.lit("VISA").alias("transaction_brand"), F.explode(kinds).alias("table_description"),
+    ).withColumn("unitary_scheme_fee_cost", F.col("app_id") % 100 / 100 + F.when(mirror, 1.0).otherwise(0.0))
 
 
 def _shown(view: DataFrame) -> DataFrame:
@@ -749,7 +756,6 @@ SELECT f.app_customer_code AS customer_code, f.app_hash_file AS file_id, f.app_i
   f.fee_descriptor AS interchange_rule, cu.report_currency_code AS reported_currency_code,
   coalesce(x1.exchange_value, 1e0) * f.source_amount AS amount, coalesce(f.fee_x, x1.exchange_value, 1e0) * f.calculated_value AS fee
 FROM {o_fee} f JOIN {customers} cu ON cu.code = f.app_customer_code
-JOIN {text_types} ty ON ty.business_transaction_type_id = f.business_transaction_type AND ty.transaction_type_id IN ('PUR', 'CRD', 'CSH')
 LEFT JOIN {countries} m ON m.country_code = f.merchant_country_code LEFT JOIN {countries} i ON i.country_code = f.ardef_country
 LEFT JOIN {bin_products} p ON p.bin_product_id = f.product_id
 LEFT JOIN {rates} x1 ON x1.app_processing_date = f.app_processing_date AND x1.brand = 'VISA'

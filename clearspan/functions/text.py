@@ -89,15 +89,6 @@ def bytes_to_text(c: Column, ebcdic: bool = False) -> Column:
     return F.translate(latin, codes.decode("latin-1"), codes.decode("cp500"))
 
 
-def bits_of(c: Column) -> Column:
-    """Sixteen bytes as a text of 128 zeros and ones."""
-
-    def half(first: int) -> Column:
-        return F.lpad(F.conv(F.hex(F.substring(c, first, 8)), 16, 2), 64, "0")
-
-    return F.concat(half(1), half(9))
-
-
 def text_or_blank(c: Column) -> Column:
     """Text form used by the rule conditions: null becomes the word ``BLANK``."""
     return F.coalesce(c.cast("string"), F.lit("BLANK"))
