@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from clearspan.llm import quality
+from clearspan.llm import curriculum, quality
 
 QUERIES = {
+    "op4_mix_sources": curriculum.op4_mix_sources,
     "op5_quality_rules": quality.op5_quality_rules,
 }
 
