@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from clearspan.llm import curriculum, quality
+from clearspan.llm import curriculum, packing, quality
 
 QUERIES = {
     "op4_mix_sources": curriculum.op4_mix_sources,
     "op5_quality_rules": quality.op5_quality_rules,
+    "op8_pack_documents": packing.op8_pack_documents,
 }
 
 ORACLE = {
