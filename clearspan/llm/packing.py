@@ -20,6 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clearspan.llm.common import need, written
 from clearspan.llm.spans import blocks
@@ -102,7 +103,8 @@ def packed(rows: DataFrame, size: int = SEQUENCE, group: int = GROUP) -> DataFra
     """
     n = rows.count()
     groups = max(1, round(n / group))
-    out = rows.schema.add("sequence_id", "bigint").add("offset", "bigint")
+    extra = [T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
+    out = T.StructType([*rows.schema.fields, *extra])
 
     def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         order = ["length", "salt", "doc_id", "piece", "ids_crc32"]
