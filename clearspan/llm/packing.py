@@ -16,7 +16,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -106,14 +105,15 @@ def packed(rows: DataFrame, size: int = SEQUENCE, group: int = GROUP) -> DataFra
     extra = [T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
     out = T.StructType([*rows.schema.fields, *extra])
 
-    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        order = ["length", "salt", "doc_id", "piece", "ids_crc32"]
-        frame = frame.sort_values(order, ascending=[False] + [True] * 4, kind="stable", ignore_index=True)
-        sequence, offset = sum_of_squares(frame["length"].to_numpy(), size)
-        return frame.drop(columns="_group").assign(sequence_id=(int(key[0]) << 32) + sequence, offset=offset)
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        order = [("length", "descending"), *((c, "ascending") for c in ("salt", "doc_id", "piece", "ids_crc32"))]
+        table = table.drop_columns("_group").sort_by(order)
+        sequence, offset = sum_of_squares(table["length"].to_numpy(), size)
+        ids = pa.array((key[0].as_py() << 32) + sequence, pa.int64())
+        return table.append_column("sequence_id", ids).append_column("offset", pa.array(offset, pa.int64()))
 
     dealt = rows.withColumn("_group", F.col("salt") % groups)
-    return dealt.groupBy("_group").applyInPandas(run, out)
+    return dealt.groupBy("_group").applyInArrow(run, out)
 
 
 def op8_pack_documents(spark, sf_dir: str) -> DataFrame:

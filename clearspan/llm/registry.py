@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from clearspan.llm import curriculum, packing, quality
+from clearspan.llm import curriculum, keyed, packing, quality
 
 QUERIES = {
     "op4_mix_sources": curriculum.op4_mix_sources,
     "op5_quality_rules": quality.op5_quality_rules,
     "op8_pack_documents": packing.op8_pack_documents,
+    "op9_keyed_token_files": keyed.op9_keyed_token_files,
 }
 
 ORACLE = {
