@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from clearspan.llm.common import native_words, need, written
@@ -260,6 +259,7 @@ def op4_mix_sources(spark, sf_dir: str) -> DataFrame:
     taken = (F.size("copies") * F.col("size")).cast("bigint")
     first = F.get("copies", 0)["position"]
     rows = mix.select(
-        "doc_id", "size", "source_size", F.col("target").cast(T.DoubleType()), taken.alias("taken"), first.alias("first_position"), "copies"
+        "doc_id", "size", "source_size", "target", taken.alias("taken"), first.alias("first_position"), "copies", "u"
     )
-    return rows.orderBy(F.col("first_position").asc_nulls_last())
+    # documents that are not taken have no position: spread behind the others, not all in one range
+    return rows.orderBy(F.coalesce("first_position", 1 + F.col("u") / float(1 << 63))).drop("u")
