@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from clearspan.llm import curriculum, keyed, packing, quality
+from clearspan.llm import curriculum, keyed, packing, quality, vectors
 
 QUERIES = {
     "op4_mix_sources": curriculum.op4_mix_sources,
     "op5_quality_rules": quality.op5_quality_rules,
+    "op7_exact_top_k": vectors.op7_exact_top_k,
     "op8_pack_documents": packing.op8_pack_documents,
     "op9_keyed_token_files": keyed.op9_keyed_token_files,
 }
 
 ORACLE = {
     "op5_quality_rules": quality.OP5_SQL,
+    "op7_exact_top_k": vectors.OP7_SQL,
 }
