@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from clearspan.llm import curriculum, keyed, packing, quality, vectors
+from clearspan.llm import curriculum, keyed, packing, quality, toxicity, vectors
 
 QUERIES = {
+    "op2_toxicity": toxicity.op2_toxicity,
     "op4_mix_sources": curriculum.op4_mix_sources,
     "op5_quality_rules": quality.op5_quality_rules,
     "op7_exact_top_k": vectors.op7_exact_top_k,

@@ -53,11 +53,14 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word, and for each text the number of words before it (one more entry than texts)."""
+def words_of(data: np.ndarray, offsets: np.ndarray, apart: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every word, and for each text the number of words before it (one more entry than texts).
+
+    ``apart`` marks the bytes between words: white space, unless another table is given.
+    """
     if len(data) == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    inside = ~_SPACE[data]
+    inside = ~apart[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     before = np.empty(len(data), bool)
