@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clearspan.llm import curriculum, keyed, packing, quality, toxicity, vectors
+from clearspan.llm import curriculum, extraction, keyed, packing, quality, toxicity, vectors
 
 QUERIES = {
     "op2_toxicity": toxicity.op2_toxicity,
@@ -11,6 +11,7 @@ QUERIES = {
     "op7_exact_top_k": vectors.op7_exact_top_k,
     "op8_pack_documents": packing.op8_pack_documents,
     "op9_keyed_token_files": keyed.op9_keyed_token_files,
+    "op10_main_text": extraction.op10_main_text,
 }
 
 ORACLE = {
