@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from clearspan.llm import curriculum, extraction, keyed, packing, quality, toxicity, vectors
+from clearspan.llm import curriculum, extraction, keyed, linedup, packing, quality, toxicity, vectors
 
 QUERIES = {
+    "op1_line_dedup": linedup.op1_line_dedup,
     "op2_toxicity": toxicity.op2_toxicity,
     "op4_mix_sources": curriculum.op4_mix_sources,
     "op5_quality_rules": quality.op5_quality_rules,
@@ -15,6 +16,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_line_dedup": linedup.OP1_SQL,
     "op5_quality_rules": quality.OP5_SQL,
     "op7_exact_top_k": vectors.OP7_SQL,
 }
