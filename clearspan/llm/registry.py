@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from clearspan.llm import curriculum, extraction, keyed, linedup, packing, quality, toxicity, vectors
+from clearspan.llm import curriculum, extraction, jaccard, keyed, linedup, packing, quality, toxicity, vectors
 
 QUERIES = {
     "op1_line_dedup": linedup.op1_line_dedup,
     "op2_toxicity": toxicity.op2_toxicity,
     "op4_mix_sources": curriculum.op4_mix_sources,
     "op5_quality_rules": quality.op5_quality_rules,
+    "op6_jaccard_join": jaccard.op6_jaccard_join,
     "op7_exact_top_k": vectors.op7_exact_top_k,
     "op8_pack_documents": packing.op8_pack_documents,
     "op9_keyed_token_files": keyed.op9_keyed_token_files,
@@ -18,5 +19,6 @@ QUERIES = {
 ORACLE = {
     "op1_line_dedup": linedup.OP1_SQL,
     "op5_quality_rules": quality.OP5_SQL,
+    "op6_jaccard_join": jaccard.OP6_SQL,
     "op7_exact_top_k": vectors.OP7_SQL,
 }
