@@ -1,18 +1,16 @@
 """Exact n-gram Jaccard join by a token-group matrix (operator 6).
 
-Documents are sets of hashed word shingles. Equal sets are one node. Two sets can only reach
-the threshold if they share a token among their rarest few, their prefix; tokens met in the
-prefixes of two different sets are shared tokens, and only sets with one go on.
-
-These sets are partitioned into groups: each goes with its most shared token, and large
-groups are split. The matrix says which group holds which shared token. Sets of one group are
-compared in one task call. Two groups are opened for each other only if the matrix has a
+Documents are sets of hashed word shingles. Equal sets are one node. A hash splits each set
+into more parts than two sets at the threshold can differ in elements, so any two such sets
+agree wholly in a part that is not empty (pigeonhole). The hash of a part is a token of the
+matrix; only sets with a token that another set also has go on.
+
+These sets are partitioned into groups of similar ones: each goes with its most shared token,
+and large groups are split. The matrix says which group holds which token. Sets of one group
+are compared in one task call. Two groups are opened for each other only if the matrix has a
 token in both and they are not in one component already; there, each set is first bounded by
-its overlap with the union of the other group's tokens, and compared only if that reaches the
-threshold. Calls return links that join components, not pairs.
-
-No candidate is dropped: the order of tokens (frequent ones last) only decides which tokens
-form a prefix, so any order gives the same result.
+its overlap with the union of the other group's shingles, and compared only if that reaches
+the threshold. Calls return links that join components, not pairs. No candidate is dropped.
 """
 
 from __future__ import annotations
@@ -30,11 +28,6 @@ from clearspan.llm.spans import blocks, hash_spans, lowered, mix, windows, words
 
 #: Sets in a group on average, where a group is split.
 GROUP = 256
-#: Tokens known to be frequent, the most frequent ones: the tail of the order. Bounds what is broadcast.
-MOST_FREQUENT = 1 << 17
-#: Frequent tokens are counted over runs of so many tokens, where they occur so often.
-_RUN, _OFTEN = 1 << 21, 3
-
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each text, ascending, and for each text the number before it.
@@ -48,72 +41,100 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndar
     return (np.concatenate(parts) if parts else runs), np.concatenate([[0], np.cumsum([len(p) for p in parts], dtype=np.int64)]).astype(np.int64)
 
 
-def _frequent(docs: DataFrame, n: int) -> np.ndarray:
-    """Up to ``MOST_FREQUENT`` tokens by rising frequency, as far as runs of tokens show it."""
+class Bands:
+    """Size bands, and for each the number of parts and how many must not be empty.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        size = 0
-
-        def flush() -> pa.RecordBatch:
-            tokens, counts = np.unique(np.concatenate(held), return_counts=True)
-            often = counts >= _OFTEN
-            return pa.RecordBatch.from_arrays(
-                [pa.array(tokens[often].view(np.int64), pa.int64()), pa.array(counts[often], pa.int64())], ["token", "n"]
-            )
-
-        for _, data, offsets in blocks(batches):
-            tokens, _ = shingle_sets(data, offsets, n)
-            held.append(tokens)
-            size += len(tokens)
-            if size >= _RUN:
-                yield flush()
-                held, size = [], 0
-        if held:
-            yield flush()
+    Band i holds sizes from ``starts[i]`` to ``starts[i + 1] - 1``. Sets that link with a set of band i
+    lie in it or in the low end of the next, up to ``tops[i]``; all of these are split under key i. Two
+    such sets differ in ``differ[i]`` elements at most, so with more parts that are not empty, one agrees.
+    """
 
-    counted = docs.select("text").mapInArrow(run, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.desc("n"), "token").limit(MOST_FREQUENT).toArrow()
-    tokens, counts = top.column("token").to_numpy(), top.column("n").to_numpy()
-    return tokens[np.lexsort((tokens, counts))].view(np.uint64)
+    def __init__(self, num: int, den: int, largest: int):
+        self.starts = [1]
+        while self.starts[-1] <= largest:
+            self.starts.append(max(self.starts[-1] + 1, -(-self.starts[-1] * 5 * den // (4 * num))))
+        tops, differ, parts = [], [], []
+        for low, high in zip(self.starts[:-1], self.starts[1:], strict=True):
+            tops.append((high - 1) * den // num)
+            differ.append((high - 1 + tops[-1]) * (den - num) // (den + num))
+            need_full = differ[-1] + 1
+            k = need_full
+            # enough parts that a set of the least size leaves too few full ones only by rare chance
+            while need_full > 1 and k < 4 * need_full:
+                empty = k * np.exp(-low / k)
+                if k - empty - 2 * np.sqrt(empty) >= need_full:
+                    break
+                k += max(1, k // 64)
+            parts.append(k)
+        self.tops, self.differ, self.parts = np.array(tops), np.array(differ), np.array(parts)
+
+    def keys(self, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(set, key) of every key that each set is split under."""
+        own = np.searchsorted(self.starts, sizes, "right") - 1
+        also = np.flatnonzero((own > 0) & (sizes <= self.tops[np.maximum(own, 1) - 1]))
+        return np.concatenate([np.arange(len(sizes)), also]), np.concatenate([own, own[also] - 1])
+
+
+def part_tokens(shingles: np.ndarray, at: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """(set, token) for every part that is not empty, of sets given in a row with the number before each.
+
+    Should a set have too few such parts under a hash, it is split again under the next one, and goes by
+    both: of two sets at the threshold, the first hash that suffices for either gives a common token.
+    """
+    sizes = np.diff(at)
+    full = np.flatnonzero(sizes)
+    if not len(full):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    bands = Bands(num, den, int(sizes.max()))
+    which, key = bands.keys(sizes[full])
+    owner = full[which]
+    out_set, out_token = [], []
+    seed = 0
+    while len(owner):
+        n, k = sizes[owner], bands.parts[key]
+        first = np.cumsum(n) - n
+        place = np.arange(int(n.sum())) - np.repeat(first - at[:-1][owner], n)
+        spread = mix(shingles[place] ^ mix(np.full(1, seed + 11, np.uint64)))
+        start = np.cumsum(k) - k
+        cell = np.repeat(start, n) + (((spread >> np.uint64(32)) * np.repeat(k, n).astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
+        total = int(k.sum())
+        count = np.bincount(cell, minlength=total)
+        value = mix(spread)
+        low = np.bincount(cell, (value & np.uint64(0xFFFFFFFF)).astype(np.float64), total).astype(np.uint64)
+        high = np.bincount(cell, (value >> np.uint64(32)).astype(np.float64), total).astype(np.uint64)
+        entry = np.repeat(np.arange(len(owner)), k)
+        some = np.flatnonzero(count)
+        e = entry[some]
+        name = (key[e].astype(np.uint64) << np.uint64(40)) + (some - start[e]).astype(np.uint64) + (np.uint64(seed) << np.uint64(56))
+        out_set.append(owner[e])
+        out_token.append(mix((low[some] + (high[some] << np.uint64(32))) ^ mix(name)))
+        enough = np.bincount(e, minlength=len(owner)) > bands.differ[key]
+        owner, key, seed = owner[~enough], key[~enough], seed + 1
+    return np.concatenate(out_set), np.concatenate(out_token)
 
 
 def _sketches(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """(key, doc_id, n, node, prefix) of every document: size and hash of its set, and its rarest tokens.
-
-    A set of size s needs s - ceil(t s) + 1 tokens in its prefix for a threshold t.
-    """
-    frequent = _frequent(docs, n)
-    by_hash = np.argsort(frequent)
-    sorted_frequent = frequent[by_hash]
+    """(key, doc_id, n, node, tokens) of every document: size and hash of its set, and its tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in blocks(batches):
-            tokens, at = shingle_sets(data, offsets, n)
-            rank = np.zeros(len(tokens), np.int64)
-            if len(sorted_frequent) and len(tokens):
-                place = np.minimum(np.searchsorted(sorted_frequent, tokens), len(sorted_frequent) - 1)
-                hit = sorted_frequent[place] == tokens
-                rank[hit] = by_hash[place[hit]] + 1
+            shingles, at = shingle_sets(data, offsets, n)
             sizes = np.diff(at)
-            spread = mix(tokens ^ np.uint64(0xA5A5A5A5A5A5A5A5))
-            nodes = np.zeros(len(sizes), np.uint64)
             full = sizes > 0
-            nodes[full] = mix(np.add.reduceat(spread, at[:-1][full]) ^ sizes[full].astype(np.uint64)) if full.any() else nodes[full]
-            take = np.where(full, sizes - (-(-num * sizes // den)) + 1, 0)
-            prefix = []
-            for a, b, p in zip(at[:-1].tolist(), at[1:].tolist(), take.tolist(), strict=True):
-                own, r = tokens[a:b], rank[a:b]
-                prefix.append((own if not r.any() else own[np.argsort(r, kind="stable")])[:p].view(np.int64))
-            lists = pa.ListArray.from_arrays(
-                np.concatenate([[0], np.cumsum(take)]).astype(np.int32), pa.array(np.concatenate(prefix) if prefix else [], pa.int64())
-            )
+            nodes = np.zeros(len(sizes), np.uint64)
+            if full.any():
+                spread = mix(shingles ^ np.uint64(0xA5A5A5A5A5A5A5A5))
+                nodes[full] = mix(np.add.reduceat(spread, at[:-1][full]) ^ sizes[full].astype(np.uint64))
+            owner, tokens = part_tokens(shingles, at, num, den)
+            order = np.argsort(owner, kind="stable")
+            cuts = np.searchsorted(owner[order], np.arange(len(sizes) + 1)).astype(np.int32)
+            lists = pa.ListArray.from_arrays(cuts, pa.array(tokens[order].view(np.int64), pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(nodes.view(np.int64), pa.int64(), mask=~full), lists],
-                ["key", "doc_id", "n", "node", "prefix"],
+                ["key", "doc_id", "n", "node", "tokens"],
             )
 
-    return docs.select("key", "doc_id", "text").mapInArrow(run, "key bigint, doc_id bigint, n bigint, node bigint, prefix array<bigint>")
+    return docs.select("key", "doc_id", "text").mapInArrow(run, "key bigint, doc_id bigint, n bigint, node bigint, tokens array<bigint>")
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
@@ -263,7 +284,7 @@ def similar(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, text: str
     sketches = written(_sketches(rows, n, num, den), "shingle-sketches")
     nodes = sketches.filter("n > 0")
 
-    held = nodes.select("node", F.explode("prefix").alias("token"))
+    held = nodes.select("node", F.explode("tokens").alias("token"))
     shared = held.groupBy("token").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("token")
     tokens = written(held.join(shared, "token").distinct(), "shared-tokens")
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from clearspan.llm import curriculum, extraction, jaccard, keyed, linedup, packing, quality, toxicity, vectors
+from clearspan.llm import curriculum, extraction, jaccard, keyed, linedup, mixing, packing, quality, toxicity, vectors
 
 QUERIES = {
     "op1_line_dedup": linedup.op1_line_dedup,
     "op2_toxicity": toxicity.op2_toxicity,
+    "op3_context_mixing": mixing.op3_context_mixing,
     "op4_mix_sources": curriculum.op4_mix_sources,
     "op5_quality_rules": quality.op5_quality_rules,
     "op6_jaccard_join": jaccard.op6_jaccard_join,
