@@ -241,13 +241,12 @@ def training_order(docs: DataFrame, mix: DataFrame, text: str = "text") -> DataF
         source_key(F.col("source")).alias("_s"),
         F.xxhash64(F.lit(4), F.col("doc_id"), F.xxhash64(F.col(text))).bitwiseAND(F.lit((1 << 63) - 1).cast("bigint")).alias("_u"),
     )
-    # wholly equal rows have different places: count them, and deal the copies of all to each
+    # wholly equal rows are taken equally often, by their mean; no more than one row's copies is held of them
     per = mix.groupBy(F.col("skey").alias("_s"), F.col("u").alias("_u")).agg(
-        F.count(F.lit(1)).alias("_n"), F.flatten(F.collect_list("copies")).alias("_copies")
+        F.round(F.sum(F.size("copies")) / F.count(F.lit(1))).cast("int").alias("_n"), F.max("copies").alias("_copies")
     )
-    alike = F.transform("_copies", lambda c: c["position"])
-    share = F.ceil(F.size("_copies") / F.col("_n")).cast("int")
-    taken = keyed.join(per.filter(F.size("_copies") > 0).withColumn("_at", F.slice(F.sort_array(alike), F.lit(1), share)), ["_s", "_u"])
+    at = F.slice(F.transform("_copies", lambda c: c["position"]), F.lit(1), F.col("_n"))
+    taken = keyed.join(per.filter("_n > 0").withColumn("_at", at), ["_s", "_u"])
     out = taken.select("_row", F.explode("_at").alias("_position")).orderBy("_position")
     return out.select(*[F.col("_row").getField(c).alias(c) for c in own])
 

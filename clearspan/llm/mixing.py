@@ -1,6 +1,6 @@
 """Language-model scores by online logistic context mixing (operator 3).
 
-A text is written as its words in lower case, a space after each and a line feed at the end,
+A text is written as its words in lower case, a space after each, and a line feed at the end,
 and predicted bit by bit along a prefix code of bytes. For each bit several predictors, each
 with a hashed context (the last one, two, three, five bytes; the word so far), give a
 probability from the bits counted there. Their logits are added with weights that a gate
@@ -12,6 +12,9 @@ from what the task has seen so far, then corrects the weights and is counted. Co
 tasks are added up, weights are averaged by bits. Scoring then uses the whole corpus's counts
 and changes nothing, so that a text's score depends on the model and the text alone.
 
+A token's probability is the mean of what this spelling gives and of its share among the
+training tokens, 0 for unknown words; both add up to at most 1 over all tokens.
+
 The base score is a word model with the corpus's word counts, which are never collected: a
 task's distinct words meet their counts by a shuffle.
 """
@@ -35,7 +38,7 @@ from clearspan.llm.toxicity import held_out
 
 #: Bits of a predictor's table.
 TABLE_BITS = 20
-ORDERS = (1, 2, 3, 5)
+ORDERS = (2, 4)
 PREDICTORS = len(ORDERS) + 1
 GATES = 2 * (PREDICTORS + 1)
 #: Cells of the adaptive map for each gate.
@@ -47,6 +50,7 @@ _CHUNK = 1 << 14
 _FAN_IN = 16
 _SPACE, _END = 32, 10
 _PRIME, _SPIN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+_SMALL = np.uint32(0x9E3779B1)
 
 
 @dataclass
@@ -80,25 +84,24 @@ class Code:
                 for bit in (0, 1):
                     stack.append((children[node][bit], [*path, (node - 255, bit)]))
         lengths = np.array([len(codes[k]) for k in range(256)], np.int64)
-        bits, nodes = np.zeros((256, lengths.max()), np.uint8), np.zeros((256, lengths.max()), np.uint64)
+        bits, nodes = np.zeros((256, lengths.max()), np.float32), np.zeros((256, lengths.max()), np.uint32)
         for k, path in codes.items():
-            nodes[k, : len(path)] = [n for n, _ in path]
+            nodes[k, : len(path)] = [n * 0x85EBCA6B & 0xFFFFFFFF for n, _ in path]
             bits[k, : len(path)] = [b for _, b in path]
         return cls(lengths, bits, nodes)
 
 
 def plain_bytes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes that are predicted, the first byte of each text in them, and of each word (with texts without words as empty words)."""
+    """Bytes that are predicted, the first byte of each text in them, and the first byte of each token (words, then an end)."""
     counts = np.diff(before)
-    items = np.maximum(counts, 1)
-    item_at = np.concatenate([[0], np.cumsum(items)])
+    item_at = before + np.arange(len(before))
     lengths = np.zeros(int(item_at[-1]), np.int64)
-    word_item = np.arange(len(starts)) + np.repeat(item_at[:-1] - before[:-1], counts)
-    lengths[word_item] = ends - starts
+    word_item = np.arange(len(starts)) + np.repeat(np.arange(len(counts)), counts)
+    size = ends - starts
+    lengths[word_item] = size
     first = np.concatenate([[0], np.cumsum(lengths + 1)])
     out = np.full(int(first[-1]), _SPACE, np.uint8)
     out[first[item_at[1:]] - 1] = _END
-    size = ends - starts
     within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
     out[np.repeat(first[word_item], size) + within] = data[np.repeat(starts, size) + within]
     return out, first[item_at[:-1]], first[:-1]
@@ -129,36 +132,50 @@ def slots(text: np.ndarray, text_at: np.ndarray, word_at: np.ndarray, code: Code
     lengths = code.lengths[text]
     owner = np.repeat(np.arange(n), lengths)
     depth = np.arange(len(owner)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    node = code.nodes[text[owner], depth] * _SPIN
+    step = text[owner].astype(np.int64) * code.bits.shape[1] + depth
+    node = code.nodes.ravel()[step]
     out = np.empty((PREDICTORS, len(owner)), np.int64)
     for k, context in enumerate(contexts):
-        mixed = (context ^ (context >> np.uint64(29)))[owner] + node
-        out[k] = ((mixed ^ (mixed >> np.uint64(32))) * _PRIME) >> np.uint64(64 - TABLE_BITS)
-    return out, code.bits[text[owner], depth], depth == 0, owner
+        mixed = ((context ^ (context >> np.uint64(29))) * _SPIN >> np.uint64(32)).astype(np.uint32)[owner]
+        mixed ^= node
+        mixed *= _SMALL
+        mixed ^= mixed >> np.uint32(15)
+        mixed *= _SMALL
+        out[k] = mixed >> np.uint32(32 - TABLE_BITS)
+    return out, code.bits.ravel()[step], depth == 0, owner
 
 
-def logits(ones: np.ndarray, all_: np.ndarray) -> np.ndarray:
+def logits(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Logit of a predictor's counts, 0 where nothing was counted."""
-    return np.log((ones + 0.2) / (all_ - ones + 0.2)).astype(np.float32)
+    few = np.float32(0.2)
+    return np.log((ones + few) / (zeros + few))
+
+
+def mixed_logit(inputs: np.ndarray, weights: np.ndarray, gate: np.ndarray) -> np.ndarray:
+    """The weighted sum of the predictors' logits; ``weights`` has a row for each gate."""
+    total = np.zeros(len(gate), np.float32)
+    for k in range(PREDICTORS):
+        total += inputs[k] * weights[:, k].astype(np.float32)[gate]
+    return total
 
 
 def gates(seen: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Which weights a bit takes: by its longest context that was seen, and whether it is a byte's first."""
-    longest = np.zeros(seen.shape[1], np.int64)
-    for k in range(PREDICTORS):
-        longest[seen[k]] = k + 1
-    return 2 * longest + first
+    longest = seen[0].astype(np.int8)
+    for k in range(1, PREDICTORS):
+        np.copyto(longest, np.int8(k + 1), where=seen[k])
+    return 2 * longest.astype(np.int64) + first
 
 
 def cells(gate: np.ndarray, logit: np.ndarray) -> np.ndarray:
     """Cell of the adaptive map."""
-    return gate * CELLS + np.clip((logit + 12) * (CELLS / 24), 0, CELLS - 1).astype(np.int64)
+    return gate * CELLS + np.clip((logit + np.float32(12)) * np.float32(CELLS / 24), 0, CELLS - 1).astype(np.int64)
 
 
 def refined(logit: np.ndarray, ones: np.ndarray, all_: np.ndarray) -> np.ndarray:
     """Probability of a one: the mixed probability, moved half way to the frequency in its cell."""
     p = 1 / (1 + np.exp(-logit))
-    return np.clip(0.5 * p + 0.5 * (ones + 16 * p) / (all_ + 16), 1e-6, 1 - 1e-6)
+    return np.clip(0.5 * p + 0.5 * (ones + 16 * p) / (all_ + 16), np.float32(1e-6), np.float32(1 - 1e-6))
 
 
 class Learner:
@@ -166,8 +183,8 @@ class Learner:
 
     def __init__(self, code: Code):
         self.code = code
-        self.all = np.zeros((PREDICTORS, 1 << TABLE_BITS), np.uint32)
-        self.ones = np.zeros((PREDICTORS, 1 << TABLE_BITS), np.uint32)
+        #: for each slot, how often a zero and a one followed
+        self.counts = np.zeros((PREDICTORS, 2 << TABLE_BITS), np.float32)
         self.weights = np.full((GATES, PREDICTORS), 0.3)
         self.m, self.v, self.t = np.zeros_like(self.weights), np.zeros_like(self.weights), 0
         self.map_all, self.map_ones = np.zeros(GATES * CELLS), np.zeros(GATES * CELLS)
@@ -176,11 +193,14 @@ class Learner:
     def learn(self, text: np.ndarray, text_at: np.ndarray, word_at: np.ndarray) -> None:
         """Predict a batch from what was seen, correct weights and map, then count it."""
         at, bit, first, _ = slots(text, text_at, word_at, self.code)
-        all_ = np.stack([self.all[k][at[k]] for k in range(PREDICTORS)])
-        ones = np.stack([self.ones[k][at[k]] for k in range(PREDICTORS)])
-        inputs = logits(ones, all_)
-        gate = gates(all_ > 0, first)
-        logit = np.einsum("kn,nk->n", inputs, self.weights[gate])
+        inputs = np.empty(at.shape, np.float32)
+        seen = np.empty(at.shape, bool)
+        for k in range(PREDICTORS):
+            both = self.counts[k].view(np.complex64)[at[k]]  # a zero's and a one's count in one read
+            inputs[k] = logits(both.real, both.imag)
+            seen[k] = both != 0
+        gate = gates(seen, first)
+        logit = mixed_logit(inputs, self.weights, gate)
         wrong = bit - 1 / (1 + np.exp(-logit))
         count = np.bincount(gate, minlength=GATES) + 1.0
         grad = np.stack([np.bincount(gate, wrong * inputs[k], GATES) for k in range(PREDICTORS)], axis=1) / count[:, None]
@@ -193,17 +213,16 @@ class Learner:
         self.map_all += np.bincount(cell, minlength=GATES * CELLS)
         self.map_ones += np.bincount(cell, bit, GATES * CELLS)
         for k in range(PREDICTORS):
-            self.all[k] += np.bincount(at[k], minlength=1 << TABLE_BITS).astype(np.uint32)
-            self.ones[k] += np.bincount(at[k][bit > 0], minlength=1 << TABLE_BITS).astype(np.uint32)
+            np.add.at(self.counts[k], 2 * at[k] + (bit > 0), np.float32(1))
         self.n_bits += len(bit)
 
     def rows(self, part: int) -> Iterator[dict]:
         """Tables in chunks, then weights and map (chunk -1)."""
-        flat_all, flat_ones = self.all.ravel(), self.ones.ravel()
-        for chunk in range(len(flat_all) // _CHUNK):
-            a = slice(chunk * _CHUNK, (chunk + 1) * _CHUNK)
-            if flat_all[a].any():
-                yield {"chunk": chunk, "part": part, "counts": np.stack([flat_all[a], flat_ones[a]]).astype("<f8").astype("<f4").tobytes()}
+        flat = self.counts.ravel()
+        for chunk in range(len(flat) // _CHUNK):
+            own = flat[chunk * _CHUNK : (chunk + 1) * _CHUNK]
+            if own.any():
+                yield {"chunk": chunk, "part": part, "counts": own.astype("<f4").tobytes()}
         rest = np.concatenate([[self.n_bits], (self.weights * self.n_bits).ravel(), self.map_all, self.map_ones])
         yield {"chunk": -1, "part": part, "counts": rest.astype("<f8").tobytes()}
 
@@ -230,17 +249,17 @@ class Model:
     map_all: np.ndarray
     map_ones: np.ndarray
 
-    def text_scores(self, text: np.ndarray, text_at: np.ndarray, word_at: np.ndarray) -> np.ndarray:
-        """log10 probability of each text."""
-        at, bit, first, owner = slots(text, text_at, word_at, self.code)
+    def token_scores(self, text: np.ndarray, text_at: np.ndarray, token_at: np.ndarray) -> np.ndarray:
+        """log10 probability of each token given all before it."""
+        at, bit, first, owner = slots(text, text_at, token_at, self.code)
         inputs = np.stack([self.inputs[k][at[k]] for k in range(PREDICTORS)])
         gate = gates(np.stack([self.seen[k][at[k]] for k in range(PREDICTORS)]), first)
-        logit = np.einsum("kn,nk->n", inputs, self.weights[gate])
+        logit = mixed_logit(inputs, self.weights, gate)
         cell = cells(gate, logit)
         p = refined(logit, self.map_ones[cell], self.map_all[cell])
         each = np.log10(np.where(bit > 0, p, 1 - p))
-        of = np.searchsorted(text_at, owner, "right") - 1
-        return np.bincount(of, each, len(text_at))
+        token = np.cumsum(np.bincount(token_at, minlength=len(text))) - 1
+        return np.bincount(token[owner], each, len(token_at))
 
 
 def train(docs: DataFrame, code: Code) -> Model:
@@ -263,19 +282,18 @@ def train(docs: DataFrame, code: Code) -> Model:
         most //= _FAN_IN
         up = parts.withColumn("up", F.floor(F.col("part") / _FAN_IN).cast("int"))
         parts = written(up.groupBy("chunk", "up").applyInArrow(_added, schema), "mixing-tables")
-    all_, ones = np.zeros(PREDICTORS << TABLE_BITS, np.float32), np.zeros(PREDICTORS << TABLE_BITS, np.float32)
+    flat = np.zeros(2 * PREDICTORS << TABLE_BITS, np.float32)
     rest = np.zeros(1 + GATES * PREDICTORS + 2 * GATES * CELLS)
     for chunk, _, counts in parts.toLocalIterator():
         if chunk < 0:
             rest = rest + np.frombuffer(counts, "<f8")
         else:
-            own = np.frombuffer(counts, "<f4").reshape(2, _CHUNK)
-            all_[chunk * _CHUNK : (chunk + 1) * _CHUNK] += own[0]
-            ones[chunk * _CHUNK : (chunk + 1) * _CHUNK] += own[1]
+            flat[chunk * _CHUNK : (chunk + 1) * _CHUNK] += np.frombuffer(counts, "<f4")
     weights = rest[1 : 1 + GATES * PREDICTORS].reshape(GATES, PREDICTORS) / max(1.0, rest[0]) if rest[0] else np.full((GATES, PREDICTORS), 0.3)
     maps = rest[1 + GATES * PREDICTORS :].reshape(2, -1)
-    shape = (PREDICTORS, 1 << TABLE_BITS)
-    return Model(code, logits(ones, all_).reshape(shape), (all_ > 0).reshape(shape), weights.astype(np.float32), maps[0], maps[1])
+    pairs = flat.reshape(PREDICTORS, -1, 2)
+    zeros, ones = pairs[..., 0], pairs[..., 1]
+    return Model(code, logits(zeros, ones), zeros + ones > 0, weights, *maps.astype(np.float32))
 
 
 def _word_counts(rows: DataFrame) -> tuple[DataFrame, np.ndarray, int, int]:
@@ -367,19 +385,24 @@ def scored(docs: DataFrame, folds: int = 10, bucket: Column | None = None, text:
         known = right.column("word").to_numpy().view(np.uint64)[order]
         c_of = right.column("c").to_numpy()[order]
         whole = -np.log10(tokens + 0.1 * (distinct + 1))
-        for batch, data, offsets in blocks(iter(left.to_batches()), size=4 * BATCH):
+        for batch, data, offsets in blocks(iter(left.to_batches()), size=BATCH):
             data = lowered(data)
             starts, ends_, before = words_of(data, offsets)
             c = c_of[np.searchsorted(known, hash_spans(data, starts, ends_))] if len(starts) else np.zeros(0, np.int64)
             owner, n = np.repeat(np.arange(len(offsets) - 1), np.diff(before)), len(offsets) - 1
             base = np.bincount(owner, np.log10(c + 0.1) + whole, n) + np.log10(ends + 0.1) + whole
-            plain, text_at, word_at = plain_bytes(data, starts, ends_, before)
+            plain, text_at, token_at = plain_bytes(data, starts, ends_, before)
+            spelled = model.value.token_scores(plain, text_at, token_at)
+            token_text = np.repeat(np.arange(n), np.diff(before) + 1)
+            count = np.full(len(token_at), ends, np.float64)
+            count[np.arange(len(starts)) + owner] = c
+            score = np.bincount(token_text, np.log10(0.5 * 10**np.maximum(spelled, -300) + 0.5 * count / max(1, tokens)), n)
             out["doc_id"] += batch.column(3).to_pylist()
             out["held_out"] += batch.column(1).to_pylist()
             out["n_tokens"] += (np.diff(before) + 1).tolist()
             out["n_known"] += (np.bincount(owner, c > 0, n).astype(np.int64) + (ends > 0)).tolist()
             out["base_score"] += base.tolist()
-            out["score"] += model.value.text_scores(plain, text_at, word_at).tolist()
+            out["score"] += score.tolist()
             out["n_bytes"] += np.diff(np.append(text_at, len(plain))).tolist()
         return pa.table(
             {

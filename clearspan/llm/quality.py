@@ -126,10 +126,14 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without their text, with the measurements and ``fail_bits``: a bit for each rule that fails."""
     rows = measured(docs, text)
+    return rows.select(*[c for c in rows.columns if c not in (text, "fail_bits")], _bits().alias("fail_bits"))
+
+
+def _bits() -> Column:
     bits = F.lit(0).cast("bigint")
     for rule in RULES:
         bits = bits.bitwiseOR(F.when(F.expr(rule.fails), F.lit(1 << rule.bit).cast("bigint")).otherwise(F.lit(0).cast("bigint")))
-    return rows.select(*[c for c in rows.columns if c not in (text, "fail_bits")], bits.alias("fail_bits"))
+    return bits
 
 
 def passes(policy: str, bits: str = "fail_bits") -> Column:
@@ -161,6 +165,13 @@ def ablations(rows: DataFrame, policy: str, by: list[str] | None = None) -> Data
     )
 
 
+def filtered(docs: DataFrame, policy: str = "v2", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that pass a policy, with their own columns only."""
+    rows = measured(docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_doc"), F.col(text).alias("_text")), "_text")
+    kept = rows.withColumn("fail_bits", _bits()).filter(passes(policy))
+    return kept.select(*[F.col("_doc").getField(c).alias(c) for c in docs.columns])
+
+
 def op5_quality_rules(spark, sf_dir: str) -> DataFrame:
     """The ledger of ``documents`` with the base verdict and that of the newest policy."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
