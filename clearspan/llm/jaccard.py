@@ -28,6 +28,8 @@ from clearspan.llm.spans import blocks, hash_spans, lowered, mix, windows, words
 
 #: Sets in a group on average, where a group is split.
 GROUP = 256
+#: Largest bit map of shared tokens, as a power of two bits: 16 MiB.
+MAP_BITS = 27
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each text, ascending, and for each text the number before it.
@@ -113,24 +115,69 @@ def part_tokens(shingles: np.ndarray, at: np.ndarray, num: int, den: int) -> tup
     return np.concatenate(out_set), np.concatenate(out_token)
 
 
-def _sketches(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """(key, doc_id, n, node, tokens) of every document: size and hash of its set, and its tokens."""
+def _nodes(shingles: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Hash of each set; 0 for sets without elements."""
+    sizes = np.diff(at)
+    full = sizes > 0
+    out = np.zeros(len(sizes), np.uint64)
+    if full.any():
+        spread = mix(shingles ^ np.uint64(0xA5A5A5A5A5A5A5A5))
+        out[full] = mix(np.add.reduceat(spread, at[:-1][full]) ^ sizes[full].astype(np.uint64))
+    return out
+
+
+def _all_tokens(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """(token, node) of every document's set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, data, offsets in blocks(batches):
+            shingles, at = shingle_sets(data, offsets, n)
+            owner, tokens = part_tokens(shingles, at, num, den)
+            nodes = _nodes(shingles, at)[owner]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(tokens.view(np.int64), pa.int64()), pa.array(nodes.view(np.int64), pa.int64())], ["token", "node"]
+            )
+
+    return docs.select("text").mapInArrow(run, "token bigint, node bigint")
+
+
+def bit_map(tokens: DataFrame) -> tuple[np.ndarray, int]:
+    """A map of 2 ** bits bits with two bits set for each token; its size is bounded, whatever the tokens' number.
+
+    Fewer than 16 MiB: beyond eleven million tokens it lets more foreign ones pass, which the join that
+    follows turns away.
+    """
+    n = tokens.count()
+    bits = min(MAP_BITS, max(16, int(12 * n).bit_length()))
+    mask = F.lit((1 << bits) - 1).cast("bigint")
+    both = F.array(F.col("token").bitwiseAND(mask), F.shiftright("token", 32).bitwiseAND(mask))
+    words = tokens.select(F.explode(both).alias("at")).groupBy(F.shiftright("at", 6).alias("word"))
+    found = words.agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("set")).toArrow()
+    out = np.zeros(1 << (bits - 6), np.uint64)
+    out[found.column("word").to_numpy()] = found.column("set").to_numpy().view(np.uint64)
+    return out, bits
+
+
+def _sketches(docs: DataFrame, n: int, num: int, den: int, shared: tuple[np.ndarray, int]) -> DataFrame:
+    """(key, doc_id, n, node, tokens) of every document: size and hash of its set, and its tokens that may be shared."""
+    words, bits = docs.sparkSession.sparkContext.broadcast(shared[0]), shared[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in blocks(batches):
             shingles, at = shingle_sets(data, offsets, n)
             sizes = np.diff(at)
-            full = sizes > 0
-            nodes = np.zeros(len(sizes), np.uint64)
-            if full.any():
-                spread = mix(shingles ^ np.uint64(0xA5A5A5A5A5A5A5A5))
-                nodes[full] = mix(np.add.reduceat(spread, at[:-1][full]) ^ sizes[full].astype(np.uint64))
             owner, tokens = part_tokens(shingles, at, num, den)
+            signed = tokens.view(np.int64)
+            hit = np.ones(len(signed), bool)
+            for place in (signed & ((1 << bits) - 1), (signed >> 32) & ((1 << bits) - 1)):
+                hit &= (words.value[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1)) > 0
+            owner, signed = owner[hit], signed[hit]
             order = np.argsort(owner, kind="stable")
             cuts = np.searchsorted(owner[order], np.arange(len(sizes) + 1)).astype(np.int32)
-            lists = pa.ListArray.from_arrays(cuts, pa.array(tokens[order].view(np.int64), pa.int64()))
+            lists = pa.ListArray.from_arrays(cuts, pa.array(signed[order], pa.int64()))
+            nodes = _nodes(shingles, at).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(nodes.view(np.int64), pa.int64(), mask=~full), lists],
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64(), mask=sizes == 0), lists],
                 ["key", "doc_id", "n", "node", "tokens"],
             )
 
@@ -281,12 +328,14 @@ def similar(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, text: str
     rows = docs.select(
         F.xxhash64(doc_id.isNull(), doc_id, F.xxhash64(text)).alias("key"), doc_id.alias("doc_id"), F.col(text).cast("string").alias("text")
     )
-    sketches = written(_sketches(rows, n, num, den), "shingle-sketches")
+    every = _all_tokens(rows, n, num, den)
+    shared = every.groupBy("token").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("token")
+    shared = written(shared, "shared-tokens")
+    sketches = written(_sketches(rows, n, num, den, bit_map(shared)), "shingle-sketches")
     nodes = sketches.filter("n > 0")
 
     held = nodes.select("node", F.explode("tokens").alias("token"))
-    shared = held.groupBy("token").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("token")
-    tokens = written(held.join(shared, "token").distinct(), "shared-tokens")
+    tokens = written(held.join(shared, "token").distinct(), "node-tokens")
 
     counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     group = tokens.join(counts, "token").groupBy("node").agg(F.max(F.struct("n", "token")).alias("most"))
