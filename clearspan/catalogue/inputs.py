@@ -32,9 +32,6 @@ TABLES = [
     "conversations",
 ]
 
-#: Tables worth spreading when they come in few files.
-FACTS = ["orders", "lineitem", "events", "documents", "conversations", "pages"]
-
 CURRENCIES = """
 SELECT * FROM (VALUES (840, 'USD', 2), (978, 'EUR', 2), (826, 'GBP', 2), (392, 'JPY', 0), (36, 'AUD', 2))
   AS t(currency_numeric_code, currency_alphabetic_code, currency_decimal_separator)
@@ -417,13 +414,10 @@ class Source:
         self._known: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        """A driver table; one in fewer files than there are cores is spread over them."""
+        """A driver table as it is stored."""
         if name in self._known:
             return self._known[name]
         frame = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        cores = self.spark.sparkContext.defaultParallelism
-        if name in FACTS and len(frame.inputFiles()) < cores:
-            frame = frame.repartition(cores)
         self._known[name] = frame
         return frame
 

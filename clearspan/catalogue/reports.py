@@ -319,11 +319,7 @@ def report_currency(spark: SparkSession, sf: str) -> DataFrame:
 
 def _cube(s: Source) -> DataFrame:
     detail = _detail_text(s)
-    return schemefee.monthly_cube(
-        detail.withColumn("report_amount", exact("report_amount", 4)).withColumn(
-            "account_number", F.left("account_number", F.lit(9))
-        )
-    )
+    return schemefee.monthly_cube(detail.withColumn("report_amount", exact("report_amount", 4)))
 
 
 def monthly_cube(spark: SparkSession, sf: str) -> DataFrame:
@@ -344,7 +340,7 @@ def legacy_map(spark: SparkSession, sf: str) -> DataFrame:
 def cost_pushback(spark: SparkSession, sf: str) -> DataFrame:
     s = Source(spark, sf)
     # the detail of a month is a stored table
-    detail = checkpointed(_detail_text(s).withColumn("account_number", F.left("account_number", F.lit(9))))
+    detail = checkpointed(_detail_text(s))
     report = schemefee.monthly_cube(detail).withColumns(
         {
             "transaction_scheme_fee_cost": F.col("transaction_count") * 0.5,
@@ -353,7 +349,7 @@ def cost_pushback(spark: SparkSession, sf: str) -> DataFrame:
             "unitary_estimated_scheme_fee_amount": F.lit(0.25),
         }
     )
-    out = schemefee.push_back_costs(detail, report, hot_rows=20)
+    out = schemefee.push_back_costs(detail, report)
     return out.select(
         "app_id", "app_hash_file", "table_description", "transaction_scheme_fee_cost", "unitary_scheme_fee_cost",
         "estimated_scheme_fee_cost", "unitary_estimated_scheme_fee_cost",
@@ -589,7 +585,7 @@ _CUBE = """
 SELECT 'run1' AS app_execution_id, '199801' AS report_month, report_currency, app_customer_code AS customer_code, bank_country AS bank_country_code,
   business_mode_id AS business_mode, 'VISA' AS brand, 0 AS size_ticket, product_id, range_program_id, account_funding_source AS founding_source,
   business_transaction_type_id AS transaction_type, jurisdiction, reversal_indicator, currency_local_indicator, motoec_indicator AS card_present_indicator,
-  left(account_number, 9) AS account_number, merchant_country_code, '' AS switch_code, count(*) AS transaction_count,
+  account_number, merchant_country_code, '' AS switch_code, count(*) AS transaction_count,
   CAST(sum(CAST(round(report_amount, 4) AS DECIMAL(20,4))) AS DOUBLE) AS transaction_amount
 FROM {o_detail_all} d GROUP BY ALL
 """
@@ -730,7 +726,7 @@ SELECT app_id, app_hash_file, table_description, n * 0.5e0 AS transaction_scheme
   n * 0.25e0 AS estimated_scheme_fee_cost, 0.25e0 AS unitary_estimated_scheme_fee_cost
 FROM (SELECT *, count(*) OVER (PARTITION BY report_currency, app_customer_code, bank_country, business_mode_id, product_id, range_program_id,
   account_funding_source, business_transaction_type_id, jurisdiction, reversal_indicator, currency_local_indicator, motoec_indicator,
-  left(account_number, 9), merchant_country_code) AS n FROM {o_detail_all} d) q""",
+  account_number, merchant_country_code) AS n FROM {o_detail_all} d) q""",
     "detail_count_check": """
 SELECT count(*) AS detail_rows, (SELECT count(*) FROM (SELECT 1 FROM {o_detail_all} d GROUP BY report_currency, app_customer_code, bank_country,
   business_mode_id, product_id, range_program_id, account_funding_source, business_transaction_type_id, jurisdiction, reversal_indicator,

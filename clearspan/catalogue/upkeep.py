@@ -136,7 +136,7 @@ _VERSION = ("effective", "app_date_valid", "app_date_end", "1 DAY")
 
 def scd2_close(spark: SparkSession, sf: str) -> DataFrame:
     history, incoming = _versions(Source(spark, sf))
-    return versions.close_open_versions(history, incoming, _RANGE, *_VERSION, hot_rows=500)
+    return versions.close_open_versions(history, incoming, _RANGE, *_VERSION)
 
 
 def scd2_late(spark: SparkSession, sf: str) -> DataFrame:
@@ -204,7 +204,7 @@ def file_revision(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("VI").alias("brand"),
         F.col("o_orderstatus").alias("file_type"),
     )
-    return ledger.mark_repeats(rows, ["code", "customer", "brand", "file_type"], hot_rows=5)
+    return ledger.mark_repeats(rows, ["code", "customer", "brand", "file_type"])
 
 
 PATTERNS = [

@@ -47,12 +47,15 @@ def attach_rate(
 
 
 def pivot_rates(rates: DataFrame, targets: Sequence[str]) -> DataFrame:
-    """One row per day, brand and source currency with a column per target currency."""
+    """One row per day, brand and source currency with a column per target currency.
+
+    Of rates stored twice the largest counts, so that reruns agree.
+    """
     return (
         rates.filter(F.col("currency_to").isin(*targets))
         .groupBy("app_processing_date", "brand", "currency_from")
         .pivot("currency_to", list(targets))
-        .agg(F.first("exchange_value"))
+        .agg(F.max("exchange_value"))
     )
 
 

@@ -10,7 +10,7 @@ nothing to rank afterwards and the transactions are never shuffled.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -177,6 +177,31 @@ def best_range(
     return out.select(*points.columns, *values)
 
 
+def lookup_segments(points: DataFrame, segments: DataFrame, point: Column, on: Mapping[str, str], value: str) -> DataFrame:
+    """Add ``value`` of the segment that holds each point, among the segments whose ``on`` columns agree.
+
+    ``segments`` (seg_low, seg_high) are disjoint for equal ``on`` columns, which map a column of
+    ``points`` to one of ``segments``. Each level of widths is one equality join, so a point
+    meets at most one segment; Spark chooses how to join from the sizes it sees.
+    """
+    filed = _bucketed(segments, "seg_low", "seg_high")
+    levels = list(_levels(segments, "seg_low", "seg_high"))
+    out = points.withColumn("_point", point.cast("bigint"))
+    for n in levels:
+        names = {c: f"_{c}{n}" for c in [*on.values(), "_bucket", "seg_low", "seg_high"]}
+        level = filed.filter(F.col("_level") == n).select(
+            *[F.col(c).alias(name) for c, name in names.items()], F.col(value).alias(f"_value{n}")
+        )
+        hit = (F.shiftright(F.col("_point"), LEVEL_BITS * n) == F.col(names["_bucket"])) & F.col("_point").between(
+            F.col(names["seg_low"]), F.col(names["seg_high"])
+        )
+        for mine, theirs in on.items():
+            hit &= F.col(mine) == F.col(names[theirs])
+        out = out.join(level, hit, "left").drop(*names.values())
+    found = F.coalesce(*[F.col(f"_value{n}") for n in levels], F.lit(None).cast(segments.schema[value].dataType))
+    return out.select(*points.columns, found.alias(value))
+
+
 def prefix_bounds(low: Column, high: Column, digits: int) -> tuple[Column, Column]:
     """Numeric bounds of account prefixes: nine digits, padded with zeros and nines.
 

@@ -355,8 +355,8 @@ def _joined(
 ) -> DataFrame:
     """Rules as data: scope equality, packed tests, first hit by ``min_by``.
 
-    Rows are partitioned by their key once; the rule join keeps that partitioning,
-    so picking the first hit and attaching it again need no further shuffle.
+    Rules are picked for what rows show them, not for their keys: a key may repeat, and
+    null keys keep their rule.
     """
     fields = [T.StructField("_rule_no", T.IntegerType())]
     fields += [T.StructField(f"_scope{i}", T.StringType()) for i in range(len(book.scope))]
@@ -379,15 +379,17 @@ def _joined(
         [text_or_blank(F.col(f"`{c}`")) == F.col(f"_scope{i}") for i, c in enumerate(book.scope)]
         + [F.col(w).bitwiseAND(F.col(f"_need{w}")) == F.col(f"_need{w}") for w in words],
     )
-    probes = spread.select(*key, *book.scope, *words)
+    # rows that share a key may differ in what the rules look at; those that agree in it have one rule
+    look = list(dict.fromkeys([*key, *book.scope, *words]))
+    probes = spread.select(*look).distinct()
     best = (
         probes.join(table, hit)
-        .groupBy(*key)
+        .groupBy(*look)
         .agg(F.min_by(F.struct(*[F.col(f"_pay_{c}").alias(c) for c in payload]), F.col("_rule_no")).alias("_best"))
     )
-    return spread.join(best, list(key), "left").select(
-        *rows.columns, *[F.col(f"_best.`{c}`").alias(c) for c in payload]
-    )
+    named = best.select(*[F.col(f"`{c}`").alias(f"_look{i}") for i, c in enumerate(look)], "_best")
+    same = reduce(lambda a, b: a & b, [spread[f"`{c}`"].eqNullSafe(F.col(f"_look{i}")) for i, c in enumerate(look)])
+    return spread.join(named, same, "left").select(*rows.columns, *[F.col(f"_best.`{c}`").alias(c) for c in payload])
 
 
 def rule_sheet_problems(

@@ -160,9 +160,6 @@ ONLINE_EXTRA = [
     "issuer_bin_8",
 ]
 BITMAP_EXTRA = ["processing_code", "amount_transaction", "issuer_bin_8", "acquirer_bin"]
-#: Fields not used to pick rules although a rule sheet may hold them.
-TEXT_UNUSED = ["payment_credential_combination"]
-ONLINE_UNUSED: list[str] = []
 #: Optional record formats of the text brand in the order they are looked at.
 FORMATS = ["SP", "SD", "PD", "FT", "FL", "DF", "CR"]
 # -------------------------------------------------------------------------------
@@ -178,7 +175,7 @@ def _kinds(names: Sequence[str], special: Mapping[str, str]) -> dict[str, str]:
 
 TEXT_BOOK = RuleBook(
     scope={MARK + "jurisdiction_key": "region_country_code"},
-    kinds=_kinds([*(a for a in TEXT_ATTRIBUTES if a not in TEXT_UNUSED), *TEXT_EXTRA], TEXT_KINDS),
+    kinds=_kinds([*TEXT_ATTRIBUTES, *TEXT_EXTRA], TEXT_KINDS),
     amount_currency="transaction_amount_currency",
     row_prefix=MARK,
 )

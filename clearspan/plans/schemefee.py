@@ -6,11 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from clearspan.functions import cards
-from clearspan.operators.ranges import band_join, best_range
+from clearspan.operators.ranges import band_join, lookup_segments
 from clearspan.operators.skew import HOT_ROWS, global_row_number, lookup_join
 from clearspan.plans.calculated import BITMAP_BRAND, TEXT_BRAND
+from clearspan.session import checkpointed
 
 # --- fixed values -------------------------------------------------------------
 GROUPS = ["PUR", "CRD", "CSH"]
@@ -426,35 +428,30 @@ def with_switch_codes(detail: DataFrame, ranges: DataFrame) -> DataFrame:
     """Switch code of the account range of the same brand and customer.
 
     An open range holds its start value only. Of several ranges the smallest code
-    wins. Ranges differ per brand and customer, so each pair looks up its own.
+    wins. Ranges differ per brand and customer: the ranges of each pair are cut into
+    disjoint segments, and a row meets at most one of its pair's. The plan does not
+    depend on the number of pairs.
     """
+    pair = ["_brand", "_customer"]
     closed = ranges.select(
         F.col("brand").alias("_brand"),
         F.col("customer_code").alias("_customer"),
         F.col("start_value").cast("bigint").alias("_low"),
         F.coalesce("end_value", "start_value").cast("bigint").alias("_high"),
         F.col("switch_code").alias("_switch"),
-    )
-    pairs = sorted((r[0], r[1]) for r in closed.select("_brand", "_customer").distinct().limit(1000).collect())
-    out = detail
-    for n, (brand, customer) in enumerate(pairs):
-        own = closed.filter((F.col("_brand") == brand) & (F.col("_customer") == customer))
-        mine = (F.col("transaction_brand") == brand) & (F.col("app_customer_code") == customer)
-        point = F.when(mine, F.col("account_number").try_cast("bigint"))
-        out = best_range(
-            out,
-            own.withColumnRenamed("_switch", f"_switch{n}"),
-            point,
-            "_low",
-            "_high",
-            [F.col(f"_switch{n}")],
-            [f"_switch{n}"],
-            keep_unmatched=True,
-        )
-    if not pairs:
-        return detail
-    found = F.coalesce(*[F.col(f"_switch{n}") for n in range(len(pairs))], F.col("switch_code"))
-    return out.withColumn("switch_code", found).drop(*[f"_switch{n}" for n in range(len(pairs))])
+    ).filter("_low <= _high")
+    edges = closed.select(*pair, F.explode(F.array("_low", F.col("_high") + 1)).alias("seg_low")).distinct()
+    following = F.lead("seg_low").over(Window.partitionBy(*pair).orderBy("seg_low"))
+    pieces = edges.withColumn("seg_high", following - 1).filter(F.col("seg_high").isNotNull())
+    covered = pieces.join(closed, pair).filter(F.col("seg_low").between(F.col("_low"), F.col("_high")))
+    segments = checkpointed(covered.groupBy(*pair, "seg_low", "seg_high").agg(F.min("_switch").alias("_switch")))
+    return lookup_segments(
+        detail,
+        segments,
+        F.col("account_number").try_cast("bigint"),
+        {"transaction_brand": "_brand", "app_customer_code": "_customer"},
+        "_switch",
+    ).withColumn("switch_code", F.coalesce("_switch", "switch_code")).drop("_switch")
 
 
 def with_size_tickets(detail: DataFrame, tickets: DataFrame, rates: DataFrame) -> DataFrame:

@@ -13,19 +13,13 @@ MAX_CURRENCIES = 1000
 def currency_pairs(days: DataFrame, currencies: DataFrame, day: str, code: str) -> DataFrame:
     """Every ordered pair of two currencies for every day.
 
-    The currency master is bounded (ISO codes), so its pairs travel as one literal
-    array that each day is expanded by.
+    The currency master is bounded (ISO codes), so its codes travel as one literal
+    array that each day is expanded by twice.
     """
     codes = sorted(r[0] for r in bounded_rows(currencies.select(code).distinct(), MAX_CURRENCIES, "currencies"))
-    pairs = F.array(
-        *[
-            F.struct(F.lit(a).alias("currency_from"), F.lit(b).alias("currency_to"))
-            for a in codes
-            for b in codes
-            if a != b
-        ]
-    )
-    return days.select(day).distinct().select(day, F.explode(pairs).alias("p")).select(day, "p.*")
+    every = F.array(*[F.lit(c) for c in codes]).cast("array<string>")
+    one = days.select(day).distinct().select(day, F.explode(every).alias("currency_from"))
+    return one.select("*", F.explode(every).alias("currency_to")).filter("currency_from <> currency_to")
 
 
 def with_currency_codes(rates: DataFrame, currencies: DataFrame) -> DataFrame:
