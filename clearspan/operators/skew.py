@@ -21,13 +21,6 @@ HOT_ROWS = 1_000_000
 HOT_KEYS = 10_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Hint a broadcast only after counting that ``df`` has at most ``max_rows``."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def bounded_rows(df: DataFrame, max_rows: int, what: str) -> list:
     """Bring a metadata table to the driver, refusing anything above its bound."""
     rows = df.limit(max_rows + 1).collect()
