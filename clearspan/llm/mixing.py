@@ -43,8 +43,8 @@ PREDICTORS = len(ORDERS) + 1
 GATES = 2 * (PREDICTORS + 1)
 #: Cells of the adaptive map for each gate.
 CELLS = 48
-#: Bytes of text in a training batch.
-BATCH = 1 << 16
+#: Bytes of text in a batch, and distinct places worked on at a time.
+BATCH, STEP = 1 << 20, 1 << 15
 _CHUNK = 1 << 14
 #: Partial tables added up in one call.
 _FAN_IN = 16
@@ -107,30 +107,55 @@ def plain_bytes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, before:
     return out, first[item_at[:-1]], first[:-1]
 
 
-def slots(text: np.ndarray, text_at: np.ndarray, word_at: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For every bit: its slot in each predictor's table (predictors x bits), the bit, whether it is a first one, and its byte."""
+def contexts_of(text: np.ndarray, text_at: np.ndarray, token_at: np.ndarray) -> np.ndarray:
+    """Hashed context of each byte for each predictor (predictors x bytes): only what stands before it in its text."""
     n = len(text)
     edge = np.zeros(n, np.int64)
     edge[text_at] = text_at
     inside = np.arange(n) - np.maximum.accumulate(edge)
     values = text.astype(np.uint64)
     history = np.zeros(n, np.uint64)
-    contexts = []
+    out = np.empty((PREDICTORS, n), np.uint64)
     for k in range(1, max(ORDERS) + 1):
         back = np.full(n, _END, np.uint64)
         back[k:] = values[:-k] if k < n else values[:0]
         history = (history << np.uint64(8)) | np.where(inside >= k, back, np.uint64(_END))
         if k in ORDERS:
-            contexts.append((history + np.uint64(k)) * _PRIME)
+            out[ORDERS.index(k)] = (history + np.uint64(k)) * _PRIME
     edge = np.zeros(n, np.int64)
-    edge[word_at] = word_at
-    word = np.maximum.accumulate(edge)
-    power = np.full(int((np.arange(n) - word).max(initial=0)) + 1, _SPIN, np.uint64)
+    edge[token_at] = token_at
+    token = np.maximum.accumulate(edge)
+    power = np.full(int((np.arange(n) - token).max(initial=0)) + 1, _SPIN, np.uint64)
     power = np.multiply.accumulate(power)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((values + np.uint64(1)) * power[np.arange(n) - word])])
-    contexts.append((total[:-1] - total[word] + np.uint64(77)) * _PRIME)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((values + np.uint64(1)) * power[np.arange(n) - token])])
+    out[-1] = (total[:-1] - total[token] + np.uint64(77)) * _PRIME
+    return out
+
+
+def distinct(contexts: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One place of each (contexts, byte), which of them every byte is, and how many it stands for.
+
+    The model gives equal places equal probabilities, so each is worked out once.
+    """
+    key = text.astype(np.uint64)
+    for context in contexts:
+        key = (key ^ (context >> np.uint64(31))) * _SPIN + context
+    # ordered by the key's upper bits, with the place in the lower ones: one plain sort
+    low = np.uint64((1 << max(1, len(key)).bit_length()) - 1)
+    order = (np.sort((key & ~low) | np.arange(len(key), dtype=np.uint64)) & low).astype(np.int64)
+    ranked = key[order]
+    new = np.ones(len(key), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    first = np.flatnonzero(new)
+    which = np.empty(len(key), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return order[first], which, np.diff(np.append(first, len(key)))
+
+
+def slots(contexts: np.ndarray, text: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For every bit of the bytes: its slot in each predictor's table (predictors x bits), the bit, whether it is a first one, and its byte."""
     lengths = code.lengths[text]
-    owner = np.repeat(np.arange(n), lengths)
+    owner = np.repeat(np.arange(len(text)), lengths)
     depth = np.arange(len(owner)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     step = text[owner].astype(np.int64) * code.bits.shape[1] + depth
     node = code.nodes.ravel()[step]
@@ -190,9 +215,24 @@ class Learner:
         self.map_all, self.map_ones = np.zeros(GATES * CELLS), np.zeros(GATES * CELLS)
         self.n_bits = 0
 
-    def learn(self, text: np.ndarray, text_at: np.ndarray, word_at: np.ndarray) -> None:
-        """Predict a batch from what was seen, correct weights and map, then count it."""
-        at, bit, first, _ = slots(text, text_at, word_at, self.code)
+    def learn(self, text: np.ndarray, text_at: np.ndarray, token_at: np.ndarray) -> None:
+        """Predict a batch from what was seen, correct weights and map in small steps, then count it."""
+        contexts = contexts_of(text, text_at, token_at)
+        place, _, count = distinct(contexts, text)
+        order = np.random.default_rng(self.n_bits).permutation(len(place))
+        counted = []
+        for a in range(0, len(order), STEP):
+            own = order[a : a + STEP]
+            at, bit, first, owner = slots(contexts[:, place[own]], text[place[own]], self.code)
+            times = count[own][owner].astype(np.float32)
+            self._correct(at, bit, first, times)
+            counted.append((at, bit, times))
+        for at, bit, times in counted:
+            for k in range(PREDICTORS):
+                np.add.at(self.counts[k], 2 * at[k] + (bit > 0), times)
+
+    def _correct(self, at: np.ndarray, bit: np.ndarray, first: np.ndarray, times: np.ndarray) -> None:
+        """One step of weights and map on bits that stand for ``times`` each."""
         inputs = np.empty(at.shape, np.float32)
         seen = np.empty(at.shape, bool)
         for k in range(PREDICTORS):
@@ -201,20 +241,17 @@ class Learner:
             seen[k] = both != 0
         gate = gates(seen, first)
         logit = mixed_logit(inputs, self.weights, gate)
-        wrong = bit - 1 / (1 + np.exp(-logit))
-        count = np.bincount(gate, minlength=GATES) + 1.0
-        grad = np.stack([np.bincount(gate, wrong * inputs[k], GATES) for k in range(PREDICTORS)], axis=1) / count[:, None]
-        used = (count > 1)[:, None]
+        wrong = times * (bit - 1 / (1 + np.exp(-logit)))
+        total = np.bincount(gate, times, GATES) + 1.0
+        grad = np.stack([np.bincount(gate, wrong * inputs[k], GATES) for k in range(PREDICTORS)], axis=1) / total[:, None]
         self.t += 1
         self.m, self.v = 0.9 * self.m + 0.1 * grad, 0.99 * self.v + 0.01 * grad * grad
-        step = 0.02 * (self.m / (1 - 0.9**self.t)) / (np.sqrt(self.v / (1 - 0.99**self.t)) + 1e-4)
-        self.weights += np.where(used, step, 0)
+        step = 0.03 * (self.m / (1 - 0.9**self.t)) / (np.sqrt(self.v / (1 - 0.99**self.t)) + 1e-4)
+        self.weights += np.where((total > 1)[:, None], step, 0)
         cell = cells(gate, logit)
-        self.map_all += np.bincount(cell, minlength=GATES * CELLS)
-        self.map_ones += np.bincount(cell, bit, GATES * CELLS)
-        for k in range(PREDICTORS):
-            np.add.at(self.counts[k], 2 * at[k] + (bit > 0), np.float32(1))
-        self.n_bits += len(bit)
+        self.map_all += np.bincount(cell, times, GATES * CELLS)
+        self.map_ones += np.bincount(cell, times * bit, GATES * CELLS)
+        self.n_bits += int(times.sum())
 
     def rows(self, part: int) -> Iterator[dict]:
         """Tables in chunks, then weights and map (chunk -1)."""
@@ -251,15 +288,20 @@ class Model:
 
     def token_scores(self, text: np.ndarray, text_at: np.ndarray, token_at: np.ndarray) -> np.ndarray:
         """log10 probability of each token given all before it."""
-        at, bit, first, owner = slots(text, text_at, token_at, self.code)
-        inputs = np.stack([self.inputs[k][at[k]] for k in range(PREDICTORS)])
-        gate = gates(np.stack([self.seen[k][at[k]] for k in range(PREDICTORS)]), first)
-        logit = mixed_logit(inputs, self.weights, gate)
-        cell = cells(gate, logit)
-        p = refined(logit, self.map_ones[cell], self.map_all[cell])
-        each = np.log10(np.where(bit > 0, p, 1 - p))
-        token = np.cumsum(np.bincount(token_at, minlength=len(text))) - 1
-        return np.bincount(token[owner], each, len(token_at))
+        contexts = contexts_of(text, text_at, token_at)
+        place, which, _ = distinct(contexts, text)
+        found = []
+        for a in range(0, len(place), STEP):
+            own = place[a : a + STEP]
+            at, bit, first, owner = slots(contexts[:, own], text[own], self.code)
+            inputs = np.stack([self.inputs[k][at[k]] for k in range(PREDICTORS)])
+            gate = gates(np.stack([self.seen[k][at[k]] for k in range(PREDICTORS)]), first)
+            logit = mixed_logit(inputs, self.weights, gate)
+            cell = cells(gate, logit)
+            p = refined(logit, self.map_ones[cell], self.map_all[cell])
+            found.append(np.bincount(owner, np.log10(np.where(bit > 0, p, 1 - p)), len(own)))
+        each = np.concatenate(found) if found else np.zeros(0)
+        return np.add.reduceat(each[which], token_at) if len(token_at) else np.zeros(0)
 
 
 def train(docs: DataFrame, code: Code) -> Model:
@@ -351,10 +393,10 @@ def _word_counts(rows: DataFrame) -> tuple[DataFrame, np.ndarray, int, int]:
         "bucket", "word", "n", F.sum("n").over(same).alias("c"), (F.min("bucket").over(same) == F.col("bucket")).alias("leads")
     )
     counted = written(counted, "corpus-counts")
-    tokens, distinct = counted.agg(
+    tokens, words = counted.agg(
         F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum((F.col("leads") & (F.col("c") > 0)).cast("bigint")), F.lit(0))
     ).first()
-    return counted.select("bucket", "word", "c"), history, tokens, distinct
+    return counted.select("bucket", "word", "c"), history, tokens, words
 
 
 def scored(docs: DataFrame, folds: int = 10, bucket: Column | None = None, text: str = "text") -> DataFrame:
@@ -373,9 +415,9 @@ def scored(docs: DataFrame, folds: int = 10, bucket: Column | None = None, text:
         F.col(text).cast("string").alias("text"),
         F.col("doc_id").cast("bigint").alias("doc_id"),
     )
-    counts, history, tokens, distinct = _word_counts(rows)
+    counts, history, tokens, n_words = _word_counts(rows)
     ends = rows.filter("NOT held_out").count()
-    tokens, distinct = tokens + ends, distinct + (ends > 0)
+    tokens, n_words = tokens + ends, n_words + (ends > 0)
     history[[_SPACE, _END]] = max(0, tokens - 2 * ends), ends
     model = spark.sparkContext.broadcast(train(rows.filter("NOT held_out"), Code.of(history)))
 
@@ -384,7 +426,7 @@ def scored(docs: DataFrame, folds: int = 10, bucket: Column | None = None, text:
         order = np.argsort(right.column("word").to_numpy().view(np.uint64))
         known = right.column("word").to_numpy().view(np.uint64)[order]
         c_of = right.column("c").to_numpy()[order]
-        whole = -np.log10(tokens + 0.1 * (distinct + 1))
+        whole = -np.log10(tokens + 0.1 * (n_words + 1))
         for batch, data, offsets in blocks(iter(left.to_batches()), size=BATCH):
             data = lowered(data)
             starts, ends_, before = words_of(data, offsets)
