@@ -127,16 +127,20 @@ def _nodes(shingles: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _all_tokens(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """(token, node) of every document's set."""
+    """(token, node) of every document's set; a block of texts gives the least and the largest node of a token only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, data, offsets in blocks(batches):
             shingles, at = shingle_sets(data, offsets, n)
             owner, tokens = part_tokens(shingles, at, num, den)
-            nodes = _nodes(shingles, at)[owner]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(tokens.view(np.int64), pa.int64()), pa.array(nodes.view(np.int64), pa.int64())], ["token", "node"]
-            )
+            nodes = _nodes(shingles, at)[owner].view(np.int64)
+            order = np.lexsort((nodes, tokens))
+            tokens, nodes = tokens[order].view(np.int64), nodes[order]
+            first = np.ones(len(tokens), bool)
+            first[1:] = tokens[1:] != tokens[:-1]
+            last = np.append(first[1:], True)[: len(tokens)]
+            keep = first | last
+            yield pa.RecordBatch.from_arrays([pa.array(tokens[keep], pa.int64()), pa.array(nodes[keep], pa.int64())], ["token", "node"])
 
     return docs.select("text").mapInArrow(run, "token bigint, node bigint")
 
@@ -158,6 +162,14 @@ def bit_map(tokens: DataFrame) -> tuple[np.ndarray, int]:
     return out, bits
 
 
+def in_map(tokens: np.ndarray, words: np.ndarray, bits: int) -> np.ndarray:
+    """Whether a bit map has both places of each token."""
+    hit = np.ones(len(tokens), bool)
+    for place in (tokens & ((1 << bits) - 1), (tokens >> 32) & ((1 << bits) - 1)):
+        hit &= (words[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1)) > 0
+    return hit
+
+
 def _sketches(docs: DataFrame, n: int, num: int, den: int, shared: tuple[np.ndarray, int]) -> DataFrame:
     """(key, doc_id, n, node, tokens) of every document: size and hash of its set, and its tokens that may be shared."""
     words, bits = docs.sparkSession.sparkContext.broadcast(shared[0]), shared[1]
@@ -168,9 +180,7 @@ def _sketches(docs: DataFrame, n: int, num: int, den: int, shared: tuple[np.ndar
             sizes = np.diff(at)
             owner, tokens = part_tokens(shingles, at, num, den)
             signed = tokens.view(np.int64)
-            hit = np.ones(len(signed), bool)
-            for place in (signed & ((1 << bits) - 1), (signed >> 32) & ((1 << bits) - 1)):
-                hit &= (words.value[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1)) > 0
+            hit = in_map(signed, words.value, bits)
             owner, signed = owner[hit], signed[hit]
             order = np.argsort(owner, kind="stable")
             cuts = np.searchsorted(owner[order], np.arange(len(sizes) + 1)).astype(np.int32)
@@ -184,16 +194,23 @@ def _sketches(docs: DataFrame, n: int, num: int, den: int, shared: tuple[np.ndar
     return docs.select("key", "doc_id", "text").mapInArrow(run, "key bigint, doc_id bigint, n bigint, node bigint, tokens array<bigint>")
 
 
-def _sets(docs: DataFrame, n: int) -> DataFrame:
-    """(node, tokens) of documents (node, text): the whole set as 64-bit little-endian numbers, ascending."""
+def _sets(docs: DataFrame, n: int, wanted: tuple[np.ndarray, int]) -> DataFrame:
+    """(key, shingles) of the documents (key, text) whose key is in a bit map, and of a few others.
+
+    The whole set, as 64-bit little-endian numbers, ascending.
+    """
+    words, bits = docs.sparkSession.sparkContext.broadcast(wanted[0]), wanted[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in blocks(batches):
-            tokens, at = shingle_sets(data, offsets, n)
-            raw = [tokens[a:b].astype("<u8").tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], ["node", "tokens"])
+        for whole in batches:
+            own = pa.RecordBatch.from_arrays(whole.columns, whole.schema.names)
+            keys = own.column(0).to_numpy(zero_copy_only=False)
+            for batch, data, offsets in blocks(iter([own.filter(pa.array(in_map(keys, words.value, bits)))])):
+                shingles, at = shingle_sets(data, offsets, n)
+                raw = [shingles[a:b].astype("<u8").tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], ["key", "shingles"])
 
-    return docs.select("node", "text").mapInArrow(run, "node bigint, tokens binary")
+    return docs.select("key", "text").mapInArrow(run, "key bigint, shingles binary")
 
 
 class _Forest:
@@ -263,7 +280,7 @@ def _inside(num: int, den: int):
         nodes = table.column("node").to_pylist()
         forest = _Forest(len(nodes))
         if len(nodes) > 1:
-            sets = [np.frombuffer(x, "<u8") for x in table.column("tokens").to_pylist()]
+            sets = [np.frombuffer(x, "<u8") for x in table.column("shingles").to_pylist()]
             if len(nodes) == 2:
                 if any(_linked(sets[:1], sets[1:], num, den)):
                     forest.join(0, 1)
@@ -283,7 +300,7 @@ def _between(num: int, den: int):
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("node")
         side, part = table.column("side").to_pylist(), table.column("part").to_pylist()
-        sets = [np.frombuffer(x, "<u8") for x in table.column("tokens").to_pylist()]
+        sets = [np.frombuffer(x, "<u8") for x in table.column("shingles").to_pylist()]
         number = {p: k for k, p in enumerate(sorted(set(part)))}
         names = sorted(number)
         found: list[tuple[int, int]] = []
@@ -329,7 +346,8 @@ def similar(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, text: str
         F.xxhash64(doc_id.isNull(), doc_id, F.xxhash64(text)).alias("key"), doc_id.alias("doc_id"), F.col(text).cast("string").alias("text")
     )
     every = _all_tokens(rows, n, num, den)
-    shared = every.groupBy("token").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("token")
+    # combined before the shuffle by blocks, so that rows travel as they are, narrower than partial aggregates
+    shared = every.repartition("token").groupBy("token").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("token")
     shared = written(shared, "shared-tokens")
     sketches = written(_sketches(rows, n, num, den, bit_map(shared)), "shingle-sketches")
     nodes = sketches.filter("n > 0")
@@ -346,11 +364,11 @@ def similar(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, text: str
     )
     group = written(group, "groups")
 
-    # one row of each node gives its text; rows equal in id and text have one key
-    chosen = nodes.join(group.select("node"), "node", "left_semi").groupBy("node").agg(F.min("key").alias("key"))
-    texts = rows.select("key", "text").join(chosen.hint("shuffle_hash"), "key")
-    sets = _sets(texts, n).dropDuplicates(["node"])
-    grouped = written(sets.join(group, "node"), "group-sets")
+    # one row of each node gives its set; rows equal in id and text have one key
+    chosen = nodes.join(group, "node").groupBy("node", "gid").agg(F.min("key").alias("key"))
+    chosen = written(chosen, "chosen")
+    sets = _sets(rows, n, bit_map(chosen.select(F.col("key").alias("token"))))
+    grouped = written(sets.join(chosen, "key").dropDuplicates(["key"]), "group-sets").drop("key")
 
     parts = written(grouped.groupBy("gid").applyInArrow(_drop("gid", _inside(num, den)), "node bigint, part bigint"), "group-parts")
     placed = group.join(parts, "node")
@@ -367,7 +385,7 @@ def similar(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, text: str
 
     full = grouped.join(parts, "node")
     sides = [
-        full.join(opened, F.col("gid") == F.col(g)).select("ga", "gb", F.lit(k).alias("side"), "node", "part", "tokens")
+        full.join(opened, F.col("gid") == F.col(g)).select("ga", "gb", F.lit(k).alias("side"), "node", "part", "shingles")
         for k, g in enumerate(("ga", "gb"))
     ]
     links = sides[0].union(sides[1]).groupBy("ga", "gb").applyInArrow(_drop("ga", _drop("gb", _between(num, den))), "a bigint, b bigint")
@@ -401,14 +419,15 @@ def one_of_each(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, text:
     """
     rows = similar(docs, n, num, den, text)
     doc_id = F.col("doc_id").cast("bigint")
-    keep = rows.filter((F.col("n") > 0) & F.col("component_id").isNotNull() & F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = keep.groupBy("component_id").agg(F.min("key").alias("_key")).select("_key")
-    others = rows.filter((F.col("n") == 0) | F.col("component_id").isNull()).select(F.col("key").alias("_key")).distinct()
-    own = [F.col(c) for c in docs.columns]
-    keyed = docs.select(*own, F.xxhash64(doc_id.isNull(), doc_id, F.xxhash64(text)).alias("_key"))
-    first = keyed.join(keep.hint("shuffle_hash"), "_key").dropDuplicates(["_key"]).select(*docs.columns)
-    rest = keyed.join(others.hint("shuffle_hash"), "_key", "left_semi").select(*docs.columns)
-    return first.unionByName(rest)
+    best = rows.filter((F.col("n") > 0) & F.col("component_id").isNotNull() & F.col("doc_id").eqNullSafe(F.col("component_id")))
+    best = best.groupBy("component_id").agg(F.min("key").alias("_key")).select("_key", F.lit(True).alias("_once"))
+    others = rows.filter((F.col("n") == 0) | F.col("component_id").isNull()).select(F.col("key").alias("_key"), F.lit(False).alias("_once"))
+    stay = written(best.union(others.distinct()), "stay")
+    keyed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), F.xxhash64(doc_id.isNull(), doc_id, F.xxhash64(text)).alias("_key"))
+    # one shuffle of the texts: equal rows meet where they are joined
+    tie = F.when(F.col("_once"), F.lit(0).cast("bigint")).otherwise(F.monotonically_increasing_id())
+    found = keyed.join(stay.hint("shuffle_hash"), "_key").withColumn("_tie", tie).dropDuplicates(["_key", "_tie"])
+    return found.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
 
 
 def op6_jaccard_join(spark, sf_dir: str) -> DataFrame:
