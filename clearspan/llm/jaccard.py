@@ -8,9 +8,9 @@ matrix; only sets with a token that another set also has go on.
 These sets are partitioned into groups of similar ones: each goes with its most shared token,
 and large groups are split. The matrix says which group holds which token. Sets of one group
 are compared in one task call. Two groups are opened for each other only if the matrix has a
-token in both and they are not in one component already; there, each set is first bounded by
-its overlap with the union of the other group's shingles, and compared only if that reaches
-the threshold. Calls return links that join components, not pairs. No candidate is dropped.
+token in both and they are not in one component already; there, each set that has such a token
+is first bounded by its overlap with the union of the other group's shingles, and compared only
+if that reaches the threshold. Calls return links that join components, not pairs. No candidate is dropped.
 """
 
 from __future__ import annotations
@@ -380,15 +380,17 @@ def similar(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, text: str
     left = cells.select("token", F.col("gid").alias("ga"), F.col("low").alias("la"), F.col("high").alias("ha"))
     right = cells.select("token", F.col("gid").alias("gb"), F.col("low").alias("lb"), F.col("high").alias("hb"))
     one = (F.col("la") == F.col("ha")) & (F.col("lb") == F.col("hb")) & (F.col("la") == F.col("lb"))
-    opened = left.join(right, "token").filter((F.col("ga") < F.col("gb")) & ~one).select("ga", "gb").distinct()
+    opened = left.join(right, "token").filter((F.col("ga") < F.col("gb")) & ~one).select("token", "ga", "gb")
     opened = written(opened, "opened-groups")
 
-    full = grouped.join(parts, "node")
+    # of an opened group, only the sets travel that have a token which the other group has
+    holders = tokens.join(placed, "node").select("token", "gid", "node")
     sides = [
-        full.join(opened, F.col("gid") == F.col(g)).select("ga", "gb", F.lit(k).alias("side"), "node", "part", "shingles")
+        holders.join(opened.withColumn("gid", F.col(g)), ["token", "gid"]).select("ga", "gb", F.lit(k).alias("side"), "node").distinct()
         for k, g in enumerate(("ga", "gb"))
     ]
-    links = sides[0].union(sides[1]).groupBy("ga", "gb").applyInArrow(_drop("ga", _drop("gb", _between(num, den))), "a bigint, b bigint")
+    sent = sides[0].union(sides[1]).join(grouped.select("node", "shingles"), "node").join(parts, "node")
+    links = sent.groupBy("ga", "gb").applyInArrow(_drop("ga", _drop("gb", _between(num, den))), "a bigint, b bigint")
     roots = components(links)
 
     joined = parts.join(roots.select(F.col("node").alias("part"), "root"), "part", "left")
