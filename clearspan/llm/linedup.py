@@ -22,11 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clearspan.llm.common import need, written
+from clearspan.llm.jaccard import bit_map, in_map
 from clearspan.llm.spans import blocks, hash_spans, mix, words_of
 
 MIN_WORDS = 50
 
 _ROW = "key bigint, doc_id bigint, first int, last int, fingerprint bigint, at int, content bigint"
+_TAIL = "key bigint, doc_id bigint, first int, last int, content bigint"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -83,16 +85,35 @@ def windows_of(text: np.ndarray, lines: np.ndarray, counts: np.ndarray, min_word
         same[pending[ok]] = cand[ok]
         pending = pending[~ok]
         low[pending] += 1
-    up, down = _powers(_ODD, n), _powers(_INVERSE, n)
+    return first, last, least, same, contents_of(lines, first, last)
+
+
+def contents_of(lines: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Content hash of every run of lines, given by first and last line."""
+    up, down = _powers(_ODD, len(lines)), _powers(_INVERSE, len(lines))
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(lines * up)])
-    content = mix((total[last + 1] - total[first]) * down[first] ^ (last - first + 1).astype(np.uint64))
-    return first, last, least, same, content
+    return mix((total[last + 1] - total[first]) * down[first] ^ (last - first + 1).astype(np.uint64))
+
+
+def tails_of(text: np.ndarray, counts: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and last line (as indices) of the shortest run that ends at each line, and the last line of the window at its first.
+
+    Runs that are windows themselves are left out.
+    """
+    done = np.cumsum(counts)
+    before = done - counts
+    first = np.searchsorted(before, done - min_words, "right") - 1  # last line from which the words suffice
+    last = np.flatnonzero(first >= np.searchsorted(text, text, "left"))
+    first = first[last]
+    window = np.searchsorted(done, before[first] + min_words)
+    longer = window < last
+    return first[longer], last[longer], window[longer]
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(key, runs) of the documents that lose lines; ``docs`` has (key, doc_id, text).
 
-    ``runs`` are first and last line numbers of windows that also begin earlier in the corpus, in
+    ``runs`` are first and last line numbers of windows and tails that also occur earlier in the corpus, in
     order of id (null last), key and line. ``key`` stands for id and text: rows that agree in both
     are one place, and none of them repeats the other.
     """
@@ -120,9 +141,40 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     found = windows.groupBy("fingerprint").agg(F.min(place).alias("a"), F.max(place).alias("b")).filter("a <> b").select("fingerprint")
     opened = windows.join(found, "fingerprint", "left_semi")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "key", "first")
-    firsts = opened.groupBy("content").agg(F.min(order).alias("origin"), F.max(order).alias("latest")).filter("origin <> latest")
-    later = opened.withColumn("place", order).join(firsts.select("content", "origin"), "content").filter(F.col("place") > F.col("origin"))
-    return later.groupBy("key").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
+
+    def repeated(rows: DataFrame) -> DataFrame:
+        firsts = rows.groupBy("content").agg(F.min(order).alias("origin"), F.max(order).alias("latest")).filter("origin <> latest")
+        return firsts.select("content", "origin")
+
+    def later(rows: DataFrame, firsts: DataFrame) -> DataFrame:
+        placed = rows.withColumn("place", order).join(firsts, "content").filter(F.col("place") > F.col("origin"))
+        return placed.select("key", "first", "last")
+
+    firsts = written(repeated(opened), "repeated-windows")
+    words, bits = bit_map(firsts.select(F.col("content").alias("token")))
+    shared = docs.sparkSession.sparkContext.broadcast(words)
+
+    def run_tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, data, offsets in blocks(batches):
+            text, number, lines, counts = lines_of(data, offsets)
+            first, last, window = tails_of(text, counts, min_words)
+            hit = in_map(contents_of(lines, first, window).view(np.int64), shared.value, bits)
+            first, last = first[hit], last[hit]
+            owner = pa.array(text[first], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(owner),
+                    batch.column(1).take(owner),
+                    pa.array(number[first], pa.int32()),
+                    pa.array(number[last], pa.int32()),
+                    pa.array(contents_of(lines, first, last).view(np.int64), pa.int64()),
+                ],
+                ["key", "doc_id", "first", "last", "content"],
+            )
+
+    tails = written(docs.select("key", "doc_id", "text").mapInArrow(run_tails, _TAIL), "line-tails")
+    found = later(opened, firsts).union(later(tails, repeated(tails)))
+    return found.groupBy("key").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
 
 
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text") -> DataFrame:
