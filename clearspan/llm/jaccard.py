@@ -333,12 +333,13 @@ def _between(num: int, den: int):
 
 
 def similar(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, text: str = "text") -> DataFrame:
-    """(key, doc_id, n, component_id): component of every row of ``docs`` under links of Jaccard num / den or more.
+    """(key, doc_id, n, component_id, root): component of every row of ``docs`` under links of Jaccard num / den or more.
 
     A row's set has its distinct shingles of ``n`` words; ``n`` in the result is its size. Sets without
     tokens (null, empty or white text) link with nothing: their component is their own id. Rows with
     one id are documents of their own; ``component_id`` is the least id in the component, null if it
-    has none. ``key`` stands for id and text. Hashes have 64 bits.
+    has none. Where rows share an id, components may share a ``component_id`` too; ``root`` (null
+    without tokens) tells them apart. ``key`` stands for id and text. Hashes have 64 bits.
     """
     need(docs, "doc_id", text)
     doc_id = F.col("doc_id").cast("bigint")
@@ -398,9 +399,9 @@ def similar(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, text: str
     least = nodes.groupBy("node").agg(F.min("doc_id").alias("least")).join(joined, "node", "left")
     least = written(least.select("node", F.coalesce("root", "node").alias("root"), "least"), "node-roots")
     best = least.groupBy("root").agg(F.min("least").alias("component_id"))
-    found = least.join(best, "root").select("node", "component_id")
-    with_words = nodes.select("key", "doc_id", "n", "node").join(found, "node").select("key", "doc_id", "n", "component_id")
-    without = sketches.filter("n = 0").select("key", "doc_id", "n", F.col("doc_id").alias("component_id"))
+    found = least.join(best, "root").select("node", "component_id", "root")
+    with_words = nodes.select("key", "doc_id", "n", "node").join(found, "node").select("key", "doc_id", "n", "component_id", "root")
+    without = sketches.filter("n = 0").select("key", "doc_id", "n", F.col("doc_id").alias("component_id"), F.lit(None).cast("bigint").alias("root"))
     return with_words.unionByName(without)
 
 
@@ -416,13 +417,13 @@ def _drop(column: str, run):
 def one_of_each(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, text: str = "text") -> DataFrame:
     """``docs`` with one document of each component of near-duplicates, the one of least id.
 
-    Rows without words stay. Of rows with that id, the one of the least key stays; rows that agree in
-    id and text stay once. In components without any id, every row stays, as none stands for the others.
+    Rows without words stay. Of a component's rows with that id, the one of the least key stays; rows that
+    agree in id and text stay once. In components without any id, every row stays, as none stands for the others.
     """
     rows = similar(docs, n, num, den, text)
     doc_id = F.col("doc_id").cast("bigint")
     best = rows.filter((F.col("n") > 0) & F.col("component_id").isNotNull() & F.col("doc_id").eqNullSafe(F.col("component_id")))
-    best = best.groupBy("component_id").agg(F.min("key").alias("_key")).select("_key", F.lit(True).alias("_once"))
+    best = best.groupBy("root").agg(F.min("key").alias("_key")).select("_key", F.lit(True).alias("_once"))
     others = rows.filter((F.col("n") == 0) | F.col("component_id").isNull()).select(F.col("key").alias("_key"), F.lit(False).alias("_once"))
     stay = written(best.union(others.distinct()), "stay")
     keyed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), F.xxhash64(doc_id.isNull(), doc_id, F.xxhash64(text)).alias("_key"))

@@ -4,7 +4,7 @@ import re
 
 import numpy as np
 
-from clearspan.llm import linedup
+from clearspan.llm import jaccard, linedup
 
 
 def kept_lines(data, min_words):
@@ -47,3 +47,11 @@ def test_repeated_runs_against_brute_force(spark):
     want = kept_lines(data, 12)
     assert want != dict(data)
     assert {r.doc_id: r.text for r in linedup.without_repeats(table, 12).collect()} == want
+
+
+def test_one_of_each_of_texts_that_share_an_id(spark):
+    """Every component keeps a row, also if its least id is another component's too."""
+    texts = [run_of(t, 40) for t in "abc"]
+    data = [(7, texts[0]), (7, texts[1]), (7, texts[2]), (7, texts[2]), (8, texts[0] + " x"), (9, texts[1]), (None, texts[2] + " y")]
+    table = spark.createDataFrame(data, "doc_id long, text string")
+    assert sorted(tuple(r) for r in jaccard.one_of_each(table).collect()) == [(7, t) for t in texts]
