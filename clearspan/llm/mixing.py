@@ -8,9 +8,12 @@ chooses (the longest context seen before, and whether the bit is a byte's first)
 is refined by an adaptive map from gate and logit to the frequency found there.
 
 Training runs once through every training text, in small batches: each batch is predicted
-from what the task has seen so far, then corrects the weights and is counted. Counts of all
-tasks are added up, weights are averaged by bits. Scoring then uses the whole corpus's counts
-and changes nothing, so that a text's score depends on the model and the text alone.
+from what the task has seen so far, then corrects the weights and is counted. Weights are
+averaged by bits. What followed each context in the whole corpus is counted apart, as rows of
+context, byte and number that grow with the input and are never collected: they are added up
+in shards of contexts, and a task that scores gets the rows of its own texts' contexts, in
+tables as large as these need. Scoring changes nothing, so that a text's score depends on the
+model and the text alone.
 
 A token's probability is the mean of what this spelling gives and of its share among the
 training tokens, 0 for unknown words; both add up to at most 1 over all tokens.
@@ -22,32 +25,31 @@ task's distinct words meet their counts by a shuffle.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from clearspan.llm.common import need, written
-from clearspan.llm.spans import blocks, hash_spans, lowered, words_of
+from clearspan.llm.spans import blocks, hash_spans, lowered, mix, words_of
 from clearspan.llm.toxicity import held_out
 
-#: Bits of a predictor's table.
+#: Bits of a predictor's table in a training task, which learns weights and the map there.
 TABLE_BITS = 20
-ORDERS = (2, 4)
+ORDERS = (1, 2, 3, 5)
+#: Bytes of text for each shard of the corpus's context counts.
+SHARD = 1 << 24
 PREDICTORS = len(ORDERS) + 1
 GATES = 2 * (PREDICTORS + 1)
 #: Cells of the adaptive map for each gate.
 CELLS = 48
 #: Bytes of text in a batch, and distinct places worked on at a time.
 BATCH, STEP = 1 << 20, 1 << 15
-_CHUNK = 1 << 14
-#: Partial tables added up in one call.
-_FAN_IN = 16
 _SPACE, _END = 32, 10
 _PRIME, _SPIN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _SMALL = np.uint32(0x9E3779B1)
@@ -152,21 +154,24 @@ def distinct(contexts: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.nda
     return order[first], which, np.diff(np.append(first, len(key)))
 
 
-def slots(contexts: np.ndarray, text: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For every bit of the bytes: its slot in each predictor's table (predictors x bits), the bit, whether it is a first one, and its byte."""
+def slots(contexts: np.ndarray, text: np.ndarray, code: Code, sizes: list[int] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For every bit of the bytes: its slot in each predictor's table (predictors x bits), the bit, whether it is a first one, and its byte.
+
+    ``sizes`` are the tables' sizes as powers of two.
+    """
     lengths = code.lengths[text]
     owner = np.repeat(np.arange(len(text)), lengths)
     depth = np.arange(len(owner)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     step = text[owner].astype(np.int64) * code.bits.shape[1] + depth
     node = code.nodes.ravel()[step]
-    out = np.empty((PREDICTORS, len(owner)), np.int64)
+    out = np.empty((len(contexts), len(owner)), np.int64)
     for k, context in enumerate(contexts):
         mixed = ((context ^ (context >> np.uint64(29))) * _SPIN >> np.uint64(32)).astype(np.uint32)[owner]
         mixed ^= node
         mixed *= _SMALL
         mixed ^= mixed >> np.uint32(15)
         mixed *= _SMALL
-        out[k] = mixed >> np.uint32(32 - TABLE_BITS)
+        out[k] = mixed >> np.uint32(32 - (sizes[k] if sizes else TABLE_BITS))
     return out, code.bits.ravel()[step], depth == 0, owner
 
 
@@ -253,47 +258,60 @@ class Learner:
         self.map_ones += np.bincount(cell, times * bit, GATES * CELLS)
         self.n_bits += int(times.sum())
 
-    def rows(self, part: int) -> Iterator[dict]:
-        """Tables in chunks, then weights and map (chunk -1)."""
-        flat = self.counts.ravel()
-        for chunk in range(len(flat) // _CHUNK):
-            own = flat[chunk * _CHUNK : (chunk + 1) * _CHUNK]
-            if own.any():
-                yield {"chunk": chunk, "part": part, "counts": own.astype("<f4").tobytes()}
-        rest = np.concatenate([[self.n_bits], (self.weights * self.n_bits).ravel(), self.map_all, self.map_ones])
-        yield {"chunk": -1, "part": part, "counts": rest.astype("<f8").tobytes()}
+    def rest(self) -> np.ndarray:
+        """Number of bits, weights times that number, and map."""
+        return np.concatenate([[self.n_bits], (self.weights * self.n_bits).ravel(), self.map_all, self.map_ones])
 
 
-_TABLE = pa.schema([("chunk", pa.int32()), ("part", pa.int32()), ("counts", pa.binary())])
-
+@dataclass
+class Fixed:
+    """What every scoring task has alike; its size does not depend on the corpus."""
 
-def _added(table: pa.Table) -> pa.Table:
-    """Sum of the partial tables of a chunk; single precision for table counts, double for the rest."""
-    chunk, part = table.column("chunk")[0].as_py(), table.column("up")[0].as_py()
-    kind = "<f8" if chunk < 0 else "<f4"
-    total = sum(np.frombuffer(x, kind).astype(np.float64) for x in table.column("counts").to_pylist())
-    return pa.Table.from_pylist([{"chunk": chunk, "part": part, "counts": total.astype(kind).tobytes()}], _TABLE)
+    code: Code
+    weights: np.ndarray
+    map_all: np.ndarray
+    map_ones: np.ndarray
 
 
 @dataclass
 class Model:
-    """What scoring needs; its size does not depend on the corpus."""
+    """What scoring needs: for each predictor a table of logits and one of whether anything was counted."""
 
     code: Code
-    inputs: np.ndarray
-    seen: np.ndarray
+    inputs: np.ndarray | list[np.ndarray]
+    seen: np.ndarray | list[np.ndarray]
     weights: np.ndarray
     map_all: np.ndarray
     map_ones: np.ndarray
 
+    @classmethod
+    def of(cls, fixed: Fixed, pairs: Iterable[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Model:
+        """The model of one task's texts; ``pairs`` has contexts, bytes that followed and their counts for each predictor."""
+        inputs, seen = [], []
+        for context, byte, n in pairs:
+            bits = max(10, int(2 * fixed.code.lengths[byte].sum()).bit_length())
+            both = np.zeros(2 << bits, np.float32)
+            for a in range(0, len(byte), STEP):
+                part = slice(a, a + STEP)
+                at, bit, _, owner = slots(context[None, part], byte[part], fixed.code, [bits])
+                np.add.at(both, 2 * at[0] + (bit > 0), n[part][owner])
+            logit, some = np.empty(1 << bits, np.float32), np.empty(1 << bits, bool)
+            for a in range(0, 1 << bits, 1 << 18):  # in parts, so that little else is held
+                zeros, ones = both[2 * a : 2 * (a + (1 << 18)) : 2], both[2 * a + 1 : 2 * (a + (1 << 18)) : 2]
+                logit[a : a + (1 << 18)], some[a : a + (1 << 18)] = logits(zeros, ones), zeros + ones > 0
+            inputs.append(logit)
+            seen.append(some)
+        return cls(fixed.code, inputs, seen, fixed.weights, fixed.map_all, fixed.map_ones)
+
     def token_scores(self, text: np.ndarray, text_at: np.ndarray, token_at: np.ndarray) -> np.ndarray:
         """log10 probability of each token given all before it."""
         contexts = contexts_of(text, text_at, token_at)
         place, which, _ = distinct(contexts, text)
+        sizes = [len(x).bit_length() - 1 for x in self.inputs]
         found = []
         for a in range(0, len(place), STEP):
             own = place[a : a + STEP]
-            at, bit, first, owner = slots(contexts[:, own], text[own], self.code)
+            at, bit, first, owner = slots(contexts[:, own], text[own], self.code, sizes)
             inputs = np.stack([self.inputs[k][at[k]] for k in range(PREDICTORS)])
             gate = gates(np.stack([self.seen[k][at[k]] for k in range(PREDICTORS)]), first)
             logit = mixed_logit(inputs, self.weights, gate)
@@ -304,8 +322,8 @@ class Model:
         return np.add.reduceat(each[which], token_at) if len(token_at) else np.zeros(0)
 
 
-def train(docs: DataFrame, code: Code) -> Model:
-    """The model of all texts of ``docs`` (text): a pass over them, and sums of tables in rounds of few."""
+def train(docs: DataFrame, code: Code) -> Fixed:
+    """Weights and map of all texts of ``docs`` (text), by a pass over them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learner = None
@@ -314,28 +332,99 @@ def train(docs: DataFrame, code: Code) -> Model:
             data = lowered(data)
             learner.learn(*plain_bytes(data, *words_of(data, offsets)))
         if learner:
-            for row in learner.rows(TaskContext.get().partitionId()):
-                yield pa.RecordBatch.from_pylist([row], _TABLE)
-
-    schema = "chunk int, part int, counts binary"
-    parts = written(docs.select("text").mapInArrow(run, schema), "mixing-tables")
-    most = parts.agg(F.max("part")).first()[0]
-    while most:
-        most //= _FAN_IN
-        up = parts.withColumn("up", F.floor(F.col("part") / _FAN_IN).cast("int"))
-        parts = written(up.groupBy("chunk", "up").applyInArrow(_added, schema), "mixing-tables")
-    flat = np.zeros(2 * PREDICTORS << TABLE_BITS, np.float32)
+            rest = learner.rest()
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(rest)), pa.int32()), pa.array(rest, pa.float64())], ["place", "value"])
+
     rest = np.zeros(1 + GATES * PREDICTORS + 2 * GATES * CELLS)
-    for chunk, _, counts in parts.toLocalIterator():
-        if chunk < 0:
-            rest = rest + np.frombuffer(counts, "<f8")
-        else:
-            flat[chunk * _CHUNK : (chunk + 1) * _CHUNK] += np.frombuffer(counts, "<f4")
+    learned = written(docs.select("text").mapInArrow(run, "place int, value double"), "mixing-weights")
+    for place, value in learned.groupBy("place").agg(F.sum("value")).collect():
+        rest[place] = value
     weights = rest[1 : 1 + GATES * PREDICTORS].reshape(GATES, PREDICTORS) / max(1.0, rest[0]) if rest[0] else np.full((GATES, PREDICTORS), 0.3)
     maps = rest[1 + GATES * PREDICTORS :].reshape(2, -1)
-    pairs = flat.reshape(PREDICTORS, -1, 2)
-    zeros, ones = pairs[..., 0], pairs[..., 1]
-    return Model(code, logits(zeros, ones), zeros + ones > 0, weights, *maps.astype(np.float32))
+    return Fixed(code, weights, *maps.astype(np.float32))
+
+
+_PAIR = np.dtype([("context", "<u8"), ("byte", "u1"), ("n", "<f4")])
+_PAIRS = "bucket bigint, shard bigint, predictor int, pairs binary"
+
+
+def _added(context: np.ndarray, byte: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Pairs of context and byte in order, each once, with their numbers added up."""
+    order = np.lexsort((byte, context))
+    context, byte, n = context[order], byte[order], n[order]
+    new = np.ones(len(context), bool)
+    new[1:] = (context[1:] != context[:-1]) | (byte[1:] != byte[:-1])
+    first = np.flatnonzero(new)
+    out = np.empty(len(first), _PAIR)
+    out["context"], out["byte"] = context[first], byte[first]
+    out["n"] = np.add.reduceat(n.astype(np.float64), first) if len(first) else 0
+    return out
+
+
+def _context_counts(rows: DataFrame, n_bytes: int) -> DataFrame:
+    """(bucket, predictor, pairs): how often which byte followed each context of a bucket in the training texts of all.
+
+    ``rows`` has (bucket, held_out, text). A task adds up before it sends anything; shards of contexts
+    add up what the tasks sent and give every bucket the whole counts of the contexts that it has.
+    """
+    shards = np.uint64(max(1, -(-n_bytes // SHARD)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, list] = {}
+        size = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for (bucket, k), parts in held.items():
+                whole = np.concatenate(parts)
+                whole = _added(whole["context"], whole["byte"], whole["n"])
+                shard = (mix(whole["context"]) >> np.uint64(16)) % shards
+                order = np.argsort(shard, kind="stable")
+                names, first = np.unique(shard[order], return_index=True)
+                cuts = np.append(first, len(order))
+                sent = [whole[order[a:b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                columns = [np.full(len(names), bucket), names.astype(np.int64), np.full(len(names), k, np.int32), sent]
+                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["bucket", "shard", "predictor", "pairs"])
+
+        for batch, data, offsets in blocks(batches, size=BATCH):
+            data = lowered(data)
+            text, text_at, token_at = plain_bytes(data, *words_of(data, offsets))
+            contexts = contexts_of(text, text_at, token_at)
+            length = np.diff(np.append(text_at, len(text)))
+            trains = np.repeat(~np.array(batch.column(1).to_pylist(), bool), length)
+            buckets = batch.column(0).to_numpy(zero_copy_only=False)
+            for bucket in np.unique(buckets).tolist():
+                own = np.flatnonzero(np.repeat(buckets == bucket, length))
+                place, which, _ = distinct(contexts[:, own], text[own])
+                n, place = np.bincount(which, trains[own], len(place)), own[place]
+                for k in range(PREDICTORS):
+                    part = _added(contexts[k][place], text[place], n)
+                    held.setdefault((bucket, k), []).append(part)
+                    size += len(part)
+            if size > 6_000_000:
+                yield from flush()
+                held, size = {}, 0
+        yield from flush()
+
+    def add(key: tuple, table: pa.Table) -> pa.Table:
+        buckets = table.column("bucket").to_numpy()
+        parts = [np.frombuffer(x, _PAIR) for x in table.column("pairs").to_pylist()]
+        whole = np.concatenate(parts)
+        whole = _added(whole["context"], whole["byte"], whole["n"])
+        whole = whole[whole["n"] > 0]
+        out_bucket, out = [], []
+        for bucket in np.unique(buckets).tolist():
+            own = np.unique(np.concatenate([parts[k]["context"] for k in np.flatnonzero(buckets == bucket)]))
+            low = np.searchsorted(whole["context"], own)
+            n = np.searchsorted(whole["context"], own, "right") - low
+            at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            out_bucket.append(bucket)
+            out.append(whole[at].tobytes())
+        predictor = pa.array([key[1].as_py()] * len(out), pa.int32())
+        return pa.table({"bucket": pa.array(out_bucket, pa.int64()), "predictor": predictor, "pairs": pa.array(out, pa.binary())})
+
+    sent = rows.select("bucket", "held_out", "text").mapInArrow(run, _PAIRS)
+    return sent.groupBy("shard", "predictor").applyInArrow(add, "bucket bigint, predictor int, pairs binary")
 
 
 def _word_counts(rows: DataFrame) -> tuple[DataFrame, np.ndarray, int, int]:
@@ -419,10 +508,24 @@ def scored(docs: DataFrame, folds: int = 10, bucket: Column | None = None, text:
     ends = rows.filter("NOT held_out").count()
     tokens, n_words = tokens + ends, n_words + (ends > 0)
     history[[_SPACE, _END]] = max(0, tokens - 2 * ends), ends
-    model = spark.sparkContext.broadcast(train(rows.filter("NOT held_out"), Code.of(history)))
+    fixed = spark.sparkContext.broadcast(train(rows.filter("NOT held_out"), Code.of(history)))
+    pairs = _context_counts(rows, int(history.sum()))
+    known = counts.select("bucket", "word", "c", F.lit(None).cast("int").alias("predictor"), F.lit(None).cast("binary").alias("pairs"))
+    known = known.union(pairs.select("bucket", F.lit(None).cast("bigint"), F.lit(None).cast("bigint"), "predictor", "pairs"))
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         out: dict[str, list] = {c: [] for c in ("doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "n_bytes")}
+        followed = right.filter(pc.is_valid(right.column("predictor")))
+        of_predictor = followed.column("predictor").to_numpy()
+
+        def tables() -> Iterator[tuple]:
+            for k in range(PREDICTORS):
+                parts = followed.column("pairs").take(pa.array(np.flatnonzero(of_predictor == k))).to_pylist()
+                own = np.frombuffer(b"".join(parts), _PAIR)
+                yield own["context"], own["byte"], own["n"]
+
+        model = Model.of(fixed.value, tables())
+        right = right.filter(pc.is_null(right.column("predictor")))
         order = np.argsort(right.column("word").to_numpy().view(np.uint64))
         known = right.column("word").to_numpy().view(np.uint64)[order]
         c_of = right.column("c").to_numpy()[order]
@@ -434,7 +537,7 @@ def scored(docs: DataFrame, folds: int = 10, bucket: Column | None = None, text:
             owner, n = np.repeat(np.arange(len(offsets) - 1), np.diff(before)), len(offsets) - 1
             base = np.bincount(owner, np.log10(c + 0.1) + whole, n) + np.log10(ends + 0.1) + whole
             plain, text_at, token_at = plain_bytes(data, starts, ends_, before)
-            spelled = model.value.token_scores(plain, text_at, token_at)
+            spelled = model.token_scores(plain, text_at, token_at)
             token_text = np.repeat(np.arange(n), np.diff(before) + 1)
             count = np.full(len(token_at), ends, np.float64)
             count[np.arange(len(starts)) + owner] = c
@@ -460,7 +563,7 @@ def scored(docs: DataFrame, folds: int = 10, bucket: Column | None = None, text:
         )
 
     schema = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, n_bytes bigint"
-    return rows.groupBy("bucket").cogroup(counts.groupBy("bucket")).applyInArrow(run, schema)
+    return rows.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(run, schema)
 
 
 def split_of(pieces: int = 1) -> Column:

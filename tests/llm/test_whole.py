@@ -1,10 +1,12 @@
 """Results that must be whole: repeated runs of lines to their ends, rows that share an id, and others."""
 
 import re
+from collections import Counter
 
 import numpy as np
 
-from clearspan.llm import jaccard, linedup
+from clearspan.llm import jaccard, linedup, mixing
+from clearspan.llm.spans import words_of
 
 
 def kept_lines(data, min_words):
@@ -55,3 +57,24 @@ def test_one_of_each_of_texts_that_share_an_id(spark):
     data = [(7, texts[0]), (7, texts[1]), (7, texts[2]), (7, texts[2]), (8, texts[0] + " x"), (9, texts[1]), (None, texts[2] + " y")]
     table = spark.createDataFrame(data, "doc_id long, text string")
     assert sorted(tuple(r) for r in jaccard.one_of_each(table).collect()) == [(7, t) for t in texts]
+
+
+def test_context_counts_grow_with_the_corpus(spark, monkeypatch):
+    """Every context of a bucket has its whole corpus's counts, in any number of shards; held-out texts count nothing."""
+    monkeypatch.setattr(mixing, "SHARD", 100)
+    data = [(k % 3, k % 5 == 0, run_of(f"w{k % 4}", 6)) for k in range(20)]
+    table = spark.createDataFrame(data, "bucket long, held_out boolean, text string").repartition(4)
+    want, asked = Counter(), {}
+    for bucket, held, text in data:
+        raw = np.frombuffer((text + " \n").encode(), np.uint8)
+        starts, ends, before = words_of(raw[:-2], np.array([0, len(raw) - 2]))
+        plain, text_at, token_at = mixing.plain_bytes(raw[:-2], starts, ends, before)
+        for k, contexts in enumerate(mixing.contexts_of(plain, text_at, token_at).tolist()):
+            for context, byte in zip(contexts, plain.tolist(), strict=True):
+                want[k, context, byte] += not held
+                asked.setdefault((bucket, k), set()).add(context)
+    got = Counter()
+    for r in mixing._context_counts(table, 1000).collect():
+        for context, byte, n in np.frombuffer(r.pairs, mixing._PAIR).tolist():
+            got[r.bucket, r.predictor, context, byte] += n
+    assert got == Counter({(b, k, c, byte): n for (k, c, byte), n in want.items() for b in range(3) if n and c in asked[b, k]})
