@@ -7,8 +7,8 @@ probability from the bits counted there. Their logits are added with weights tha
 chooses (the longest context seen before, and whether the bit is a byte's first), and the sum
 is refined by an adaptive map from gate and logit to the frequency found there.
 
-Training runs once through every training text, in small batches: each batch is predicted
-from what the task has seen so far, then corrects the weights and is counted. Weights are
+Training runs once through every training text, in small steps: each step is predicted from
+what the task has seen so far, then corrects the weights and is counted. Weights are
 averaged by bits. What followed each context in the whole corpus is counted apart, as rows of
 context, byte and number that grow with the input and are never collected: they are added up
 in shards of contexts, and a task that scores gets the rows of its own texts' contexts, in
@@ -50,6 +50,8 @@ GATES = 2 * (PREDICTORS + 1)
 CELLS = 48
 #: Bytes of text in a batch, and distinct places worked on at a time.
 BATCH, STEP = 1 << 20, 1 << 15
+#: Steps in which a batch is learned at least, so that small tables are predicted from counts too.
+LEAST_STEPS = 16
 _SPACE, _END = 32, 10
 _PRIME, _SPIN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _SMALL = np.uint32(0x9E3779B1)
@@ -221,18 +223,16 @@ class Learner:
         self.n_bits = 0
 
     def learn(self, text: np.ndarray, text_at: np.ndarray, token_at: np.ndarray) -> None:
-        """Predict a batch from what was seen, correct weights and map in small steps, then count it."""
+        """In small steps of a batch: predict from what was seen, correct weights and map, then count."""
         contexts = contexts_of(text, text_at, token_at)
         place, _, count = distinct(contexts, text)
         order = np.random.default_rng(self.n_bits).permutation(len(place))
-        counted = []
-        for a in range(0, len(order), STEP):
-            own = order[a : a + STEP]
+        step = min(STEP, max(1, -(-len(order) // LEAST_STEPS)))
+        for a in range(0, len(order), step):
+            own = order[a : a + step]
             at, bit, first, owner = slots(contexts[:, place[own]], text[place[own]], self.code)
             times = count[own][owner].astype(np.float32)
             self._correct(at, bit, first, times)
-            counted.append((at, bit, times))
-        for at, bit, times in counted:
             for k in range(PREDICTORS):
                 np.add.at(self.counts[k], 2 * at[k] + (bit > 0), times)
 

@@ -78,3 +78,12 @@ def test_context_counts_grow_with_the_corpus(spark, monkeypatch):
         for context, byte, n in np.frombuffer(r.pairs, mixing._PAIR).tolist():
             got[r.bucket, r.predictor, context, byte] += n
     assert got == Counter({(b, k, c, byte): n for (k, c, byte), n in want.items() for b in range(3) if n and c in asked[b, k]})
+
+
+def test_weights_move_in_a_small_partition():
+    """A task's only batch is predicted from counts too, not from empty tables."""
+    text = np.frombuffer((" ".join(run_of(f"w{k % 7}", 9) for k in range(30)) + " \n").encode(), np.uint8)
+    learner = mixing.Learner(mixing.Code.of(np.bincount(text, minlength=256)))
+    learner.learn(text, np.array([0]), np.array([0]))
+    assert (learner.weights[2:] != 0.3).any() and learner.map_all.reshape(mixing.GATES, -1)[2:].sum() > 0
+    assert (learner.counts.sum(axis=1) == learner.n_bits).all()
