@@ -27,10 +27,10 @@ _READ = 256
 
 
 def integer_vectors(rows: DataFrame, scale: int = 256, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """(vec_id, vector): components as floor(scale * x), x as double.
+    """(vec_id, vector, row): components as floor(scale * x), x as double.
 
     Rows without id or vector, or with a null or non-finite component, are left out. Rows that
-    share an id count as one, the smallest vector by component. An empty vector has no components
+    share an id are vectors of their own; ``row`` (64 bits, from the content) tells them apart. An empty vector has no components
     and scores 0 against others like it.
     """
     need(rows, id_col, vector)
@@ -41,7 +41,9 @@ def integer_vectors(rows: DataFrame, scale: int = 256, id_col: str = "vec_id", v
     doubles = F.transform(vector, lambda x: x.cast("double"))
     ints = F.transform(doubles, lambda x: F.floor(float(scale) * x).cast("bigint"))
     kept = rows.filter(F.col(id_col).isNotNull() & F.col(vector).isNotNull() & F.forall(doubles, good))
-    return kept.groupBy(F.col(id_col).cast("bigint").alias("vec_id")).agg(F.min(ints).alias("vector"))
+    equal = kept.groupBy(F.col(id_col).cast("bigint").alias("vec_id"), ints.alias("vector")).agg(F.count(F.lit(1)).alias("n"))
+    copies = equal.select("vec_id", "vector", F.explode(F.sequence(F.lit(1).cast("bigint"), "n")).alias("copy"))
+    return copies.select("vec_id", "vector", F.xxhash64("vec_id", "vector", "copy").alias("row"))
 
 
 class Approximation:
@@ -61,20 +63,20 @@ class Approximation:
         return upper, np.abs(q) @ (self.width - 1)
 
 
-def _search(exact: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int) -> tuple[list, list, list]:
-    """The k best of a block for each query; ties go to the smaller id, a query's own id is left out."""
+def _search(exact: np.ndarray, ids: np.ndarray, rows: np.ndarray, queries: np.ndarray, query_rows: np.ndarray, k: int) -> tuple[list, list, list]:
+    """The k best of a block for each query (by its row); ties go to the smaller id, a query's own row is left out."""
     out_q: list = []
     out_v: list = []
     out_s: list = []
     if float(np.abs(exact).max(initial=0)) * float(np.abs(queries).max(initial=0)) * max(1, exact.shape[1]) >= 2**52:
-        return _plain(exact, ids, queries, query_ids, k)
+        return _plain(exact, ids, rows, queries, query_rows, k)
     cells = Approximation(exact)
     values = exact.astype(np.float64)
     for a in range(0, len(queries), 128):
         part = queries[a : a + 128].astype(np.float64)
         upper, _ = cells.bounds(queries[a : a + 128])
-        for q, bound, own in zip(part, upper, query_ids[a : a + 128].tolist(), strict=True):
-            bound[ids == own] = -np.inf
+        for q, bound, own in zip(part, upper, query_rows[a : a + 128].tolist(), strict=True):
+            bound[rows == own] = -np.inf
             seen, scores = np.zeros(0, np.int64), np.zeros(0)
             while True:
                 certain = scores.min() if len(scores) == k else -np.inf
@@ -95,15 +97,15 @@ def _search(exact: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids:
     return out_q, out_v, out_s
 
 
-def _plain(exact: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int) -> tuple[list, list, list]:
+def _plain(exact: np.ndarray, ids: np.ndarray, rows: np.ndarray, queries: np.ndarray, query_rows: np.ndarray, k: int) -> tuple[list, list, list]:
     """The same by whole numbers of any length, for components too large for floating point."""
     out_q: list = []
     out_v: list = []
     out_s: list = []
-    rows = exact.astype(object)
-    for q, own in zip(queries.astype(object), query_ids.tolist(), strict=True):
-        scores = (rows * q).sum(axis=1) if rows.shape[1] else np.zeros(len(rows), object)
-        best = sorted((-s, i) for s, i in zip(scores.tolist(), ids.tolist(), strict=True) if i != own)[:k]
+    whole = exact.astype(object)
+    for q, own in zip(queries.astype(object), query_rows.tolist(), strict=True):
+        scores = (whole * q).sum(axis=1) if whole.shape[1] else np.zeros(len(whole), object)
+        best = sorted((-s, i) for s, i, r in zip(scores.tolist(), ids.tolist(), rows.tolist(), strict=True) if r != own)[:k]
         out_q += [own] * len(best)
         out_v += [i for _, i in best]
         out_s += [max(-(1 << 63), min((1 << 63) - 1, -s)) for s, _ in best]
@@ -118,18 +120,19 @@ def _matrix(table: pa.Table, dim: int) -> np.ndarray:
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` largest integer inner products of each query, all if fewer.
 
-    Both tables have (vec_id, vector), with unique ids. Vectors of another length than the query's are
+    Both tables have (vec_id, vector, row), with unique rows; rows that share an id are queries and
+    candidates of their own, and only a query's own row is left out. Vectors of another length than the query's are
     no candidates. Ties go to the smaller id. Every block of queries meets every block of candidates
     once; each pair of blocks gives at most k rows for a query. No rows on either side give no rows.
     """
     n, n_queries = vectors.count(), queries.count()
     blocks, query_blocks = max(1, math.ceil(n / block)), max(1, math.ceil(n_queries / block))
     dealt = vectors.select(
-        "vec_id", "vector", F.size("vector").alias("dim"), F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("cb"),
+        "vec_id", "vector", "row", F.size("vector").alias("dim"), F.pmod("row", F.lit(blocks)).alias("cb"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(query_blocks - 1).cast("bigint"))).alias("qb"),
     )
     asked = queries.select(
-        "vec_id", "vector", F.size("vector").alias("dim"), F.pmod(F.xxhash64(F.lit(7), "vec_id"), F.lit(query_blocks)).alias("qb"),
+        "vec_id", "vector", "row", F.size("vector").alias("dim"), F.pmod(F.xxhash64(F.lit(7), "row"), F.lit(query_blocks)).alias("qb"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("cb"),
     )
 
@@ -137,13 +140,15 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = BLOCK
         found: tuple[list, list, list] = ([], [], [])
         if left.num_rows and right.num_rows:
             dim = key[2].as_py()
-            ids = left.column("vec_id").to_numpy()
-            found = _search(_matrix(left, dim), ids, _matrix(right, dim), right.column("vec_id").to_numpy(), k)
-        return pa.table({c: pa.array(v, pa.int64()) for c, v in zip(("query_id", "vec_id", "score"), found, strict=True)})
+            ids, query_rows = left.column("vec_id").to_numpy(), right.column("row").to_numpy()
+            found = _search(_matrix(left, dim), ids, left.column("row").to_numpy(), _matrix(right, dim), query_rows, k)
+        names = dict(zip(right.column("row").to_pylist(), right.column("vec_id").to_pylist(), strict=True))
+        columns = ([names[r] for r in found[0]], *found)
+        return pa.table({c: pa.array(v, pa.int64()) for c, v in zip(("query_id", "query_row", "vec_id", "score"), columns, strict=True)})
 
     keys = ["qb", "cb", "dim"]
-    near = dealt.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(run, "query_id bigint, vec_id bigint, score bigint")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    near = dealt.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(run, "query_id bigint, query_row bigint, vec_id bigint, score bigint")
+    rank = F.row_number().over(Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), "vec_id"))
     return near.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

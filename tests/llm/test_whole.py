@@ -5,7 +5,7 @@ from collections import Counter
 
 import numpy as np
 
-from clearspan.llm import jaccard, linedup, mixing
+from clearspan.llm import jaccard, linedup, mixing, vectors
 from clearspan.llm.spans import words_of
 
 
@@ -87,3 +87,12 @@ def test_weights_move_in_a_small_partition():
     learner.learn(text, np.array([0]), np.array([0]))
     assert (learner.weights[2:] != 0.3).any() and learner.map_all.reshape(mixing.GATES, -1)[2:].sum() > 0
     assert (learner.counts.sum(axis=1) == learner.n_bits).all()
+
+
+def test_rows_that_share_an_id_are_candidates(spark):
+    """Only a query's own row is no candidate, not the others with its id."""
+    data = [(0, [1.0]), (0, [4.0]), (1, [3.0]), (1, [2.0]), (1, [2.0])]
+    v = vectors.integer_vectors(spark.createDataFrame(data, "vec_id long, embedding array<double>"), 1)
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in vectors.top_k(v, v.filter("vec_id = 0"), 9, block=2).collect())
+    first, second = [(0, 4), (1, 3), (1, 2), (1, 2)], [(1, 12), (1, 8), (1, 8), (0, 4)]
+    assert got == sorted((0, k + 1, *x) for own in (first, second) for k, x in enumerate(own))
