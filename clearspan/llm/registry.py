@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clearspan.llm import credentials, curriculum, extraction, jaccard, keyed, linedup, mixing, packing, quality, toxicity, trie, vectors
+from clearspan.llm import credentials, curriculum, extraction, jaccard, keyed, lexical, linedup, mixing, packing, quality, toxicity, trie, vectors
 
 QUERIES = {
     "op1_line_dedup": linedup.op1_line_dedup,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_keyed_token_files": keyed.op9_keyed_token_files,
     "op10_main_text": extraction.op10_main_text,
     "op11_secret_spans": credentials.op11_secret_spans,
+    "op12_lexical_search": lexical.op12_lexical_search,
     "op13_prefix_trie": trie.op13_prefix_trie,
 }
 
@@ -24,5 +25,6 @@ ORACLE = {
     "op5_quality_rules": quality.OP5_SQL,
     "op6_jaccard_join": jaccard.OP6_SQL,
     "op7_exact_top_k": vectors.OP7_SQL,
+    "op12_lexical_search": lexical.OP12_SQL,
     "op13_prefix_trie": trie.OP13_SQL,
 }
