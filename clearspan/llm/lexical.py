@@ -6,7 +6,8 @@ follow from that table. Scores are products of two dense tiles in float64: weigh
 items by vocabulary terms, times impacts of these terms in a block of documents. Weights and impacts
 are whole numbers, and a tile has so few terms that no partial sum reaches 2^53, so every
 product is exact; tiles of one item are added up as 64-bit integers. The best of a tile are those
-that reach its k-th score, ties by document id, so no tile loses a row that the whole ranking needs.
+that reach its k-th score, ties by document id, so no tile loses a row that the whole ranking needs; a task passes
+over those below the k-th score of its tiles before, and lets equal ones through.
 
 Items go to the tasks in parts of bounded size (``PART_ENTRIES`` pairs of item and term), one part after another, however
 many items there are; a task makes one dense tile at a time.
@@ -28,6 +29,8 @@ from clearspan.llm.spans import blocks, hash_spans, lowered, words_of
 
 #: Pairs of item and term, and so also terms, of one part of the items; 24 bytes each are broadcast.
 PART_ENTRIES = 1 << 20
+#: Items of one part; a task holds the k best scores of each.
+PART_ITEMS = 1 << 14
 #: Items and documents of a tile; terms of a tile, if 2^53 allows as many.
 ITEMS, DOCS, TERMS = 256, 512, 2048
 #: A sum of products below this is exact in float64.
@@ -144,14 +147,13 @@ class Tiles:
                 yield first, total
 
 
-def _best(scores: np.ndarray, order: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column of each row's ``k`` highest scores above 0, ties to the smaller ``order``."""
+def _best(scores: np.ndarray, order: np.ndarray, k: int, least: np.ndarray | int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of each row's ``k`` highest scores from ``least`` (above 0) on, ties to the smaller ``order``."""
     n = scores.shape[1]
+    least = np.broadcast_to(np.maximum(least, 1), len(scores))
     if n > k:
-        least = np.partition(scores, n - k, axis=1)[:, n - k]
-        row, column = np.nonzero(scores >= np.maximum(least, 1)[:, None])
-    else:
-        row, column = np.nonzero(scores > 0)
+        least = np.maximum(least, np.partition(scores, n - k, axis=1)[:, n - k])
+    row, column = np.nonzero(scores >= least[:, None])
     by = np.lexsort((order[column], -scores[row, column], row))
     row, column = row[by], column[by]
     place = np.arange(len(row)) - np.searchsorted(row, row)
@@ -175,7 +177,8 @@ def search(docs: DataFrame, items: DataFrame, k: int = 50, doc: str = "doc_id",
     wanted = written(item_terms(items, item, text), "search-items")
     kind = wanted.schema["item"].dataType.simpleString()
     doc_kind = docs.schema[doc].dataType.simpleString()
-    parts = max(1, -(-wanted.count() // part))
+    n_pairs, n_items = wanted.agg(F.count(F.lit(1)), F.approx_count_distinct(F.struct("item"))).first()
+    parts = max(1, -(-n_pairs // part), -(-n_items // PART_ITEMS))
     found = None
     for p in range(parts):
         # whole items go to one part; an item alone has at most as many terms as its text
@@ -207,6 +210,7 @@ def _scored(hits: DataFrame, shared, names: pa.Array, n_docs: int, all_terms: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tiles = Tiles(*shared.value)
+        held = np.zeros((len(names), k), np.int64)  # the task's k highest scores of each item, ascending
         for batch in batches:
             # a document's place among equal ids: any order does, it only tells rows apart
             for a in range(0, batch.num_rows, size):
@@ -220,8 +224,13 @@ def _scored(hits: DataFrame, shared, names: pa.Array, n_docs: int, all_terms: in
                 order = np.empty(tile.num_rows, np.int64)
                 order[pc.array_sort_indices(tile.column(0), order="ascending").to_numpy()] = np.arange(tile.num_rows)
                 for first, scores in tiles.scores(row, term, impact, tile.num_rows):
-                    down, across = _best(scores, order, k)
+                    mine = held[first : first + len(scores)]
+                    down, across = _best(scores, order, k, mine[:, 0])
                     if len(down):
+                        place = np.arange(len(down)) - np.searchsorted(down, down)
+                        found = np.zeros((len(scores), k), np.int64)
+                        found[down, place] = scores[down, across]
+                        mine[:] = np.sort(np.concatenate([mine, found], axis=1), axis=1)[:, k:]
                         yield pa.RecordBatch.from_arrays(
                             [names.take(pa.array(down + first)), tile.column(0).take(pa.array(across)), pa.array(scores[down, across]), tile.column(4).take(pa.array(across))],
                             names=["item", "doc", "score", _KEY],
