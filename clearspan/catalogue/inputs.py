@@ -13,6 +13,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clearspan.session import checkpointed
 from clearspan.sources.rates import currency_pairs
 
 TABLES = [
@@ -32,6 +33,9 @@ TABLES = [
     "conversations",
 ]
 
+#: Fact tables with heavy work on their rows, and the column they are spread by.
+FACTS = {"orders": "o_orderkey", "lineitem": "l_orderkey"}
+
 CURRENCIES = """
 SELECT * FROM (VALUES (840, 'USD', 2), (978, 'EUR', 2), (826, 'GBP', 2), (392, 'JPY', 0), (36, 'AUD', 2))
   AS t(currency_numeric_code, currency_alphabetic_code, currency_decimal_separator)
@@ -414,13 +418,27 @@ class Source:
         self._known: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        """A driver table as it is stored."""
+        """A driver table; facts whose rows lie in fewer splits than there are cores are spread over these."""
         if name in self._known:
             return self._known[name]
         frame = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name in FACTS:
+            frame = self._spread(frame, FACTS[name])
         self._known[name] = frame
         return frame
 
+    def _spread(self, frame: DataFrame, key: str) -> DataFrame:
+        """The same rows by a hash of ``key``, if they lie in fewer splits than there are cores.
+
+        A split without the start of a row group has no rows, so few splits are counted by what they hold (from
+        the files' footers); a table of many splits is taken as it is.
+        """
+        cores = self.spark.sparkContext.defaultParallelism
+        splits = frame.rdd.getNumPartitions()
+        if splits < 4 * cores:
+            splits = frame.select(F.spark_partition_id().alias("split")).distinct().count()
+        return frame if splits >= cores else frame.repartition(cores, key)
+
     def sql(self, text: str) -> DataFrame:
         """Query over driver tables and inputs."""
         used: dict[str, DataFrame] = {}
@@ -449,7 +467,8 @@ class Source:
         codes = F.array(*[F.lit(c) for c in ("840", "978", "826", "392", "36")])
         a, b = F.array_position(order, F.col("currency_from")), F.array_position(order, F.col("currency_to"))
         value = (3 * a + 2 * b + F.day("app_processing_date") % 5) / F.lit(10.0)
-        return pairs.select(
+        # rates are a stored table: written once, read by every lookup
+        return checkpointed(pairs.select(
             F.col("app_processing_date").alias("date"),
             "app_processing_date",
             F.explode(F.array(F.lit("VISA"), F.lit("MasterCard"))).alias("brand"),
@@ -458,4 +477,4 @@ class Source:
             F.element_at(codes, a.cast("int")).alias("currency_from_code"),
             F.element_at(codes, b.cast("int")).alias("currency_to_code"),
             value.alias("exchange_value"),
-        )
+        ))

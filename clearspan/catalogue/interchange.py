@@ -10,15 +10,15 @@ from clearspan.catalogue.inputs import Source, oracle
 from clearspan.catalogue.oracles import ORACLE_INPUTS
 from clearspan.operators.fees import clamped_fee
 from clearspan.operators.fx import attach_rate, brand_rates, convert_to_each
-from clearspan.operators.rules import RuleBook, assign_first_rule
+from clearspan.operators.rules import RULES_PER_PASS, RuleBook, assign_first_rule
 from clearspan.plans.interchange import bitmap_interchange, online_interchange, text_interchange
 from clearspan.sources.rates import currency_pairs, new_rates
 
 FEES = ["rule_id", "region_country_code", "fee_currency"]
 
 
-def interchange_text(s: Source, form: str = "auto") -> DataFrame:
-    return text_interchange(calculated_text(s), s.rules_text, s.countries, s.currencies, s.rates, form=form)
+def interchange_text(s: Source, per_pass: int = RULES_PER_PASS) -> DataFrame:
+    return text_interchange(calculated_text(s), s.rules_text, s.countries, s.currencies, s.rates, per_pass=per_pass)
 
 
 def interchange_online(s: Source) -> DataFrame:
@@ -26,9 +26,7 @@ def interchange_online(s: Source) -> DataFrame:
 
 
 def interchange_bitmap(s: Source) -> DataFrame:
-    return bitmap_interchange(
-        calculated_bitmap(s), s.rules_bitmap, s.currencies, s.rates, key=("app_id", "app_hash_file", "pan")
-    )
+    return bitmap_interchange(calculated_bitmap(s), s.rules_bitmap, s.currencies, s.rates)
 
 
 def interchange_fee(spark: SparkSession, sf: str) -> DataFrame:
@@ -38,7 +36,8 @@ def interchange_fee(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def interchange_fee_joined(spark: SparkSession, sf: str) -> DataFrame:
-    return interchange_text(Source(spark, sf), "joined").select(
+    """The same with scopes of more rules than one pass holds."""
+    return interchange_text(Source(spark, sf), 4).select(
         "app_id", "app_hash_file", "jurisdiction", "jurisdiction_assigned", *FEES, money("calculated_value")
     )
 
@@ -65,7 +64,7 @@ def _one_rule(spark: SparkSession, sf: str, kind: str, rules: list[tuple[str, st
     )
     book = RuleBook(scope={"scope_key": "scope"}, kinds={"attr": kind})
     key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    return assign_first_rule(rows, table, book, key, ["rule_id"]).select(*key, "rule_id")
+    return assign_first_rule(rows, table, book, ["rule_id"]).select(*key, "rule_id")
 
 
 def rule_first_match_eq(spark: SparkSession, sf: str) -> DataFrame:
@@ -117,7 +116,7 @@ def rule_first_match_amount(spark: SparkSession, sf: str) -> DataFrame:
         "scope string, rule_id string, amount string, ccy string",
     )
     book = RuleBook(scope={"scope_key": "scope"}, kinds={"amount": "amount"}, amount_currency="ccy")
-    return assign_first_rule(rows, table, book, ["app_id", "app_hash_file"], ["rule_id"]).select(
+    return assign_first_rule(rows, table, book, ["rule_id"]).select(
         "app_id", "app_hash_file", "rule_id"
     )
 

@@ -1,4 +1,4 @@
-"""Exchange rates: lookup joins, one pivoted join for many currencies."""
+"""Exchange rates: one lookup of a day and currency gives the rates into all others."""
 
 from __future__ import annotations
 
@@ -7,12 +7,72 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clearspan.operators.skew import bounded_rows, lookup_join
+from clearspan.session import checkpointed
+
+#: Bytes of a table of rate maps that may be broadcast; a larger one is joined, hot keys apart.
+MAP_BYTES = 256 << 20
+#: Currencies of a rate table.
+MAX_CURRENCIES = 1000
+#: About the bytes of one rate in a map.
+_RATE_BYTES = 40
+
 
 def brand_rates(rates: DataFrame, brand: str) -> DataFrame:
     """Rates of one brand; the name is compared without case."""
     return rates.filter(F.lower("brand") == brand.lower())
 
 
+def currencies_in(df: DataFrame, column: str) -> list[str]:
+    """The currencies a small table names."""
+    found = df.select(F.col(column).cast("string")).where(F.col(column).isNotNull()).distinct()
+    return sorted(r[0] for r in bounded_rows(found, MAX_CURRENCIES, "currencies"))
+
+
+class RateMaps:
+    """A row for each day and source currency that maps target currencies to rates.
+
+    Any number of conversions of a row, into currencies known before or only after a rule was found, cost one
+    lookup. Of rates stored twice the largest counts, so that reruns agree. The maps are written once; their
+    bytes, not only their rows, decide whether they are broadcast. Larger ones keep the facts' hot days and currencies
+    out of single tasks.
+    """
+
+    def __init__(
+        self,
+        rates: DataFrame,
+        targets: Sequence[str] | None = None,
+        from_field: str | Column = "currency_from",
+        to_field: str = "currency_to",
+        day: str = "app_processing_date",
+        limit: int = MAP_BYTES,
+    ):
+        """``rates`` holds one brand; ``targets`` are the currencies wanted, all if not given."""
+        source = F.col(from_field) if isinstance(from_field, str) else from_field
+        side = rates.select(F.col(day).alias("_fx_date"), source.alias("_fx_from"), F.col(to_field).alias("to"), F.col("exchange_value").alias("rate"))
+        if targets is not None:
+            side = side.filter(F.col("to").isin(*targets)) if targets else side.limit(0)
+        once = side.filter("to IS NOT NULL").groupBy("_fx_date", "_fx_from", "to").agg(F.max("rate").alias("rate"))
+        maps = once.groupBy("_fx_date", "_fx_from").agg(F.map_from_entries(F.collect_list(F.struct("to", "rate"))).alias("_fx_map"))
+        self.table = checkpointed(maps)
+        size = self.table.agg(F.coalesce(F.sum(F.size("_fx_map") * _RATE_BYTES + 64), F.lit(0))).first()[0]
+        self.small = size <= limit
+
+    def onto(self, df: DataFrame, name: str, on_date: Column, currency: Column) -> DataFrame:
+        """Add the map of the row's day and currency as ``name`` (null without one); rows keep their number."""
+        if self.small:
+            hit = (on_date == F.col("_fx_date")) & (currency == F.col("_fx_from"))
+            return df.join(F.broadcast(self.table), hit, "left").select(*df.columns, F.col("_fx_map").alias(name))
+        keyed = df.withColumns({"_fx_day": on_date, "_fx_ccy": currency})
+        found = lookup_join(keyed, self.table, {"_fx_day": "_fx_date", "_fx_ccy": "_fx_from"}, ["_fx_map"])
+        return found.select(*df.columns, F.col("_fx_map").alias(name))
+
+
+def rate_into(name: str, currency: Column, target: Column) -> Column:
+    """Rate from the row's currency to a target: 1 for the same, null where none is known."""
+    return F.when(currency == target, F.lit(1.0)).otherwise(F.try_element_at(F.col(name), target))
+
+
 def attach_rate(
     df: DataFrame,
     rates: DataFrame,
@@ -20,43 +80,25 @@ def attach_rate(
     on_date: Column,
     currency: Column,
     target: Column,
-    from_field: str = "currency_from",
+    from_field: str | Column = "currency_from",
     to_field: str = "currency_to",
     same: Column | None = None,
+    targets: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Left join the rate from ``currency`` to ``target`` on a day.
+    """Add the rate from ``currency`` to ``target`` on a day.
 
     The rate is 1 where ``same`` holds (by default: both currencies are equal)
-    and null where none is known. No join hint: only the columns and target
-    currencies in use reach the join, and Spark compares their size with its
-    broadcast limit.
+    and null where none is known. ``targets`` limits the maps to currencies that ``target`` can name.
     """
-    side = rates.select(
-        F.col("app_processing_date").alias("_fx_date"),
-        F.col(from_field).alias("_fx_from"),
-        F.col(to_field).alias("_fx_to"),
-        F.col("exchange_value").alias("_fx_rate"),
-    )
-    hit = (on_date == F.col("_fx_date")) & (currency == F.col("_fx_from")) & (target == F.col("_fx_to"))
+    rows = RateMaps(rates, targets, from_field, to_field).onto(df, "_fx", on_date, currency)
     equal = (currency == target) if same is None else same
-    return (
-        df.join(side, hit, "left")
-        .withColumn(out, F.when(equal, F.lit(1.0)).otherwise(F.col("_fx_rate")))
-        .drop("_fx_date", "_fx_from", "_fx_to", "_fx_rate")
-    )
+    rate = F.when(equal, F.lit(1.0)).otherwise(F.try_element_at(F.col("_fx"), target))
+    return rows.withColumn(out, rate).drop("_fx")
 
 
-def pivot_rates(rates: DataFrame, targets: Sequence[str]) -> DataFrame:
-    """One row per day, brand and source currency with a column per target currency.
-
-    Of rates stored twice the largest counts, so that reruns agree.
-    """
-    return (
-        rates.filter(F.col("currency_to").isin(*targets))
-        .groupBy("app_processing_date", "brand", "currency_from")
-        .pivot("currency_to", list(targets))
-        .agg(F.max("exchange_value"))
-    )
+def converted(df: DataFrame, name: str, amount: Column, currency: Column, targets: Sequence[str], prefix: str) -> DataFrame:
+    """Add ``<prefix>_<target>`` from the row's map: the amount in each target currency."""
+    return df.withColumns({f"{prefix}_{t.lower()}": amount * rate_into(name, currency, F.lit(t)) for t in targets})
 
 
 def convert_to_each(
@@ -68,23 +110,11 @@ def convert_to_each(
     targets: Sequence[str],
     prefix: str,
 ) -> DataFrame:
-    """Add ``<prefix>_<target>``: the amount in each target currency, by one join.
-
-    ``rates`` holds one brand. The pivot leaves a row per day and source currency,
-    so any number of targets costs one join instead of one per currency.
-    """
+    """Add ``<prefix>_<target>``: the amount in each target currency, by one lookup. ``rates`` holds one brand."""
     if not targets:
         return df
-    wide = pivot_rates(rates, targets).select(
-        F.col("app_processing_date").alias("_fx_date"),
-        F.col("currency_from").alias("_fx_from"),
-        *[F.col(f"`{t}`").alias(f"_fx_{t}") for t in targets],
-    )
-    joined = df.join(wide, (on_date == F.col("_fx_date")) & (currency == F.col("_fx_from")), "left")
-    for t in targets:
-        rate = F.when(currency == t, F.lit(1.0)).otherwise(F.col(f"_fx_{t}"))
-        joined = joined.withColumn(f"{prefix}_{t.lower()}", amount * rate)
-    return joined.drop("_fx_date", "_fx_from", *[f"_fx_{t}" for t in targets])
+    rows = RateMaps(rates, targets).onto(df, "_fx", on_date, currency)
+    return converted(rows, "_fx", amount, currency, targets, prefix).drop("_fx")
 
 
 def to_report_currency(

@@ -5,18 +5,19 @@ orders it, and condition texts such as ``A,100``, ``NOT:5411,6011``,
 ``0-100,150``, ``>0``, ``BETWEEN 0 AND 10`` or ``Space,1``. An empty text sets no
 condition.
 
-Rules repeat each other's conditions, so every distinct condition is evaluated once
-per row and packed as a bit; a rule then needs only a mask comparison. Two forms give
-the same result. ``compiled`` compares the masks in one CASE expression per scope: no
-shuffle, and evaluation stops at the first hit. ``joined`` keeps the masks as data, for
-large rule sets: rows meet the rules of their scope and the first hit is picked by an
-aggregate.
+Rules are looked up in an index: for each scope, condition column and value the bitmap of
+the rules that the value pleases. The bitmaps of a row's values are combined by AND, and the first
+bit left is the rule. One form serves any number of rules; a row costs a lookup for each condition
+column, whatever the number of rules, and is never shuffled.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import itertools
+import operator
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -37,13 +38,16 @@ NOT = "NOT:"
 
 MEMBER, SPACE, RANGE, COMPARE, AMOUNT = "member", "space", "range", "compare", "amount"
 MAX_RULES = 50_000
-MAX_COMPILED = 256
 #: Number standing for "no rule".
 NO_RULE = 0
-#: Rules compared in one generated method.
-RULES_PER_METHOD = 64
-#: Tests packed into one integer column.
-BITS = 32
+#: Rules of one scope that one pass looks at.
+RULES_PER_PASS = 1024
+#: Rules in one word of a bitmap; words stay below the sign bit.
+BITS = 62
+#: Bytes of the index that may be broadcast; a larger rule book is refused.
+MAX_INDEX_BYTES = 64 << 20
+#: Lookups compiled into one generated method.
+JOINS_PER_METHOD = 6
 
 
 @dataclass
@@ -121,18 +125,6 @@ def _parse_comparison(body: str) -> Condition:
     return Condition(bounds=bounds)
 
 
-def _compare(value: Column, op: str, bound: float) -> Column:
-    if op == "<":
-        return value < bound
-    if op == "<=":
-        return value <= bound
-    if op == ">":
-        return value > bound
-    if op == ">=":
-        return value >= bound
-    return value == bound
-
-
 def seen_value(kind: str, c: Column) -> Column:
     """What a condition of a kind looks at: a number, the raw word, or the trimmed word."""
     if kind == AMOUNT:
@@ -146,22 +138,6 @@ def seen_value(kind: str, c: Column) -> Column:
     return trimmed if kind == RANGE else F.when(trimmed == "", BLANK).otherwise(trimmed)
 
 
-def condition_column(kind: str, cond: Condition, value: Column) -> Column:
-    """Parsed condition over :func:`seen_value`; never null."""
-    if cond.never:
-        return F.lit(False)
-    if kind in (COMPARE, AMOUNT):
-        hit = reduce(lambda a, b: a & b, [_compare(value, op, x) for op, x in cond.bounds])
-    elif cond.ranges:
-        # whole numbers written without leading zeros, as a listed value would be
-        number = F.when(value.rlike("^(0|[1-9][0-9]{0,17})$"), value.try_cast("bigint"))
-        hit = reduce(lambda a, b: a | b, [number.between(lo, hi) for lo, hi in cond.ranges])
-    else:
-        hit = value.isin(*cond.values)
-    hit = F.coalesce(hit, F.lit(False))
-    return ~hit if cond.negated else hit
-
-
 def load_rules(rules: DataFrame, book: RuleBook) -> list[dict]:
     """Rules as dictionaries with parsed conditions, in numeric order of their id."""
     rows = [r.asDict() for r in bounded_rows(rules, MAX_RULES, "rule table")]
@@ -195,136 +171,248 @@ def unreadable_conditions(rules: DataFrame, book: RuleBook) -> list[tuple]:
 
 
 @dataclass(frozen=True)
-class Test:
-    """One distinct condition of a rule table; many rules share it."""
+class Probe:
+    """What rules ask of one column: its word, its whole number, its number, or the row's day."""
 
-    column: str | None
-    currency: str | None
-    text: str
-    condition: Condition | None = field(compare=False, default=None)
-    span: tuple[str | None, str | None] | None = None
+    look: str
+    column: str | None = None
+    currency: str | None = None
 
 
-def distinct_tests(loaded: list[dict], book: RuleBook, dated: bool) -> list[Test]:
-    """Distinct tests of the rules; every rule gets the bits of its own in ``_bits``."""
-    position: dict[Test, int] = {}
-    for rule in loaded:
-        bits = []
-        for column, cond in rule["_conds"].items():
-            currency = rule.get(book.amount_currency) if book.kinds[column] == AMOUNT else None
-            bits.append(Test(column, currency, repr(cond), cond))
-        if dated:
-            first, last = (None if rule[c] is None else str(rule[c])[:10] for c in (book.valid_from, book.valid_until))
-            bits.append(Test(None, None, "in force", None, (first, last)))
-        rule["_bits"] = [position.setdefault(test, len(position)) for test in bits]
-    return list(position)
-
-
-def _test_column(test: Test, book: RuleBook, seen: Mapping[tuple, str], on_date: Column | None) -> Column:
-    if test.span is not None:
-        first, last = (F.lit(x).cast("date") for x in test.span)
-        hit = (on_date >= first) & (on_date <= F.coalesce(last, F.current_date()))
-        return F.coalesce(hit, F.lit(False))
-    kind = book.kinds[test.column]
-    if kind == AMOUNT and not test.currency:
-        return F.lit(False)
-    return condition_column(kind, test.condition, F.col(f"`{seen[test.column, test.currency]}`"))
-
-
-def with_test_bits(
-    df: DataFrame, tests: list[Test], book: RuleBook, on_date: Column | None = None
-) -> tuple[DataFrame, list[str]]:
-    """Evaluate every distinct test once per row, packed into integer columns."""
-    seen: dict[tuple, str] = {}
-    for test in tests:
-        if test.column and (test.column, test.currency) not in seen:
-            seen[test.column, test.currency] = f"_seen{len(seen)}"
-    values = []
-    for (column, currency), name in seen.items():
-        source = f"{book.row_prefix}{column}" + (f"_{currency.lower()}" if currency else "")
-        given = F.col(f"`{source}`") if source in df.columns else F.lit(None).cast("string")
-        values.append(seen_value(book.kinds[column], given).alias(name))
-    rows = end_generated_code(df.select("*", *values))
-    names, packed = [], []
-    for start in range(0, len(tests), BITS):
-        part = [
-            _test_column(test, book, seen, on_date).cast("bigint") * (1 << i)
-            for i, test in enumerate(tests[start : start + BITS])
-        ]
-        names.append(f"_bits{start // BITS}")
-        packed.append(reduce(lambda a, b: a + b, part).alias(names[-1]))
-    return end_generated_code(rows.select(*df.columns, *packed)), names
-
-
-def _needed(rule: dict, words: int) -> list[int]:
-    """Bits a rule needs, per integer column."""
-    out = [0] * words
-    for bit in rule["_bits"]:
-        out[bit // BITS] |= 1 << (bit % BITS)
+@dataclass
+class Wish:
+    """What one rule asks of a probe; unlisted and unreadable values only please negated wishes."""
+
+    values: frozenset[str] | None = None
+    ranges: tuple[tuple[int, int], ...] = ()
+    bounds: tuple[tuple[str, float], ...] = ()
+    negated: bool = False
+
+    def holds(self, x: object) -> bool:
+        """Whether a word, or a number between the edges, pleases."""
+        if self.values is not None:
+            return (x in self.values) != self.negated
+        if self.bounds:
+            return all(_OPERATORS[op](x, bound) for op, bound in self.bounds)
+        return any(low <= x <= high for low, high in self.ranges) != self.negated
+
+    def edges(self) -> set:
+        """Numbers at which the answer may change."""
+        if self.bounds:
+            return {x for _, x in self.bounds}
+        return {e for low, high in self.ranges for e in (low, high + 1)}
+
+
+_OPERATORS = {"<": operator.lt, "<=": operator.le, ">": operator.gt, ">=": operator.ge, "=": operator.eq}
+WORD, WHOLE, REAL, DAY = "word", "whole", "real", "day"
+#: First and last day that a rule without a limit on that side counts from and to.
+_EPOCH = dt.date(1970, 1, 1)
+
+
+def _wishes(rule: dict, book: RuleBook, dated: bool, today: dt.date) -> dict[Probe, Wish] | None:
+    """The rule's conditions by probe; null for a rule that can never hold."""
+    out: dict[Probe, Wish] = {}
+    for column, cond in rule["_conds"].items():
+        kind = book.kinds[column]
+        currency = rule.get(book.amount_currency) if kind == AMOUNT else None
+        if cond.never or (kind == AMOUNT and not currency):
+            return None
+        if kind in (COMPARE, AMOUNT):
+            out[Probe(REAL, column, currency)] = Wish(bounds=tuple(cond.bounds))
+        elif cond.ranges:
+            out[Probe(WHOLE, column)] = Wish(ranges=tuple(cond.ranges), negated=cond.negated)
+        else:
+            out[Probe(WORD, column)] = Wish(values=frozenset(cond.values), negated=cond.negated)
+    if dated:
+        first, last = (None if rule[c] is None else dt.date.fromisoformat(str(rule[c])[:10]) for c in (book.valid_from, book.valid_until))
+        if first is None:
+            return None
+        out[Probe(DAY)] = Wish(ranges=(((first - _EPOCH).days, ((last or today) - _EPOCH).days),))
     return out
 
 
+@dataclass
+class RuleIndex:
+    """Bitmaps of the rules of each scope, ``words`` integers of ``BITS`` rules each.
+
+    Rules of a scope stand in order, so the first bit left is the first rule. A scope with more rules than
+    one pass holds has several blocks, which are looked at one after another.
+    """
+
+    words: int
+    probes: list[Probe]
+    #: (pass, scope values, block, number of the rule before the first, words of all rules and of each probe's default)
+    blocks: list[tuple]
+    #: (probe and block number, edges)
+    edges: dict[tuple[int, int], list]
+    #: (key of probe, block and value, words)
+    entries: list[tuple]
+
+    @property
+    def passes(self) -> int:
+        return max((b[0] for b in self.blocks), default=-1) + 1
+
+
+def _packed(bits: Iterable[bool], words: int) -> tuple[int, ...]:
+    out = [0] * words
+    for i, bit in enumerate(bits):
+        out[i // BITS] |= bit << (i % BITS)
+    return tuple(out)
+
+
+def _entry_key(probe: int, block: int, value: object) -> str:
+    return f"{probe}:{block}:{value}"
+
+
+def rule_index(loaded: list[dict], book: RuleBook, dated: bool, today: dt.date, per_pass: int = RULES_PER_PASS) -> RuleIndex:
+    """For every scope, probe and value the bitmap of the rules that the value pleases.
+
+    Only values that rules name, and the stretches between the numbers they name, have entries; all others
+    share a default. The index grows with what the rule texts hold, not with the product of rules and values.
+    """
+    scopes: dict[tuple, list[dict]] = {}
+    for rule in loaded:
+        scopes.setdefault(tuple(str(rule[c]) for c in book.scope.values()), []).append(rule)
+    words = -(-min(per_pass, max(map(len, scopes.values()), default=1)) // BITS)
+    position: dict[Probe, int] = {}
+    index = RuleIndex(words, [], [], {}, [])
+    size = 0
+    for scope, rules in scopes.items():
+        for start in range(0, len(rules), per_pass):
+            part = rules[start : start + per_pass]
+            wishes = [_wishes(r, book, dated, today) for r in part]
+            block = len(index.blocks)
+            used = dict.fromkeys(p for w in wishes if w for p in w)
+            defaults = {}
+            for probe in used:
+                number = position.setdefault(probe, len(position))
+                mine = [None if w is None else w.get(probe) for w in wishes]
+                defaults[number] = _packed((w is None or w.negated for w in mine), words)
+                if probe.look == WORD:
+                    values = {str(v): v for w in mine if w for v in w.values}
+                else:
+                    edges = sorted({e for w in mine if w for e in w.edges()})
+                    index.edges[number, block] = edges
+                    values = dict(enumerate(_stretches(edges, probe.look == REAL)))
+                for key, value in values.items():
+                    index.entries.append((_entry_key(number, block, key), *_packed((w is None or w.holds(value) for w in mine), words)))
+                size += len(values) * (32 + 8 * words)
+            if size > MAX_INDEX_BYTES:
+                raise ValueError(f"rule index exceeds {MAX_INDEX_BYTES} bytes")
+            index.blocks.append((start // per_pass, scope, block, part[0]["_rule_no"] - 1, _packed((w is not None for w in wishes), words), defaults))
+    index.probes = list(position)
+    return index
+
+
+def _stretches(edges: list, points: bool) -> list:
+    """A number of every stretch between the edges, from below the first on.
+
+    An edge opens a stretch; with ``points`` it is one by itself, before the open stretch above it.
+    """
+    if not edges:
+        return [0]
+    if not points:
+        return [edges[0] - 1, *edges]
+    inner = [x for a, b in itertools.pairwise(edges) for x in (a, (a + b) / 2)]
+    return [edges[0] - 1.0, *inner, edges[-1], edges[-1] + 1.0]
+
+
+def _stretch(value: Column, edges: Column, steps: int, points: bool) -> Column:
+    """Number of the stretch a value lies in, by halving; null without a value or edges."""
+    halves = F.array(*[F.lit(1 << k) for k in range(steps - 1, -1, -1)])
+    n = F.size(edges)
+    above = F.aggregate(
+        halves, F.lit(0), lambda at, step: F.when((at + step <= n) & (F.get(edges, at + step - 1) <= value), at + step).otherwise(at)
+    )
+    if points:
+        on = F.coalesce(F.get(edges, above - 1) == value, F.lit(False))
+        above = 2 * above - F.when(on, 1).otherwise(0)
+    return F.when(value.isNotNull() & edges.isNotNull(), above)
+
+
+def _probe_value(probe: Probe, book: RuleBook, columns: Sequence[str], on_date: Column | None) -> Column:
+    if probe.look == DAY:
+        return F.date_diff(on_date, F.lit(_EPOCH))
+    source = f"{book.row_prefix}{probe.column}" + (f"_{probe.currency.lower()}" if probe.currency else "")
+    given = F.col(f"`{source}`") if source in columns else F.lit(None).cast("string")
+    seen = seen_value(book.kinds[probe.column], given)
+    # whole numbers written without leading zeros, as a listed value would be
+    return F.when(seen.rlike("^(0|[1-9][0-9]{0,17})$"), seen.try_cast("bigint")) if probe.look == WHOLE else seen
+
+
 def assign_first_rule(
     df: DataFrame,
     rules: DataFrame,
     book: RuleBook,
-    key: Sequence[str],
     payload: Sequence[str],
     on_date: Column | None = None,
-    form: str = "auto",
+    per_pass: int = RULES_PER_PASS,
 ) -> DataFrame:
     """Left join every row to its first matching rule, adding the ``payload`` columns.
 
-    ``key`` identifies a row. ``on_date`` limits rules to those in force on the
-    row's day.
+    ``on_date`` limits rules to those in force on the row's day. Rows are not shuffled and keep their
+    number: all tables they meet are broadcast, and their size is bounded while the index is built.
     """
     loaded = load_rules(rules, book)
-    if form == "auto":
-        form = "compiled" if len(loaded) <= MAX_COMPILED else "joined"
-    tests = distinct_tests(loaded, book, on_date is not None)
-    rows, words = with_test_bits(df, tests, book, on_date)
-    if form == "compiled":
-        numbered = _with_choice(rows, loaded, book, words)
-        # at most MAX_RULES rows, counted while loading
-        table = F.broadcast(_rule_table(rules, loaded, payload))
-        return numbered.join(table, "_rule_no", "left").select(*df.columns, *payload)
-    return _joined(rows, rules, loaded, book, words, key, payload).select(*df.columns, *payload)
-
-
-def _with_choice(rows: DataFrame, loaded: list[dict], book: RuleBook, words: list[str]) -> DataFrame:
-    """Add ``_rule_no``, the number of the first matching rule, ``NO_RULE`` without one.
-
-    The number is never null: a later filter on the rule then stays with the rule
-    table instead of repeating the whole choice further down.
-    One CASE per scope over the packed tests. Scopes are taken a few at a time, so no
-    generated method grows too long for the JVM's compiler.
-    """
-
-    def same(column: str, value: str) -> str:
-        quoted = value.replace("\\", "\\\\").replace("'", "\\'")
-        return f"coalesce(cast(`{column}` AS string), '{BLANK}') = '{quoted}'"
-
-    by_scope: dict[tuple, list[str]] = {}
-    for rule in loaded:
-        bits = [f"{w} & {n}L = {n}L" for w, n in zip(words, _needed(rule, len(words))) if n]
-        branch = f"WHEN {' AND '.join(bits) or 'true'} THEN {rule['_rule_no']}"
-        by_scope.setdefault(tuple(str(rule[c]) for c in book.scope.values()), []).append(branch)
-    groups: list[list[str]] = [[]]
-    size = 0
-    for scope, branches in by_scope.items():
-        if size and size + len(branches) > RULES_PER_METHOD:
-            groups.append([])
-            size = 0
-        here = " AND ".join(same(c, v) for c, v in zip(book.scope, scope))
-        groups[-1].append(f"WHEN {here} THEN CASE {' '.join(branches)} END")
-        size += len(branches)
-    rows = rows.withColumn("_rule_no", F.lit(NO_RULE))
-    for group in (g for g in groups if g):
-        chosen = F.coalesce(F.expr(f"CASE {' '.join(group)} END"), F.lit(NO_RULE))
-        rows = end_generated_code(
-            rows.withColumn("_rule_no", F.when(F.col("_rule_no") == NO_RULE, chosen).otherwise(F.col("_rule_no")))
-        )
-    return rows
+    today = df.sparkSession.range(1).select(F.current_date()).first()[0]
+    index = rule_index(loaded, book, on_date is not None, today, per_pass)
+    seen = {i: f"_seen{i}" for i in range(len(index.probes))}
+    rows = df.select("*", *[_probe_value(p, book, df.columns, on_date).alias(seen[i]) for i, p in enumerate(index.probes)])
+    rows = end_generated_code(rows.withColumn("_rule_no", F.lit(NO_RULE)))
+    entries = local_table(
+        rules, [T.StructField("_key", T.StringType()), *[T.StructField(f"_w{w}", T.LongType()) for w in range(index.words)]], index.entries
+    )
+    for n in range(index.passes):
+        rows = _one_pass(rows, rules, index, n, book, seen, entries)
+    table = F.broadcast(_rule_table(rules, loaded, payload))
+    return rows.join(table, "_rule_no", "left").select(*df.columns, *payload)
+
+
+def _one_pass(rows: DataFrame, rules: DataFrame, index: RuleIndex, n: int, book: RuleBook, seen: Mapping[int, str], entries: DataFrame) -> DataFrame:
+    """Look rows without a rule up in the ``n``-th block of their scope."""
+    blocks = [b for b in index.blocks if b[0] == n]
+    used = sorted({i for b in blocks for i in b[5]})
+    every = tuple([(1 << BITS) - 1] * index.words)
+    kinds = {WHOLE: T.LongType(), DAY: T.LongType(), REAL: T.DoubleType()}
+    numeric = [i for i in used if index.probes[i].look != WORD]
+    fields = [T.StructField(f"_scope{k}", T.StringType()) for k in range(len(book.scope))]
+    fields += [T.StructField("_block", T.IntegerType()), T.StructField("_before", T.IntegerType())]
+    fields += [T.StructField("_all", T.ArrayType(T.LongType()))] + [T.StructField(f"_else{i}", T.ArrayType(T.LongType())) for i in used]
+    fields += [T.StructField(f"_edges{i}", T.ArrayType(kinds[index.probes[i].look])) for i in numeric]
+    data = [
+        (*scope, block, before, list(all_), *[list(defaults.get(i, every)) for i in used], *[index.edges.get((i, block)) for i in numeric])
+        for _, scope, block, before, all_, defaults in blocks
+    ]
+    table = local_table(rules, fields, data)
+    here = (F.col("_rule_no") == NO_RULE) & reduce(
+        lambda a, b: a & b, [text_or_blank(F.col(f"`{c}`")) == F.col(f"_scope{k}") for k, c in enumerate(book.scope)]
+    )
+    known = rows.columns
+    rows = rows.join(F.broadcast(table), here, "left").drop(*[f"_scope{k}" for k in range(len(book.scope))])
+    keys = []
+    for i in used:
+        value, look = F.col(seen[i]), index.probes[i].look
+        if look != WORD:
+            steps = max(len(e) for (p, _), e in index.edges.items() if p == i).bit_length()
+            value = _stretch(value, F.col(f"_edges{i}"), steps, look == REAL)
+        keys.append(F.concat(F.lit(f"{i}:"), F.col("_block").cast("string"), F.lit(":"), value.cast("string")).alias(f"_key{i}"))
+    rows = end_generated_code(rows.select("*", *keys).drop(*[f"_edges{i}" for i in numeric]))
+    for at, i in enumerate(used):
+        mine = entries.select(F.col("_key").alias(f"_at{i}"), F.array(*[F.col(f"_w{w}") for w in range(index.words)]).alias(f"_hit{i}"))
+        rows = rows.join(F.broadcast(mine), F.col(f"_key{i}") == F.col(f"_at{i}"), "left").drop(f"_at{i}", f"_key{i}")
+        if at % JOINS_PER_METHOD == JOINS_PER_METHOD - 1:
+            rows = end_generated_code(rows)
+    left = [
+        reduce(lambda a, b: a.bitwiseAND(b), [F.coalesce(F.col(f"_hit{i}")[w], F.col(f"_else{i}")[w]) for i in used], F.col("_all")[w])
+        for w in range(index.words)
+    ]
+    rows = end_generated_code(rows.select(*known, "_before", *[x.alias(f"_left{w}") for w, x in enumerate(left)]))
+    found = None
+    for w in range(index.words):
+        word = F.col(f"_left{w}")
+        number = F.col("_before") + BITS * w + 1 + F.bit_count(F.bitwise_not(word).bitwiseAND(word - 1))
+        found = F.when(word != 0, number) if found is None else found.when(word != 0, number)
+    return rows.select(*[c for c in known if c != "_rule_no"], F.coalesce(found, F.col("_rule_no")).alias("_rule_no"))
 
 
 def _rule_table(rules: DataFrame, loaded: list[dict], columns: Sequence[str]) -> DataFrame:
@@ -344,54 +432,6 @@ def local_table(like: DataFrame, fields: list[T.StructField], rows: list[tuple])
     return like.sparkSession.createDataFrame(table, schema)
 
 
-def _joined(
-    rows: DataFrame,
-    rules: DataFrame,
-    loaded: list[dict],
-    book: RuleBook,
-    words: list[str],
-    key: Sequence[str],
-    payload: Sequence[str],
-) -> DataFrame:
-    """Rules as data: scope equality, packed tests, first hit by ``min_by``.
-
-    Rules are picked for what rows show them, not for their keys: a key may repeat, and
-    null keys keep their rule.
-    """
-    fields = [T.StructField("_rule_no", T.IntegerType())]
-    fields += [T.StructField(f"_scope{i}", T.StringType()) for i in range(len(book.scope))]
-    fields += [T.StructField(f"_need{w}", T.LongType()) for w in words]
-    fields += [T.StructField(f"_pay_{c}", rules.schema[c].dataType) for c in payload]
-    data = [
-        (
-            r["_rule_no"],
-            *[str(r[c]) for c in book.scope.values()],
-            *_needed(r, len(words)),
-            *[r[c] for c in payload],
-        )
-        for r in loaded
-    ]
-    # at most MAX_RULES rows, counted while loading
-    table = F.broadcast(local_table(rules, fields, data))
-    spread = rows.repartition(*key)
-    hit = reduce(
-        lambda a, b: a & b,
-        [text_or_blank(F.col(f"`{c}`")) == F.col(f"_scope{i}") for i, c in enumerate(book.scope)]
-        + [F.col(w).bitwiseAND(F.col(f"_need{w}")) == F.col(f"_need{w}") for w in words],
-    )
-    # rows that share a key may differ in what the rules look at; those that agree in it have one rule
-    look = list(dict.fromkeys([*key, *book.scope, *words]))
-    probes = spread.select(*look).distinct()
-    best = (
-        probes.join(table, hit)
-        .groupBy(*look)
-        .agg(F.min_by(F.struct(*[F.col(f"_pay_{c}").alias(c) for c in payload]), F.col("_rule_no")).alias("_best"))
-    )
-    named = best.select(*[F.col(f"`{c}`").alias(f"_look{i}") for i, c in enumerate(look)], "_best")
-    same = reduce(lambda a, b: a & b, [spread[f"`{c}`"].eqNullSafe(F.col(f"_look{i}")) for i, c in enumerate(look)])
-    return spread.join(named, same, "left").select(*rows.columns, *[F.col(f"_best.`{c}`").alias(c) for c in payload])
-
-
 def rule_sheet_problems(
     sheet: DataFrame, required: Sequence[str], numeric: Sequence[str]
 ) -> DataFrame:

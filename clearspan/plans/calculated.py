@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from clearspan.functions import cards
 from clearspan.functions.dates import days_between
 from clearspan.operators.fees import settlement_report_amount
-from clearspan.operators.fx import attach_rate, brand_rates
+from clearspan.operators.fx import RateMaps, brand_rates, currencies_in
 from clearspan.operators.ranges import account_point, best_range, dedupe_ranges, prefix_bounds
 from clearspan.operators.stages import end_generated_code
 
@@ -149,6 +149,21 @@ _OWNER_COLUMNS = [
 _PLACE_COLUMNS = [f"_{side}_{part}" for side in ("m", "i") for part in ("key", "country", "region")]
 
 
+def _own_currencies(customers: DataFrame) -> list[str]:
+    """Settlement and local currencies of the customers."""
+    return sorted({*currencies_in(customers, "settlement_currency_code"), *currencies_in(customers, "local_currency_code")})
+
+
+def _own_rates(currency: Column) -> tuple[Column, Column]:
+    """Rates from a numeric currency into the customer's settlement and local currency, from the row's rate map."""
+
+    def into(target: str, number: str) -> Column:
+        known = F.try_element_at(F.col("_fx"), F.col(target))
+        return F.when(currency == F.col(number).cast("string"), F.lit(1.0)).otherwise(known)
+
+    return into("settlement_currency_code", "_settle_num"), into("local_currency_code", "_local_num")
+
+
 def _own_issuer(number: Column) -> Column:
     return cards.in_bin_list(number, F.col("issuing_bins_6_digits"), 6) | cards.in_bin_list(
         number, F.col("issuing_bins_8_digits"), 8
@@ -220,33 +235,21 @@ def text_calculated_fields(
         cards.assigned_jurisdiction(F.col("jurisdiction"), F.col("jurisdiction_region"), F.col("jurisdiction_country")),
     )
     rows = end_generated_code(rows)
-    brand = brand_rates(rates, TEXT_BRAND)
     currency = F.col("source_currency_code")
-    for name, target, number in (
-        ("_to_settlement", "settlement_currency_code", "_settle_num"),
-        ("_to_local", "local_currency_code", "_local_num"),
-    ):
-        rows = attach_rate(
-            rows,
-            brand,
-            name,
-            F.col("app_processing_date"),
-            currency,
-            F.col(target),
-            from_field="currency_from_code",
-            same=currency == F.col(number).cast("string"),
-        )
+    maps = RateMaps(brand_rates(rates, TEXT_BRAND), _own_currencies(customers), "currency_from_code")
+    rows = maps.onto(rows, "_fx", F.col("app_processing_date"), currency)
+    to_settlement, to_local = _own_rates(currency.cast("string"))
     local = F.coalesce(F.col("jurisdiction").isin("on-us", "off-us") & (F.col("settlement_flag") != 0), F.lit(False))
     return rows.withColumns(
         {
             "settlement_report_amount": settlement_report_amount(
-                F.col("source_amount"), local, F.col("_to_local"), F.col("_to_settlement")
+                F.col("source_amount"), local, to_local, to_settlement
             ),
             "settlement_report_currency_code": F.when(local, F.col("local_currency_code")).otherwise(
                 F.col("settlement_currency_code")
             ),
         }
-    ).drop("_to_settlement", "_to_local", *_OWNER_COLUMNS, *_PLACE_COLUMNS)
+    ).drop("_fx", *_OWNER_COLUMNS, *_PLACE_COLUMNS)
 
 
 def online_calculated_fields(
@@ -389,22 +392,10 @@ def bitmap_calculated_fields(
         cards.assigned_jurisdiction(F.col("jurisdiction"), F.col("jurisdiction_region"), F.col("jurisdiction_country")),
     )
     rows = end_generated_code(rows)
-    brand = brand_rates(rates, BITMAP_BRAND).withColumn("_from_num", F.col("currency_from_code").try_cast("int"))
     currency = F.col("currency_code_transaction")
-    for name, target, number in (
-        ("_to_settlement", "settlement_currency_code", "_settle_num"),
-        ("_to_local", "local_currency_code", "_local_num"),
-    ):
-        rows = attach_rate(
-            rows,
-            brand,
-            name,
-            F.col("app_processing_date"),
-            currency,
-            F.col(target),
-            from_field="_from_num",
-            same=currency == F.col(number),
-        )
+    maps = RateMaps(brand_rates(rates, BITMAP_BRAND), _own_currencies(customers), F.col("currency_from_code").try_cast("int"))
+    rows = maps.onto(rows, "_fx", F.col("app_processing_date"), currency)
+    to_settlement, to_local = _own_rates(currency.cast("string"))
     names = currencies.select(
         F.col("currency_numeric_code").cast("int").alias("_rec_num"), F.col("currency_alphabetic_code").alias("_rec")
     )
@@ -416,7 +407,7 @@ def bitmap_calculated_fields(
     )
     incoming = F.col("app_type_file") == "IN"
     own_currency = F.when(local, F.col("local_currency_code")).otherwise(F.col("settlement_currency_code"))
-    converted = settlement_report_amount(F.col("amount_transaction"), local, F.col("_to_local"), F.col("_to_settlement"))
+    converted = settlement_report_amount(F.col("amount_transaction"), local, to_local, to_settlement)
     return rows.withColumns(
         {
             "settlement_report_currency_code": F.when(
@@ -427,4 +418,4 @@ def bitmap_calculated_fields(
             ),
             "mc_file_id": F.when(given, F.col("mc_file_id")),
         }
-    ).drop("_to_settlement", "_to_local", "_rec_num", "_rec", "_file", *_OWNER_COLUMNS, *_PLACE_COLUMNS)
+    ).drop("_fx", "_rec_num", "_rec", "_file", *_OWNER_COLUMNS, *_PLACE_COLUMNS)

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from clearspan.functions.numbers import is_number
 from clearspan.functions.text import text_or_blank
 from clearspan.operators.fees import clamped_fee, fee_rate
-from clearspan.operators.fx import attach_rate, brand_rates, convert_to_each
+from clearspan.operators.fx import RateMaps, brand_rates, converted, currencies_in, rate_into
 from clearspan.operators.rules import (
     AMOUNT,
     COMPARE,
     MEMBER,
     RANGE,
+    RULES_PER_PASS,
     SPACE,
     RuleBook,
     amount_currencies,
@@ -224,15 +225,7 @@ def _first_format(rows: DataFrame, column: str, formats: Sequence[str]) -> Colum
     return F.lit(None).cast("string") if out is None else out
 
 
-def _assign(
-    rows: DataFrame,
-    rules: DataFrame,
-    book: RuleBook,
-    payload: Sequence[str],
-    key: Sequence[str],
-    on_date: str | None,
-    form: str,
-) -> DataFrame:
+def _assign(rows: DataFrame, rules: DataFrame, book: RuleBook, payload: Sequence[str], on_date: str | None, per_pass: int) -> DataFrame:
     """Add the payload of the first rule and drop the evaluation columns.
 
     ``on_date`` is a column of the row, or a fixed day.
@@ -240,7 +233,7 @@ def _assign(
     day = None
     if on_date is not None:
         day = (F.col(on_date) if on_date in rows.columns else F.lit(on_date)).cast("date")
-    done = assign_first_rule(rows, rules, book, key, payload, day, form)
+    done = assign_first_rule(rows, rules, book, payload, day, per_pass)
     return done.drop(*[c for c in done.columns if c.startswith(MARK)])
 
 
@@ -254,8 +247,7 @@ def text_interchange(
     currencies: DataFrame,
     rates: DataFrame,
     on_date: str = "app_processing_date",
-    form: str = "auto",
-    key: Sequence[str] = ("app_id", "app_hash_file"),
+    per_pass: int = RULES_PER_PASS,
 ) -> DataFrame:
     """Rule and fee of clearing transactions that already carry their calculated fields."""
     brand = brand_rates(rates, TEXT_BRAND)
@@ -267,9 +259,10 @@ def text_interchange(
         names, F.col("source_currency_code").try_cast("int") == F.col("_num"), "left"
     )
     targets = amount_currencies(rules, TEXT_BOOK)
-    rows = convert_to_each(
-        rows, brand, F.col("source_amount"), F.col("_currency"), F.col("purchase_date"), targets, f"{MARK}transaction_amount"
-    )
+    # one lookup serves the amounts that rules compare and, once a rule is found, its fee
+    maps = RateMaps(brand, sorted({*targets, *currencies_in(rules, "fee_currency")}))
+    rows = maps.onto(rows, "_fx", F.col("purchase_date"), F.col("_currency"))
+    rows = converted(rows, "_fx", F.col("source_amount"), F.col("_currency"), targets, f"{MARK}transaction_amount")
     code = F.right(F.lpad(F.col("transaction_code").cast("string"), 2, "0"), F.lit(2))
     rows = _attributes(
         rows,
@@ -291,21 +284,14 @@ def text_interchange(
         },
     )
     payload = ["region_country_code", "rule_id", *FEE_COLUMNS]
-    done = _assign(rows, rules, TEXT_BOOK, payload, key, on_date, form)
-    priced = attach_rate(
-        done,
-        brand,
-        "_fee_rate",
-        F.col("purchase_date"),
-        F.col("_currency"),
-        F.col("fee_currency"),
-    )
+    done = _assign(rows, rules, TEXT_BOOK, payload, on_date, per_pass)
+    rate = rate_into("_fx", F.col("_currency"), F.col("fee_currency"))
     return _with_fee(
-        priced, F.col("source_amount"), F.col("source_currency_code"), FEE_COLUMNS, F.col("_currency")
-    ).drop("_num", "_currency", "_fee_rate", "issuer_region", "merchant_region")
+        done, F.col("source_amount"), F.col("source_currency_code"), FEE_COLUMNS, F.col("_currency"), rate
+    ).drop("_num", "_currency", "_fx", "issuer_region", "merchant_region")
 
 
-def _with_fee(rows: DataFrame, amount: Column, currency: Column, fee: Sequence[str], name: Column) -> DataFrame:
+def _with_fee(rows: DataFrame, amount: Column, currency: Column, fee: Sequence[str], name: Column, rate: Column) -> DataFrame:
     ccy, variable, fixed, low, cap = (F.col(c) for c in fee)
     return rows.withColumns(
         {
@@ -313,7 +299,7 @@ def _with_fee(rows: DataFrame, amount: Column, currency: Column, fee: Sequence[s
             "currency_transaction": currency,
             "calculated_value": clamped_fee(
                 amount,
-                fee_rate(ccy, name, F.col("_fee_rate")),
+                fee_rate(ccy, name, rate),
                 variable.try_cast("double"),
                 fixed.cast("double"),
                 low.cast("double"),
@@ -331,8 +317,7 @@ def online_interchange(
     currencies: DataFrame,
     rates: DataFrame,
     on_date: str = "app_processing_date",
-    form: str = "auto",
-    key: Sequence[str] = ("app_id", "app_hash_file"),
+    per_pass: int = RULES_PER_PASS,
 ) -> DataFrame:
     """Rule and fee of online transactions that already carry their calculated fields.
 
@@ -349,15 +334,11 @@ def online_interchange(
         .join(codes.toDF("_num2", "_cryptogram"), F.col("cryptogram_currency_code").try_cast("int") == F.col("_num2"), "left")
     )
     targets = amount_currencies(rules, ONLINE_BOOK)
-    rows = convert_to_each(
-        rows,
-        brand,
-        F.col("transaction_amount"),
-        F.col("_currency"),
-        F.col("local_transaction_date"),
-        targets,
-        f"{MARK}transaction_amount",
-    )
+    maps = RateMaps(brand, sorted({*targets, *currencies_in(rules, "fee_currency")}))
+    rows = maps.onto(rows, "_fx", F.col("local_transaction_date"), F.col("_currency"))
+    rows = converted(rows, "_fx", F.col("transaction_amount"), F.col("_currency"), targets, f"{MARK}transaction_amount")
+    # a fee on a cryptogram amount starts from the cryptogram's currency
+    rows = maps.onto(rows, "_fx2", F.col("local_transaction_date"), F.col("_cryptogram"))
 
     def optional(name: str) -> Column:
         return F.col(name).cast("string") if name in rows.columns else F.lit(None).cast("string")
@@ -376,23 +357,17 @@ def online_interchange(
         },
     )
     payload = ["region_country_code", "rule_id", *FEE_COLUMNS]
-    done = _assign(rows, rules, ONLINE_BOOK, payload, key, on_date, form)
+    done = _assign(rows, rules, ONLINE_BOOK, payload, on_date, per_pass)
     plain = F.coalesce(F.col("transaction_amount") != 0, F.lit(False))
     amount = F.when(plain, F.col("transaction_amount")).otherwise(
         F.col("cryptogram_amount") + F.col("surcharge_amount_sms")
     )
     name = F.when(plain, F.col("_currency")).otherwise(F.col("_cryptogram"))
-    priced = attach_rate(
-        done.withColumn("_fee_from", name),
-        brand,
-        "_fee_rate",
-        F.col("local_transaction_date"),
-        F.col("_fee_from"),
-        F.col("fee_currency"),
-    )
+    fee = F.col("fee_currency")
+    rate = F.when(plain, rate_into("_fx", F.col("_currency"), fee)).otherwise(rate_into("_fx2", F.col("_cryptogram"), fee))
     currency = F.coalesce(F.col("transaction_currency_code").cast("string"), F.col("cryptogram_currency_code").cast("string"))
-    return _with_fee(priced, amount, currency, FEE_COLUMNS, F.col("_fee_from")).drop(
-        "_num1", "_num2", "_currency", "_cryptogram", "_fee_from", "_fee_rate", "issuer_region", "merchant_region"
+    return _with_fee(done, amount, currency, FEE_COLUMNS, name, rate).drop(
+        "_num1", "_num2", "_currency", "_cryptogram", "_fx", "_fx2", "issuer_region", "merchant_region"
     )
 
 
@@ -405,8 +380,7 @@ def bitmap_interchange(
     currencies: DataFrame,
     rates: DataFrame,
     on_date: str = "app_processing_date",
-    form: str = "auto",
-    key: Sequence[str] = ("app_id", "app_hash_file"),
+    per_pass: int = RULES_PER_PASS,
     condition_brand: str = BITMAP_BRAND,
 ) -> DataFrame:
     """Rule and fee of bitmap transactions that already carry their calculated fields.
@@ -420,10 +394,14 @@ def bitmap_interchange(
     day = F.to_date("date_and_time_local_transaction")
     rows = txn.join(names, F.col("currency_code_transaction") == F.col("_num"), "left")
     targets = amount_currencies(rules, BITMAP_BOOK)
-    rows = convert_to_each(
-        rows, brand_rates(rates, condition_brand), F.col("amount_transaction"), F.col("_currency"), day, targets,
-        f"{MARK}amount_transaction",
-    )
+    fees = currencies_in(rules, "rate_currency")
+    own = RateMaps(brand_rates(rates, BITMAP_BRAND), sorted({*targets, *fees}))
+    rows = own.onto(rows, "_fx", day, F.col("_currency"))
+    if condition_brand == BITMAP_BRAND:
+        rows = converted(rows, "_fx", F.col("amount_transaction"), F.col("_currency"), targets, f"{MARK}amount_transaction")
+    else:
+        other = RateMaps(brand_rates(rates, condition_brand), targets).onto(rows, "_fx2", day, F.col("_currency"))
+        rows = converted(other, "_fx2", F.col("amount_transaction"), F.col("_currency"), targets, f"{MARK}amount_transaction").drop("_fx2")
     rows = _attributes(
         rows,
         BITMAP_ATTRIBUTES,
@@ -436,10 +414,8 @@ def bitmap_interchange(
         },
     )
     payload = ["region_country_code", "ird", "rule_id", *RATE_COLUMNS]
-    done = _assign(rows, rules, BITMAP_BOOK, payload, key, on_date, form)
-    priced = attach_rate(
-        done, brand_rates(rates, BITMAP_BRAND), "_fee_rate", day, F.col("_currency"), F.col("rate_currency")
-    )
+    done = _assign(rows, rules, BITMAP_BOOK, payload, on_date, per_pass)
+    rate = rate_into("_fx", F.col("_currency"), F.col("rate_currency"))
     return _with_fee(
-        priced, F.col("amount_transaction"), F.col("currency_code_transaction"), RATE_COLUMNS, F.col("_currency")
-    ).drop("_num", "_currency", "_fee_rate")
+        done, F.col("amount_transaction"), F.col("currency_code_transaction"), RATE_COLUMNS, F.col("_currency"), rate
+    ).drop("_num", "_currency", "_fx")
