@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,26 +46,35 @@ class RateMaps:
         from_field: str | Column = "currency_from",
         to_field: str = "currency_to",
         day: str = "app_processing_date",
+        by: str | None = None,
         limit: int = MAP_BYTES,
     ):
-        """``rates`` holds one brand; ``targets`` are the currencies wanted, all if not given."""
+        """``targets`` are the currencies wanted, all if not given.
+
+        ``rates`` holds one brand, or ``by`` names the column (the brand) that a row is looked up by too.
+        """
         source = F.col(from_field) if isinstance(from_field, str) else from_field
-        side = rates.select(F.col(day).alias("_fx_date"), source.alias("_fx_from"), F.col(to_field).alias("to"), F.col("exchange_value").alias("rate"))
+        self.keys = ["_fx_date", "_fx_from", *(["_fx_by"] if by else [])]
+        side = rates.select(
+            F.col(day).alias("_fx_date"), source.alias("_fx_from"), *([F.col(by).alias("_fx_by")] if by else []),
+            F.col(to_field).alias("to"), F.col("exchange_value").alias("rate"),
+        )
         if targets is not None:
             side = side.filter(F.col("to").isin(*targets)) if targets else side.limit(0)
-        once = side.filter("to IS NOT NULL").groupBy("_fx_date", "_fx_from", "to").agg(F.max("rate").alias("rate"))
-        maps = once.groupBy("_fx_date", "_fx_from").agg(F.map_from_entries(F.collect_list(F.struct("to", "rate"))).alias("_fx_map"))
+        once = side.filter("to IS NOT NULL").groupBy(*self.keys, "to").agg(F.max("rate").alias("rate"))
+        maps = once.groupBy(*self.keys).agg(F.map_from_entries(F.collect_list(F.struct("to", "rate"))).alias("_fx_map"))
         self.table = checkpointed(maps)
         size = self.table.agg(F.coalesce(F.sum(F.size("_fx_map") * _RATE_BYTES + 64), F.lit(0))).first()[0]
         self.small = size <= limit
 
-    def onto(self, df: DataFrame, name: str, on_date: Column, currency: Column) -> DataFrame:
+    def onto(self, df: DataFrame, name: str, on_date: Column, currency: Column, *by: Column) -> DataFrame:
         """Add the map of the row's day and currency as ``name`` (null without one); rows keep their number."""
+        values = dict(zip(self.keys, [on_date, currency, *by], strict=True))
         if self.small:
-            hit = (on_date == F.col("_fx_date")) & (currency == F.col("_fx_from"))
+            hit = reduce(lambda a, b: a & b, [value == F.col(key) for key, value in values.items()])
             return df.join(F.broadcast(self.table), hit, "left").select(*df.columns, F.col("_fx_map").alias(name))
-        keyed = df.withColumns({"_fx_day": on_date, "_fx_ccy": currency})
-        found = lookup_join(keyed, self.table, {"_fx_day": "_fx_date", "_fx_ccy": "_fx_from"}, ["_fx_map"])
+        keyed = df.withColumns({f"_of{key}": value for key, value in values.items()})
+        found = lookup_join(keyed, self.table, {f"_of{key}": key for key in self.keys}, ["_fx_map"])
         return found.select(*df.columns, F.col("_fx_map").alias(name))
 
 
@@ -122,23 +132,12 @@ def to_report_currency(
 ) -> DataFrame:
     """Settlement amounts in the customer's report currency, rounded."""
     owner = customers.select(F.col("code").alias("_code"), F.col("report_currency_code").alias("_report"))
-    side = rates.select(
-        F.col("app_processing_date").alias("_fx_date"),
-        F.col("brand").alias("_fx_brand"),
-        F.col("currency_from").alias("_fx_from"),
-        F.col("currency_to").alias("_fx_to"),
-        F.col("exchange_value").alias("_fx_rate"),
-    )
-    same = F.col("settlement_currency") == F.col("_report")
-    joined = detail.join(owner, F.col("app_customer_code") == F.col("_code")).join(
-        side,
-        (F.col("app_processing_date") == F.col("_fx_date"))
-        & (F.col("transaction_brand") == F.col("_fx_brand"))
-        & (F.col("settlement_currency") == F.col("_fx_from"))
-        & (F.col("_report") == F.col("_fx_to")),
-        "left",
-    )
-    rate = F.when(same, F.lit(1.0)).otherwise(F.col("_fx_rate"))
+    maps = RateMaps(rates, currencies_in(customers, "report_currency_code"), by="brand")
+    joined = maps.onto(
+        detail.join(owner, F.col("app_customer_code") == F.col("_code")),
+        "_fx", F.col("app_processing_date"), F.col("settlement_currency"), F.col("transaction_brand"),
+    )
+    rate = rate_into("_fx", F.col("settlement_currency"), F.col("_report"))
     keep = [c for c in detail.columns if c not in ("exchange_rate", "report_amount", "report_currency")]
     return joined.select(
         *keep,

@@ -11,6 +11,7 @@ nothing to rank afterwards and the transactions are never shuffled.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -104,23 +105,57 @@ def best_segments(ranges: DataFrame, low: str, high: str, order: Sequence[Column
     it is read several times and is small next to the transactions.
     """
     ranges = checkpointed(_long_keys(ranges, low, high))
-    levels = _levels(ranges, low, high)
-    small = sum(levels.values()) <= SMALL_RANGES
-    bounds = (
-        ranges.select(F.explode(F.array(F.col(low), F.col(high) + 1)).alias("seg_low")).distinct()
-    )
-    if small:
+    return covering_best(ranges, [], low, high, order, ranges.columns)
+
+
+def covering_best(ranges: DataFrame, by: Sequence[str], low: str, high: str, order: Sequence[Column], keep: Sequence[str]) -> DataFrame:
+    """Disjoint segments (``by``, seg_low, seg_high), each with ``keep`` of the first range by ``order`` that covers it.
+
+    ``ranges`` is a stored table with long bounds; ``by`` columns are not null. The ends of all ranges, in order, number the
+    pieces between them. A range is a run of pieces and falls into at most two aligned blocks for each power of two; the
+    best range of a block is kept, and a piece asks only the blocks it lies in. So no piece meets a range: rows grow
+    with the logarithm of the number of ranges, also where thousands of them lie in each other. Segments
+    that no range covers are left out.
+    """
+    ends = ranges.filter(F.col(low) <= F.col(high)).select(*by, F.explode(F.array(F.col(low), F.col(high) + 1)).alias("_end")).distinct()
+    ends = checkpointed(ends)
+    n = ends.count()
+    if n <= SMALL_RANGES:
         # bounded by SMALL_RANGES, so one sorted task is enough
-        edges = bounds.withColumn("seg_next", F.lead("seg_low").over(Window.orderBy("seg_low")))
+        number = F.row_number().over(Window.orderBy(*by, "_end")) - 1
+        numbered = ends.withColumn("_n", number.cast("bigint"))
     else:
-        numbered = global_row_number(bounds, [F.col("seg_low")], "_rn")
-        after = numbered.select(F.col("seg_low").alias("seg_next"), (F.col("_rn") - 1).alias("_rn"))
-        edges = numbered.join(after, "_rn", "left").drop("_rn")
-    pieces = edges.filter(F.col("seg_next").isNotNull()).select(
-        "seg_low", (F.col("seg_next") - 1).alias("seg_high")
-    )
-    covered = range_join(pieces, ranges, F.col("seg_low"), low, high, levels)
-    return latest_by(covered, ["seg_low", "seg_high"], order, ranges.columns)
+        numbered = global_row_number(ends, [F.col(c) for c in [*by, "_end"]], "_n", 0)
+    numbered = checkpointed(numbered)
+    following = numbered.select(*[F.col(c).alias(f"_f_{c}") for c in by], F.col("_end").alias("_next"), (F.col("_n") - 1).alias("_n"))
+    same = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_f_{c}") for c in by], F.lit(True))
+    pieces = numbered.join(following, "_n").filter(same).select(*by, F.col("_end").alias("seg_low"), (F.col("_next") - 1).alias("seg_high"), "_n")
+
+    def at(end: Column, name: str) -> tuple[DataFrame, Column]:
+        side = numbered.select(*[F.col(c).alias(f"_{name}_{c}") for c in by], F.col("_end").alias(f"_{name}_end"), F.col("_n").alias(name))
+        hit = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_{name}_{c}") for c in by], end == F.col(f"_{name}_end"))
+        return side, hit
+
+    located = ranges.filter(F.col(low) <= F.col(high))
+    for end, name in ((F.col(low), "_i"), (F.col(high) + 1, "_j")):
+        side, hit = at(end, name)
+        located = located.join(side, hit).drop(*[f"_{name}_{c}" for c in [*by, "end"]])
+    top = max(1, n.bit_length())
+    blocks = []
+    for k in range(top):
+        left, right = F.shiftright(F.col("_i") + ((1 << k) - 1), k), F.shiftright(F.col("_j"), k)
+        for x, odd in ((left, left), (right - 1, right)):
+            taken = (left < right) & (odd % 2 == 1)
+            blocks.append(F.when(taken, F.struct(F.lit(k).alias("k"), x.alias("x"))))
+    rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
+    value = F.struct(*[F.col(c) for c in keep])
+    filed = located.select(F.explode(F.filter(F.array(*blocks), lambda b: b.isNotNull())).alias("b"), rank.alias("_rank"), value.alias("_value"))
+    best = filed.groupBy("b.k", "b.x").agg(F.min_by("_value", "_rank").alias("_value"), F.min("_rank").alias("_rank"))
+    asked = pieces.select(*by, "seg_low", "seg_high", F.explode(F.sequence(F.lit(0), F.lit(top - 1))).alias("k"), "_n")
+    asked = asked.withColumn("x", F.expr("shiftright(_n, k)")).drop("_n")
+    found = asked.join(best, ["k", "x"]).groupBy(*by, "seg_low", "seg_high").agg(F.min_by("_value", "_rank").alias("_value"))
+    kept = [c for c in keep if c not in by]
+    return found.select(*by, "seg_low", "seg_high", *[F.col(f"_value.`{c}`").alias(c) for c in kept])
 
 
 def best_range(

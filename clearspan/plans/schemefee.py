@@ -6,10 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from clearspan.functions import cards
-from clearspan.operators.ranges import band_join, lookup_segments
+from clearspan.operators.fx import RateMaps, currencies_in, rate_into
+from clearspan.operators.ranges import band_join, covering_best, lookup_segments
 from clearspan.operators.skew import HOT_ROWS, global_row_number, lookup_join
 from clearspan.plans.calculated import BITMAP_BRAND, TEXT_BRAND
 from clearspan.session import checkpointed
@@ -66,6 +66,8 @@ DETAIL_COLUMNS = [
     "report_amount",
     "report_currency",
 ]
+#: Customer's flag for on-us transactions that are listed from both sides.
+DUPLICATE_FLAGS = {TEXT_BRAND: "duplicate_on_us_flag_visa", BITMAP_BRAND: "duplicate_on_us_flag_mastercard"}
 #: Report column -> detail column it groups by.
 CUBE_KEYS = {
     "app_execution_id": "app_execution_id",
@@ -145,30 +147,33 @@ def _lookups(
         F.col("customer_country").alias("_bank_country"),
         F.col("local_currency_code").alias("_local"),
         F.col("report_currency_code").alias("_report"),
+        *[F.col(c) for c in customers.columns if c in DUPLICATE_FLAGS.values()],
     )
     program = products.filter(F.col("brand") == PRODUCT_BRANDS[brand]).select(
         F.trim("product_code").alias("_product"), F.col("range_program_id").alias("_program")
     )
-    rate = rates.filter(F.col("brand") == brand).select(
-        F.col("app_processing_date").alias("_x_day"),
-        F.col("currency_from_code").try_cast("int").alias("_x_from"),
-        F.col("currency_to").alias("_x_to"),
-        F.col("exchange_value").alias("_x_rate"),
-    )
-    return (
-        rows.join(owner, F.col("app_customer_code") == F.col("_code"))
-        .join(program, F.trim(product) == F.col("_product"), "left")
-        .join(
-            rate,
-            (F.col("app_processing_date") == F.col("_x_day"))
-            & (currency.try_cast("int") == F.col("_x_from"))
-            & (F.col("_report") == F.col("_x_to")),
-            "left",
-        )
+    known = rows.join(owner, F.col("app_customer_code") == F.col("_code")).join(
+        program, F.trim(product) == F.col("_product"), "left"
+    )
+    maps = report_rates(rates, customers, brand)
+    return maps.onto(known, "_fx", F.col("app_processing_date"), currency.try_cast("int"))
+
+
+def report_rates(rates: DataFrame, customers: DataFrame, brand: str) -> RateMaps:
+    """Rates of a brand from numeric currencies into the customers' report currencies."""
+    return RateMaps(
+        rates.filter(F.col("brand") == brand), currencies_in(customers, "report_currency_code"), F.col("currency_from_code").try_cast("int")
     )
 
 
-def _detail(rows: DataFrame, values: dict[str, Column], execution: str, month: str) -> DataFrame:
+def _detail(
+    rows: DataFrame, values: dict[str, Column], execution: str, month: str, brand: str, mirror: bool | None, own: Column, label: str
+) -> DataFrame:
+    """Detail rows, each once or, where it is mirrored, from both sides.
+
+    A mirrored row is one that ``own`` holds for: it comes once more as issuing under ``label``. ``mirror`` true mirrors
+    those of all customers, null those of customers with the brand's flag.
+    """
     zero = F.lit(0.0)
     fixed = {
         "app_type_file": F.col("app_type_file"),
@@ -189,14 +194,14 @@ def _detail(rows: DataFrame, values: dict[str, Column], execution: str, month: s
         "report_currency": F.col("_report"),
     }
     every = {**fixed, **values}
-    return rows.select(*[every[c].alias(c) for c in DETAIL_COLUMNS])
-
-
-def _mirror(detail: DataFrame, rows: Column, label: str) -> DataFrame:
-    """The same transactions once more, from the issuing side."""
-    return detail.filter(rows).withColumns(
-        {"table_description": F.lit(label), "business_mode_id": F.lit("issuing")}
-    )
+    if mirror is False:
+        return rows.select(*[every[c].alias(c) for c in DETAIL_COLUMNS])
+    twice = own if mirror else own & F.coalesce(F.col(DUPLICATE_FLAGS[brand]), F.lit(False))
+    sides = F.when(twice, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    both = rows.withColumn("_twin", F.explode(sides))
+    every["table_description"] = F.when(F.col("_twin"), F.lit(label)).otherwise(every["table_description"])
+    every["business_mode_id"] = F.when(F.col("_twin"), F.lit("issuing")).otherwise(every["business_mode_id"])
+    return both.select(*[every[c].alias(c) for c in DETAIL_COLUMNS])
 
 
 def detail_text(
@@ -208,11 +213,11 @@ def detail_text(
     rates: DataFrame,
     execution: str,
     month: str,
-    mirror_on_us: bool = False,
+    mirror_on_us: bool | None = False,
 ) -> DataFrame:
     """Detail rows of clearing transactions of the text brand, both directions.
 
-    ``mirror_on_us`` adds outgoing on-us transactions once more as issuing.
+    ``mirror_on_us`` adds outgoing on-us transactions once more as issuing; null: those of customers with the flag.
     """
     group = types.select(
         F.col("business_transaction_type_id").cast("int").alias("_type"), F.col("transaction_type_id").alias("_group")
@@ -226,12 +231,12 @@ def detail_text(
         .join(group.filter(F.col("_group").isin(*GROUPS)), F.col("business_transaction_type") == F.col("_type"))
         .join(names, F.col("source_currency_code") == F.col("_num"), "left")
     )
-    rate = F.coalesce("_x_rate", F.lit(1.0))
+    rate = F.coalesce(F.try_element_at(F.col("_fx"), F.col("_report")), F.lit(1.0))
     local = F.coalesce(
         (F.col("_name") == F.col("_local")) | (F.col("dcc_indicator") != "1") | F.col("dcc_indicator").isNull(),
         F.lit(False),
     )
-    detail = _detail(
+    return _detail(
         rows,
         {
             "table_description": F.when(F.col("app_type_file") == "IN", LABELS["issuing"]).otherwise(
@@ -259,11 +264,11 @@ def detail_text(
         },
         execution,
         month,
+        TEXT_BRAND,
+        mirror_on_us,
+        (F.col("app_type_file") == "OUT") & (F.col("jurisdiction") == "on-us"),
+        LABELS["text_mirror"],
     )
-    if not mirror_on_us:
-        return detail
-    own = (F.col("app_type_file") == "OUT") & (F.col("jurisdiction") == "on-us")
-    return detail.unionByName(_mirror(detail, own, LABELS["text_mirror"]))
 
 
 def detail_online(
@@ -275,7 +280,7 @@ def detail_online(
     rates: DataFrame,
     execution: str,
     month: str,
-    mirror_on_us: bool = False,
+    mirror_on_us: bool | None = False,
 ) -> DataFrame:
     """Detail rows of online transactions (incoming files)."""
     group = types.select(
@@ -286,28 +291,19 @@ def detail_online(
         F.col("currency_alphabetic_code").alias("_settle_name"),
     )
     chosen = txn.filter(F.col("transaction_code_sms").isin(*CLEARING_CODES) & (F.col("app_type_file") == "IN"))
-    second = rates.filter(F.col("brand") == TEXT_BRAND).select(
-        F.col("app_processing_date").alias("_y_day"),
-        F.col("currency_from_code").try_cast("int").alias("_y_from"),
-        F.col("currency_to").alias("_y_to"),
-        F.col("exchange_value").alias("_y_rate"),
-    )
     rows = (
         _lookups(
             chosen, customers, products, rates, TEXT_BRAND, F.col("product_id_sms"), F.col("transaction_currency_code")
         )
-        .join(
-            second,
-            (F.col("app_processing_date") == F.col("_y_day"))
-            & (F.col("cryptogram_currency_code").try_cast("int") == F.col("_y_from"))
-            & (F.col("_report") == F.col("_y_to")),
-            "left",
-        )
         .join(group.filter(F.col("_group").isin(*GROUPS)), F.col("business_transaction_type") == F.col("_type"))
         .join(names, F.col("settlement_currency_code_sms").cast("string") == F.col("_num"), "left")
     )
+    rows = report_rates(rates, customers, TEXT_BRAND).onto(
+        rows, "_fx2", F.col("app_processing_date"), F.col("cryptogram_currency_code").try_cast("int")
+    )
     empty = F.col("transaction_amount") == 0
-    rate = F.when(empty, F.coalesce("_y_rate", F.lit(1.0))).otherwise(F.coalesce("_x_rate", F.lit(1.0)))
+    rate = F.when(empty, F.try_element_at(F.col("_fx2"), F.col("_report"))).otherwise(F.try_element_at(F.col("_fx"), F.col("_report")))
+    rate = F.coalesce(rate, F.lit(1.0))
     amount = F.when(empty, F.col("cryptogram_amount") + F.col("surcharge_amount_sms")).otherwise(
         F.col("transaction_amount")
     )
@@ -315,7 +311,7 @@ def detail_online(
     local = F.coalesce(
         (F.col("transaction_currency_code") == F.col("_local")) | (dcc != "1") | dcc.isNull(), F.lit(False)
     )
-    detail = _detail(
+    return _detail(
         rows.withColumn("_side", F.col("issuer_acquirer_indicator")),
         {
             "table_description": F.lit(LABELS["online"]),
@@ -341,12 +337,12 @@ def detail_online(
         },
         execution,
         month,
+        TEXT_BRAND,
+        mirror_on_us,
+        # the acquirer side of an online record is its business mode
+        (F.col("business_mode") == "acquiring") & (F.col("jurisdiction") == "on-us"),
+        LABELS["online_mirror"],
     )
-    if not mirror_on_us:
-        return detail
-    # the acquirer side of an online record is its business mode
-    own = (F.col("business_mode_id") == "acquiring") & (F.col("jurisdiction") == "on-us")
-    return detail.unionByName(_mirror(detail, own, LABELS["online_mirror"]))
 
 
 def detail_bitmap(
@@ -358,7 +354,7 @@ def detail_bitmap(
     rates: DataFrame,
     execution: str,
     month: str,
-    mirror_on_us: bool = False,
+    mirror_on_us: bool | None = False,
 ) -> DataFrame:
     """Detail rows of bitmap transactions, both directions."""
     group = types.select(
@@ -381,8 +377,8 @@ def detail_bitmap(
         .join(group, F.left("processing_code", F.lit(2)) == F.col("_type"), "left")
         .join(names, F.col("currency_code_transaction") == F.col("_num"), "left")
     )
-    rate = F.coalesce("_x_rate", F.lit(1.0))
-    detail = _detail(
+    rate = F.coalesce(F.try_element_at(F.col("_fx"), F.col("_report")), F.lit(1.0))
+    return _detail(
         rows,
         {
             "table_description": F.lit(LABELS["bitmap"]),
@@ -410,11 +406,11 @@ def detail_bitmap(
         },
         execution,
         month,
+        BITMAP_BRAND,
+        mirror_on_us,
+        (F.col("app_type_file") == "OUT") & (F.col("jurisdiction") == "on-us"),
+        LABELS["bitmap_mirror"],
     )
-    if not mirror_on_us:
-        return detail
-    own = (F.col("app_type_file") == "OUT") & (F.col("jurisdiction") == "on-us")
-    return detail.unionByName(_mirror(detail, own, LABELS["bitmap_mirror"]))
 
 
 def of_period(txn: DataFrame, first_day: str, last_day: str) -> DataFrame:
@@ -440,11 +436,7 @@ def with_switch_codes(detail: DataFrame, ranges: DataFrame) -> DataFrame:
         F.coalesce("end_value", "start_value").cast("bigint").alias("_high"),
         F.col("switch_code").alias("_switch"),
     ).filter("_low <= _high")
-    edges = closed.select(*pair, F.explode(F.array("_low", F.col("_high") + 1)).alias("seg_low")).distinct()
-    following = F.lead("seg_low").over(Window.partitionBy(*pair).orderBy("seg_low"))
-    pieces = edges.withColumn("seg_high", following - 1).filter(F.col("seg_high").isNotNull())
-    covered = pieces.join(closed, pair).filter(F.col("seg_low").between(F.col("_low"), F.col("_high")))
-    segments = checkpointed(covered.groupBy(*pair, "seg_low", "seg_high").agg(F.min("_switch").alias("_switch")))
+    segments = checkpointed(covering_best(checkpointed(closed), pair, "_low", "_high", [F.col("_switch")], ["_switch"]))
     return lookup_segments(
         detail,
         segments,
@@ -464,28 +456,14 @@ def with_size_tickets(detail: DataFrame, tickets: DataFrame, rates: DataFrame) -
         F.col("country_code_list").alias("_t_country"),
         F.col("ticket_currency").alias("_t_currency"),
     ).distinct()
-    side = rates.select(
-        F.col("app_processing_date").alias("_x_day"),
-        F.col("brand").alias("_x_brand"),
-        F.col("currency_from").alias("_x_from"),
-        F.col("currency_to").alias("_x_to"),
-        F.col("exchange_value").alias("_x_rate"),
-    )
     rows = detail.join(
         money,
         (F.col("transaction_brand") == F.col("_t_brand")) & (F.col("bank_country") == F.col("_t_country")),
         "left",
-    ).join(
-        side,
-        (F.col("app_processing_date") == F.col("_x_day"))
-        & (F.col("transaction_brand") == F.col("_x_brand"))
-        & (F.col("report_currency") == F.col("_x_from"))
-        & (F.col("_t_currency") == F.col("_x_to")),
-        "left",
-    )
-    amount = F.when(F.col("report_currency") == F.col("_t_currency"), F.col("report_amount")).otherwise(
-        F.col("report_amount") * F.col("_x_rate")
     )
+    maps = RateMaps(rates, currencies_in(tickets, "ticket_currency"), by="brand")
+    rows = maps.onto(rows, "_fx", F.col("app_processing_date"), F.col("report_currency"), F.col("transaction_brand"))
+    amount = F.col("report_amount") * rate_into("_fx", F.col("report_currency"), F.col("_t_currency"))
     rows = rows.withColumn("_ticket_amount", amount)
     bands = tickets.select(
         "brand", "country_code_list", "ticket_currency", "size_ticket_min", "size_ticket_max", F.col("app_id").alias("_band")

@@ -2,9 +2,11 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from clearspan.operators.ranges import best_range, range_join
+from clearspan.operators import ranges
+from clearspan.operators.ranges import best_range, covering_best, range_join
 from clearspan.operators.skew import chunked_scan, global_row_number, lookup_join
 
 
@@ -63,3 +65,37 @@ def test_global_row_number(spark):
     df = spark.createDataFrame([((i * 37) % 101,) for i in range(101)], "x int")
     got = global_row_number(df, [F.col("x")], "n", 5).collect()
     assert {r["x"]: r["n"] for r in got} == {i: i + 5 for i in range(101)}
+
+
+def _cover(rows, by, x):
+    return min((o for b, lo, hi, o in rows if b == by and lo <= x <= hi), default=None)
+
+
+@pytest.mark.parametrize("small", [ranges.SMALL_RANGES, 0])
+def test_covering_best_of_overlapping_ranges(spark, monkeypatch, small):
+    """Nested, touching, equal, empty and reversed ranges of several keys; with and without the one-task numbering."""
+    monkeypatch.setattr(ranges, "SMALL_RANGES", small)
+    rnd = random.Random(4)
+    rows = [(f"c{rnd.randrange(3)}", lo := rnd.randrange(400), lo + rnd.choice([-1, 0, 1, 5, 60, 300]), i) for i in range(150)]
+    rows += [("c0", 10, 20, 900), ("c0", 21, 30, 901), ("c0", 10, 20, 902), ("only", 5, 5, 903), (None, 1, 9, 904)]
+    table = spark.createDataFrame(rows, "by string, lo bigint, hi bigint, o int")
+    got = covering_best(table, ["by"], "lo", "hi", [F.col("o")], ["o"]).collect()
+    assert len({(r.by, r.seg_low) for r in got}) == len(got)
+    seen = {(r.by, x): r.o for r in got for x in range(r.seg_low, r.seg_high + 1)}
+    want = {(b, x): c for b in ("c0", "c1", "c2", "only") for x in range(-5, 800) if (c := _cover(rows, b, x)) is not None}
+    assert seen == want
+    assert covering_best(table.limit(0), ["by"], "lo", "hi", [F.col("o")], ["o"]).count() == 0
+
+
+def test_ten_thousand_ranges_of_one_customer(spark):
+    """Ranges that lie in each other: no piece meets a range, so rows stay near n log n."""
+    n = 10_000
+    table = spark.range(n).select(F.lit("c").alias("by"), F.col("id").alias("lo"), (3 * n - F.col("id")).alias("hi"), (n - F.col("id")).alias("o"))
+    table = ranges.checkpointed(table)
+    found = covering_best(table, ["by"], "lo", "hi", [F.col("o")], ["o"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    got = found.collect()
+    assert len(got) == 2 * n - 1
+    # inside lo..hi of range k the innermost range has the smallest number
+    assert all(r.o == n - min(r.seg_low, 3 * n - r.seg_high, n - 1) for r in got)
