@@ -367,6 +367,14 @@ SELECT 4000000000000000 + 30 * 10000000 * s_suppkey AS start_value,
 FROM {supplier}
 """
 
+#: The same ranges for both brands.
+SWITCH_RANGES_ALL = """
+SELECT * FROM {switch_ranges} v
+UNION ALL
+SELECT start_value + 1000000000000000, end_value + 1000000000000000, 'MasterCard', customer_code, 'mc' || switch_code
+FROM {switch_ranges} m
+"""
+
 INPUTS = {
     "currencies": CURRENCIES,
     "customers": CUSTOMERS,
@@ -391,6 +399,7 @@ INPUTS = {
     "rates": RATES_ORACLE,
     "tickets": TICKETS,
     "switch_ranges": SWITCH_RANGES,
+    "switch_ranges_all": SWITCH_RANGES_ALL,
 }
 
 _NAME = re.compile(r"\{([a-z]\w*)\}")

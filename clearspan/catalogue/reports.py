@@ -10,7 +10,7 @@ from clearspan.catalogue.inputs import Source, oracle
 from clearspan.catalogue.interchange import interchange_bitmap, interchange_online, interchange_text
 from clearspan.catalogue.oracles import ORACLE_INPUTS
 from clearspan.operators.fx import attach_rate, brand_rates, to_report_currency
-from clearspan.plans import analytics, audit, reconcile, schemefee
+from clearspan.plans import analytics, audit, reconcile, schemefee, schememonth
 from clearspan.session import checkpointed
 
 EXECUTION, MONTH = "run1", "199801"
@@ -378,6 +378,42 @@ def returned_costs(spark: SparkSession, sf: str) -> DataFrame:
     return schemefee.apply_returned_costs(report, returned)
 
 
+def _month(spark: SparkSession, sf: str) -> schememonth.Month:
+    """The month's chain over all brands; costs come back for groups without reversals."""
+    s = Source(spark, sf)
+    masters = (s.customers, s.currencies)
+    frames = [
+        schemefee.detail_text(calculated_text(s), *masters, s.text_types, s.products, s.rates, EXECUTION, MONTH, None),
+        schemefee.detail_online(calculated_online(s), *masters, s.text_types, s.products, s.rates, EXECUTION, MONTH, None),
+        schemefee.detail_bitmap(calculated_bitmap(s), *masters, s.bitmap_types, s.products, s.rates, EXECUTION, MONTH, None),
+    ]
+
+    def returned(report: DataFrame) -> DataFrame:
+        n = F.col("transaction_count")
+        return report.filter("reversal_indicator = 0").select(
+            "app_id", (n * 0.5).alias("txn_sfc"), (n * 0.25).alias("est_sch_fee_amt"), F.lit(0.5).alias("unt_sfc"), F.lit(0.25).alias("unt_est_sch_fee_amt")
+        )
+
+    return schememonth.run_month(
+        frames, s.switch_ranges_all, s.tickets, s.rates, s.products, s.funding, s.countries, returned, EXECUTION, MONTH, "1998-01-01"
+    )
+
+
+def scheme_fee_month(spark: SparkSession, sf: str) -> DataFrame:
+    return _month(spark, sf).detail.select(
+        "app_id", "app_hash_file", "table_description", "transaction_brand", "business_mode_id", "switch_code", "size_ticket",
+        "account_funding_source", "range_program_id", *schemefee.COSTS.values(),
+    )
+
+
+def scheme_fee_month_report(spark: SparkSession, sf: str) -> DataFrame:
+    return _month(spark, sf).legacy.withColumn("txn_amt", F.round("txn_amt", 4))
+
+
+def scheme_fee_month_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return _month(spark, sf).summary
+
+
 # --- analytics -----------------------------------------------------------------------------
 
 
@@ -436,6 +472,44 @@ def analytics_bitmap(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def analytics_online_mirrored(spark: SparkSession, sf: str) -> DataFrame:
+    """Online records, on-us ones from both sides; those without a stored cost are left out."""
+    s = Source(spark, sf)
+    kinds = F.when(
+        F.col("issuer_acquirer_indicator") == "A", F.array(F.lit(schemefee.LABELS["online"]), F.lit(schemefee.LABELS["online_mirror"]))
+    ).otherwise(F.array(F.lit(schemefee.LABELS["online"])))
+    costs = _two_sided_costs(s.txn_online, "VISA", kinds, schemefee.LABELS["online_mirror"])
+    return _shown(
+        analytics.online_transactions(
+            interchange_online(s), s.countries, s.customers, s.rules_text, s.bin_products, s.rates, costs, mirrored=True
+        )
+    )
+
+
+def analytics_bitmap_mirrored(spark: SparkSession, sf: str) -> DataFrame:
+    """Bitmap records, on-us ones from both sides; those without a stored cost are left out."""
+    s = Source(spark, sf)
+    kinds = F.when(
+        F.col("app_type_file") == "OUT", F.array(F.lit(schemefee.LABELS["bitmap"]), F.lit(schemefee.LABELS["bitmap_mirror"]))
+    ).otherwise(F.array(F.lit(schemefee.LABELS["bitmap"])))
+    costs = _two_sided_costs(s.elements.filter("app_id > 0"), "MasterCard", kinds, schemefee.LABELS["bitmap_mirror"])
+    return _shown(
+        analytics.bitmap_transactions(
+            interchange_bitmap(s), s.countries, s.customers, s.bitmap_bin_products, s.rates, costs, mirrored=True
+        )
+    )
+
+
+def _two_sided_costs(rows: DataFrame, brand: str, kinds: Column, mirror: str) -> DataFrame:
+    """Stored unit costs of the records, and of their mirror rows."""
+    listed = rows.filter(F.col("app_customer_code") != "BUILDING").select(
+        "app_customer_code", "app_type_file", "app_processing_date", "app_hash_file", "app_id", F.lit(brand).alias("transaction_brand"),
+        F.explode(kinds).alias("table_description"),
+    )
+    extra = F.when(F.col("table_description") == mirror, 1.0).otherwise(0.0)
+    return listed.withColumn("unitary_scheme_fee_cost", F.col("app_id") % 100 / 100 + extra)
+
+
 QUERIES = {
     "load_audit": load_audit,
     "settlement_report": settlement_report,
@@ -456,9 +530,14 @@ QUERIES = {
     "cost_pushback": cost_pushback,
     "detail_count_check": detail_count_check,
     "returned_costs": returned_costs,
+    "scheme_fee_month": scheme_fee_month,
+    "scheme_fee_month_report": scheme_fee_month_report,
+    "scheme_fee_month_summary": scheme_fee_month_summary,
     "analytics_text": analytics_text,
     "analytics_online": analytics_online,
     "analytics_bitmap": analytics_bitmap,
+    "analytics_online_mirrored": analytics_online_mirrored,
+    "analytics_bitmap_mirrored": analytics_bitmap_mirrored,
 }
 
 _SETTLEMENT_ROWS = """
@@ -543,7 +622,7 @@ SELECT * REPLACE ('VISA ON-US DUP (ACQ TO ISS)' AS table_description, 'issuing'
 FROM {o_detail} b WHERE app_type_file = 'OUT' AND jurisdiction = 'on-us'
 """
 _DETAIL_ONLINE = """
-SELECT app_id, app_hash_file, 'VISA SMS' AS table_description, CAST(CAST(card_number AS DECIMAL(19,0)) AS VARCHAR) AS account_number,
+SELECT app_id, app_hash_file, app_customer_code, k.app_processing_date, 'VISA SMS' AS table_description, CAST(CAST(card_number AS DECIMAL(19,0)) AS VARCHAR) AS account_number,
   CASE WHEN account_funding_source IN ('C', 'H', 'R') THEN 'C' WHEN account_funding_source IN ('D', 'P') THEN 'D' END AS account_funding_source,
   pan_extended_country_code AS account_range_country, product_id_sms AS product_id, p.range_program_id, jurisdiction,
   type_group AS business_transaction_type_id, reversal_indicator,
@@ -564,7 +643,7 @@ LEFT JOIN {rates} x2 ON x2.app_processing_date = k.app_processing_date AND x2.br
 WHERE transaction_code_sms IN ('05', '06', '07', '25', '26', '27')
 """
 _DETAIL_BITMAP = """
-SELECT app_id, app_hash_file, app_type_file, 'MASTERCARD ISS AND ACQ' AS table_description, CAST(pan AS VARCHAR) AS account_number,
+SELECT app_id, app_hash_file, app_type_file, app_customer_code, k.app_processing_date, 'MASTERCARD ISS AND ACQ' AS table_description, CAST(pan AS VARCHAR) AS account_number,
   funding_source AS account_funding_source, iar_country AS account_range_country, gcms_product_identifier AS product_id,
   p.range_program_id, jurisdiction, ty.transaction_type_id AS business_transaction_type_id,
   CASE WHEN (app_message_type = '1240' AND message_reversal_indicator = 'R')
@@ -589,8 +668,45 @@ SELECT 'run1' AS app_execution_id, '199801' AS report_month, report_currency, ap
   CAST(sum(CAST(round(report_amount, 4) AS DECIMAL(20,4))) AS DOUBLE) AS transaction_amount
 FROM {o_detail_all} d GROUP BY ALL
 """
+_MONTH_COLUMNS = ("app_id, app_hash_file, app_customer_code, app_processing_date, table_description, account_number, account_funding_source, "
+    "account_range_country, product_id, range_program_id, jurisdiction, business_transaction_type_id, reversal_indicator, currency_local_indicator, "
+    "motoec_indicator, merchant_country_code, bank_country, business_mode_id, report_currency, report_amount")
+_MONTH_DETAIL = f"""
+SELECT * REPLACE (coalesce(account_range_country, 'UNK') AS account_range_country, coalesce(account_funding_source, 'UNK') AS account_funding_source,
+    coalesce(account_number, '9999999999999999') AS account_number,
+    CASE WHEN jurisdiction IS NULL AND report_amount IS NULL THEN 'UNK' ELSE jurisdiction END AS jurisdiction,
+    CASE WHEN product_id IS NULL AND report_amount IS NULL THEN 'UNK' ELSE product_id END AS product_id,
+    coalesce(range_program_id, 'UNK') AS range_program_id, coalesce(report_amount, 0) AS report_amount)
+FROM (
+SELECT d.*, coalesce((SELECT min(r.switch_code) FROM {{switch_ranges_all}} r WHERE r.brand = d.transaction_brand AND r.customer_code = d.app_customer_code
+    AND CAST(d.account_number AS BIGINT) BETWEEN r.start_value AND coalesce(r.end_value, r.start_value)), '') AS switch_code,
+  coalesce(st.app_id, 0) AS size_ticket
+FROM (SELECT d.*, m.ticket_currency, CASE WHEN report_currency = m.ticket_currency THEN report_amount ELSE report_amount * x.exchange_value END AS ticket_amount
+  FROM (
+    SELECT {_MONTH_COLUMNS}, 'VISA' AS transaction_brand FROM {{o_detail}} a
+    UNION ALL SELECT {_MONTH_COLUMNS}, 'VISA' FROM (SELECT * REPLACE ('VISA ON-US DUP (ACQ TO ISS)' AS table_description, 'issuing' AS business_mode_id)
+      FROM {{o_detail}} b WHERE app_type_file = 'OUT' AND jurisdiction = 'on-us'
+      AND app_customer_code IN (SELECT code FROM {{customers}} u WHERE duplicate_on_us_flag_visa)) q
+    UNION ALL SELECT {_MONTH_COLUMNS}, 'VISA' FROM {{o_detail_online}} a
+    UNION ALL SELECT {_MONTH_COLUMNS}, 'VISA' FROM (SELECT * REPLACE ('VISA ON-US DUP (SMS TO ISS)' AS table_description, 'issuing' AS business_mode_id)
+      FROM {{o_detail_online}} b WHERE business_mode_id = 'acquiring' AND jurisdiction = 'on-us'
+      AND app_customer_code IN (SELECT code FROM {{customers}} u WHERE duplicate_on_us_flag_visa)) q
+    UNION ALL SELECT {_MONTH_COLUMNS}, 'MasterCard' FROM {{o_detail_bitmap}} a
+    UNION ALL SELECT {_MONTH_COLUMNS}, 'MasterCard' FROM (SELECT * REPLACE ('MASTERCARD ON-US DUP (ACQ TO ISS)' AS table_description, 'issuing' AS business_mode_id)
+      FROM {{o_detail_bitmap}} b WHERE app_type_file = 'OUT' AND jurisdiction = 'on-us'
+      AND app_customer_code IN (SELECT code FROM {{customers}} u WHERE duplicate_on_us_flag_mastercard)) q) d
+  LEFT JOIN (SELECT DISTINCT brand, country_code_list, ticket_currency FROM {{tickets}} t) m ON m.brand = d.transaction_brand AND m.country_code_list = d.bank_country
+  LEFT JOIN {{rates}} x ON x.app_processing_date = d.app_processing_date AND x.brand = d.transaction_brand AND x.currency_from = d.report_currency
+    AND x.currency_to = m.ticket_currency) d
+LEFT JOIN {{tickets}} st ON st.brand = d.transaction_brand AND st.country_code_list = d.bank_country AND st.ticket_currency = d.ticket_currency
+  AND ticket_amount >= st.size_ticket_min AND ticket_amount < st.size_ticket_max) w
+"""
+_MONTH_KEYS = ("account_number, bank_country, business_mode_id, transaction_brand, jurisdiction, account_funding_source, product_id, range_program_id, "
+    "business_transaction_type_id, reversal_indicator, motoec_indicator, currency_local_indicator, merchant_country_code, size_ticket, switch_code, "
+    "report_currency, app_customer_code")
 _EXTRA = {
     **ORACLE_INPUTS,
+    "o_month": _MONTH_DETAIL,
     "o_settlement": _SETTLEMENT_ROWS,
     "o_ours": _OURS,
     "o_reconciled": _RECONCILED,
@@ -732,6 +848,37 @@ SELECT count(*) AS detail_rows, (SELECT count(*) FROM (SELECT 1 FROM {o_detail_a
   business_mode_id, product_id, range_program_id, account_funding_source, business_transaction_type_id, jurisdiction, reversal_indicator,
   currency_local_indicator, motoec_indicator, account_number, merchant_country_code) g) AS report_rows, count(*) AS report_transactions, true AS consistent
 FROM {o_detail_all} e""",
+    "scheme_fee_month": f"""
+SELECT app_id, app_hash_file, table_description, transaction_brand, business_mode_id, switch_code, size_ticket, account_funding_source, range_program_id,
+  CASE WHEN reversal_indicator = 0 THEN n * 0.5e0 ELSE 0e0 END AS transaction_scheme_fee_cost,
+  CASE WHEN reversal_indicator = 0 THEN 0.5e0 ELSE 0e0 END AS unitary_scheme_fee_cost,
+  CASE WHEN reversal_indicator = 0 THEN n * 0.25e0 ELSE 0e0 END AS estimated_scheme_fee_cost,
+  CASE WHEN reversal_indicator = 0 THEN 0.25e0 ELSE 0e0 END AS unitary_estimated_scheme_fee_cost
+FROM (SELECT *, count(*) OVER (PARTITION BY {_MONTH_KEYS}) AS n FROM {{o_month}} d) q""",
+    "scheme_fee_month_report": f"""
+SELECT c.app_id, 'run1' AS app_execution_id, c.app_customer_code AS customer_code, '199801' AS report_month, c.app_customer_code AS rpt_bnk_id, 199801 AS set_mth,
+  CASE business_mode_id WHEN 'acquiring' THEN 1 WHEN 'issuing' THEN 2 END AS bus_id, CASE transaction_brand WHEN 'VISA' THEN 2 ELSE 1 END AS sch_id,
+  CAST(size_ticket AS INT) AS tkt_siz_id, p.legacy_product_id AS prd_id, TRY_CAST(c.range_program_id AS INT) AS prg_id,
+  f.bin_funding_source_mc_numeric_code AS fnd_src_id,
+  CASE WHEN transaction_brand = 'VISA' THEN CASE jurisdiction WHEN 'on-us' THEN 1 WHEN 'off-us' THEN 2 WHEN 'intraregional' THEN 3 WHEN 'interregional' THEN 4 END
+       ELSE CASE jurisdiction WHEN 'on-us' THEN 1 WHEN 'off-us' THEN 2 WHEN 'intraregional' THEN 4 WHEN 'interregional' THEN 8 END END AS txn_scp_id,
+  CASE business_transaction_type_id WHEN 'PUR' THEN 1 WHEN 'CSH' THEN 8 WHEN 'CRD' THEN 1 END AS txn_typ_id, reversal_indicator AS txn_rvsl_flg_id,
+  currency_local_indicator AS txn_crncy_lcl_flg_id, motoec_indicator AS txn_crd_prs_flg_id, left(account_number, 16) AS mct_cd, switch_code AS swt_cd,
+  n AS txn_cnt, round(amount, 4) AS txn_amt, CASE WHEN reversal_indicator = 0 THEN n * 0.5e0 ELSE 0e0 END AS txn_sfc,
+  CASE WHEN transaction_brand = 'VISA' THEN own.legacy_country_id ELSE alt.legacy_country_id END AS mct_ctry_id,
+  CASE WHEN reversal_indicator = 0 THEN 0.5e0 ELSE 0e0 END AS unt_sfc, CASE WHEN reversal_indicator = 0 THEN n * 0.25e0 ELSE 0e0 END AS est_sch_fee_amt,
+  CASE WHEN reversal_indicator = 0 THEN 0.25e0 ELSE 0e0 END AS unt_est_sch_fee_amt
+FROM (SELECT {_MONTH_KEYS}, count(*) AS n, CAST(sum(CAST(round(report_amount, 4) AS DECIMAL(20,4))) AS DOUBLE) AS amount,
+        row_number() OVER (ORDER BY {", ".join(k.strip() + " NULLS FIRST" for k in _MONTH_KEYS.split(","))}) AS app_id
+      FROM {{o_month}} d GROUP BY {_MONTH_KEYS}) c
+LEFT JOIN {{products}} p ON trim(p.product_code) = trim(c.product_id) AND p.brand = CASE transaction_brand WHEN 'VISA' THEN 'VISA' ELSE 'MC' END
+LEFT JOIN {{funding}} f ON f.bin_funding_source_code = c.account_funding_source
+LEFT JOIN {{countries}} own ON own.country_code = c.merchant_country_code
+LEFT JOIN {{countries}} alt ON alt.country_code_alternative = c.merchant_country_code""",
+    "scheme_fee_month_summary": f"""
+SELECT 'run1' AS app_execution_id, '199801' AS report_month, CAST(sum(n) AS BIGINT) AS number_of_inserted_rows, count(*) AS number_of_groups,
+  CAST(sum(n) AS BIGINT) AS number_of_transactions, CAST(sum(n) AS BIGINT) AS number_of_updated_rows
+FROM (SELECT count(*) AS n FROM {{o_month}} d GROUP BY {_MONTH_KEYS}) q""",
     "returned_costs": """
 SELECT o_orderkey AS app_id, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice ELSE 0 END AS transaction_scheme_fee_cost,
   CASE WHEN o_orderstatus <> 'P' THEN 0.5e0 ELSE 0 END AS unitary_scheme_fee_cost, 0e0 AS estimated_scheme_fee_amount,
@@ -828,4 +975,11 @@ LEFT JOIN {rates} x1 ON x1.app_processing_date = f.app_processing_date AND x1.br
 LEFT JOIN {rates} x2 ON x2.app_processing_date = f.app_processing_date AND x2.brand = 'MasterCard'
   AND x2.currency_from = f.rate_currency AND x2.currency_to = cu.report_currency_code) v""",
 }
+_TWINS = """
+WITH v AS ({view})
+SELECT * FROM v WHERE customer_code <> 'BUILDING'
+UNION ALL
+SELECT * REPLACE ('I' AS business_mode_code, round(row_id % 100 / 100e0 + 1e0, 8) AS scheme_fees_amount)
+FROM v WHERE customer_code <> 'BUILDING' AND jurisdiction_code = 'on-us' AND business_mode_code = 'A'"""
+_SQL |= {f"{name}_mirrored": _TWINS.replace("{view}", _SQL[name]) for name in ("analytics_online", "analytics_bitmap")}
 ORACLE = {k: oracle(v, _EXTRA) for k, v in _SQL.items()}

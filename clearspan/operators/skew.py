@@ -67,11 +67,12 @@ def lookup_join(
     on: Mapping[str, str],
     values: Sequence[str],
     hot_rows: int = HOT_ROWS,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Left join ``big`` to a table unique on its keys, null-safe and skew-safe.
 
     ``on`` maps columns of ``big`` to columns of ``lookup``. Lookup rows of hot
-    keys (a bounded number) are broadcast. The same rows of ``big`` then get a
+    keys (a bounded number) are broadcast; ``heavy`` gives these keys, named as in ``big``, where they are known. The same rows of ``big`` then get a
     spread-out helper key, so the remaining shuffle join never piles them into
     one task; every other row is joined as usual.
     """
@@ -86,7 +87,7 @@ def lookup_join(
             lambda a, b: a & b, [frame[left].eqNullSafe(other[k]) for left, k in right_keys.items()]
         )
 
-    heavy = hot_keys(big, list(on), hot_rows).select(
+    heavy = (hot_keys(big, list(on), hot_rows) if heavy is None else heavy).select(
         *[F.col(left).alias(f"_h{i}") for i, left in enumerate(on)]
     )
     heavy_match = reduce(
