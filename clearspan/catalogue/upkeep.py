@@ -154,6 +154,33 @@ def scd2_merge(spark: SparkSession, sf: str) -> DataFrame:
     return versions.merge_versions(history, incoming, _RANGE, *_VERSION, [*_RANGE, "effective"])
 
 
+def _timed_versions(s: Source) -> tuple[DataFrame, DataFrame]:
+    """Stored and incoming versions of the bitmap brand: a text timestamp orders them, ends are a second apart."""
+    stamp = F.to_timestamp_ntz(F.date_format("o_orderdate", "yyyy-MM-dd")) + F.make_dt_interval(secs=F.col("o_orderkey") % 86400)
+    rows = s.orders.select(
+        (F.col("o_custkey") % 200).alias("low_range"),
+        F.when(F.col("o_orderkey") % 40 != 0, F.col("o_orderstatus")).alias("gcms_product"),
+        F.date_format(stamp, "yyyyMMddHHmmss").alias("effective_timestamp"),
+        stamp.alias("app_date_valid"),
+        "o_orderkey",
+    )
+    open_end = F.lit(None).cast("timestamp_ntz")
+    history = rows.filter(F.col("o_orderkey") % 3 != 0).withColumn(
+        "app_date_end", F.when(F.col("o_orderkey") % 3 == 1, F.col("app_date_valid") + F.expr("INTERVAL 9 HOUR")).otherwise(open_end)
+    )
+    # a fifth of the incoming rows repeats a stored version under another number
+    again = history.filter(F.col("o_orderkey") % 5 == 1).withColumns({"o_orderkey": -F.col("o_orderkey"), "app_date_end": open_end})
+    return history, rows.filter(F.col("o_orderkey") % 3 == 0).withColumn("app_date_end", open_end).unionByName(again)
+
+
+def scd2_timeline(spark: SparkSession, sf: str) -> DataFrame:
+    history, incoming = _timed_versions(Source(spark, sf))
+    keys = ["low_range", "gcms_product"]
+    return versions.merge_versions(
+        history, incoming, keys, "effective_timestamp", "app_date_valid", "app_date_end", "1 SECOND", [*keys, "effective_timestamp"]
+    )
+
+
 def hierarchy_level(spark: SparkSession, sf: str) -> DataFrame:
     s = Source(spark, sf)
     rows = s.customer.select(
@@ -280,6 +307,7 @@ QUERIES = {
     "scd2_late": scd2_late,
     "scd2_insert": scd2_insert,
     "scd2_merge": scd2_merge,
+    "scd2_timeline": scd2_timeline,
     "hierarchy_level": hierarchy_level,
     "update_costs": update_costs,
     "delete_before_reprocess": delete_before_reprocess,
@@ -353,6 +381,27 @@ FROM part WHERE p_partkey % 3 <> 0 OR p_partkey % 2 = 0""",
     "scd2_close": _CLOSED,
     "scd2_late": _LATE,
     "scd2_insert": f"SELECT * FROM {_INCOMING} i WHERE {_NEW}",
+    "scd2_timeline": """
+WITH r AS (
+  SELECT o_custkey % 200 AS low_range, CASE WHEN o_orderkey % 40 <> 0 THEN o_orderstatus END AS gcms_product,
+    strftime(CAST(o_orderdate AS TIMESTAMP) + to_seconds(o_orderkey % 86400), '%Y%m%d%H%M%S') AS effective_timestamp,
+    CAST(o_orderdate AS TIMESTAMP) + to_seconds(o_orderkey % 86400) AS app_date_valid, o_orderkey FROM orders
+), h AS (
+  SELECT *, CASE WHEN o_orderkey % 3 = 1 THEN app_date_valid + INTERVAL 9 HOUR END AS app_date_end FROM r WHERE o_orderkey % 3 <> 0
+), n AS (
+  SELECT *, CAST(NULL AS TIMESTAMP) AS app_date_end FROM r WHERE o_orderkey % 3 = 0
+  UNION ALL SELECT low_range, gcms_product, effective_timestamp, app_date_valid, -o_orderkey, NULL FROM h WHERE o_orderkey % 5 = 1
+)
+SELECT low_range, gcms_product, effective_timestamp, app_date_valid, o_orderkey, coalesce(app_date_end, (
+    SELECT min(n.app_date_valid) FROM n WHERE n.low_range = h.low_range AND n.gcms_product IS NOT DISTINCT FROM h.gcms_product
+    AND n.effective_timestamp > h.effective_timestamp) - INTERVAL 1 SECOND) AS app_date_end
+FROM h
+UNION ALL
+SELECT low_range, gcms_product, effective_timestamp, app_date_valid, o_orderkey, (
+    SELECT min(h.app_date_valid) FROM h WHERE n.low_range = h.low_range AND n.gcms_product IS NOT DISTINCT FROM h.gcms_product
+    AND h.effective_timestamp > n.effective_timestamp) - INTERVAL 1 SECOND AS app_date_end
+FROM n WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.low_range = n.low_range AND h.gcms_product = n.gcms_product
+  AND h.effective_timestamp = n.effective_timestamp)""",
     "scd2_merge": f"{_CLOSED} UNION ALL SELECT * FROM ({_LATE}) i WHERE {_NEW}",
     "hierarchy_level": """
 SELECT c_custkey, c_mktsegment AS file, CAST(c_custkey // 7 AS VARCHAR) AS rollup_to, CAST(c_custkey AS VARCHAR) AS reporting_for,

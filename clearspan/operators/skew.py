@@ -125,18 +125,21 @@ def chunked_scan(
     order: Sequence[str],
     sums: Mapping[str, Column] | None = None,
     carries: Mapping[str, Column] | None = None,
+    lows: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Running sums and last-known values along an ordered group of any size.
 
+    ``lows`` add the least value that an expression has in the whole group, known to all its rows.
+
     ``chunk`` cuts a group into consecutive pieces of bounded length. Inside a
     piece the value is an ordinary window; between pieces only one summary row
     per piece is scanned. A file holding a third of all rows is therefore
     processed by as many tasks as it has pieces.
     """
-    sums, carries = dict(sums or {}), dict(carries or {})
+    sums, carries, lows = dict(sums or {}), dict(carries or {}), dict(lows or {})
     piece = [*group, chunk]
     staged = df
-    for name, expr in {**sums, **carries}.items():
+    for name, expr in {**sums, **carries, **lows}.items():
         staged = staged.withColumn(f"_in_{name}", expr)
 
     running = Window.partitionBy(*piece).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
@@ -153,17 +156,21 @@ def chunked_scan(
             F.max_by(f"_in_{n}", F.when(F.col(f"_in_{n}").isNotNull(), position)).alias(f"_s_{n}")
             for n in carries
         ],
+        *[F.min(f"_in_{n}").alias(f"_s_{n}") for n in lows],
     )
+    whole = Window.partitionBy(*group)
     before = Window.partitionBy(*group).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
     offsets = summary.select(
         *piece,
         *[F.coalesce(F.sum(f"_s_{n}").over(before), F.lit(0)).alias(f"_off_{n}") for n in sums],
         *[F.last(f"_s_{n}", ignorenulls=True).over(before).alias(f"_off_{n}") for n in carries],
+        *[F.min(f"_s_{n}").over(whole).alias(f"_off_{n}") for n in lows],
     )
     return local.join(offsets, piece, "inner").select(
         *[local[c] for c in df.columns],
         *[(F.col(f"_lo_{n}") + F.col(f"_off_{n}")).alias(n) for n in sums],
         *[F.coalesce(F.col(f"_lo_{n}"), F.col(f"_off_{n}")).alias(n) for n in carries],
+        *[F.col(f"_off_{n}").alias(n) for n in lows],
     )
 
 
