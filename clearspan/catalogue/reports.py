@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -240,6 +242,95 @@ def reconcile_bitmap(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _both_sides(s: Source, only_type: str | None = None) -> DataFrame:
+    """Settlement rows of issuing and acquiring reports."""
+    report = settlement_lines(s)
+    masters = (s.countries, s.currencies, s.text_types, s.text_cycles)
+    return reconcile.settlement_report_text(report, *masters, "2", only_type).unionByName(
+        reconcile.settlement_report_text(report, *masters, "1", only_type)
+    )
+
+
+def _named(rows: DataFrame, s: Source) -> DataFrame:
+    """Assigned text records with the names that the settlement report uses."""
+    types = s.text_types.select(F.col("business_transaction_type_id").alias("business_transaction_type"), F.col("short_description").alias("type_name"))
+    cycles = s.text_cycles.select(F.col("business_transaction_cycle_id").alias("business_transaction_cycle"), F.col("short_description").alias("cycle_name"))
+    names = s.rules_text.select("region_country_code", "rule_id", F.trim("fee_descriptor").alias("fee_descriptor"))
+    return (
+        rows.join(names, ["region_country_code", "rule_id"])
+        .join(types, "business_transaction_type", "left")
+        .join(cycles, "business_transaction_cycle", "left")
+        .drop("business_transaction_type", "business_transaction_cycle")
+        .withColumnsRenamed({"type_name": "business_transaction_type", "cycle_name": "business_transaction_cycle", "reversal_indicator": "reversal_flag"})
+    )
+
+
+_OPTIONAL = ["business_transaction_type", "business_transaction_cycle"]
+
+
+def reconcile_daily(spark: SparkSession, sf: str) -> DataFrame:
+    """Clearing records of both sides against the reports of each day, numbered after the ids in use."""
+    s = Source(spark, sf)
+    rows = _named(interchange_text(s).drop("app_processing_date").withColumnRenamed("purchase_date", "app_processing_date"), s)
+    ours = reconcile.in_local_currency(
+        rows, s.customers, s.rates, "VISA", F.col("app_processing_date"), F.col("currency_transaction"), F.col("source_amount"), F.col("calculated_value")
+    )
+    out = reconcile.reconcile_daily(_both_sides(s), ours, _TEXT_KEYS, _OPTIONAL)
+    order = [F.asc_nulls_first(c) for c in ("report_processing_date", *[f"{side}_{k}" for side in ("settlement", "interchange") for k in _TEXT_KEYS])]
+    last = reconcile.last_report_id(s.orders.select(F.col("o_orderkey").alias("app_id")))
+    return _doubles(reconcile.with_report_ids(out, order, last))
+
+
+def reconcile_daily_online(spark: SparkSession, sf: str) -> DataFrame:
+    """Online records of both sides against the reports of each day."""
+    s = Source(spark, sf)
+    rows = _named(interchange_online(s).drop("app_processing_date").withColumnRenamed("local_transaction_date", "app_processing_date"), s)
+    ours = reconcile.in_local_currency(
+        rows, s.customers, s.rates, "VISA", F.col("app_processing_date"), F.col("currency_transaction"), F.col("amount_transaction"), F.col("calculated_value")
+    )
+    return _doubles(reconcile.reconcile_daily(_both_sides(s, "310"), ours, _TEXT_KEYS, _OPTIONAL))
+
+
+def reconcile_daily_bitmap(spark: SparkSession, sf: str) -> DataFrame:
+    """Bitmap records in local currency against the totals of both members of each day."""
+    s = Source(spark, sf)
+    keys = ["jurisdiction", "business_mode", "ird", "business_transaction_type", "reversal_flag"]
+    types = s.bitmap_types.select(
+        F.col("business_transaction_type_id").alias("_t"), F.col("short_description").alias("business_transaction_type")
+    )
+    rows = (
+        interchange_bitmap(s)
+        .filter(F.col("rule_id").isNotNull())
+        .join(types, F.left("processing_code", F.lit(2)) == F.col("_t"), "left")
+        .withColumn("app_processing_date", F.to_date("date_and_time_local_transaction"))
+        .withColumn("reversal_flag", F.when(F.upper(F.left("message_reversal_indicator", F.lit(1))) == "R", 1).otherwise(0))
+    )
+    ours = reconcile.in_local_currency(
+        rows, s.customers, s.rates, "MasterCard", F.col("app_processing_date"), F.col("currency_transaction"), F.col("amount_transaction"),
+        F.col("calculated_value"),
+    )
+    n = F.col("l_orderkey")
+    totals = s.lineitem.select(
+        F.to_date("l_shipdate").alias("app_processing_date"),
+        F.lit("1644").alias("app_message_type"),
+        F.lit(685).alias("function_code"),
+        F.when(F.col("l_linenumber") % 2 == 0, "I").otherwise("A").alias("reconciled_member_activity"),
+        F.lit("1240").alias("reconciled_transaction_function_1"),
+        F.when(n % 5 == 0, "00399").when(n % 5 == 1, "00199").alias("reconciled_file"),
+        F.element_at(F.array(*[F.lit(x) for x in ("4", "1", "2", "8")]), (n % 4 + 1).cast("int")).alias("reconciled_business_activity_2"),
+        F.element_at(F.array(*[F.lit(x) for x in ("75", "80", "64", " ")]), (F.col("l_partkey") % 4 + 1).cast("int")).alias(
+            "reconciled_business_activity_4"
+        ),
+        F.element_at(F.array(F.lit("00"), F.lit("20"), F.lit("77")), (n % 3 + 1).cast("int")).alias("reconciled_processing_code"),
+        F.when(F.col("l_linenumber") == 1, "R").otherwise("O").alias("original_reversal_totals_indicator"),
+        F.col("l_linenumber").alias("total_transaction_number"),
+        exact("l_extendedprice", 4).alias("amount_net_transaction"),
+        exact("l_tax", 4).alias("amount_net_fee"),
+    )
+    theirs = reconcile.settlement_report_bitmap(totals, s.bitmap_types, "I").unionByName(reconcile.settlement_report_bitmap(totals, s.bitmap_types, "A"))
+    return _doubles(reconcile.reconcile_daily(theirs, ours, keys, ["business_transaction_type"]))
+
+
 def _doubles(df: DataFrame) -> DataFrame:
     return df.select(
         *[F.col(f.name).cast("double").alias(f.name) if f.dataType.typeName() == "decimal" else F.col(f.name) for f in df.schema]
@@ -518,6 +609,9 @@ QUERIES = {
     "reconcile_summary": reconcile_summary,
     "reconcile_bitmap": reconcile_bitmap,
     "report_ids": report_ids,
+    "reconcile_daily": reconcile_daily,
+    "reconcile_daily_online": reconcile_daily_online,
+    "reconcile_daily_bitmap": reconcile_daily_bitmap,
     "scheme_fee_detail": scheme_fee_detail,
     "scheme_fee_detail_online": scheme_fee_detail_online,
     "scheme_fee_detail_bitmap": scheme_fee_detail_bitmap,
@@ -746,7 +840,7 @@ FROM {{o_settlement}} s WHERE {_CLEARING} GROUP BY ALL""",
     "settlement_report_online": """
 SELECT app_processing_date, jurisdiction_assigned, fee_descriptor, business_transaction_type, business_transaction_cycle, reversal_flag,
   CAST(sum(n) AS BIGINT) AS settlement_count, CAST(sum(amount) AS DOUBLE) AS settlement_amount
-FROM {o_settlement} s WHERE type_code = '310' GROUP BY ALL""",
+FROM {o_settlement} s WHERE type_code = '310' AND cycle_code NOT IN ('7', '8', '0') GROUP BY ALL""",
     "reconcile": f"""
 SELECT {_R}, o.region_country_code AS jurisdiction_rule, o.fee_descriptor AS descriptor_rule, o.order_rule
 FROM {{o_reconciled}} r LEFT JOIN (SELECT region_country_code, trim(fee_descriptor) AS fee_descriptor, min(CAST(rule_id AS DOUBLE)) AS order_rule
@@ -975,6 +1069,78 @@ LEFT JOIN {rates} x1 ON x1.app_processing_date = f.app_processing_date AND x1.br
 LEFT JOIN {rates} x2 ON x2.app_processing_date = f.app_processing_date AND x2.brand = 'MasterCard'
   AND x2.currency_from = f.rate_currency AND x2.currency_to = cu.report_currency_code) v""",
 }
+#: Settlement rows of both sides: the country is the destination's for issuing, the source's for acquiring reports.
+_BOTH_ROWS = _SETTLEMENT_ROWS.replace("SELECT q.*,", "SELECT q.*, side AS business_mode,").replace(
+    "CASE WHEN l_linenumber = 7 THEN 1 ELSE 0 END AS reversal_flag",
+    "CASE WHEN l_linenumber = 7 THEN 1 ELSE 0 END AS reversal_flag, CASE WHEN l_orderkey % 2 = 0 THEN 'issuing' ELSE 'acquiring' END AS side",
+).replace("l_orderkey % 2 = 0 AND l_orderkey % 9", "l_orderkey % 9").replace("c.country_numeric = dst", "c.country_numeric = CASE side WHEN 'issuing' THEN dst ELSE src END")
+
+
+def _daily(keys: Sequence[str], theirs: str, ours: str, optional: Sequence[str]) -> str:
+    """Full match by day and key, with the differences."""
+    left = ", ".join(f"{k} AS settlement_{k}" for k in keys)
+    right = ", ".join(f"{k} AS interchange_{k}" for k in keys)
+    same = " AND ".join(
+        f"coalesce(settlement_{k}, '') = coalesce(interchange_{k}, '')" if k in optional else f"settlement_{k} = interchange_{k}" for k in keys
+    )
+    return f"""
+SELECT * EXCLUDE (settled, ours, day_a, day_b), coalesce(day_a, day_b) AS report_processing_date, settled - ours AS diff_count,
+  coalesce(settlement_amount, 0e0) - coalesce(interchange_amount, 0e0) AS diff_amount,
+  coalesce(settlement_irf_amount, 0e0) - coalesce(interchange_irf_amount, 0e0) AS diff_irf_amount, abs(ours - settled) AS diff_count_abs,
+  least(ours, settled) AS metric_count, greatest(ours - settled, 0) AS metric_excess_count,
+  CASE WHEN coalesce(settlement_count, 1) <> 0 THEN CAST(abs(ours - settled) - greatest(ours - settled, 0) AS DOUBLE)
+    / CAST(coalesce(settlement_count, 1) AS DOUBLE) END AS absolute_error
+FROM (SELECT *, coalesce(settlement_count, 0) AS settled, coalesce(interchange_count, 0) AS ours FROM (
+  SELECT app_processing_date AS day_a, {left}, CAST(sum(n) AS BIGINT) AS settlement_count, CAST(sum(amount) AS DOUBLE) AS settlement_amount,
+    CAST(sum(irf) AS DOUBLE) AS settlement_irf_amount FROM ({theirs}) t GROUP BY app_processing_date, {", ".join(keys)}) a
+FULL JOIN (SELECT day AS day_b, {right}, count(*) AS interchange_count, CAST(sum(local_amount) AS DOUBLE) AS interchange_amount,
+    CAST(sum(local_fee) AS DOUBLE) AS interchange_irf_amount FROM ({ours}) o GROUP BY day, {", ".join(keys)}) b
+ON day_a = day_b AND {same}) j"""
+
+
+_DAILY_ONLINE = """
+SELECT f.jurisdiction_assigned, f.business_mode, trim(f.fee_descriptor) AS fee_descriptor, ty.short_description AS business_transaction_type,
+  CAST(NULL AS VARCHAR) AS business_transaction_cycle, f.reversal_indicator AS reversal_flag, f.local_transaction_date AS day,
+  CAST(round(f.fee_base * coalesce(x.exchange_value, 1e0), 6) AS DECIMAL(24,6)) AS local_amount,
+  CAST(round(f.calculated_value * coalesce(x.exchange_value, 1e0), 8) AS DECIMAL(24,8)) AS local_fee
+FROM {o_online_fee} f JOIN {customers} cu ON cu.code = f.app_customer_code
+LEFT JOIN {text_types} ty ON ty.business_transaction_type_id = f.business_transaction_type
+LEFT JOIN {rates} x ON x.app_processing_date = f.local_transaction_date AND x.brand = 'VISA'
+  AND x.currency_from_code = f.transaction_currency_code AND x.currency_to = cu.local_currency_code
+WHERE f.rule_id IS NOT NULL"""
+_DAILY_BITMAP = """
+SELECT f.jurisdiction, f.business_mode, f.ird, ty.short_description AS business_transaction_type,
+  CASE WHEN message_reversal_indicator = 'R' THEN 1 ELSE 0 END AS reversal_flag, CAST(f.date_and_time_local_transaction AS DATE) AS day,
+  CAST(round(f.amount_transaction * coalesce(x.exchange_value, 1e0), 6) AS DECIMAL(24,6)) AS local_amount,
+  CAST(round(f.calculated_value * coalesce(x.exchange_value, 1e0), 8) AS DECIMAL(24,8)) AS local_fee
+FROM {o_bitmap_fee} f LEFT JOIN {bitmap_types} ty ON ty.business_transaction_type_id = left(f.processing_code, 2)
+LEFT JOIN {rates} x ON x.app_processing_date = CAST(f.date_and_time_local_transaction AS DATE) AND x.brand = 'MasterCard'
+  AND CAST(x.currency_from_code AS INT) = f.currency_code_transaction AND x.currency_to = f.local_currency_code
+WHERE f.rule_id IS NOT NULL"""
+_DAILY_TOTALS = """
+SELECT CAST(l_shipdate AS DATE) AS app_processing_date, CASE l_orderkey % 4 WHEN 0 THEN 'off-us' WHEN 2 THEN 'intraregional' ELSE 'interregional' END AS jurisdiction,
+  CASE WHEN l_linenumber % 2 = 0 THEN 'issuing' ELSE 'acquiring' END AS business_mode,
+  CASE l_partkey % 4 WHEN 0 THEN '75' WHEN 1 THEN '80' ELSE '64' END AS ird,
+  CASE l_orderkey % 3 WHEN 0 THEN 'Purchase' WHEN 1 THEN 'Refund' END AS business_transaction_type,
+  CASE WHEN l_linenumber = 1 THEN 1 ELSE 0 END AS reversal_flag, l_linenumber AS n,
+  CAST(round(l_extendedprice, 4) AS DECIMAL(20,4)) AS amount, CAST(round(l_tax, 4) AS DECIMAL(20,4)) AS irf
+FROM lineitem WHERE l_partkey % 4 <> 3 AND (l_orderkey % 5 = 1 OR (l_orderkey % 5 > 1 AND l_linenumber % 2 = 0))"""
+_DAILY_TEXT = _daily(
+    _TEXT_KEYS, f"SELECT * FROM {{o_both}} s WHERE {_CLEARING} AND (type_code <> '310' OR business_mode = 'issuing')",
+    "SELECT *, purchase_date AS day FROM {o_ours} x", _OPTIONAL,
+)
+_SQL |= {
+    "reconcile_daily": f"""
+SELECT *, (SELECT max(o_orderkey) FROM orders) + row_number() OVER (ORDER BY report_processing_date,
+  {", ".join(f"{side}_{k} NULLS FIRST" for side in ("settlement", "interchange") for k in _TEXT_KEYS)}) AS app_id FROM ({_DAILY_TEXT}) d""",
+    "reconcile_daily_online": _daily(
+        _TEXT_KEYS, "SELECT * FROM {o_both} s WHERE type_code = '310' AND cycle_code NOT IN ('7', '8', '0')", _DAILY_ONLINE, _OPTIONAL
+    ),
+    "reconcile_daily_bitmap": _daily(
+        ["jurisdiction", "business_mode", "ird", "business_transaction_type", "reversal_flag"], _DAILY_TOTALS, _DAILY_BITMAP, ["business_transaction_type"]
+    ),
+}
+_EXTRA["o_both"] = _BOTH_ROWS
 _TWINS = """
 WITH v AS ({view})
 SELECT * FROM v WHERE customer_code <> 'BUILDING'

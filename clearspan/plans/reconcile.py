@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clearspan.operators.fx import RateMaps, brand_rates, currencies_in
 from clearspan.operators.skew import global_row_number
 
 # --- fixed values -------------------------------------------------------------
@@ -22,6 +23,8 @@ ACCEPTED_RETURNS = ["N", " "]
 TOTALS_MESSAGE, TOTALS_FUNCTION = "1644", "685"
 PRESENTMENT = "1240"
 ACCEPTED_FILES = ["001", "002"]
+#: Column of the processing day.
+DAY = "app_processing_date"
 ACTIVITY_JURISDICTIONS = {
     "4": "off-us",
     "1": "interregional",
@@ -52,7 +55,7 @@ def settlement_report_text(
 
     ``report`` holds typed report lines with their aggregation level; ``mode`` is
     the report's business mode (1 or 2). ``only_type`` keeps one business
-    transaction type (the online reconciliation) instead of the clearing ones.
+    transaction type (the online reconciliation) instead of the clearing ones; the excluded cycles stay out of both.
     """
     kind, cycle = F.trim("business_transaction_type"), F.trim("business_transaction_cycle")
     chosen = (
@@ -62,7 +65,7 @@ def settlement_report_text(
         & F.col("return_indicator").isin(*ACCEPTED_RETURNS)
     )
     if only_type is not None:
-        chosen = chosen & (kind == only_type)
+        chosen = chosen & (kind == only_type) & ~F.coalesce(cycle.isin(*EXCLUDED_CYCLES), F.lit(False))
     else:
         excluded = (kind.try_cast("int") >= FIRST_EXCLUDED_TYPE) | cycle.isin(*EXCLUDED_CYCLES)
         if mode == "1":
@@ -150,6 +153,38 @@ def settlement_report_bitmap(elements: DataFrame, types: DataFrame, member: str)
     )
 
 
+def in_local_currency(
+    rows: DataFrame, customers: DataFrame, rates: DataFrame, brand: str, day: Column, currency: Column, amount: Column, fee: Column, places: int = 6
+) -> DataFrame:
+    """Add ``local_amount`` and ``local_fee``: amounts in the customer's local currency, exact, unchanged where no rate is known.
+
+    ``currency`` is numeric; the day is that of the purchase.
+    """
+    owner = customers.select(F.col("code").alias("_owner"), F.col("local_currency_code").alias("_local"))
+    maps = RateMaps(brand_rates(rates, brand), currencies_in(customers, "local_currency_code"), F.col("currency_from_code").cast("string"))
+    known = maps.onto(rows.join(owner, F.col("app_customer_code") == F.col("_owner"), "left"), "_fx", day, currency.cast("string"))
+    rate = F.coalesce(F.try_element_at(F.col("_fx"), F.col("_local")), F.lit(1.0))
+    exact = lambda c, k: F.round(c * rate, k).cast(f"decimal(24,{k})")
+    return known.withColumns({"local_amount": exact(amount, places), "local_fee": exact(fee, places + 2)}).drop("_owner", "_local", "_fx")
+
+
+def reconcile_daily(settlement: DataFrame, interchange: DataFrame, keys: Sequence[str], optional_keys: Sequence[str] = ()) -> DataFrame:
+    """Match of settlement and interchange groups of one processing day, for all days at once.
+
+    Differences of opposite sign on two days stay apart. ``interchange`` are assigned transactions in local
+    currency; both sides are summed by day and key before they meet.
+    """
+    by = [DAY, *keys]
+    theirs = settlement.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ("settlement_count", "settlement_amount", "settlement_irf_amount")])
+    matched = reconcile(theirs, interchange_report(interchange, by), by, optional_keys)
+    return matched.drop(f"settlement_{DAY}", f"interchange_{DAY}")
+
+
+def last_report_id(stored: DataFrame, column: str = "app_id") -> int:
+    """The largest id that a stored report has given out, 0 without one."""
+    return int(stored.agg(F.max(column)).first()[0] or 0)
+
+
 def interchange_report(assigned: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Computed interchange per group: count, local amount, local fee."""
     return assigned.groupBy(*keys).agg(
