@@ -6,10 +6,13 @@ space). A window is the shortest run of lines from some line on that holds at le
 share a run of that many words, they share a window, hence its fingerprint: no repeated run
 of ``min_words`` words is missed.
 
-Fingerprints found at two or more places are opened: their windows are joined by content,
+Fingerprints found at two or more places are opened: their windows are joined by content (64-bit hashes),
 the first place of each content in corpus order (by id, then line) stays, and lines of
-windows that repeat an earlier one go. Overlapping windows extend a match both ways, line by
-line, to the whole repeated run. The work is linear in lines; no pairs of places are made.
+windows that repeat an earlier one go. Overlapping windows extend a match line by
+line. A second pass extends it to its last line: lines at the end of a repeated run have too few words after them for a window of
+their own, so the shortest runs that end in a line are joined in the same way, as far as they begin like a repeated window. The work
+is linear in lines; no pairs of places are made. In a text that repeats itself the first window stays as a place, but
+its lines go where a later, overlapping window that repeats it covers them.
 """
 
 from __future__ import annotations
@@ -211,7 +214,8 @@ def op1_line_dedup(spark, sf_dir: str) -> DataFrame:
     return without_repeats(docs)
 
 
-#: DuckDB SQL of ``op1_line_dedup`` (ids are unique in the tables).
+#: DuckDB SQL of ``op1_line_dedup`` (ids are unique in the tables). A repeated run is the union of the shortest runs of 50 words
+#: that begin at its lines and the shortest that end there, as far as they lie inside it.
 OP1_SQL = r"""
 WITH l AS (
   SELECT doc_id, i - 1 AS i, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w
@@ -222,11 +226,14 @@ WITH l AS (
     sum(len(w)) OVER o AS upto, len(w) AS n
   FROM l WHERE len(w) > 0 WINDOW o AS (PARTITION BY doc_id ORDER BY i)
 ), e AS (
-  SELECT a.doc_id, a.i, a.k, min(b.k) AS last_k
-  FROM f a JOIN f b ON a.doc_id = b.doc_id AND b.k >= a.k AND b.upto - a.upto + a.n >= 50 GROUP BY ALL
+  SELECT a.doc_id, a.k, min(b.k) AS last_k
+  FROM f a JOIN f b ON a.doc_id = b.doc_id AND b.k >= a.k AND b.upto - a.upto + a.n >= 50 GROUP BY a.doc_id, a.k
+  UNION
+  SELECT b.doc_id, max(a.k) AS k, b.k AS last_k
+  FROM f a JOIN f b ON a.doc_id = b.doc_id AND b.k >= a.k AND b.upto - a.upto + a.n >= 50 GROUP BY b.doc_id, b.k
 ), c AS (
-  SELECT e.doc_id, e.i AS first, max(f.i) AS last, list(f.words ORDER BY f.k) AS content
-  FROM e JOIN f ON e.doc_id = f.doc_id AND f.k BETWEEN e.k AND e.last_k GROUP BY e.doc_id, e.i
+  SELECT e.doc_id, min(f.i) AS first, max(f.i) AS last, list(f.words ORDER BY f.k) AS content
+  FROM e JOIN f ON e.doc_id = f.doc_id AND f.k BETWEEN e.k AND e.last_k GROUP BY e.doc_id, e.k, e.last_k
 ), r AS (
   SELECT doc_id, first, last FROM (SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, first) AS n FROM c) WHERE n > 1
 ), g AS (
