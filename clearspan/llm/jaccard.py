@@ -5,12 +5,17 @@ into more parts than two sets at the threshold can differ in elements, so any tw
 agree wholly in a part that is not empty (pigeonhole). The hash of a part is a token of the
 matrix; only sets with a token that another set also has go on.
 
-These sets are partitioned into groups of similar ones: each goes with its most shared token,
+Two sets at the threshold have many tokens in common, at least as many as the smaller of their full parts exceeds the
+elements in which they can differ; a set that needs k leaves its k - 1 most common tokens out and still has one in common with each
+that it links with.
+
+These sets are partitioned into groups of similar ones: each goes with its most shared token that is left,
 and large groups are split. The matrix says which group holds which token. Sets of one group
-are compared in one task call. Two groups are opened for each other only if the matrix has a
-token in both and they are not in one component already; there, each set that has such a token
-is first bounded by its overlap with the union of the other group's shingles, and compared only
-if that reaches the threshold. Calls return links that join components, not pairs. No candidate is dropped.
+are compared in one task call. Then each set whose tokens are elsewhere too meets one hub group, and the components are joined: of
+a family of near copies that fills many groups, groups meet a hub, not each other. Only groups with sets still apart are opened
+for each other: a set goes there only if it has as many tokens in the stored union of the other group's as it needs,
+and in the call is bounded again by its overlap with the union of the shingles that came. Calls return links that join components, not
+pairs. No candidate is dropped.
 """
 
 from __future__ import annotations
@@ -21,13 +26,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from clearspan.llm.common import need, written
 from clearspan.llm.components import components
-from clearspan.llm.spans import blocks, hash_spans, lowered, mix, windows, words_of
+from clearspan.llm.spans import blocks, buffer_of, hash_spans, lowered, mix, windows, words_of
 
 #: Sets in a group on average, where a group is split.
 GROUP = 256
+#: Sets that meet a hub group in one call.
+GUESTS = 1024
 #: Largest bit map of shared tokens, as a power of two bits: 16 MiB.
 MAP_BITS = 27
 
@@ -52,9 +60,14 @@ class Bands:
     """
 
     def __init__(self, num: int, den: int, largest: int):
+        if 2 * num <= den:
+            raise ValueError("sets at a threshold of a half or less can differ in as many elements as they have")
         self.starts = [1]
         while self.starts[-1] <= largest:
-            self.starts.append(max(self.starts[-1] + 1, -(-self.starts[-1] * 5 * den // (4 * num))))
+            low = self.starts[-1]
+            # narrow enough that the least set has more elements than two sets of the band can differ in
+            wide = -(-low * num // (den - num)) if den > num else low * 2
+            self.starts.append(max(low + 1, min(wide, -(-low * 5 * den // (4 * num)))))
         tops, differ, parts = [], [], []
         for low, high in zip(self.starts[:-1], self.starts[1:], strict=True):
             tops.append((high - 1) * den // num)
@@ -77,16 +90,20 @@ class Bands:
         return np.concatenate([np.arange(len(sizes)), also]), np.concatenate([own, own[also] - 1])
 
 
-def part_tokens(shingles: np.ndarray, at: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """(set, token) for every part that is not empty, of sets given in a row with the number before each.
+def part_tokens(shingles: np.ndarray, at: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(set, token) for every part that is not empty, of sets given in a row with the number before each; and each set's need.
+
+    The need is the least number of tokens that a set has in common with any set at the threshold: the parts that are not
+    empty, less those in which the two can differ, and one at least.
 
     Should a set have too few such parts under a hash, it is split again under the next one, and goes by
     both: of two sets at the threshold, the first hash that suffices for either gives a common token.
     """
     sizes = np.diff(at)
     full = np.flatnonzero(sizes)
+    need = np.ones(len(sizes), np.int64)
     if not len(full):
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), need
     bands = Bands(num, den, int(sizes.max()))
     which, key = bands.keys(sizes[full])
     owner = full[which]
@@ -110,9 +127,14 @@ def part_tokens(shingles: np.ndarray, at: np.ndarray, num: int, den: int) -> tup
         name = (key[e].astype(np.uint64) << np.uint64(40)) + (some - start[e]).astype(np.uint64) + (np.uint64(seed) << np.uint64(56))
         out_set.append(owner[e])
         out_token.append(mix((low[some] + (high[some] << np.uint64(32))) ^ mix(name)))
-        enough = np.bincount(e, minlength=len(owner)) > bands.differ[key]
+        agree = np.bincount(e, minlength=len(owner)) - bands.differ[key]
+        if seed == 0:
+            least = np.full(len(sizes), np.iinfo(np.int64).max)
+            np.minimum.at(least, owner, agree)
+            need[full] = np.maximum(1, least[full])
+        enough = agree > 0
         owner, key, seed = owner[~enough], key[~enough], seed + 1
-    return np.concatenate(out_set), np.concatenate(out_token)
+    return np.concatenate(out_set), np.concatenate(out_token), need
 
 
 def _nodes(shingles: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -132,7 +154,7 @@ def _all_tokens(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, data, offsets in blocks(batches):
             shingles, at = shingle_sets(data, offsets, n)
-            owner, tokens = part_tokens(shingles, at, num, den)
+            owner, tokens, _ = part_tokens(shingles, at, num, den)
             nodes = _nodes(shingles, at)[owner].view(np.int64)
             order = np.lexsort((nodes, tokens))
             tokens, nodes = tokens[order].view(np.int64), nodes[order]
@@ -171,14 +193,14 @@ def in_map(tokens: np.ndarray, words: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _sketches(docs: DataFrame, n: int, num: int, den: int, shared: tuple[np.ndarray, int]) -> DataFrame:
-    """(key, doc_id, n, node, tokens) of every document: size and hash of its set, and its tokens that may be shared."""
+    """(key, doc_id, n, node, need, tokens) of every document: size and hash of its set, its need, and its tokens that may be shared."""
     words, bits = docs.sparkSession.sparkContext.broadcast(shared[0]), shared[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in blocks(batches):
             shingles, at = shingle_sets(data, offsets, n)
             sizes = np.diff(at)
-            owner, tokens = part_tokens(shingles, at, num, den)
+            owner, tokens, need = part_tokens(shingles, at, num, den)
             signed = tokens.view(np.int64)
             hit = in_map(signed, words.value, bits)
             owner, signed = owner[hit], signed[hit]
@@ -187,30 +209,28 @@ def _sketches(docs: DataFrame, n: int, num: int, den: int, shared: tuple[np.ndar
             lists = pa.ListArray.from_arrays(cuts, pa.array(signed[order], pa.int64()))
             nodes = _nodes(shingles, at).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64(), mask=sizes == 0), lists],
-                ["key", "doc_id", "n", "node", "tokens"],
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64(), mask=sizes == 0), pa.array(need, pa.int64()), lists],
+                ["key", "doc_id", "n", "node", "need", "tokens"],
             )
 
-    return docs.select("key", "doc_id", "text").mapInArrow(run, "key bigint, doc_id bigint, n bigint, node bigint, tokens array<bigint>")
+    return docs.select("key", "doc_id", "text").mapInArrow(run, "key bigint, doc_id bigint, n bigint, node bigint, need bigint, tokens array<bigint>")
 
 
-def _sets(docs: DataFrame, n: int, wanted: tuple[np.ndarray, int]) -> DataFrame:
-    """(key, shingles) of the documents (key, text) whose key is in a bit map, and of a few others.
-
-    The whole set, as 64-bit little-endian numbers, ascending.
-    """
+def _texts(docs: DataFrame, wanted: tuple[np.ndarray, int]) -> DataFrame:
+    """(key, text) of the documents whose key is in a bit map, and of a few others. Texts are packed closer than sets of hashes."""
     words, bits = docs.sparkSession.sparkContext.broadcast(wanted[0]), wanted[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            own = pa.RecordBatch.from_arrays(whole.columns, whole.schema.names)
-            keys = own.column(0).to_numpy(zero_copy_only=False)
-            for batch, data, offsets in blocks(iter([own.filter(pa.array(in_map(keys, words.value, bits)))])):
-                shingles, at = shingle_sets(data, offsets, n)
-                raw = [shingles[a:b].astype("<u8").tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], ["key", "shingles"])
+        for batch in batches:
+            yield batch.filter(pa.array(in_map(batch.column(0).to_numpy(zero_copy_only=False), words.value, bits)))
 
-    return docs.select("key", "text").mapInArrow(run, "key bigint, shingles binary")
+    return docs.select("key", "text").mapInArrow(run, "key bigint, text string")
+
+
+def _set_list(table: pa.Table, n: int) -> list[np.ndarray]:
+    """Shingle sets of a table's texts."""
+    shingles, at = shingle_sets(*buffer_of(table.column("text").combine_chunks()), n)
+    return [shingles[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
 
 class _Forest:
@@ -272,7 +292,7 @@ def _linked(left: list[np.ndarray], right: list[np.ndarray], num: int, den: int)
             yield a + int(i), int(j)
 
 
-def _inside(num: int, den: int):
+def _inside(n: int, num: int, den: int):
     """Links inside a group: every set with the least node of its component there."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -280,7 +300,7 @@ def _inside(num: int, den: int):
         nodes = table.column("node").to_pylist()
         forest = _Forest(len(nodes))
         if len(nodes) > 1:
-            sets = [np.frombuffer(x, "<u8") for x in table.column("shingles").to_pylist()]
+            sets = _set_list(table, n)
             if len(nodes) == 2:
                 if any(_linked(sets[:1], sets[1:], num, den)):
                     forest.join(0, 1)
@@ -294,13 +314,13 @@ def _inside(num: int, den: int):
     return run
 
 
-def _between(num: int, den: int):
+def _between(n: int, num: int, den: int):
     """Links between two opened groups, as pairs of components that they join."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("node")
         side, part = table.column("side").to_pylist(), table.column("part").to_pylist()
-        sets = [np.frombuffer(x, "<u8") for x in table.column("shingles").to_pylist()]
+        sets = _set_list(table, n)
         number = {p: k for k, p in enumerate(sorted(set(part)))}
         names = sorted(number)
         found: list[tuple[int, int]] = []
@@ -332,6 +352,53 @@ def _between(num: int, den: int):
     return run
 
 
+def _matrix(rare: DataFrame, placed: DataFrame) -> DataFrame:
+    """(token, gid, low, high, held): for each token and group with it the least and the largest component of its sets there, and their number."""
+    cells = rare.join(placed, "node").groupBy("token", "gid")
+    return written(cells.agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count(F.lit(1)).alias("held")), "token-group-matrix")
+
+
+def _hub_sides(rare: DataFrame, placed: DataFrame) -> DataFrame:
+    """(ga, gb, side, node): every set against one hub group, the one with the most sets of its most common token.
+
+    A set travels once. Those of one hub are dealt to calls of ``GUESTS``, each with the hub's own sets.
+    """
+    matrix = _matrix(rare, placed)
+    hubs = matrix.groupBy("token").agg(
+        F.max_by("gid", F.struct("held", "gid")).alias("hub"), F.min("low").alias("l"), F.max("high").alias("h"), F.count(F.lit(1)).alias("g")
+    )
+    hubs = hubs.filter("g > 1 AND l <> h").select("token", "hub")
+    away = rare.join(hubs, "token").join(placed, "node").filter("gid <> hub")
+    guests = written(away.groupBy("node").agg(F.max_by("hub", F.struct("n", "token")).alias("ga")), "hub-guests")
+    calls = guests.groupBy("ga").agg(F.ceil(F.count(F.lit(1)) / GUESTS).cast("bigint").alias("calls"))
+    sent = guests.join(calls, "ga").select("ga", F.pmod(F.xxhash64(F.lit(8), "node"), F.col("calls")).alias("gb"), F.lit(1).alias("side"), "node")
+    own = placed.select(F.col("gid").alias("ga"), "node").join(calls, "ga")
+    zero = F.lit(0).cast("bigint")
+    return sent.unionByName(own.select("ga", F.explode(F.sequence(zero, F.col("calls") - 1)).alias("gb"), F.lit(0).alias("side"), "node"))
+
+
+def _open_sides(rare: DataFrame, tokens: DataFrame, placed: DataFrame) -> DataFrame:
+    """(ga, gb, side, node) of the groups that still have sets apart and a token in common.
+
+    Each group's tokens, their union, are stored; a set goes to another group only if it has as many tokens in
+    that union as it needs, and only if sets of both groups go.
+    """
+    matrix = _matrix(rare, placed)
+    apart = matrix.groupBy("token").agg(F.min("low").alias("l"), F.max("high").alias("h"), F.count(F.lit(1)).alias("g"))
+    cells = matrix.join(apart.filter("l <> h AND g > 1").select("token"), "token")
+    other = cells.select("token", F.col("gid").alias("other"), F.col("low").alias("lo"), F.col("high").alias("ho"))
+    mine = rare.select("node", "token").join(placed, "node")
+    wish = mine.join(other, "token").filter("gid <> other AND NOT (lo = ho AND lo = part)")
+    wish = written(wish.select("node", "gid", "other").distinct(), "open-wishes")
+    union = written(tokens.join(placed.select("node", "gid"), "node").select(F.col("gid").alias("other"), "token").distinct(), "group-unions")
+    shared = wish.join(tokens, "node").join(union, ["other", "token"]).groupBy("node", "gid", "other").agg(F.count(F.lit(1)).alias("n"), F.max("need").alias("need"))
+    going = written(shared.filter("n >= need").select(
+        F.least("gid", "other").alias("ga"), F.greatest("gid", "other").alias("gb"), F.when(F.col("gid") < F.col("other"), 0).otherwise(1).alias("side"), "node"
+    ), "open-sides")
+    both = going.groupBy("ga", "gb").agg(F.min("side").alias("a"), F.max("side").alias("b")).filter("a <> b").select("ga", "gb")
+    return going.join(both, ["ga", "gb"])
+
+
 def similar(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, text: str = "text") -> DataFrame:
     """(key, doc_id, n, component_id, root): component of every row of ``docs`` under links of Jaccard num / den or more.
 
@@ -353,11 +420,18 @@ def similar(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, text: str
     sketches = written(_sketches(rows, n, num, den, bit_map(shared)), "shingle-sketches")
     nodes = sketches.filter("n > 0")
 
-    held = nodes.select("node", F.explode("tokens").alias("token"))
+    held = nodes.select("node", "need", F.explode("tokens").alias("token"))
     tokens = written(held.join(shared, "token").distinct(), "node-tokens")
 
+    # two sets at the threshold share as many tokens as each needs, so also one when each leaves its most common ones out
     counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    group = tokens.join(counts, "token").groupBy("node").agg(F.max(F.struct("n", "token")).alias("most"))
+    own = Window.partitionBy("node")
+    ranked = tokens.join(counts, "token").select(
+        "node", "token", "n", "need", F.row_number().over(own.orderBy("n", "token")).alias("at"), F.count(F.lit(1)).over(own).alias("held")
+    )
+    rare = written(ranked.filter("at <= held - need + 1").select("node", "token", "n"), "rare-tokens")
+
+    group = rare.groupBy("node").agg(F.max(F.struct("n", "token")).alias("most"))
     group = group.select("node", F.col("most.token").alias("token"))
     sizes = group.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("pieces"))
     group = group.join(sizes, "token").select(
@@ -365,38 +439,28 @@ def similar(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, text: str
     )
     group = written(group, "groups")
 
-    # one row of each node gives its set; rows equal in id and text have one key
+    # one row of each node gives its text; rows equal in id and text have one key
     chosen = nodes.join(group, "node").groupBy("node", "gid").agg(F.min("key").alias("key"))
     chosen = written(chosen, "chosen")
-    sets = _sets(rows, n, bit_map(chosen.select(F.col("key").alias("token"))))
-    grouped = written(sets.join(chosen, "key").dropDuplicates(["key"]), "group-sets").drop("key")
+    texts = _texts(rows, bit_map(chosen.select(F.col("key").alias("token"))))
+    grouped = written(texts.join(chosen, "key").dropDuplicates(["key"]), "group-texts").drop("key")
 
-    parts = written(grouped.groupBy("gid").applyInArrow(_drop("gid", _inside(num, den)), "node bigint, part bigint"), "group-parts")
-    placed = group.join(parts, "node")
+    parts = written(grouped.groupBy("gid").applyInArrow(_drop("gid", _inside(n, num, den)), "node bigint, part bigint"), "group-parts")
+    placed = written(group.join(parts, "node"), "placed")
+    between = _drop("ga", _drop("gb", _between(n, num, den)))
 
-    matrix = tokens.join(placed, "node").groupBy("token", "gid").agg(F.min("part").alias("low"), F.max("part").alias("high"))
-    matrix = written(matrix, "token-group-matrix")
-    apart = matrix.groupBy("token").agg(F.min("low").alias("l"), F.max("high").alias("h"), F.count(F.lit(1)).alias("g"))
-    cells = matrix.join(apart.filter("l <> h AND g > 1").select("token"), "token")
-    left = cells.select("token", F.col("gid").alias("ga"), F.col("low").alias("la"), F.col("high").alias("ha"))
-    right = cells.select("token", F.col("gid").alias("gb"), F.col("low").alias("lb"), F.col("high").alias("hb"))
-    one = (F.col("la") == F.col("ha")) & (F.col("lb") == F.col("hb")) & (F.col("la") == F.col("lb"))
-    opened = left.join(right, "token").filter((F.col("ga") < F.col("gb")) & ~one).select("token", "ga", "gb")
-    opened = written(opened, "opened-groups")
-
-    # of an opened group, only the sets travel that have a token which the other group has
-    holders = tokens.join(placed, "node").select("token", "gid", "node")
-    sides = [
-        holders.join(opened.withColumn("gid", F.col(g)), ["token", "gid"]).select("ga", "gb", F.lit(k).alias("side"), "node").distinct()
-        for k, g in enumerate(("ga", "gb"))
-    ]
-    sent = sides[0].union(sides[1]).join(grouped.select("node", "shingles"), "node").join(parts, "node")
-    links = sent.groupBy("ga", "gb").applyInArrow(_drop("ga", _drop("gb", _between(num, den))), "a bigint, b bigint")
-    roots = components(links)
-
-    joined = parts.join(roots.select(F.col("node").alias("part"), "root"), "part", "left")
-    joined = joined.select("node", F.coalesce("root", "part").alias("root"))
-    least = nodes.groupBy("node").agg(F.min("doc_id").alias("least")).join(joined, "node", "left")
+    def linked(sides: DataFrame, placed: DataFrame) -> DataFrame:
+        """Components of the groups opened for each other; ``sides`` has (ga, gb, side, node)."""
+        sent = sides.join(grouped.select("node", "text"), "node").join(placed.select("node", "part"), "node")
+        roots = components(sent.groupBy("ga", "gb").applyInArrow(between, "a bigint, b bigint"))
+        moved = placed.join(roots.select(F.col("node").alias("part"), "root"), "part", "left")
+        return written(moved.select("node", "gid", F.coalesce("root", "part").alias("part")), "placed")
+
+    placed = linked(_hub_sides(rare, placed), placed)
+    placed = linked(_open_sides(rare, tokens, placed), placed)
+    parts = placed.select("node", F.col("part").alias("root"))
+
+    least = nodes.groupBy("node").agg(F.min("doc_id").alias("least")).join(parts, "node", "left")
     least = written(least.select("node", F.coalesce("root", "node").alias("root"), "least"), "node-roots")
     best = least.groupBy("root").agg(F.min("least").alias("component_id"))
     found = least.join(best, "root").select("node", "component_id", "root")
