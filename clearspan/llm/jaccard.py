@@ -36,6 +36,10 @@ from clearspan.llm.spans import blocks, buffer_of, hash_spans, lowered, mix, win
 GROUP = 256
 #: Sets that meet a hub group in one call.
 GUESTS = 1024
+#: Wishes that are held against a group's union in one call.
+WISHES = 4096
+#: Turns of hubs at most, before groups are opened for each other.
+TURNS = 8
 #: Largest bit map of shared tokens, as a power of two bits: 16 MiB.
 MAP_BITS = 27
 
@@ -358,18 +362,19 @@ def _matrix(rare: DataFrame, placed: DataFrame) -> DataFrame:
     return written(cells.agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count(F.lit(1)).alias("held")), "token-group-matrix")
 
 
-def _hub_sides(rare: DataFrame, placed: DataFrame) -> DataFrame:
-    """(ga, gb, side, node): every set against one hub group, the one with the most sets of its most common token.
+def _hub_sides(rare: DataFrame, placed: DataFrame, turn: int) -> DataFrame:
+    """(ga, gb, side, node): every set with a token in other components against one hub group that has its most common such token.
 
-    A set travels once. Those of one hub are dealt to calls of ``GUESTS``, each with the hub's own sets.
+    The first hub of a token is the group with the most sets of it, later ones change with the turn. A set travels once a
+    turn. Those of one hub are dealt to calls of ``GUESTS``, each with the hub's own sets.
     """
     matrix = _matrix(rare, placed)
-    hubs = matrix.groupBy("token").agg(
-        F.max_by("gid", F.struct("held", "gid")).alias("hub"), F.min("low").alias("l"), F.max("high").alias("h"), F.count(F.lit(1)).alias("g")
-    )
+    hub = F.struct("gid", "low", "high")
+    first = F.struct("held", "gid") if turn == 0 else F.struct(F.xxhash64(F.lit(turn), "gid"), F.col("gid"))
+    hubs = matrix.groupBy("token").agg(F.max_by(hub, first).alias("hub"), F.min("low").alias("l"), F.max("high").alias("h"), F.count(F.lit(1)).alias("g"))
     hubs = hubs.filter("g > 1 AND l <> h").select("token", "hub")
-    away = rare.join(hubs, "token").join(placed, "node").filter("gid <> hub")
-    guests = written(away.groupBy("node").agg(F.max_by("hub", F.struct("n", "token")).alias("ga")), "hub-guests")
+    away = rare.join(hubs, "token").join(placed, "node").filter("gid <> hub.gid AND NOT (hub.low = hub.high AND hub.low = part)")
+    guests = written(away.groupBy("node").agg(F.max_by("hub.gid", F.struct("n", "token")).alias("ga")), "hub-guests")
     calls = guests.groupBy("ga").agg(F.ceil(F.count(F.lit(1)) / GUESTS).cast("bigint").alias("calls"))
     sent = guests.join(calls, "ga").select("ga", F.pmod(F.xxhash64(F.lit(8), "node"), F.col("calls")).alias("gb"), F.lit(1).alias("side"), "node")
     own = placed.select(F.col("gid").alias("ga"), "node").join(calls, "ga")
@@ -377,6 +382,18 @@ def _hub_sides(rare: DataFrame, placed: DataFrame) -> DataFrame:
     return sent.unionByName(own.select("ga", F.explode(F.sequence(zero, F.col("calls") - 1)).alias("gb"), F.lit(0).alias("side"), "node"))
 
 
+def _granted(left: pa.Table, right: pa.Table) -> pa.Table:
+    """The wishes of sets that have as many tokens in a group's union as they need."""
+    lists = left.column("tokens").combine_chunks()
+    union = np.unique(right.column("tokens").combine_chunks().flatten().to_numpy())
+    flat = lists.flatten().to_numpy()
+    at = np.minimum(np.searchsorted(union, flat), max(0, len(union) - 1))
+    hits = np.concatenate([[0], np.cumsum(union[at] == flat if len(union) else np.zeros(len(flat), bool))])
+    ends = np.cumsum(lists.value_lengths().to_numpy())
+    found = hits[ends] - hits[ends - lists.value_lengths().to_numpy()]
+    return left.select(["node", "gid", "other"]).filter(pa.array(found >= left.column("need").to_numpy()))
+
+
 def _open_sides(rare: DataFrame, tokens: DataFrame, placed: DataFrame) -> DataFrame:
     """(ga, gb, side, node) of the groups that still have sets apart and a token in common.
 
@@ -390,9 +407,16 @@ def _open_sides(rare: DataFrame, tokens: DataFrame, placed: DataFrame) -> DataFr
     mine = rare.select("node", "token").join(placed, "node")
     wish = mine.join(other, "token").filter("gid <> other AND NOT (lo = ho AND lo = part)")
     wish = written(wish.select("node", "gid", "other").distinct(), "open-wishes")
-    union = written(tokens.join(placed.select("node", "gid"), "node").select(F.col("gid").alias("other"), "token").distinct(), "group-unions")
-    shared = wish.join(tokens, "node").join(union, ["other", "token"]).groupBy("node", "gid", "other").agg(F.count(F.lit(1)).alias("n"), F.max("need").alias("need"))
-    going = written(shared.filter("n >= need").select(
+    # each wish takes its set's tokens to the other group's union, dealt to calls that each have that union
+    own = tokens.groupBy("node").agg(F.max("need").alias("need"), F.collect_list("token").alias("tokens"))
+    union = tokens.join(placed.select("node", F.col("gid").alias("other")), "node").groupBy("other").agg(F.collect_set("token").alias("tokens"))
+    calls = wish.groupBy("other").agg(F.ceil(F.count(F.lit(1)) / WISHES).cast("bigint").alias("calls"))
+    dealt = wish.join(own, "node").join(calls, "other").withColumn("call", F.pmod(F.xxhash64(F.lit(9), "node"), F.col("calls"))).drop("calls")
+    zero = F.lit(0).cast("bigint")
+    union = union.join(calls, "other").select("other", "tokens", F.explode(F.sequence(zero, F.col("calls") - 1)).alias("call"))
+    keys = ["other", "call"]
+    granted = dealt.groupBy(*keys).cogroup(union.groupBy(*keys)).applyInArrow(_granted, "node bigint, gid bigint, other bigint")
+    going = written(granted.select(
         F.least("gid", "other").alias("ga"), F.greatest("gid", "other").alias("gb"), F.when(F.col("gid") < F.col("other"), 0).otherwise(1).alias("side"), "node"
     ), "open-sides")
     both = going.groupBy("ga", "gb").agg(F.min("side").alias("a"), F.max("side").alias("b")).filter("a <> b").select("ga", "gb")
@@ -431,8 +455,8 @@ def similar(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, text: str
     )
     rare = written(ranked.filter("at <= held - need + 1").select("node", "token", "n"), "rare-tokens")
 
-    group = rare.groupBy("node").agg(F.max(F.struct("n", "token")).alias("most"))
-    group = group.select("node", F.col("most.token").alias("token"))
+    # a group is of one common token, rare or not: the fewer groups a family fills, the fewer have to meet
+    group = ranked.filter("need <= held AND at = held").select("node", "token")
     sizes = group.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("pieces"))
     group = group.join(sizes, "token").select(
         "node", F.xxhash64("token", F.pmod(F.xxhash64(F.lit(6), "node"), F.col("pieces"))).alias("gid")
@@ -456,7 +480,16 @@ def similar(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, text: str
         moved = placed.join(roots.select(F.col("node").alias("part"), "root"), "part", "left")
         return written(moved.select("node", "gid", F.coalesce("root", "part").alias("part")), "placed")
 
-    placed = linked(_hub_sides(rare, placed), placed)
+    def apart(placed: DataFrame) -> int:
+        return placed.agg(F.count_distinct("part")).first()[0]
+
+    # as long as a turn joins a good part of what is apart, another costs less than opening groups pair by pair
+    left, turn = apart(placed), 0
+    while turn < TURNS:
+        placed = linked(_hub_sides(rare, placed, turn), placed)
+        before, left, turn = left, apart(placed), turn + 1
+        if before - left < before / 50:
+            break
     placed = linked(_open_sides(rare, tokens, placed), placed)
     parts = placed.select("node", F.col("part").alias("root"))
 
