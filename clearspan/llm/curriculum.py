@@ -92,7 +92,8 @@ def ramp(sources: DataFrame) -> DataFrame:
     add up to 1 at any time, and each source's integral is p.
     """
     everything = Window.partitionBy(F.lit(1))
-    p, q = F.col("target") / F.col("total"), F.col("source_size") / F.col("total")
+    # without any word nothing is taken, whatever the weights
+    p, q = (F.coalesce(F.try_divide(F.col(c).cast("double"), F.col("total")), F.lit(0.0)) for c in ("target", "source_size"))
     slack = F.when(p != q, p / F.abs(p - q)).otherwise(1.0)
     rows = sources.withColumn("_a", F.least(F.lit(1.0), F.min(slack).over(everything)))
     lean = F.col("_a") * (p - q)
