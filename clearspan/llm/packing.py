@@ -98,7 +98,8 @@ def sum_of_squares(lengths: np.ndarray, size: int = SEQUENCE) -> tuple[np.ndarra
 def packed(rows: DataFrame, size: int = SEQUENCE, group: int = GROUP) -> DataFrame:
     """``rows`` (with length from 1 to ``size`` and salt) with ``sequence_id`` and ``offset`` in it.
 
-    Within a group, pieces go by falling length; equal lengths by salt, then by id, piece and content.
+    Within a group, pieces go by falling length; equal lengths by salt, then by id, piece and content. Pieces are dealt to
+    groups by salt and by their place in ``rows``, a stored table, so that equal rows, however many, fill many groups.
     """
     n = rows.count()
     groups = max(1, round(n / group))
@@ -112,7 +113,7 @@ def packed(rows: DataFrame, size: int = SEQUENCE, group: int = GROUP) -> DataFra
         ids = pa.array((key[0].as_py() << 32) + sequence, pa.int64())
         return table.append_column("sequence_id", ids).append_column("offset", pa.array(offset, pa.int64()))
 
-    dealt = rows.withColumn("_group", F.col("salt") % groups)
+    dealt = rows.withColumn("_group", F.pmod(F.xxhash64("salt", F.monotonically_increasing_id()), F.lit(groups).cast("bigint")))
     return dealt.groupBy("_group").applyInArrow(run, out)
 
 
