@@ -142,8 +142,9 @@ def train(rows: list[np.ndarray], positive: np.ndarray, prior: float) -> tuple[n
 def _sample(docs: DataFrame, labels: DataFrame, folds: int) -> tuple[DataFrame, float]:
     """Training texts with ``positive``, and the class prior: the share of label 1 among labelled training rows.
 
-    Ids with labels 0 and 1 count as 1. Texts of each kind are chosen by least hash of id and text.
-    The threshold on the hash comes from the counts, so that no task gathers more than the sample.
+    Ids with labels 0 and 1 count as 1. Ids of each kind are chosen by least hash, each once however many rows it has; of rows that
+    share an id the text of least hash stands for it. The threshold on the hash comes from the counts, so that no task gathers
+    more than the sample.
     """
     known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), folds))
     known = known.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
@@ -153,12 +154,13 @@ def _sample(docs: DataFrame, labels: DataFrame, folds: int) -> tuple[DataFrame,
     chance = F.xxhash64(F.lit(2), "doc_id").bitwiseAND(F.lit((1 << 40) - 1).cast("bigint")) / float(1 << 40)
 
     def few(rows: DataFrame, n: int, most: int) -> DataFrame:
-        return rows.filter(chance < min(1.0, 1.2 * most / max(1, n))).orderBy(chance, "doc_id").limit(most)
+        return rows.filter(chance < min(1.0, 1.2 * most / max(1, n))).distinct().orderBy(chance, "doc_id").limit(most)
 
     toxic_ids = few(known.filter("toxic = 1").select("doc_id"), n_toxic, MAX_POSITIVE)
     other_ids = few(docs.filter(~held_out(F.col("doc_id"), folds)).select("doc_id"), n_docs * (folds - 1) // folds, MAX_UNLABELLED)
     wanted = toxic_ids.select("doc_id", F.lit(True).alias("positive")).union(other_ids.select("doc_id", F.lit(False).alias("positive")))
-    return docs.join(F.broadcast(wanted), "doc_id").select("doc_id", "positive", "text"), prior
+    rows = docs.join(F.broadcast(wanted), "doc_id").groupBy("doc_id", "positive")
+    return rows.agg(F.min_by(F.coalesce("text", F.lit("")), F.xxhash64(F.coalesce("text", F.lit("")))).alias("text")), prior
 
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 5) -> tuple[np.ndarray, np.ndarray, float]:
