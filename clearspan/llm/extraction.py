@@ -44,7 +44,8 @@ BAD_NAMES = re.compile(
     re.I,
 )
 
-_TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
+#: A quote opens a value only right after an equals sign; elsewhere it is a character like others.
+_TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([A-Za-z][^\s/>]*)((?:=\s*\"[^\"]*(?:\"|$)|=\s*'[^']*(?:'|$)|[^>])*)(?:>|$)", re.S)
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _LAYOUT = re.compile(r"\b(?:has|with|without|no)[-_][-\w]+", re.I)
 _WHITE = re.compile(r"\s+")

@@ -4,7 +4,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from clearspan.llm import curriculum, packing, toxicity
+from clearspan.llm import curriculum, extraction, packing, toxicity
 
 
 def test_a_mix_without_words_takes_nothing(spark):
@@ -52,3 +52,8 @@ def test_a_repeated_id_is_one_sample(spark):
     sample, prior = toxicity._sample(docs, labels, 1_000_000)
     rows = Counter((r.doc_id, r.positive) for r in sample.collect())
     assert rows[1, True] == 1 and max(rows.values()) == 1 and 0 < prior < 0.9
+
+
+def test_quotes_inside_attributes_lose_no_text():
+    page = "<article><p>One <a title=it's>two</a> three.</p><p data-x = 'a>b' title=\"c>d\">Four, five \"six\".</p><p class=x'y\"z>Seven.</p></article>"
+    assert extraction.main_text(page) == "One two three.\nFour, five \"six\".\nSeven."
