@@ -7,33 +7,38 @@ probability from the bits counted there. Their logits are added with weights tha
 chooses (the longest context seen before, and whether the bit is a byte's first), and the sum
 is refined by an adaptive map from gate and logit to the frequency found there.
 
-Training runs once through every training text, in small steps: each step is predicted from
-what the task has seen so far, then corrects the weights and is counted. Weights are
-averaged by bits. What followed each context in the whole corpus is counted apart, as rows of
-context, byte and number that grow with the input and are never collected: they are added up
-in shards of contexts, and a task that scores gets the rows of its own texts' contexts, in
-tables as large as these need. Scoring changes nothing, so that a text's score depends on the
-model and the text alone.
-
-A token's probability is the mean of what this spelling gives and of its share among the
-training tokens, 0 for unknown words; both add up to at most 1 over all tokens.
-
-The base score is a word model with the corpus's word counts, which are never collected: a
-task's distinct words meet their counts by a shuffle.
+One pass over buckets of texts learns and counts. A byte of equal history (its last five bytes
+and the word so far) has equal contexts, so a bucket's equal places are worked out once. A task
+learns in small steps: each is predicted from what the task has seen so far, then corrects the
+weights and is counted; a place that comes often is learned in several parts, so that its later
+parts meet the earlier ones' counts. Weights are averaged by bits.
+
+What followed each context in the whole corpus is counted apart, in rows that grow with the
+input and are never collected: a bucket sends its contexts, the bytes after them and their
+numbers to shards of contexts, and each shard answers with what followed these contexts in all
+training texts. An answer names no context, for the bucket knows its own in order. Words are
+counted the same way. Scoring changes nothing, so that a text's score depends on the model and
+the text alone.
+
+A token's spelling and its share among the training tokens (0 for unknown words) are two
+experts; shares of several sizes between them are weighted by how well each did on the text so
+far, which is the mean of the whole text's probability over the sizes. Every size gives a
+proper distribution, and so does their mean.
+
+The base score is a word model with the corpus's word counts.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from clearspan.llm.common import need, written
 from clearspan.llm.spans import blocks, hash_spans, lowered, mix, words_of
@@ -44,26 +49,41 @@ TABLE_BITS = 20
 ORDERS = (1, 2, 3, 5)
 #: Bytes of text for each shard of the corpus's context counts.
 SHARD = 1 << 24
+#: Bytes of text in a bucket, which one task scores; a longer text is a bucket of its own.
+BUCKET = 1 << 23
 PREDICTORS = len(ORDERS) + 1
+#: The number under which words are counted, next to the predictors.
+WORDS = PREDICTORS
 GATES = 2 * (PREDICTORS + 1)
 #: Cells of the adaptive map for each gate.
 CELLS = 48
 #: Bytes of text in a batch, and distinct places worked on at a time.
 BATCH, STEP = 1 << 20, 1 << 15
-#: Steps in which a batch is learned at least, so that small tables are predicted from counts too.
+#: Steps in which a bucket is learned at least, so that small tables are predicted from counts too.
 LEAST_STEPS = 16
+#: How much of a token's probability is its share among the training tokens; the rest is its spelling.
+SHARES = (0.02, 0.3, 0.6, 0.8, 0.9, 0.97)
 _SPACE, _END = 32, 10
 _PRIME, _SPIN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _SMALL = np.uint32(0x9E3779B1)
+_LONGEST = max(ORDERS)
+_EIGHT = np.uint64(8)
+_LOW32, _LOW40 = np.uint64((1 << 32) - 1), np.uint64((1 << 40) - 1)
 
 
 @dataclass
 class Code:
-    """A prefix code of bytes: for each byte the number of bits, the bits, and the tree node before each."""
+    """A prefix code of bytes: for each byte the number of bits, the bits, and the tree node before each.
+
+    ``ranks`` are the bytes' places in the order of their codes, ``borders`` the least rank that has
+    a one at a node.
+    """
 
     lengths: np.ndarray
     bits: np.ndarray
     nodes: np.ndarray
+    ranks: np.ndarray
+    borders: np.ndarray
 
     @classmethod
     def of(cls, counts: np.ndarray) -> Code:
@@ -92,7 +112,16 @@ class Code:
         for k, path in codes.items():
             nodes[k, : len(path)] = [n * 0x85EBCA6B & 0xFFFFFFFF for n, _ in path]
             bits[k, : len(path)] = [b for _, b in path]
-        return cls(lengths, bits, nodes)
+        ranks, borders = np.zeros(256, np.uint64), np.zeros((256, lengths.max()), np.int64)
+        least: dict[int, int] = {}
+        for rank, k in enumerate(sorted(codes, key=lambda k: [b for _, b in codes[k]])):
+            ranks[k] = rank
+            for node, bit in codes[k]:
+                if bit:
+                    least.setdefault(node, rank)
+        for k, path in codes.items():
+            borders[k, : len(path)] = [least[node] for node, _ in path]
+        return cls(lengths, bits, nodes, ranks, borders)
 
 
 def plain_bytes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -111,56 +140,97 @@ def plain_bytes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, before:
     return out, first[item_at[:-1]], first[:-1]
 
 
-def contexts_of(text: np.ndarray, text_at: np.ndarray, token_at: np.ndarray) -> np.ndarray:
-    """Hashed context of each byte for each predictor (predictors x bytes): only what stands before it in its text."""
+@dataclass
+class Places:
+    """Distinct places of texts: what stands before a byte, the byte, and how often that comes in training texts.
+
+    ``window`` has the longest context's bytes with the byte itself on top, ``word`` the hash of the word so far.
+    """
+
+    key: np.ndarray
+    window: np.ndarray
+    word: np.ndarray
+    n: np.ndarray
+
+    @property
+    def byte(self) -> np.ndarray:
+        return (self.window >> np.uint64(8 * _LONGEST)).astype(np.uint8)
+
+    def contexts(self, k: int) -> np.ndarray:
+        """Hashed context of predictor ``k`` at each place."""
+        if k == PREDICTORS - 1:
+            return self.word
+        before = self.window & np.uint64((1 << 8 * _LONGEST) - 1)
+        return ((before >> np.uint64(8 * (_LONGEST - ORDERS[k]))) + np.uint64(ORDERS[k])) * _PRIME
+
+    def take(self, at: np.ndarray | slice) -> Places:
+        return Places(self.key[at], self.window[at], self.word[at], self.n[at])
+
+    @classmethod
+    def joined(cls, parts: list[Places]) -> Places:
+        """All places of ``parts`` once, ordered by key, with their numbers added up."""
+        if not parts:
+            none = np.zeros(0, np.uint64)
+            return cls(none, none, none, np.zeros(0, np.int64))
+        key = np.concatenate([p.key for p in parts])
+        order, first = _groups(key)
+        at = order[first]
+        n = np.concatenate([p.n for p in parts])[order]
+        return cls(
+            key[at],
+            np.concatenate([p.window for p in parts])[at],
+            np.concatenate([p.word for p in parts])[at],
+            np.add.reduceat(n, first) if len(first) else n,
+        )
+
+
+def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order by key, and where in it each distinct key begins."""
+    order = np.argsort(key)
+    ranked = key[order]
+    new = np.ones(len(key), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    return order, np.flatnonzero(new)
+
+
+def histories(text: np.ndarray, text_at: np.ndarray, token_at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Window and word hash of each byte: only what stands before it in its text, line feeds before its first byte."""
     n = len(text)
     edge = np.zeros(n, np.int64)
-    edge[text_at] = text_at
-    inside = np.arange(n) - np.maximum.accumulate(edge)
-    values = text.astype(np.uint64)
-    history = np.zeros(n, np.uint64)
-    out = np.empty((PREDICTORS, n), np.uint64)
-    for k in range(1, max(ORDERS) + 1):
-        back = np.full(n, _END, np.uint64)
-        back[k:] = values[:-k] if k < n else values[:0]
-        history = (history << np.uint64(8)) | np.where(inside >= k, back, np.uint64(_END))
-        if k in ORDERS:
-            out[ORDERS.index(k)] = (history + np.uint64(k)) * _PRIME
-    edge = np.zeros(n, np.int64)
+    edge[text_at] = _LONGEST
+    at = np.arange(n) + np.cumsum(edge)
+    padded = np.full(n + _LONGEST * len(text_at) + 8, _END, np.uint8)
+    padded[at + 8 - 1] = text
+    window = np.ndarray((len(padded) - 7,), "<u8", padded, 0, (1,)).copy()[at]
+    edge[text_at] = 0
     edge[token_at] = token_at
     token = np.maximum.accumulate(edge)
-    power = np.full(int((np.arange(n) - token).max(initial=0)) + 1, _SPIN, np.uint64)
-    power = np.multiply.accumulate(power)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((values + np.uint64(1)) * power[np.arange(n) - token])])
-    out[-1] = (total[:-1] - total[token] + np.uint64(77)) * _PRIME
-    return out
-
+    inside = np.arange(n) - token
+    power = np.multiply.accumulate(np.full(int(inside.max(initial=0)) + 1, _SPIN, np.uint64))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((text.astype(np.uint64) + np.uint64(1)) * power[inside])])
+    return window >> np.uint64(8 * (7 - _LONGEST)), (total[:-1] - total[token] + np.uint64(77)) * _PRIME
 
-def distinct(contexts: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """One place of each (contexts, byte), which of them every byte is, and how many it stands for.
 
-    The model gives equal places equal probabilities, so each is worked out once.
-    """
-    key = text.astype(np.uint64)
-    for context in contexts:
-        key = (key ^ (context >> np.uint64(31))) * _SPIN + context
+def places_of(text: np.ndarray, text_at: np.ndarray, token_at: np.ndarray, trains: np.ndarray) -> tuple[Places, np.ndarray]:
+    """Distinct places of a batch, and which of them every byte is; ``trains`` says which bytes count."""
+    window, word = histories(text, text_at, token_at)
+    key = (window ^ (word >> np.uint64(31))) * _SPIN + word
+    key ^= key >> np.uint64(32)
     # ordered by the key's upper bits, with the place in the lower ones: one plain sort
     low = np.uint64((1 << max(1, len(key)).bit_length()) - 1)
     order = (np.sort((key & ~low) | np.arange(len(key), dtype=np.uint64)) & low).astype(np.int64)
     ranked = key[order]
     new = np.ones(len(key), bool)
     new[1:] = ranked[1:] != ranked[:-1]
-    first = np.flatnonzero(new)
-    which = np.empty(len(key), np.int64)
+    which = np.empty(len(key), np.int32)
     which[order] = np.cumsum(new) - 1
-    return order[first], which, np.diff(np.append(first, len(key)))
+    at = order[new]
+    n = np.bincount(which, trains, len(at)).astype(np.int64)
+    return Places(key[at], window[at], word[at], n), which
 
 
-def slots(contexts: np.ndarray, text: np.ndarray, code: Code, sizes: list[int] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For every bit of the bytes: its slot in each predictor's table (predictors x bits), the bit, whether it is a first one, and its byte.
-
-    ``sizes`` are the tables' sizes as powers of two.
-    """
+def slots(contexts: list[np.ndarray], text: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For every bit of the bytes: its slot in each predictor's table (predictors x bits), the bit, whether it is a first one, and its byte."""
     lengths = code.lengths[text]
     owner = np.repeat(np.arange(len(text)), lengths)
     depth = np.arange(len(owner)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
@@ -173,7 +243,7 @@ def slots(contexts: np.ndarray, text: np.ndarray, code: Code, sizes: list[int] |
         mixed *= _SMALL
         mixed ^= mixed >> np.uint32(15)
         mixed *= _SMALL
-        out[k] = mixed >> np.uint32(32 - (sizes[k] if sizes else TABLE_BITS))
+        out[k] = mixed >> np.uint32(32 - TABLE_BITS)
     return out, code.bits.ravel()[step], depth == 0, owner
 
 
@@ -191,11 +261,8 @@ def mixed_logit(inputs: np.ndarray, weights: np.ndarray, gate: np.ndarray) -> np
     return total
 
 
-def gates(seen: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Which weights a bit takes: by its longest context that was seen, and whether it is a byte's first."""
-    longest = seen[0].astype(np.int8)
-    for k in range(1, PREDICTORS):
-        np.copyto(longest, np.int8(k + 1), where=seen[k])
+def gates(longest: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Which weights a bit takes: by its longest context that was seen (0: none), and whether it is a byte's first."""
     return 2 * longest.astype(np.int64) + first
 
 
@@ -222,29 +289,42 @@ class Learner:
         self.map_all, self.map_ones = np.zeros(GATES * CELLS), np.zeros(GATES * CELLS)
         self.n_bits = 0
 
-    def learn(self, text: np.ndarray, text_at: np.ndarray, token_at: np.ndarray) -> None:
-        """In small steps of a batch: predict from what was seen, correct weights and map, then count."""
-        contexts = contexts_of(text, text_at, token_at)
-        place, _, count = distinct(contexts, text)
-        order = np.random.default_rng(self.n_bits).permutation(len(place))
+    def learn(self, places: Places) -> None:
+        """In small steps: predict from what was seen, correct weights and map, then count.
+
+        A place that comes ``n`` times is learned in parts of 1, 3, 12, 48 and so on, in any order.
+        """
+        at, times = [], []
+        done, size = 0, 1
+        left = np.flatnonzero(places.n > 0)
+        while len(left):
+            at.append(left)
+            times.append(np.minimum(places.n[left] - done, size))
+            done, size = done + size, 3 * (done + size)
+            left = left[places.n[left] > done]
+        if not at:
+            return
+        at, times = np.concatenate(at), np.concatenate(times).astype(np.float32)
+        order = np.random.default_rng(self.n_bits).permutation(len(at))
         step = min(STEP, max(1, -(-len(order) // LEAST_STEPS)))
         for a in range(0, len(order), step):
             own = order[a : a + step]
-            at, bit, first, owner = slots(contexts[:, place[own]], text[place[own]], self.code)
-            times = count[own][owner].astype(np.float32)
-            self._correct(at, bit, first, times)
+            some = places.take(at[own])
+            found, bit, first, owner = slots([some.contexts(k) for k in range(PREDICTORS)], some.byte, self.code)
+            n = times[own][owner]
+            self._correct(found, bit, first, n)
             for k in range(PREDICTORS):
-                np.add.at(self.counts[k], 2 * at[k] + (bit > 0), times)
+                np.add.at(self.counts[k], 2 * found[k] + (bit > 0), n)
 
     def _correct(self, at: np.ndarray, bit: np.ndarray, first: np.ndarray, times: np.ndarray) -> None:
         """One step of weights and map on bits that stand for ``times`` each."""
         inputs = np.empty(at.shape, np.float32)
-        seen = np.empty(at.shape, bool)
+        longest = np.zeros(len(bit), np.int8)
         for k in range(PREDICTORS):
             both = self.counts[k].view(np.complex64)[at[k]]  # a zero's and a one's count in one read
             inputs[k] = logits(both.real, both.imag)
-            seen[k] = both != 0
-        gate = gates(seen, first)
+            np.copyto(longest, np.int8(k + 1), where=both != 0)
+        gate = gates(longest, first)
         logit = mixed_logit(inputs, self.weights, gate)
         wrong = times * (bit - 1 / (1 + np.exp(-logit)))
         total = np.bincount(gate, times, GATES) + 1.0
@@ -272,313 +352,377 @@ class Fixed:
     map_all: np.ndarray
     map_ones: np.ndarray
 
+    @classmethod
+    def of(cls, code: Code, rest: np.ndarray) -> Fixed:
+        """Weights and map from the sum of what the tasks learned."""
+        weights = rest[1 : 1 + GATES * PREDICTORS].reshape(GATES, PREDICTORS)
+        weights = weights / rest[0] if rest[0] else np.full((GATES, PREDICTORS), 0.3)
+        return cls(code, weights, *rest[1 + GATES * PREDICTORS :].reshape(2, -1).astype(np.float32))
+
 
 @dataclass
-class Model:
-    """What scoring needs: for each predictor a table of logits and one of whether anything was counted."""
+class Followers:
+    """What followed a bucket's contexts of one predictor: ranks of bytes and their running numbers, context by context."""
 
-    code: Code
-    inputs: np.ndarray | list[np.ndarray]
-    seen: np.ndarray | list[np.ndarray]
-    weights: np.ndarray
-    map_all: np.ndarray
-    map_ones: np.ndarray
+    own: np.ndarray
+    start: np.ndarray
+    rank: np.ndarray
+    place: np.ndarray
+    before: np.ndarray
 
     @classmethod
-    def of(cls, fixed: Fixed, pairs: Iterable[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Model:
-        """The model of one task's texts; ``pairs`` has contexts, bytes that followed and their counts for each predictor."""
-        inputs, seen = [], []
-        for context, byte, n in pairs:
-            bits = max(10, int(2 * fixed.code.lengths[byte].sum()).bit_length())
-            both = np.zeros(2 << bits, np.float32)
-            for a in range(0, len(byte), STEP):
-                part = slice(a, a + STEP)
-                at, bit, _, owner = slots(context[None, part], byte[part], fixed.code, [bits])
-                np.add.at(both, 2 * at[0] + (bit > 0), n[part][owner])
-            logit, some = np.empty(1 << bits, np.float32), np.empty(1 << bits, bool)
-            for a in range(0, 1 << bits, 1 << 18):  # in parts, so that little else is held
-                zeros, ones = both[2 * a : 2 * (a + (1 << 18)) : 2], both[2 * a + 1 : 2 * (a + (1 << 18)) : 2]
-                logit[a : a + (1 << 18)], some[a : a + (1 << 18)] = logits(zeros, ones), zeros + ones > 0
-            inputs.append(logit)
-            seen.append(some)
-        return cls(fixed.code, inputs, seen, fixed.weights, fixed.map_all, fixed.map_ones)
-
-    def token_scores(self, text: np.ndarray, text_at: np.ndarray, token_at: np.ndarray) -> np.ndarray:
-        """log10 probability of each token given all before it."""
-        contexts = contexts_of(text, text_at, token_at)
-        place, which, _ = distinct(contexts, text)
-        sizes = [len(x).bit_length() - 1 for x in self.inputs]
-        found = []
-        for a in range(0, len(place), STEP):
-            own = place[a : a + STEP]
-            at, bit, first, owner = slots(contexts[:, own], text[own], self.code, sizes)
-            inputs = np.stack([self.inputs[k][at[k]] for k in range(PREDICTORS)])
-            gate = gates(np.stack([self.seen[k][at[k]] for k in range(PREDICTORS)]), first)
-            logit = mixed_logit(inputs, self.weights, gate)
-            cell = cells(gate, logit)
-            p = refined(logit, self.map_ones[cell], self.map_all[cell])
-            found.append(np.bincount(owner, np.log10(np.where(bit > 0, p, 1 - p)), len(own)))
-        each = np.concatenate(found) if found else np.zeros(0)
-        return np.add.reduceat(each[which], token_at) if len(token_at) else np.zeros(0)
-
-
-def train(docs: DataFrame, code: Code) -> Fixed:
-    """Weights and map of all texts of ``docs`` (text), by a pass over them."""
+    def of(cls, own: np.ndarray, size: np.ndarray, rank: np.ndarray, n: np.ndarray) -> Followers:
+        """``own`` are the contexts' keys in order, ``size`` how many bytes followed each."""
+        if len(own) != len(size):
+            raise RuntimeError(f"{len(size)} answers for {len(own)} contexts")
+        start = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+        place = (np.repeat(np.arange(len(own)), size) << 8) | rank
+        return cls(own, start, rank, place, np.concatenate([[0.0], np.cumsum(n, dtype=np.float64)]))
+
+    def counted(self, key: np.ndarray, byte: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray]:
+        """For every bit of the bytes: how often a zero and a one followed the context there."""
+        group = np.searchsorted(self.own, key)
+        lengths = code.lengths[byte]
+        first = np.cumsum(lengths) - lengths
+        zeros, ones = np.zeros(int(lengths.sum()), np.float32), np.zeros(int(lengths.sum()), np.float32)
+        low, high = self.start[group], self.start[group + 1]
+        live = np.arange(len(byte))
+        for depth in range(code.bits.shape[1]):
+            live = live[(lengths[live] > depth) & (high[live] > low[live])]
+            if not len(live):
+                break
+            a, b, border = low[live], high[live], code.borders[byte[live], depth]
+            cut = a + (self.rank[a] < border)
+            many = np.flatnonzero(b - a > 1)
+            cut[many] = np.searchsorted(self.place, (group[live[many]] << 8) | border[many])
+            at = first[live] + depth
+            zeros[at], ones[at] = self.before[cut] - self.before[a], self.before[b] - self.before[cut]
+            one = code.bits[byte[live], depth] > 0
+            low[live], high[live] = np.where(one, cut, a), np.where(one, b, cut)
+        return zeros, ones
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learner = None
-        for _, data, offsets in blocks(batches, size=BATCH):
-            learner = learner or Learner(code)
-            data = lowered(data)
-            learner.learn(*plain_bytes(data, *words_of(data, offsets)))
-        if learner:
-            rest = learner.rest()
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(rest)), pa.int32()), pa.array(rest, pa.float64())], ["place", "value"])
 
-    rest = np.zeros(1 + GATES * PREDICTORS + 2 * GATES * CELLS)
-    learned = written(docs.select("text").mapInArrow(run, "place int, value double"), "mixing-weights")
-    for place, value in learned.groupBy("place").agg(F.sum("value")).collect():
-        rest[place] = value
-    weights = rest[1 : 1 + GATES * PREDICTORS].reshape(GATES, PREDICTORS) / max(1.0, rest[0]) if rest[0] else np.full((GATES, PREDICTORS), 0.3)
-    maps = rest[1 + GATES * PREDICTORS :].reshape(2, -1)
-    return Fixed(code, weights, *maps.astype(np.float32))
+@dataclass
+class Model:
+    """What scoring a bucket needs: weights and map, and what followed its contexts in the corpus."""
+
+    fixed: Fixed
+    shards: int
+    followers: list[Followers]
+
+    def place_scores(self, places: Places) -> np.ndarray:
+        """log10 probability of the byte at each place."""
+        code, out = self.fixed.code, np.zeros(len(places.key))
+        for start in range(0, len(out), STEP):
+            own = places.take(slice(start, start + STEP))
+            byte = own.byte
+            lengths = code.lengths[byte]
+            owner = np.repeat(np.arange(len(byte)), lengths)
+            depth = np.arange(len(owner)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            bit = code.bits[byte[owner], depth]
+            inputs, longest = np.empty((PREDICTORS, len(owner)), np.float32), np.zeros(len(owner), np.int8)
+            for k, followers in enumerate(self.followers):
+                key = wire(own.contexts(k), self.shards)
+                pair = key | byte
+                each = np.unique(pair)
+                again = 2 * len(each) < len(pair)
+                if again:
+                    zeros, ones = followers.counted(each & ~np.uint64(255), (each & np.uint64(255)).astype(np.uint8), code)
+                else:
+                    zeros, ones = followers.counted(key, byte, code)
+                logit, some = logits(zeros, ones), zeros + ones > 0
+                if again:
+                    size = code.lengths[(each & np.uint64(255)).astype(np.uint8)]
+                    at = (np.cumsum(size) - size)[np.searchsorted(each, pair)][owner] + depth
+                    logit, some = logit[at], some[at]
+                inputs[k] = logit
+                np.copyto(longest, np.int8(k + 1), where=some)
+            gate = gates(longest, depth == 0)
+            mixed = mixed_logit(inputs, self.fixed.weights, gate)
+            cell = cells(gate, mixed)
+            p = refined(mixed, self.fixed.map_ones[cell], self.fixed.map_all[cell])
+            out[start : start + STEP] = np.bincount(owner, np.log10(np.where(bit > 0, p, 1 - p)), len(byte))
+        return out
+
+
+def wire(context: np.ndarray, shards: int) -> np.ndarray:
+    """Key of a hashed context: its shard, 32 bits of it within the shard, and eight bits left free."""
+    spread = mix(context)
+    return (shard_of(spread, shards) << np.uint64(40)) | ((spread & _LOW32) << _EIGHT)
+
+
+def shard_of(spread: np.ndarray, shards: int) -> np.ndarray:
+    """Shard of a hash; shards are in the order of the hashes."""
+    return (spread >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)
+
+
+def packed(*arrays: np.ndarray) -> bytes:
+    """Arrays as bytes: lengths, then first bytes, second bytes and so on of each array's numbers, compressed."""
+    lengths = np.array([len(a) for a in arrays], np.int64).tobytes()
+    planes = b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in arrays if len(a))
+    return lengths + pa.Codec("zstd").compress(planes, asbytes=True)
+
+
+def unpacked(data: bytes, *kinds: str) -> list[np.ndarray]:
+    """The arrays of ``packed``."""
+    lengths, sizes = np.frombuffer(data, np.int64, len(kinds)), [np.dtype(k).itemsize for k in kinds]
+    whole = int((lengths * sizes).sum())
+    planes = pa.Codec("zstd").decompress(data[8 * len(kinds) :], decompressed_size=whole, asbytes=True) if whole else b""
+    out, at = [], 0
+    for n, size, kind in zip(lengths.tolist(), sizes, kinds, strict=True):
+        out.append(np.ascontiguousarray(np.frombuffer(planes, np.uint8, n * size, at).reshape(size, n).T).view(kind).reshape(n))
+        at += n * size
+    return out
 
 
-_PAIR = np.dtype([("context", "<u8"), ("byte", "u1"), ("n", "<f4")])
-_PAIRS = "bucket bigint, shard bigint, predictor int, pairs binary"
+def asked(places: Places, k: int, code: Code, shards: int) -> Iterator[tuple[int, bytes]]:
+    """For each shard what a bucket asks of it and adds to it for predictor ``k``: keys with ranks of bytes, and numbers."""
+    yield from _by_shard(wire(places.contexts(k), shards) | code.ranks[places.byte], places.n, lambda x: x >> np.uint64(40), _LOW40)
 
 
-def _added(context: np.ndarray, byte: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Pairs of context and byte in order, each once, with their numbers added up."""
-    order = np.lexsort((byte, context))
-    context, byte, n = context[order], byte[order], n[order]
-    new = np.ones(len(context), bool)
-    new[1:] = (context[1:] != context[:-1]) | (byte[1:] != byte[:-1])
-    first = np.flatnonzero(new)
-    out = np.empty(len(first), _PAIR)
-    out["context"], out["byte"] = context[first], byte[first]
-    out["n"] = np.add.reduceat(n.astype(np.float64), first) if len(first) else 0
-    return out
+def asked_words(words: np.ndarray, n: np.ndarray, shards: int) -> Iterator[tuple[int, bytes]]:
+    """The same of hashed words."""
+    yield from _by_shard(words, n, lambda x: shard_of(x, shards), ~np.uint64(0))
+
 
+def _by_shard(key: np.ndarray, n: np.ndarray, shard, kept: np.uint64) -> Iterator[tuple[int, bytes]]:
+    order, first = _groups(key)
+    key = key[order[first]]
+    n = np.add.reduceat(n[order], first) if len(first) else n
+    names, at = np.unique(shard(key), return_index=True)
+    for name, a, b in zip(names.tolist(), at.tolist(), [*at[1:].tolist(), len(key)], strict=True):
+        yield name, packed(np.diff(key[a:b] & kept, prepend=np.uint64(0)), n[a:b].astype("<u8"))
 
-def _context_counts(rows: DataFrame, n_bytes: int) -> DataFrame:
-    """(bucket, predictor, pairs): how often which byte followed each context of a bucket in the training texts of all.
 
-    ``rows`` has (bucket, held_out, text). A task adds up before it sends anything; shards of contexts
-    add up what the tasks sent and give every bucket the whole counts of the contexts that it has.
+def answers(parts: list[tuple[int, bytes]], free: int) -> tuple[dict[int, bytes], int, int]:
+    """For each bucket what followed its contexts in all of ``parts`` (bucket, what it asked); numbers of all and of different keys.
+
+    ``free`` is the number of bits of a key that don't belong to the context.
+    """
+    shift = np.uint64(free)
+    got = [(bucket, *unpacked(data, "<u8", "<u8")) for bucket, data in parts]
+    got = [(bucket, np.cumsum(steps, dtype=np.uint64), n) for bucket, steps, n in got]
+    key, n = np.concatenate([k for _, k, _ in got]), np.concatenate([x for _, _, x in got])
+    order, first = _groups(key)
+    key, n = key[order[first]], np.add.reduceat(n[order], first)
+    key, n = key[n > 0], n[n > 0]
+    context = key >> shift
+    of_bucket: dict[int, list] = {}
+    for bucket, k, _ in got:
+        of_bucket.setdefault(bucket, []).append(k >> shift)
+    out = {}
+    for bucket, own in of_bucket.items():
+        own = np.unique(np.concatenate(own))
+        low = np.searchsorted(context, own)
+        size = np.searchsorted(context, own, "right") - low
+        at = np.repeat(low - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        out[bucket] = packed(size.astype("<u4"), (key[at] & np.uint64(255 if free else 0)).astype("u1"), n[at])
+    return out, int(n.sum()), len(n)
+
+
+def _bucketed(docs: DataFrame, size: int) -> DataFrame:
+    """``docs`` (held_out, text, doc_id), written once in buckets of about ``size`` bytes of neighbouring texts.
+
+    A row of each task without a bucket has how often each byte stands in its training texts, and their number.
     """
-    shards = np.uint64(max(1, -(-n_bytes // SHARD)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple, list] = {}
-        size = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for (bucket, k), parts in held.items():
-                whole = np.concatenate(parts)
-                whole = _added(whole["context"], whole["byte"], whole["n"])
-                shard = (mix(whole["context"]) >> np.uint64(16)) % shards
-                order = np.argsort(shard, kind="stable")
-                names, first = np.unique(shard[order], return_index=True)
-                cuts = np.append(first, len(order))
-                sent = [whole[order[a:b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-                columns = [np.full(len(names), bucket), names.astype(np.int64), np.full(len(names), k, np.int32), sent]
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["bucket", "shard", "predictor", "pairs"])
+        base, filled = TaskContext.get().partitionId() << 32, 0
+        history = np.zeros(257, np.int64)
+        names = ["bucket", "held_out", "text", "doc_id", "history"]
+        for batch, data, offsets in blocks(batches):
+            n = batch.num_rows
+            trains = ~np.array(batch.column(0).to_pylist(), bool)
+            history[:256] += np.bincount(lowered(data)[np.repeat(trains, np.diff(offsets))], minlength=256)
+            history[256] += trains.sum()
+            at = filled + offsets + 16 * np.arange(n + 1)  # rows without a text take room too
+            filled = int(at[-1])
+            columns = [pa.array(base + at[:-1] // size, pa.int64()), *batch.columns[:3], pa.nulls(n, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names)
+        if history.any():
+            nulls = [pa.nulls(1, t) for t in (pa.int64(), pa.bool_(), pa.string(), pa.int64())]
+            yield pa.RecordBatch.from_arrays([*nulls, pa.array([history.tolist()], pa.list_(pa.int64()))], names)
 
-        for batch, data, offsets in blocks(batches, size=BATCH):
-            data = lowered(data)
-            text, text_at, token_at = plain_bytes(data, *words_of(data, offsets))
-            contexts = contexts_of(text, text_at, token_at)
-            length = np.diff(np.append(text_at, len(text)))
-            trains = np.repeat(~np.array(batch.column(1).to_pylist(), bool), length)
-            buckets = batch.column(0).to_numpy(zero_copy_only=False)
-            for bucket in np.unique(buckets).tolist():
-                own = np.flatnonzero(np.repeat(buckets == bucket, length))
-                place, which, _ = distinct(contexts[:, own], text[own])
-                n, place = np.bincount(which, trains[own], len(place)), own[place]
-                for k in range(PREDICTORS):
-                    part = _added(contexts[k][place], text[place], n)
-                    held.setdefault((bucket, k), []).append(part)
-                    size += len(part)
-            if size > 6_000_000:
-                yield from flush()
-                held, size = {}, 0
-        yield from flush()
-
-    def add(key: tuple, table: pa.Table) -> pa.Table:
-        buckets = table.column("bucket").to_numpy()
-        parts = [np.frombuffer(x, _PAIR) for x in table.column("pairs").to_pylist()]
-        whole = np.concatenate(parts)
-        whole = _added(whole["context"], whole["byte"], whole["n"])
-        whole = whole[whole["n"] > 0]
-        out_bucket, out = [], []
-        for bucket in np.unique(buckets).tolist():
-            own = np.unique(np.concatenate([parts[k]["context"] for k in np.flatnonzero(buckets == bucket)]))
-            low = np.searchsorted(whole["context"], own)
-            n = np.searchsorted(whole["context"], own, "right") - low
-            at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-            out_bucket.append(bucket)
-            out.append(whole[at].tobytes())
-        predictor = pa.array([key[1].as_py()] * len(out), pa.int32())
-        return pa.table({"bucket": pa.array(out_bucket, pa.int64()), "predictor": predictor, "pairs": pa.array(out, pa.binary())})
-
-    sent = rows.select("bucket", "held_out", "text").mapInArrow(run, _PAIRS)
-    return sent.groupBy("shard", "predictor").applyInArrow(add, "bucket bigint, predictor int, pairs binary")
-
-
-def _word_counts(rows: DataFrame) -> tuple[DataFrame, np.ndarray, int, int]:
-    """(bucket, word, c) of all words of each bucket, byte counts, and numbers of training tokens and of distinct ones.
-
-    ``rows`` has (bucket, held_out, text). A task counts before it sends anything: a word is a row for
-    each bucket in a block of texts.
+    rows = docs.mapInArrow(run, "bucket bigint, held_out boolean, text string, doc_id bigint, history array<bigint>")
+    return written(rows, "mixing-texts")
+
+
+def _gathered(rows: DataFrame, code: Code, shards: int) -> DataFrame:
+    """(bucket, shard, predictor, asked) of all buckets, and a row of each task with what it learned.
+
+    ``rows`` has (bucket, held_out, text).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        history = np.zeros(256, np.int64)
-
-        def flush(held: dict) -> Iterator[pa.RecordBatch]:
-            for bucket, parts in held.items():
-                words = np.concatenate([w for w, _ in parts])
-                weight = np.concatenate([n for _, n in parts])
-                unique, back = np.unique(words, return_inverse=True)
-                n = np.bincount(back, weight, len(unique)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(unique), bucket), pa.int64()), pa.array(unique.view(np.int64), pa.int64()), pa.array(n, pa.int64())],
-                    ["bucket", "word", "n"],
-                )
-
-        held: dict[int, list] = {}
-        size = 0
-        for batch, data, offsets in blocks(batches):
-            data = lowered(data)
-            starts, ends, before = words_of(data, offsets)
-            hashes = hash_spans(data, starts, ends)
-            trains = ~np.array(batch.column(1).to_pylist(), bool)
-            text = np.repeat(np.arange(len(offsets) - 1), np.diff(before))
-            history += np.bincount(data[np.repeat(trains, np.diff(offsets))], minlength=256)
+        learner = Learner(code)
+        kinds = {"bucket": pa.int64(), "shard": pa.int64(), "predictor": pa.int32(), "asked": pa.binary(), "rest": pa.list_(pa.float64())}
+
+        def sent(bucket: int, parts: list[Places], words: list[tuple]) -> Iterator[pa.RecordBatch]:
+            places = Places.joined(parts)
+            learner.learn(places)
+            for k in range(PREDICTORS + 1):
+                if k == WORDS:
+                    found = list(asked_words(np.concatenate([w for w, _ in words]), np.concatenate([n for _, n in words]), shards))
+                else:
+                    found = list(asked(places, k, code, shards))
+                n = len(found)
+                columns = [[bucket] * n, [s for s, _ in found], [k] * n, [x for _, x in found], [None] * n]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds.values(), strict=True)], list(kinds))
+
+        held, parts, words = None, [], []
+        for batch, data, offsets in blocks(batches, size=BATCH):
             buckets = batch.column(0).to_numpy(zero_copy_only=False)
-            for bucket in np.unique(buckets[text]).tolist() if len(text) else []:
-                own = buckets[text] == bucket
-                words, back = np.unique(hashes[own], return_inverse=True)
-                held.setdefault(bucket, []).append((words, np.bincount(back, trains[text[own]], len(words))))
-                size += len(words)
-            if size > 4_000_000:
-                yield from flush(held)
-                held, size = {}, 0
-        yield from flush(held)
-        if history.any():
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(256, pa.int64()), pa.array(np.arange(256), pa.int64()), pa.array(history, pa.int64())], ["bucket", "word", "n"]
-            )
-
-    found = written(rows.select("bucket", "held_out", "text").mapInArrow(run, "bucket bigint, word bigint, n bigint"), "word-counts")
-    history = np.zeros(256, np.int64)
-    for word, n in found.filter("bucket IS NULL").groupBy("word").agg(F.sum("n")).collect():
-        history[word] = n
-    mine = found.filter("bucket IS NOT NULL").groupBy("word", "bucket").agg(F.sum("n").alias("n"))
-    same = Window.partitionBy("word")
-    counted = mine.select(
-        "bucket", "word", "n", F.sum("n").over(same).alias("c"), (F.min("bucket").over(same) == F.col("bucket")).alias("leads")
+            trains = ~np.array(batch.column(1).to_pylist(), bool)
+            data = lowered(data)
+            edges = [0, *(np.flatnonzero(np.diff(buckets)) + 1).tolist(), len(buckets)]
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                if held is not None and buckets[a] != held:
+                    yield from sent(held, parts, words)
+                    parts, words = [], []
+                held = int(buckets[a])
+                some = data[offsets[a] : offsets[b]]
+                starts, ends, before = words_of(some, offsets[a : b + 1] - offsets[a])
+                plain, text_at, token_at = plain_bytes(some, starts, ends, before)
+                length = np.diff(np.append(text_at, len(plain)))
+                parts.append(places_of(plain, text_at, token_at, np.repeat(trains[a:b], length))[0])
+                words.append((hash_spans(some, starts, ends), np.repeat(trains[a:b], np.diff(before)).astype(np.int64)))
+        if held is not None:
+            yield from sent(held, parts, words)
+        if learner.n_bits:
+            columns = [[None], [None], [None], [None], [learner.rest().tolist()]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds.values(), strict=True)], list(kinds))
+
+    found = rows.select("bucket", "held_out", "text").mapInArrow(
+        run, "bucket bigint, shard bigint, predictor int, asked binary, rest array<double>"
     )
-    counted = written(counted, "corpus-counts")
-    tokens, words = counted.agg(
-        F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum((F.col("leads") & (F.col("c") > 0)).cast("bigint")), F.lit(0))
-    ).first()
-    return counted.select("bucket", "word", "c"), history, tokens, words
+    return written(found, "mixing-counts")
+
+
+def _answered(sent: DataFrame) -> DataFrame:
+    """(bucket, shard, predictor, answer): what followed the contexts that a bucket asked for, in the training texts of all.
+
+    Rows without a bucket have the numbers of a shard's training words, and of different ones, in place of shard and predictor.
+    """
 
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        shard, k = (x.as_py() for x in key)
+        parts = list(zip(table.column("bucket").to_pylist(), table.column("asked").to_pylist(), strict=True))
+        out, _, _ = answers(parts, 0 if k == WORDS else 8)
+        n = len(out)
+        columns = [list(out), [shard] * n, [k] * n, list(out.values())]
+        kinds = {"bucket": pa.int64(), "shard": pa.int64(), "predictor": pa.int32(), "answer": pa.binary()}
+        return pa.table({c: pa.array(x, t) for (c, t), x in zip(kinds.items(), columns, strict=True)})
 
-def scored(docs: DataFrame, folds: int = 10, bucket: Column | None = None, text: str = "text") -> DataFrame:
+    return sent.groupBy("shard", "predictor").applyInArrow(run, "bucket bigint, shard bigint, predictor int, answer binary")
+
+
+def _word_totals(sent: DataFrame) -> tuple[int, int]:
+    """Numbers of all training words and of different ones."""
+
+    def run(table: pa.Table) -> pa.Table:
+        _, tokens, types = answers(list(zip(table.column("bucket").to_pylist(), table.column("asked").to_pylist(), strict=True)), 0)
+        return pa.table({"tokens": pa.array([tokens], pa.int64()), "types": pa.array([types], pa.int64())})
+
+    found = sent.filter(F.col("predictor") == WORDS).groupBy("shard").applyInArrow(run, "tokens bigint, types bigint")
+    return tuple(found.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first())
+
+
+def mixed_shares(spelled: np.ndarray, share: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """log10 probability of each of ``n`` texts: the mean over ``SHARES`` of mixing spelling (log10) and share that way."""
+    spelling = 10 ** np.maximum(spelled, -300)
+    sums = np.stack([np.bincount(owner, np.log10((1 - x) * spelling + x * share), n) for x in SHARES])
+    best = sums.max(axis=0)
+    return best + np.log10((10 ** (sums - best)).mean(axis=0))
+
+
+def scored(docs: DataFrame, folds: int = 10, text: str = "text", size: int | None = None) -> DataFrame:
     """Word-model and mixing scores of every text; documents of the held-out fold train nothing.
 
     Columns: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes (predicted
     bytes; -score * log2(10) / n_bytes are the bits per byte). Null texts are empty: one end token. A
-    null id is held out. ``bucket`` says which documents meet their word counts together; documents
-    read together should share one, and one must fit into a task.
+    null id is held out. Rows that share an id or a text are texts of their own; other columns are
+    left out. ``size`` bytes of text make a bucket, which one task scores. An empty table gives no rows.
     """
     need(docs, "doc_id", text)
     spark = docs.sparkSession
-    rows = docs.select(
-        (bucket if bucket is not None else F.pmod(F.xxhash64("doc_id", text), F.lit(256))).cast("bigint").alias("bucket"),
-        held_out(F.col("doc_id"), folds).alias("held_out"),
-        F.col(text).cast("string").alias("text"),
-        F.col("doc_id").cast("bigint").alias("doc_id"),
+    rows = _bucketed(
+        docs.select(
+            held_out(F.col("doc_id"), folds).alias("held_out"),
+            F.col(text).cast("string").alias("text"),
+            F.col("doc_id").cast("bigint").alias("doc_id"),
+        ),
+        size or BUCKET,
     )
-    counts, history, tokens, n_words = _word_counts(rows)
-    ends = rows.filter("NOT held_out").count()
-    tokens, n_words = tokens + ends, n_words + (ends > 0)
-    history[[_SPACE, _END]] = max(0, tokens - 2 * ends), ends
-    fixed = spark.sparkContext.broadcast(train(rows.filter("NOT held_out"), Code.of(history)))
-    pairs = _context_counts(rows, int(history.sum()))
-    known = counts.select("bucket", "word", "c", F.lit(None).cast("int").alias("predictor"), F.lit(None).cast("binary").alias("pairs"))
-    known = known.union(pairs.select("bucket", F.lit(None).cast("bigint"), F.lit(None).cast("bigint"), "predictor", "pairs"))
+    history = np.zeros(257, np.int64)
+    for byte, n in rows.filter("bucket IS NULL").select(F.posexplode("history")).groupBy("pos").agg(F.sum("col")).collect():
+        history[byte] = n
+    ends, shards = int(history[256]), max(1, -(-int(history[:256].sum()) // SHARD))
+    spaces = [*range(9, 14), _SPACE]
+    between = history[spaces].sum()
+    history[spaces] = 0
+    history[[_SPACE, _END]] = between, ends
+    code = Code.of(history[:256])
+    rows = rows.filter("bucket IS NOT NULL").drop("history")
+    sent = _gathered(rows, code, shards)
+    rest = np.zeros(1 + GATES * PREDICTORS + 2 * GATES * CELLS)
+    for place, value in sent.filter("rest IS NOT NULL").select(F.posexplode("rest")).groupBy("pos").agg(F.sum("col")).collect():
+        rest[place] = value
+    fixed = spark.sparkContext.broadcast(Fixed.of(code, rest))
+    sent = sent.filter("bucket IS NOT NULL").drop("rest")
+    tokens, types = _word_totals(sent)
+    tokens, types = tokens + ends, types + (ends > 0)
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        out: dict[str, list] = {c: [] for c in ("doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "n_bytes")}
-        followed = right.filter(pc.is_valid(right.column("predictor")))
-        of_predictor = followed.column("predictor").to_numpy()
-
-        def tables() -> Iterator[tuple]:
-            for k in range(PREDICTORS):
-                parts = followed.column("pairs").take(pa.array(np.flatnonzero(of_predictor == k))).to_pylist()
-                own = np.frombuffer(b"".join(parts), _PAIR)
-                yield own["context"], own["byte"], own["n"]
-
-        model = Model.of(fixed.value, tables())
-        right = right.filter(pc.is_null(right.column("predictor")))
-        order = np.argsort(right.column("word").to_numpy().view(np.uint64))
-        known = right.column("word").to_numpy().view(np.uint64)[order]
-        c_of = right.column("c").to_numpy()[order]
-        whole = -np.log10(tokens + 0.1 * (n_words + 1))
+        kinds = {
+            "doc_id": pa.int64(), "held_out": pa.bool_(), "n_tokens": pa.int64(), "n_known": pa.int64(),
+            "train_tokens": pa.int64(), "base_score": pa.float64(), "score": pa.float64(), "n_bytes": pa.int64(),
+        }
+        got: dict[int, list] = {}
+        order = np.lexsort((right.column("shard").to_numpy(), right.column("predictor").to_numpy()))
+        for k, answer in zip(right.column("predictor").to_numpy()[order].tolist(), right.column("answer").take(pa.array(order)).to_pylist(), strict=True):
+            got.setdefault(k, []).append(unpacked(answer, "<u4", "u1", "<u8"))
+        del right
+        texts, parts = [], []
         for batch, data, offsets in blocks(iter(left.to_batches()), size=BATCH):
             data = lowered(data)
             starts, ends_, before = words_of(data, offsets)
-            c = c_of[np.searchsorted(known, hash_spans(data, starts, ends_))] if len(starts) else np.zeros(0, np.int64)
-            owner, n = np.repeat(np.arange(len(offsets) - 1), np.diff(before)), len(offsets) - 1
-            base = np.bincount(owner, np.log10(c + 0.1) + whole, n) + np.log10(ends + 0.1) + whole
             plain, text_at, token_at = plain_bytes(data, starts, ends_, before)
-            spelled = model.token_scores(plain, text_at, token_at)
-            token_text = np.repeat(np.arange(n), np.diff(before) + 1)
+            places, which = places_of(plain, text_at, token_at, np.zeros(len(plain), bool))
+            parts.append(places)
+            n_bytes = np.diff(np.append(text_at, len(plain)))
+            texts.append((batch.select(["doc_id", "held_out"]), hash_spans(data, starts, ends_), np.diff(before), n_bytes, token_at, which, places.key))
+        places = Places.joined(parts)
+        del parts, left
+        followers = []
+        for k in range(PREDICTORS):
+            own = np.unique(wire(places.contexts(k), shards))
+            followers.append(Followers.of(own, *(np.concatenate(x) for x in zip(*got.pop(k), strict=True))))
+        each = Model(fixed.value, shards, followers).place_scores(places)
+        del followers
+        words = np.unique(np.concatenate([t[1] for t in texts]))
+        found = [np.concatenate(x) for x in zip(*got.pop(WORDS), strict=True)] if len(words) else [np.zeros(0, np.uint32)] * 3
+        c_of = np.zeros(len(words), np.int64)
+        c_of[found[0] > 0] = found[2]
+        whole = -np.log10(tokens + 0.1 * (types + 1))
+        out = []
+        for batch, hashes, n_words, n_bytes, token_at, which, keys in texts:
+            n = len(n_words)
+            owner = np.repeat(np.arange(n), n_words)
+            c = c_of[np.searchsorted(words, hashes)]
+            base = np.bincount(owner, np.log10(c + 0.1) + whole, n) + np.log10(ends + 0.1) + whole
+            spelled = np.add.reduceat(each[np.searchsorted(places.key, keys)][which], token_at)
             count = np.full(len(token_at), ends, np.float64)
-            count[np.arange(len(starts)) + owner] = c
-            score = np.bincount(token_text, np.log10(0.5 * 10**np.maximum(spelled, -300) + 0.5 * count / max(1, tokens)), n)
-            out["doc_id"] += batch.column(3).to_pylist()
-            out["held_out"] += batch.column(1).to_pylist()
-            out["n_tokens"] += (np.diff(before) + 1).tolist()
-            out["n_known"] += (np.bincount(owner, c > 0, n).astype(np.int64) + (ends > 0)).tolist()
-            out["base_score"] += base.tolist()
-            out["score"] += score.tolist()
-            out["n_bytes"] += np.diff(np.append(text_at, len(plain))).tolist()
-        return pa.table(
-            {
-                "doc_id": pa.array(out["doc_id"], pa.int64()),
-                "held_out": pa.array(out["held_out"], pa.bool_()),
-                "n_tokens": pa.array(out["n_tokens"], pa.int64()),
-                "n_known": pa.array(out["n_known"], pa.int64()),
-                "train_tokens": pa.array([tokens] * len(out["doc_id"]), pa.int64()),
-                "base_score": pa.array(out["base_score"], pa.float64()),
-                "score": pa.array(out["score"], pa.float64()),
-                "n_bytes": pa.array(out["n_bytes"], pa.int64()),
-            }
-        )
+            count[np.arange(len(c)) + owner] = c
+            score = mixed_shares(spelled, count / max(1, tokens), np.repeat(np.arange(n), n_words + 1), n)
+            known = np.bincount(owner, c > 0, n).astype(np.int64) + (ends > 0)
+            columns = [batch.column(0), batch.column(1), n_words + 1, known, np.full(n, tokens), base, score, n_bytes]
+            out.append(pa.table({name: pa.array(x, kind) if isinstance(x, np.ndarray) else x for (name, kind), x in zip(kinds.items(), columns, strict=True)}))
+        return pa.concat_tables(out)
 
     schema = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, n_bytes bigint"
-    return rows.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(run, schema)
-
-
-def split_of(pieces: int = 1) -> Column:
-    """The part of an input file that a row was read from, in ``pieces`` by id, as a bucket."""
-    piece = F.pmod(F.xxhash64("doc_id"), F.lit(pieces))
-    return F.xxhash64(F.input_file_name(), F.expr("input_file_block_start()"), piece)
-
-
-def _split_pieces(spark: SparkSession, size: int = 16 << 20) -> int:
-    """Pieces of about ``size`` bytes in a file part as Spark cuts them."""
-    whole = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    return max(1, -(-int(whole) // size))
+    return rows.groupBy("bucket").cogroup(_answered(sent).groupBy("bucket")).applyInArrow(run, schema)
 
 
 def op3_context_mixing(spark, sf_dir: str) -> DataFrame:
     """Both scores of every document, learned outside the held-out tenth."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return scored(docs, bucket=split_of(_split_pieces(spark)))
+    return scored(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))

@@ -171,29 +171,6 @@ def test_mixing_scores(spark, small, docs, no_docs):
     assert mixing.scored(no_docs).count() == 0
 
 
-def test_mixing_is_a_distribution():
-    """Over all next bytes, the spelled probabilities of a trained model add up to 1, and it learns."""
-    text = ("the cat sat on the mat " * 300).encode()
-    counts = np.bincount(np.frombuffer(text, np.uint8), minlength=256)
-    code = mixing.Code.of(counts)
-    learner = mixing.Learner(code)
-    data = np.frombuffer(text, np.uint8)
-    for _ in range(4):
-        learner.learn(data, np.array([0]), np.array([0]))
-    pairs = learner.counts.reshape(mixing.PREDICTORS, -1, 2)
-    zeros, ones = pairs[..., 0], pairs[..., 1]
-    maps = learner.map_all.astype(np.float32), learner.map_ones.astype(np.float32)
-    model = mixing.Model(code, mixing.logits(zeros, ones), zeros + ones > 0, learner.weights, *maps)
-    total = 0.0
-    for b in range(256):
-        whole = np.frombuffer(b"the ca" + bytes([b]), np.uint8)
-        each = model.token_scores(whole, np.array([0]), np.array([0, 6]))
-        total += 10 ** each[1]
-    assert total == pytest.approx(1, abs=1e-3)
-    right, wrong = (model.token_scores(np.frombuffer(x, np.uint8), np.array([0]), np.array([0]))[0] for x in (b"the cat sat ", b"tac eht tas "))
-    assert right > wrong + 3
-
-
 def encoded(rows, name, end):
     plain = Tokenizer.from_file(public_tokenizers.path(name))
     return [(r[0], [*plain.encode(r[1] or "", add_special_tokens=False).ids, end]) for r in rows]

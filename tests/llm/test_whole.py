@@ -4,6 +4,8 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from clearspan.llm import jaccard, linedup, mixing, vectors
 from clearspan.llm.spans import words_of
@@ -59,34 +61,135 @@ def test_one_of_each_of_texts_that_share_an_id(spark):
     assert sorted(tuple(r) for r in jaccard.one_of_each(table).collect()) == [(7, t) for t in texts]
 
 
-def test_context_counts_grow_with_the_corpus(spark, monkeypatch):
+def plain_of(text):
+    raw = np.frombuffer(text.encode(), np.uint8)
+    starts, ends, before = words_of(raw, np.array([0, len(raw)]))
+    return mixing.plain_bytes(raw, starts, ends, before)
+
+
+def test_places_know_only_their_own_text():
+    """The window of a byte is the five bytes before it in its text, the word hash that of the word so far."""
+    raw = np.frombuffer(b"the cat\nthe\n\nca\n", np.uint8)
+    text_at, token_at = np.array([0, 8, 12, 13]), np.array([0, 4, 8, 12, 13])
+    window, word = mixing.histories(raw, text_at, token_at)
+    for i in range(len(raw)):
+        start = max(t for t in text_at if t <= i)
+        before = (b"\n" * 5 + raw[start:i].tobytes())[-5:]
+        assert window[i] == int.from_bytes(before + raw[i : i + 1].tobytes(), "little")
+    assert word[1] == word[9] != word[5] and word[0] == word[4] == word[12] and word[5] == word[14] and word[6] == word[15]
+    places, which = mixing.places_of(raw, text_at, token_at, np.ones(len(raw), bool))
+    assert (places.window[which] == window).all() and (places.word[which] == word).all() and places.n.sum() == len(raw)
+    assert len(places.key) == len(set(zip(window.tolist(), word.tolist(), strict=True)))
+
+
+def test_context_counts_grow_with_the_corpus(spark):
     """Every context of a bucket has its whole corpus's counts, in any number of shards; held-out texts count nothing."""
-    monkeypatch.setattr(mixing, "SHARD", 100)
     data = [(k % 3, k % 5 == 0, run_of(f"w{k % 4}", 6)) for k in range(20)]
     table = spark.createDataFrame(data, "bucket long, held_out boolean, text string").repartition(4)
-    want, asked = Counter(), {}
+    shards, want, own_of, words = 7, Counter(), {}, Counter()
+    code = mixing.Code.of(np.ones(256))
     for bucket, held, text in data:
-        raw = np.frombuffer((text + " \n").encode(), np.uint8)
-        starts, ends, before = words_of(raw[:-2], np.array([0, len(raw) - 2]))
-        plain, text_at, token_at = mixing.plain_bytes(raw[:-2], starts, ends, before)
-        for k, contexts in enumerate(mixing.contexts_of(plain, text_at, token_at).tolist()):
-            for context, byte in zip(contexts, plain.tolist(), strict=True):
-                want[k, context, byte] += not held
-                asked.setdefault((bucket, k), set()).add(context)
-    got = Counter()
-    for r in mixing._context_counts(table, 1000).collect():
-        for context, byte, n in np.frombuffer(r.pairs, mixing._PAIR).tolist():
-            got[r.bucket, r.predictor, context, byte] += n
-    assert got == Counter({(b, k, c, byte): n for (k, c, byte), n in want.items() for b in range(3) if n and c in asked[b, k]})
+        plain, text_at, token_at = plain_of(text)
+        places, which = mixing.places_of(plain, text_at, token_at, np.ones(len(plain), bool))
+        words.update([] if held else text.split())
+        for k in range(mixing.PREDICTORS):
+            for key, rank in zip(mixing.wire(places.contexts(k), shards)[which].tolist(), code.ranks[plain].tolist(), strict=True):
+                want[k, key, rank] += not held
+                own_of.setdefault((bucket, k), set()).add(key)
+    sent = mixing._gathered(table, code, shards)
+    assert mixing._word_totals(sent) == (sum(words.values()), len(words))
+    got, found = Counter(), {}
+    for r in mixing._answered(sent.filter("bucket IS NOT NULL").drop("rest")).orderBy("shard").collect():
+        for have, more in zip(found.setdefault((r.bucket, r.predictor), [[], [], []]), mixing.unpacked(r.answer, "<u4", "u1", "<u8"), strict=True):
+            have += more.tolist()
+    for (bucket, k), own in own_of.items():
+        size, rank, n = found[bucket, k]
+        keys = np.repeat(np.array(sorted(own), np.uint64), size)
+        for key, r, x in zip(keys.tolist(), rank, n, strict=True):
+            got[bucket, k, key, r] += x
+    assert got == Counter({(b, k, c, r): n for (k, c, r), n in want.items() for b in range(3) if n and c in own_of[b, k]})
+
+
+def test_followers_count_bits_like_a_plain_walk():
+    """Zeros and ones on the way of a byte are those of all bytes that followed its context through the same nodes."""
+    plain, text_at, token_at = plain_of(" ".join(run_of(f"w{k % 5}", 7) for k in range(40)))
+    places, which = mixing.places_of(plain, text_at, token_at, np.ones(len(plain), bool))
+    code = mixing.Code.of(np.bincount(plain, minlength=256))
+    model = model_of(code, np.zeros(1 + mixing.GATES * (mixing.PREDICTORS + 2 * mixing.CELLS)), places, places)
+    path = [[(int(n), int(b)) for n, b in zip(code.nodes[x], code.bits[x], strict=True)][: code.lengths[x]] for x in range(256)]
+    for k in range(mixing.PREDICTORS):
+        key = mixing.wire(places.contexts(k), 3)
+        seen = Counter()
+        for context, byte, n in zip(key.tolist(), places.byte.tolist(), places.n.tolist(), strict=True):
+            for step in path[byte]:
+                seen[context, step] += n
+        want = [(seen[c, (node, 0)], seen[c, (node, 1)]) for c, byte in zip(key.tolist(), places.byte.tolist(), strict=True) for node, _ in path[byte]]
+        zeros, ones = model.followers[k].counted(key, places.byte, code)
+        assert list(zip(zeros.tolist(), ones.tolist(), strict=True)) == want
+
+
+def model_of(code, rest, trained, scored, shards=3):
+    """A model of the counts of ``trained`` for the contexts of ``scored``, without Spark."""
+    followers = []
+    for k in range(mixing.PREDICTORS):
+        parts = {}
+        for bucket, places in ((0, trained), (1, scored)):
+            for shard, data in mixing.asked(places, k, code, shards):
+                parts.setdefault(shard, []).append((bucket, data))
+        out = [mixing.answers(parts[s], 8)[0] for s in sorted(parts)]
+        own = np.unique(mixing.wire(scored.contexts(k), shards))
+        columns = zip(*(mixing.unpacked(o[1], "<u4", "u1", "<u8") for o in out if 1 in o), strict=True)
+        followers.append(mixing.Followers.of(own, *(np.concatenate(c) // (1 + (trained is scored and i == 2)) for i, c in enumerate(columns))))
+    return mixing.Model(mixing.Fixed.of(code, rest), shards, followers)
+
+
+def test_mixing_is_a_distribution():
+    """Over all next bytes, the spelled probabilities of a trained model add up to 1, and it learns."""
+    plain, text_at, token_at = plain_of("the cat sat on the mat " * 300)
+    code = mixing.Code.of(np.bincount(plain, minlength=256))
+    learner = mixing.Learner(code)
+    trained, _ = mixing.places_of(plain, text_at, token_at, np.ones(len(plain), bool))
+    for _ in range(4):
+        learner.learn(trained)
+    texts = [b"the ca" + bytes([b]) for b in range(256)] + [b"the cat sat ", b"tac eht tas "]
+    tokens = np.array([0])  # every text one token, from its first byte
+    parts = [mixing.places_of(np.frombuffer(t, np.uint8), tokens, tokens, np.zeros(len(t), bool)) for t in texts]
+    places = mixing.Places.joined([p for p, _ in parts])
+    each = model_of(code, learner.rest(), trained, places).place_scores(places)
+    spelled = [each[np.searchsorted(places.key, p.key)][w] for p, w in parts]
+    assert sum(10 ** s[-1] for s in spelled[:256]) == pytest.approx(1, abs=1e-3)
+    assert spelled[256].sum() > spelled[257].sum() + 3
+
+
+def test_shares_of_two_experts():
+    """A text's probability is the mean over the shares; each share mixes the experts token by token."""
+    spelled, share, owner = np.array([-1.0, -3.0, -2.0]), np.array([0.5, 0.0, 0.2]), np.array([0, 0, 2])
+    got = 10 ** mixing.mixed_shares(spelled, share, owner, 3)
+    for text in range(3):
+        own = [np.prod([(1 - x) * 10 ** spelled[i] + x * share[i] for i in range(3) if owner[i] == text]) for x in mixing.SHARES]
+        assert got[text] == pytest.approx(np.mean(own))
+
+
+def test_buckets_are_cut_by_size(spark):
+    """Rows with one id and one text, a third of all, lie in many buckets; every bucket size gives every row a score."""
+    data = [(7, run_of("a", 40))] * 40 + [(k, run_of(f"b{k}", 40)) for k in range(80)] + [(None, None), (3, "")]
+    table = spark.createDataFrame(data, "doc_id long, text string").coalesce(1)
+    cut = mixing._bucketed(table.select(mixing.held_out(F.col("doc_id"), 10).alias("held_out"), "text", "doc_id"), 2000)
+    sizes = [r.n for r in cut.filter("bucket IS NOT NULL").groupBy("bucket").agg(F.sum(F.length("text")).alias("n")).collect()]
+    assert len(sizes) > 5 and max(sizes) < 2400
+    one, many = (sorted(map(tuple, mixing.scored(table, size=s).drop("score").collect()), key=str) for s in (1 << 20, 2000))
+    assert len(one) == len(data) and [r[:5] + r[6:] for r in one] == [r[:5] + r[6:] for r in many]
+    assert [r[5] for r in one] == pytest.approx([r[5] for r in many])
 
 
 def test_weights_move_in_a_small_partition():
-    """A task's only batch is predicted from counts too, not from empty tables."""
-    text = np.frombuffer((" ".join(run_of(f"w{k % 7}", 9) for k in range(30)) + " \n").encode(), np.uint8)
-    learner = mixing.Learner(mixing.Code.of(np.bincount(text, minlength=256)))
-    learner.learn(text, np.array([0]), np.array([0]))
+    """A task's only bucket is predicted from counts too, not from empty tables; all that comes is learned."""
+    plain, text_at, token_at = plain_of(" ".join(run_of(f"w{k % 7}", 9) for k in range(30)))
+    code = mixing.Code.of(np.bincount(plain, minlength=256))
+    learner = mixing.Learner(code)
+    learner.learn(mixing.places_of(plain, text_at, token_at, np.ones(len(plain), bool))[0])
     assert (learner.weights[2:] != 0.3).any() and learner.map_all.reshape(mixing.GATES, -1)[2:].sum() > 0
-    assert (learner.counts.sum(axis=1) == learner.n_bits).all()
+    assert learner.n_bits == code.lengths[plain].sum() and (learner.counts.sum(axis=1) == learner.n_bits).all()
 
 
 def test_rows_that_share_an_id_are_candidates(spark):
