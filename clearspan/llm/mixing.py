@@ -50,7 +50,7 @@ ORDERS = (1, 2, 3, 5)
 #: Bytes of text for each shard of the corpus's context counts.
 SHARD = 1 << 24
 #: Bytes of text in a bucket, which one task scores; a longer text is a bucket of its own.
-BUCKET = 1 << 23
+BUCKET = 1 << 24
 PREDICTORS = len(ORDERS) + 1
 #: The number under which words are counted, next to the predictors.
 WORDS = PREDICTORS
@@ -58,7 +58,7 @@ GATES = 2 * (PREDICTORS + 1)
 #: Cells of the adaptive map for each gate.
 CELLS = 48
 #: Bytes of text in a batch, and distinct places worked on at a time.
-BATCH, STEP = 1 << 20, 1 << 15
+BATCH, STEP = 1 << 18, 1 << 15
 #: Steps in which a bucket is learned at least, so that small tables are predicted from counts too.
 LEAST_STEPS = 16
 #: How much of a token's probability is its share among the training tokens; the rest is its spelling.
@@ -83,6 +83,7 @@ class Code:
     bits: np.ndarray
     nodes: np.ndarray
     ranks: np.ndarray
+    by_rank: np.ndarray
     borders: np.ndarray
 
     @classmethod
@@ -121,7 +122,7 @@ class Code:
                     least.setdefault(node, rank)
         for k, path in codes.items():
             borders[k, : len(path)] = [least[node] for node, _ in path]
-        return cls(lengths, bits, nodes, ranks, borders)
+        return cls(lengths, bits, nodes, ranks, np.argsort(ranks).astype(np.uint8), borders)
 
 
 def plain_bytes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -193,6 +194,14 @@ def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(new)
 
 
+def _distinct(key: np.ndarray) -> np.ndarray:
+    """Each key once, in order."""
+    key = np.sort(key)
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    return key[new]
+
+
 def histories(text: np.ndarray, text_at: np.ndarray, token_at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Window and word hash of each byte: only what stands before it in its text, line feeds before its first byte."""
     n = len(text)
@@ -292,7 +301,7 @@ class Learner:
     def learn(self, places: Places) -> None:
         """In small steps: predict from what was seen, correct weights and map, then count.
 
-        A place that comes ``n`` times is learned in parts of 1, 3, 12, 48 and so on, in any order.
+        A place that comes ``n`` times is learned in parts of 1, 15, 240 and so on, in any order.
         """
         at, times = [], []
         done, size = 0, 1
@@ -300,7 +309,7 @@ class Learner:
         while len(left):
             at.append(left)
             times.append(np.minimum(places.n[left] - done, size))
-            done, size = done + size, 3 * (done + size)
+            done, size = done + size, 15 * (done + size)
             left = left[places.n[left] > done]
         if not at:
             return
@@ -364,79 +373,91 @@ class Fixed:
 class Followers:
     """What followed a bucket's contexts of one predictor: ranks of bytes and their running numbers, context by context."""
 
-    own: np.ndarray
     start: np.ndarray
     rank: np.ndarray
     place: np.ndarray
     before: np.ndarray
 
     @classmethod
-    def of(cls, own: np.ndarray, size: np.ndarray, rank: np.ndarray, n: np.ndarray) -> Followers:
-        """``own`` are the contexts' keys in order, ``size`` how many bytes followed each."""
-        if len(own) != len(size):
-            raise RuntimeError(f"{len(size)} answers for {len(own)} contexts")
+    def of(cls, size: np.ndarray, rank: np.ndarray, n: np.ndarray) -> Followers:
+        """``size`` says how many bytes followed each context, in the order of the contexts' keys."""
         start = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
-        place = (np.repeat(np.arange(len(own)), size) << 8) | rank
-        return cls(own, start, rank, place, np.concatenate([[0.0], np.cumsum(n, dtype=np.float64)]))
+        place = (np.repeat(np.arange(len(size)), size) << 8) | rank
+        return cls(start, rank, place, np.concatenate([[0.0], np.cumsum(n, dtype=np.float64)]))
 
-    def counted(self, key: np.ndarray, byte: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray]:
-        """For every bit of the bytes: how often a zero and a one followed the context there."""
-        group = np.searchsorted(self.own, key)
+    def counted(self, group: np.ndarray, byte: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray]:
+        """For every bit of the bytes: how often a zero and a one followed the context there; ``group`` numbers the contexts."""
         lengths = code.lengths[byte]
-        first = np.cumsum(lengths) - lengths
-        zeros, ones = np.zeros(int(lengths.sum()), np.float32), np.zeros(int(lengths.sum()), np.float32)
+        total = int(lengths.sum())
+        zeros, ones = np.zeros(total, np.float32), np.zeros(total, np.float32)
+        at = np.cumsum(lengths) - lengths
         low, high = self.start[group], self.start[group + 1]
-        live = np.arange(len(byte))
         for depth in range(code.bits.shape[1]):
-            live = live[(lengths[live] > depth) & (high[live] > low[live])]
+            live = np.flatnonzero((lengths > depth) & (high > low))
             if not len(live):
                 break
-            a, b, border = low[live], high[live], code.borders[byte[live], depth]
-            cut = a + (self.rank[a] < border)
-            many = np.flatnonzero(b - a > 1)
-            cut[many] = np.searchsorted(self.place, (group[live[many]] << 8) | border[many])
-            at = first[live] + depth
-            zeros[at], ones[at] = self.before[cut] - self.before[a], self.before[b] - self.before[cut]
-            one = code.bits[byte[live], depth] > 0
-            low[live], high[live] = np.where(one, cut, a), np.where(one, b, cut)
+            if len(live) < len(low):
+                group, byte, lengths, at, low, high = (x[live] for x in (group, byte, lengths, at, low, high))
+            border = code.borders[:, depth][byte]
+            cut = low + (self.rank[low] < border)
+            many = np.flatnonzero(high - low > 1)
+            cut[many] = np.searchsorted(self.place, (group[many] << 8) | border[many])
+            middle = self.before[cut]
+            zeros[at], ones[at] = middle - self.before[low], self.before[high] - middle
+            one = code.bits[:, depth][byte] > 0
+            low, high, at = np.where(one, cut, low), np.where(one, high, cut), at + 1
         return zeros, ones
 
 
+@dataclass
+class Evidence:
+    """One predictor's logits at every bit of a bucket's pairs of context and byte, which were seen, and each place's first bit."""
+
+    first: np.ndarray
+    logit: np.ndarray
+    seen: np.ndarray
+
+    @classmethod
+    def of(cls, pair: np.ndarray, which: np.ndarray, answer: tuple[np.ndarray, np.ndarray, np.ndarray], code: Code) -> Evidence:
+        """``pair`` and ``which`` are those of ``pairs_of``; ``answer`` what followed the contexts, in the order of their keys."""
+        context, byte = pair >> _EIGHT, code.by_rank[(pair & np.uint64(255)).astype(np.uint8)]
+        new = np.zeros(len(pair), np.int64)
+        new[1:] = context[1:] != context[:-1]
+        group = np.cumsum(new)
+        if len(answer[0]) != (group[-1] + 1 if len(group) else 0):
+            raise RuntimeError(f"{len(answer[0])} answers for {group[-1] + 1} contexts")
+        lengths = code.lengths[byte]
+        logit, seen = np.empty(int(lengths.sum()), np.float32), np.empty(int(lengths.sum()), bool)
+        first = np.cumsum(lengths) - lengths
+        followers = Followers.of(*answer)
+        for a in range(0, len(pair), STEP):
+            zeros, ones = followers.counted(group[a : a + STEP], byte[a : a + STEP], code)
+            bits = slice(first[a], first[a] + len(zeros))
+            logit[bits], seen[bits] = logits(zeros, ones), zeros + ones > 0
+        return cls(first[which], logit, seen)
+
+
 @dataclass
 class Model:
-    """What scoring a bucket needs: weights and map, and what followed its contexts in the corpus."""
+    """What scoring a bucket needs: weights and map, and each predictor's evidence at the bucket's places."""
 
     fixed: Fixed
-    shards: int
-    followers: list[Followers]
+    evidence: list[Evidence]
 
     def place_scores(self, places: Places) -> np.ndarray:
         """log10 probability of the byte at each place."""
-        code, out = self.fixed.code, np.zeros(len(places.key))
+        code, out, all_ = self.fixed.code, np.zeros(len(places.key)), places.byte
         for start in range(0, len(out), STEP):
-            own = places.take(slice(start, start + STEP))
-            byte = own.byte
+            byte = all_[start : start + STEP]
             lengths = code.lengths[byte]
             owner = np.repeat(np.arange(len(byte)), lengths)
             depth = np.arange(len(owner)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
             bit = code.bits[byte[owner], depth]
             inputs, longest = np.empty((PREDICTORS, len(owner)), np.float32), np.zeros(len(owner), np.int8)
-            for k, followers in enumerate(self.followers):
-                key = wire(own.contexts(k), self.shards)
-                pair = key | byte
-                each = np.unique(pair)
-                again = 2 * len(each) < len(pair)
-                if again:
-                    zeros, ones = followers.counted(each & ~np.uint64(255), (each & np.uint64(255)).astype(np.uint8), code)
-                else:
-                    zeros, ones = followers.counted(key, byte, code)
-                logit, some = logits(zeros, ones), zeros + ones > 0
-                if again:
-                    size = code.lengths[(each & np.uint64(255)).astype(np.uint8)]
-                    at = (np.cumsum(size) - size)[np.searchsorted(each, pair)][owner] + depth
-                    logit, some = logit[at], some[at]
-                inputs[k] = logit
-                np.copyto(longest, np.int8(k + 1), where=some)
+            for k, known in enumerate(self.evidence):
+                at = known.first[start : start + STEP][owner] + depth
+                inputs[k] = known.logit[at]
+                np.copyto(longest, np.int8(k + 1), where=known.seen[at])
             gate = gates(longest, depth == 0)
             mixed = mixed_logit(inputs, self.fixed.weights, gate)
             cell = cells(gate, mixed)
@@ -475,23 +496,42 @@ def unpacked(data: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
-def asked(places: Places, k: int, code: Code, shards: int) -> Iterator[tuple[int, bytes]]:
-    """For each shard what a bucket asks of it and adds to it for predictor ``k``: keys with ranks of bytes, and numbers."""
-    yield from _by_shard(wire(places.contexts(k), shards) | code.ranks[places.byte], places.n, lambda x: x >> np.uint64(40), _LOW40)
+def pairs_of(places: Places, code: Code, shards: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each predictor its number, the distinct pairs of context and byte (key with the byte's rank) in order, and each place's.
+
+    A shorter context is part of the next longer one, so its pairs are found among those.
+    """
+    some, which = places, None
+    for k in [PREDICTORS - 1, *reversed(range(len(ORDERS)))]:
+        key = wire(some.contexts(k), shards) | code.ranks[some.byte]
+        order, first = _groups(key)
+        own = np.empty(len(key), np.int32)
+        own[order] = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(np.append(first, len(key))))
+        at = order[first]
+        if k == PREDICTORS - 1:
+            yield k, key[at], own
+            continue
+        which = own if which is None else own[which]
+        yield k, key[at], which
+        some = some.take(at)
+
+
+def asked(pair: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """For each shard what a bucket asks of it and adds to it for a predictor: keys with ranks of bytes in order, and numbers."""
+    yield from _by_shard(pair, n, pair >> np.uint64(40), _LOW40)
 
 
 def asked_words(words: np.ndarray, n: np.ndarray, shards: int) -> Iterator[tuple[int, bytes]]:
-    """The same of hashed words."""
-    yield from _by_shard(words, n, lambda x: shard_of(x, shards), ~np.uint64(0))
+    """The same of hashed words, in any order and often."""
+    order, first = _groups(words)
+    words = words[order[first]]
+    yield from _by_shard(words, np.add.reduceat(n[order], first) if len(first) else n, shard_of(words, shards), ~np.uint64(0))
 
 
-def _by_shard(key: np.ndarray, n: np.ndarray, shard, kept: np.uint64) -> Iterator[tuple[int, bytes]]:
-    order, first = _groups(key)
-    key = key[order[first]]
-    n = np.add.reduceat(n[order], first) if len(first) else n
-    names, at = np.unique(shard(key), return_index=True)
-    for name, a, b in zip(names.tolist(), at.tolist(), [*at[1:].tolist(), len(key)], strict=True):
-        yield name, packed(np.diff(key[a:b] & kept, prepend=np.uint64(0)), n[a:b].astype("<u8"))
+def _by_shard(key: np.ndarray, n: np.ndarray, shard: np.ndarray, kept: np.uint64) -> Iterator[tuple[int, bytes]]:
+    at = np.flatnonzero(np.diff(shard, prepend=shard[:1] + np.uint64(1)))
+    for a, b in zip(at.tolist(), [*at[1:].tolist(), len(key)], strict=True):
+        yield int(shard[a]), packed(np.diff(key[a:b] & kept, prepend=np.uint64(0)), n[a:b].astype("<u8"))
 
 
 def answers(parts: list[tuple[int, bytes]], free: int) -> tuple[dict[int, bytes], int, int]:
@@ -512,7 +552,7 @@ def answers(parts: list[tuple[int, bytes]], free: int) -> tuple[dict[int, bytes]
         of_bucket.setdefault(bucket, []).append(k >> shift)
     out = {}
     for bucket, own in of_bucket.items():
-        own = np.unique(np.concatenate(own))
+        own = _distinct(np.concatenate(own))
         low = np.searchsorted(context, own)
         size = np.searchsorted(context, own, "right") - low
         at = np.repeat(low - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
@@ -560,11 +600,9 @@ def _gathered(rows: DataFrame, code: Code, shards: int) -> DataFrame:
         def sent(bucket: int, parts: list[Places], words: list[tuple]) -> Iterator[pa.RecordBatch]:
             places = Places.joined(parts)
             learner.learn(places)
-            for k in range(PREDICTORS + 1):
-                if k == WORDS:
-                    found = list(asked_words(np.concatenate([w for w, _ in words]), np.concatenate([n for _, n in words]), shards))
-                else:
-                    found = list(asked(places, k, code, shards))
+            counted = [(k, list(asked(pair, np.bincount(which, places.n)))) for k, pair, which in pairs_of(places, code, shards)]
+            counted.append((WORDS, list(asked_words(np.concatenate([w for w, _ in words]), np.concatenate([n for _, n in words]), shards))))
+            for k, found in counted:
                 n = len(found)
                 columns = [[bucket] * n, [s for s, _ in found], [k] * n, [x for _, x in found], [None] * n]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds.values(), strict=True)], list(kinds))
@@ -693,13 +731,12 @@ def scored(docs: DataFrame, folds: int = 10, text: str = "text", size: int | Non
             texts.append((batch.select(["doc_id", "held_out"]), hash_spans(data, starts, ends_), np.diff(before), n_bytes, token_at, which, places.key))
         places = Places.joined(parts)
         del parts, left
-        followers = []
-        for k in range(PREDICTORS):
-            own = np.unique(wire(places.contexts(k), shards))
-            followers.append(Followers.of(own, *(np.concatenate(x) for x in zip(*got.pop(k), strict=True))))
-        each = Model(fixed.value, shards, followers).place_scores(places)
-        del followers
-        words = np.unique(np.concatenate([t[1] for t in texts]))
+        evidence: list = [None] * PREDICTORS
+        for k, pair, own in pairs_of(places, fixed.value.code, shards):
+            evidence[k] = Evidence.of(pair, own, tuple(np.concatenate(x) for x in zip(*got.pop(k), strict=True)), fixed.value.code)
+        each = Model(fixed.value, evidence).place_scores(places)
+        del evidence
+        words = _distinct(np.concatenate([t[1] for t in texts]))
         found = [np.concatenate(x) for x in zip(*got.pop(WORDS), strict=True)] if len(words) else [np.zeros(0, np.uint32)] * 3
         c_of = np.zeros(len(words), np.int64)
         c_of[found[0] > 0] = found[2]

@@ -110,37 +110,39 @@ def test_context_counts_grow_with_the_corpus(spark):
     assert got == Counter({(b, k, c, r): n for (k, c, r), n in want.items() for b in range(3) if n and c in own_of[b, k]})
 
 
-def test_followers_count_bits_like_a_plain_walk():
-    """Zeros and ones on the way of a byte are those of all bytes that followed its context through the same nodes."""
+def test_evidence_is_that_of_a_plain_walk():
+    """The logit at a bit is that of all bytes that followed its context through the same node."""
     plain, text_at, token_at = plain_of(" ".join(run_of(f"w{k % 5}", 7) for k in range(40)))
     places, which = mixing.places_of(plain, text_at, token_at, np.ones(len(plain), bool))
     code = mixing.Code.of(np.bincount(plain, minlength=256))
-    model = model_of(code, np.zeros(1 + mixing.GATES * (mixing.PREDICTORS + 2 * mixing.CELLS)), places, places)
+    nothing = mixing.Places(places.key, places.window, places.word, 0 * places.n)
+    model = model_of(code, np.zeros(1 + mixing.GATES * (mixing.PREDICTORS + 2 * mixing.CELLS)), places, nothing)
     path = [[(int(n), int(b)) for n, b in zip(code.nodes[x], code.bits[x], strict=True)][: code.lengths[x]] for x in range(256)]
     for k in range(mixing.PREDICTORS):
-        key = mixing.wire(places.contexts(k), 3)
+        key = mixing.wire(places.contexts(k), 3).tolist()
         seen = Counter()
-        for context, byte, n in zip(key.tolist(), places.byte.tolist(), places.n.tolist(), strict=True):
+        for context, byte, n in zip(key, places.byte.tolist(), places.n.tolist(), strict=True):
             for step in path[byte]:
                 seen[context, step] += n
-        want = [(seen[c, (node, 0)], seen[c, (node, 1)]) for c, byte in zip(key.tolist(), places.byte.tolist(), strict=True) for node, _ in path[byte]]
-        zeros, ones = model.followers[k].counted(key, places.byte, code)
-        assert list(zip(zeros.tolist(), ones.tolist(), strict=True)) == want
+        got = model.evidence[k]
+        for i, (context, byte) in enumerate(zip(key, places.byte.tolist(), strict=True)):
+            for depth, (node, _) in enumerate(path[byte]):
+                zeros, ones = seen[context, (node, 0)], seen[context, (node, 1)]
+                assert got.seen[got.first[i] + depth] and got.logit[got.first[i] + depth] == pytest.approx(np.log((ones + 0.2) / (zeros + 0.2)), abs=1e-4)
 
 
 def model_of(code, rest, trained, scored, shards=3):
-    """A model of the counts of ``trained`` for the contexts of ``scored``, without Spark."""
-    followers = []
-    for k in range(mixing.PREDICTORS):
-        parts = {}
-        for bucket, places in ((0, trained), (1, scored)):
-            for shard, data in mixing.asked(places, k, code, shards):
-                parts.setdefault(shard, []).append((bucket, data))
-        out = [mixing.answers(parts[s], 8)[0] for s in sorted(parts)]
-        own = np.unique(mixing.wire(scored.contexts(k), shards))
-        columns = zip(*(mixing.unpacked(o[1], "<u4", "u1", "<u8") for o in out if 1 in o), strict=True)
-        followers.append(mixing.Followers.of(own, *(np.concatenate(c) // (1 + (trained is scored and i == 2)) for i, c in enumerate(columns))))
-    return mixing.Model(mixing.Fixed.of(code, rest), shards, followers)
+    """A model of the counts of ``trained`` for the contexts of ``scored``, which count nothing, without Spark."""
+    parts, evidence = {}, [None] * mixing.PREDICTORS
+    for bucket, places in ((0, trained), (1, scored)):
+        for k, pair, which in mixing.pairs_of(places, code, shards):
+            for shard, data in mixing.asked(pair, np.bincount(which, places.n)):
+                parts.setdefault((k, shard), []).append((bucket, data))
+    for k, pair, which in mixing.pairs_of(scored, code, shards):
+        out = [mixing.answers(parts[x], 8)[0] for x in sorted(parts) if x[0] == k]
+        answer = zip(*(mixing.unpacked(o[1], "<u4", "u1", "<u8") for o in out if 1 in o), strict=True)
+        evidence[k] = mixing.Evidence.of(pair, which, tuple(np.concatenate(x) for x in answer), code)
+    return mixing.Model(mixing.Fixed.of(code, rest), evidence)
 
 
 def test_mixing_is_a_distribution():
