@@ -58,7 +58,9 @@ GATES = 2 * (PREDICTORS + 1)
 #: Cells of the adaptive map for each gate.
 CELLS = 48
 #: Bytes of text in a batch, and distinct places worked on at a time.
-BATCH, STEP = 1 << 18, 1 << 15
+BATCH, STEP = 1 << 18, 1 << 14
+#: Places of a bucket that wait for being joined with the others.
+JOINED = 1 << 20
 #: Steps in which a bucket is learned at least, so that small tables are predicted from counts too.
 LEAST_STEPS = 16
 #: How much of a token's probability is its share among the training tokens; the rest is its spelling.
@@ -185,6 +187,13 @@ class Places:
         )
 
 
+def put(parts: list[Places], more: Places) -> None:
+    """Add places to the others of a bucket, which are joined whenever many have come."""
+    parts.append(more)
+    if sum(len(p.key) for p in parts[1:]) > JOINED:
+        parts[:] = [Places.joined(parts)]
+
+
 def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """An order by key, and where in it each distinct key begins."""
     order = np.argsort(key)
@@ -216,12 +225,15 @@ def histories(text: np.ndarray, text_at: np.ndarray, token_at: np.ndarray) -> tu
     token = np.maximum.accumulate(edge)
     inside = np.arange(n) - token
     power = np.multiply.accumulate(np.full(int(inside.max(initial=0)) + 1, _SPIN, np.uint64))
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((text.astype(np.uint64) + np.uint64(1)) * power[inside])])
+    power = power[inside]
+    power *= text.astype(np.uint64) + np.uint64(1)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(power, out=total[1:])
     return window >> np.uint64(8 * (7 - _LONGEST)), (total[:-1] - total[token] + np.uint64(77)) * _PRIME
 
 
-def places_of(text: np.ndarray, text_at: np.ndarray, token_at: np.ndarray, trains: np.ndarray) -> tuple[Places, np.ndarray]:
-    """Distinct places of a batch, and which of them every byte is; ``trains`` says which bytes count."""
+def places_of(text: np.ndarray, text_at: np.ndarray, token_at: np.ndarray, trains: np.ndarray | None = None) -> tuple[Places, np.ndarray]:
+    """Distinct places of a batch, and which of them every byte is; ``trains`` says which bytes count, none without it."""
     window, word = histories(text, text_at, token_at)
     key = (window ^ (word >> np.uint64(31))) * _SPIN + word
     key ^= key >> np.uint64(32)
@@ -232,9 +244,9 @@ def places_of(text: np.ndarray, text_at: np.ndarray, token_at: np.ndarray, train
     new = np.ones(len(key), bool)
     new[1:] = ranked[1:] != ranked[:-1]
     which = np.empty(len(key), np.int32)
-    which[order] = np.cumsum(new) - 1
+    which[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
     at = order[new]
-    n = np.bincount(which, trains, len(at)).astype(np.int64)
+    n = np.zeros(len(at), np.int64) if trains is None else np.bincount(which[trains], minlength=len(at))
     return Places(key[at], window[at], word[at], n), which
 
 
@@ -622,7 +634,7 @@ def _gathered(rows: DataFrame, code: Code, shards: int) -> DataFrame:
                 starts, ends, before = words_of(some, offsets[a : b + 1] - offsets[a])
                 plain, text_at, token_at = plain_bytes(some, starts, ends, before)
                 length = np.diff(np.append(text_at, len(plain)))
-                parts.append(places_of(plain, text_at, token_at, np.repeat(trains[a:b], length))[0])
+                put(parts, places_of(plain, text_at, token_at, np.repeat(trains[a:b], length))[0])
                 words.append((hash_spans(some, starts, ends), np.repeat(trains[a:b], np.diff(before)).astype(np.int64)))
         if held is not None:
             yield from sent(held, parts, words)
@@ -725,8 +737,8 @@ def scored(docs: DataFrame, folds: int = 10, text: str = "text", size: int | Non
             data = lowered(data)
             starts, ends_, before = words_of(data, offsets)
             plain, text_at, token_at = plain_bytes(data, starts, ends_, before)
-            places, which = places_of(plain, text_at, token_at, np.zeros(len(plain), bool))
-            parts.append(places)
+            places, which = places_of(plain, text_at, token_at)
+            put(parts, places)
             n_bytes = np.diff(np.append(text_at, len(plain)))
             texts.append((batch.select(["doc_id", "held_out"]), hash_spans(data, starts, ends_), np.diff(before), n_bytes, token_at, which, places.key))
         places = Places.joined(parts)
