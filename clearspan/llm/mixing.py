@@ -649,10 +649,7 @@ def _gathered(rows: DataFrame, code: Code, shards: int) -> DataFrame:
 
 
 def _answered(sent: DataFrame) -> DataFrame:
-    """(bucket, shard, predictor, answer): what followed the contexts that a bucket asked for, in the training texts of all.
-
-    Rows without a bucket have the numbers of a shard's training words, and of different ones, in place of shard and predictor.
-    """
+    """(bucket, shard, predictor, answer): what followed the contexts that a bucket asked for, in the training texts of all."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         shard, k = (x.as_py() for x in key)
