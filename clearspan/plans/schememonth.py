@@ -3,7 +3,7 @@
 Every detail row gets the id of its report group once, two 64-bit hashes of all group columns with a mark for each null. The
 id goes with it through cube, report and push back, so that the costs of a group reach its rows by
 one join on two numbers. Each table is written once, and the counts that the steps must agree on are taken while it is
-written; nothing is scanned again for a count.
+written, those of the numbered report from one stored column.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from clearspan.plans.schemefee import (
     with_size_tickets,
     with_switch_codes,
 )
-from clearspan.session import ensure_checkpoint_dir
+from clearspan.session import ensure_checkpoint_dir, shuffles_dropped
 
 #: The id of a report group.
 GROUP_ID = ["group_id_1", "group_id_2"]
@@ -57,9 +57,15 @@ def group_id(columns: Sequence[Column]) -> list[Column]:
 
 
 def stored(df: DataFrame, folder: str, name: str, counts: Mapping[str, Column]) -> tuple[DataFrame, dict[str, int]]:
-    """``df`` written once below ``folder``, and ``counts`` taken from the rows as they are written."""
+    """``df`` written once below ``folder``, and ``counts`` taken from the rows as they are written.
+
+    The shuffle files of a step go when its table is there, so the disk holds those of one step at a time.
+    """
     seen = Observation(f"{name}-{uuid.uuid4().hex}")
-    df.observe(seen, *[c.alias(k) for k, c in counts.items()]).write.parquet(f"{folder}/{name}")
+    with shuffles_dropped(df.sparkSession):
+        df.observe(seen, *[c.alias(k) for k, c in counts.items()]).write.option("compression", "zstd").parquet(
+            f"{folder}/{name}"
+        )
     return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}"), {k: v or 0 for k, v in seen.get.items()}
 
 
@@ -132,9 +138,9 @@ def run_month(
     folder = f"{folder or ensure_checkpoint_dir(spark)}/scheme-fees-{execution}-{month}-{uuid.uuid4().hex}"
     every = F.count(F.lit(1))
     detail, n = stored(month_detail(frames, ranges, tickets, rates), folder, "detail", {"rows": every})
-    report, groups = stored(
-        month_report(detail, first_day, execution), folder, "report", {"groups": every, "transactions": F.sum("transaction_count")}
-    )
+    # numbering has stored the report, so its counts are read from one column of it
+    report = month_report(detail, first_day, execution)
+    groups = report.agg(every.alias("groups"), F.coalesce(F.sum("transaction_count"), F.lit(0)).alias("transactions")).first()
     agree("report against detail", detail_rows=n["rows"], transactions=groups["transactions"])
     priced, after = stored(apply_returned_costs(report, returned(report)), folder, "report-with-costs", {"groups": every})
     legacy, older = stored(legacy_report(priced, products, funding, countries), folder, "report-older-format", {"groups": every})
