@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from clearspan.catalogue import inputs
 from clearspan.catalogue.streams import FILE_ROWS, file_share
 from clearspan.operators.skew import global_row_number
 from clearspan.session import shuffles_dropped, written
@@ -51,3 +52,12 @@ def test_files_grow_in_number_not_in_size():
     assert file_share(0) == file_share(6 * FILE_ROWS) == 1
     assert file_share(6 * FILE_ROWS + 1) == 2
     assert file_share(600 * FILE_ROWS) == 100
+
+
+def test_fact_parts_grow_in_number_not_in_size(spark, tmp_path, monkeypatch):
+    rows = [(i // 2, i % 2) for i in range(40)] + [(None, 1), (3, 1)]
+    spark.createDataFrame(rows, "l_orderkey bigint, l_linenumber int").coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(inputs, "TASK_ROWS", 4)
+    parts = inputs.Source(spark, str(tmp_path)).lineitem
+    assert parts.rdd.getNumPartitions() == 11
+    assert sorted(map(str, parts.collect())) == sorted(map(str, spark.createDataFrame(rows, parts.schema).collect()))
