@@ -99,6 +99,27 @@ def test_rows_are_not_shuffled(spark):
     assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
 
 
+def test_probes_are_looked_up_in_generated_code(spark):
+    """No function that is interpreted row by row, no key put together as text."""
+    table = spark.createDataFrame(book_of(200, 2, random.Random(3)), RULES)
+    rows = spark.createDataFrame(
+        [(1, "R0", "75", "V1", "5", 3, " ", 1.0, 2.0, "1995-01-01")],
+        "k int, scope string, code string, a string, m string, t int, s string, amount_usd double, amount_eur double, day string",
+    )
+    done = assign_first_rule(rows, table, BOOK, ["rule_id"], F.col("day").cast("date"))
+    plan = done._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in plan and "concat(" not in plan
+
+
+def test_search_of_many_edges_in_several_methods(spark, monkeypatch):
+    monkeypatch.setattr(rules, "STEPS_PER_METHOD", 2)
+    texts = [("X", "75", str(i + 1), None, None, None, f"{10 * i}-{10 * i + 4}", None, None, None, None) for i in range(50)]
+    rows = spark.range(510).select(F.col("id").alias("k"), F.lit("X").alias("scope"), F.lit("75").alias("code"), F.col("id").cast("string").alias("m"))
+    done = assign_first_rule(rows, spark.createDataFrame(texts, RULES), BOOK, ["rule_id"])
+    got = {r["k"]: r["rule_id"] for r in done.collect()}
+    assert got == {k: str(k // 10 + 1) if k % 10 < 5 and k < 500 else None for k in range(510)}
+
+
 def test_rule_book_without_rules_or_conditions(spark):
     rows = spark.createDataFrame([(1, "X", "75", None), (2, None, "75", "A")], "k int, scope string, code string, a string")
     empty = spark.createDataFrame([], RULES)
