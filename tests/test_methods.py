@@ -50,3 +50,10 @@ def longest_method(df):
 @pytest.mark.parametrize("query", [reports.analytics_online, reports.reconcile_daily_online, interchange.interchange_fee_online])
 def test_generated_methods_are_compiled(spark, folder, fixed_plans, query):
     assert longest_method(query(spark, folder)) <= COMPILED_BYTES
+
+
+def test_lookups_of_the_bitmap_book_share_methods(spark, folder, fixed_plans):
+    """Rows are written out where a method ends: after the transaction, its card, its attributes, its scope and its lookups."""
+    fees = interchange.interchange_fee_bitmap(spark, folder)
+    assert fees._jdf.queryExecution().optimizedPlan().toString().count("Repartition 1000000") <= 5
+    assert longest_method(fees) <= COMPILED_BYTES
