@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 from clearspan.llm.common import need, written
 from clearspan.llm.spans import blocks, hash_spans, lowered, mix, words_of
 from clearspan.llm.toxicity import held_out
+from clearspan.session import shuffles_dropped
 
 #: Bits of a predictor's table in a training task, which learns weights and the map there.
 TABLE_BITS = 20
@@ -176,7 +177,7 @@ class Places:
             none = np.zeros(0, np.uint64)
             return cls(none, none, none, np.zeros(0, np.int64))
         key = np.concatenate([p.key for p in parts])
-        order, first = _groups(key)
+        order, first = _groups(key, _hash_order(key))
         at = order[first]
         n = np.concatenate([p.n for p in parts])[order]
         return cls(
@@ -194,9 +195,22 @@ def put(parts: list[Places], more: Places) -> None:
         parts[:] = [Places.joined(parts)]
 
 
-def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """An order by key, and where in it each distinct key begins."""
-    order = np.argsort(key)
+def _hash_order(key: np.ndarray) -> np.ndarray:
+    """An order by hashes that spread over all 64 bits: one plain sort of their upper bits with the place in the lower ones."""
+    low = np.uint64((1 << max(1, len(key)).bit_length()) - 1)
+    order = (np.sort((key & ~low) | np.arange(len(key), dtype=np.uint64)) & low).astype(np.int64)
+    ranked = key[order]
+    # the few that are equal in the upper bits only are put in order by swaps of neighbours
+    while len(wrong := np.flatnonzero(ranked[1:] < ranked[:-1])):
+        wrong = wrong[np.diff(wrong, prepend=-2) > 1]
+        for x in (order, ranked):
+            x[wrong], x[wrong + 1] = x[wrong + 1], x[wrong]
+    return order
+
+
+def _groups(key: np.ndarray, order: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """An order by key (``order``, if given), and where in it each distinct key begins."""
+    order = np.argsort(key) if order is None else order
     ranked = key[order]
     new = np.ones(len(key), bool)
     new[1:] = ranked[1:] != ranked[:-1]
@@ -214,22 +228,24 @@ def _distinct(key: np.ndarray) -> np.ndarray:
 def histories(text: np.ndarray, text_at: np.ndarray, token_at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Window and word hash of each byte: only what stands before it in its text, line feeds before its first byte."""
     n = len(text)
-    edge = np.zeros(n, np.int64)
-    edge[text_at] = _LONGEST
-    at = np.arange(n) + np.cumsum(edge)
-    padded = np.full(n + _LONGEST * len(text_at) + 8, _END, np.uint8)
-    padded[at + 8 - 1] = text
-    window = np.ndarray((len(padded) - 7,), "<u8", padded, 0, (1,)).copy()[at]
-    edge[text_at] = 0
-    edge[token_at] = token_at
-    token = np.maximum.accumulate(edge)
-    inside = np.arange(n) - token
-    power = np.multiply.accumulate(np.full(int(inside.max(initial=0)) + 1, _SPIN, np.uint64))
-    power = power[inside]
+    padded = np.full(n + 7, _END, np.uint8)
+    padded[7:] = text
+    window = np.ndarray((n,), "<u8", padded, 0, (1,)) >> np.uint64(8 * (7 - _LONGEST))
+    size = np.diff(np.append(text_at, n))
+    for k in range(_LONGEST):  # the text's byte k has bytes of the text before in all but k of those before it
+        at = text_at[size > k] + k
+        own = np.uint64(8 * (_LONGEST - k))
+        window[at] = ((window[at] >> own) << own) | np.uint64(int.from_bytes(bytes([_END]) * (_LONGEST - k), "little"))
+    size = np.diff(np.append(token_at, n))
+    inside = np.arange(n) - np.repeat(token_at, size)
+    power = np.multiply.accumulate(np.full(int(size.max(initial=0)) + 1, _SPIN, np.uint64)).take(inside)
     power *= text.astype(np.uint64) + np.uint64(1)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(power, out=total[1:])
-    return window >> np.uint64(8 * (7 - _LONGEST)), (total[:-1] - total[token] + np.uint64(77)) * _PRIME
+    word = total[:-1] - np.repeat(total[token_at], size)
+    word += np.uint64(77)
+    word *= _PRIME
+    return window, word
 
 
 def places_of(text: np.ndarray, text_at: np.ndarray, token_at: np.ndarray, trains: np.ndarray | None = None) -> tuple[Places, np.ndarray]:
@@ -255,17 +271,17 @@ def slots(contexts: list[np.ndarray], text: np.ndarray, code: Code) -> tuple[np.
     lengths = code.lengths[text]
     owner = np.repeat(np.arange(len(text)), lengths)
     depth = np.arange(len(owner)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    step = text[owner].astype(np.int64) * code.bits.shape[1] + depth
-    node = code.nodes.ravel()[step]
+    step = (text.astype(np.int64) * code.bits.shape[1]).take(owner) + depth
+    node = code.nodes.ravel().take(step)
     out = np.empty((len(contexts), len(owner)), np.int64)
     for k, context in enumerate(contexts):
-        mixed = ((context ^ (context >> np.uint64(29))) * _SPIN >> np.uint64(32)).astype(np.uint32)[owner]
+        mixed = ((context ^ (context >> np.uint64(29))) * _SPIN >> np.uint64(32)).astype(np.uint32).take(owner)
         mixed ^= node
         mixed *= _SMALL
         mixed ^= mixed >> np.uint32(15)
         mixed *= _SMALL
         out[k] = mixed >> np.uint32(32 - TABLE_BITS)
-    return out, code.bits.ravel()[step], depth == 0, owner
+    return out, code.bits.ravel().take(step), depth == 0, owner
 
 
 def logits(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -278,7 +294,7 @@ def mixed_logit(inputs: np.ndarray, weights: np.ndarray, gate: np.ndarray) -> np
     """The weighted sum of the predictors' logits; ``weights`` has a row for each gate."""
     total = np.zeros(len(gate), np.float32)
     for k in range(PREDICTORS):
-        total += inputs[k] * weights[:, k].astype(np.float32)[gate]
+        total += inputs[k] * weights[:, k].astype(np.float32).take(gate)
     return total
 
 
@@ -332,19 +348,22 @@ class Learner:
             own = order[a : a + step]
             some = places.take(at[own])
             found, bit, first, owner = slots([some.contexts(k) for k in range(PREDICTORS)], some.byte, self.code)
-            n = times[own][owner]
+            n = times[own].take(owner)
             self._correct(found, bit, first, n)
+            found <<= 1
+            found += bit.astype(np.int64)
             for k in range(PREDICTORS):
-                np.add.at(self.counts[k], 2 * found[k] + (bit > 0), n)
+                np.add.at(self.counts[k], found[k], n)
 
     def _correct(self, at: np.ndarray, bit: np.ndarray, first: np.ndarray, times: np.ndarray) -> None:
         """One step of weights and map on bits that stand for ``times`` each."""
         inputs = np.empty(at.shape, np.float32)
         longest = np.zeros(len(bit), np.int8)
         for k in range(PREDICTORS):
-            both = self.counts[k].view(np.complex64)[at[k]]  # a zero's and a one's count in one read
-            inputs[k] = logits(both.real, both.imag)
-            np.copyto(longest, np.int8(k + 1), where=both != 0)
+            both = self.counts[k].view(np.uint64).take(at[k])  # a zero's and a one's count in one read
+            each = both.view(np.float32)
+            inputs[k] = logits(each[::2], each[1::2])
+            np.maximum(longest, (both != 0).view(np.int8) * np.int8(k + 1), out=longest)
         gate = gates(longest, first)
         logit = mixed_logit(inputs, self.weights, gate)
         wrong = times * (bit - 1 / (1 + np.exp(-logit)))
@@ -446,7 +465,7 @@ class Evidence:
             zeros, ones = followers.counted(group[a : a + STEP], byte[a : a + STEP], code)
             bits = slice(first[a], first[a] + len(zeros))
             logit[bits], seen[bits] = logits(zeros, ones), zeros + ones > 0
-        return cls(first[which], logit, seen)
+        return cls(first.astype(np.int32 if len(logit) < 1 << 31 else np.int64).take(which), logit, seen)
 
 
 @dataclass
@@ -464,16 +483,16 @@ class Model:
             lengths = code.lengths[byte]
             owner = np.repeat(np.arange(len(byte)), lengths)
             depth = np.arange(len(owner)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            bit = code.bits[byte[owner], depth]
+            bit = code.bits.ravel().take((byte.astype(np.int64) * code.bits.shape[1]).take(owner) + depth)
             inputs, longest = np.empty((PREDICTORS, len(owner)), np.float32), np.zeros(len(owner), np.int8)
             for k, known in enumerate(self.evidence):
-                at = known.first[start : start + STEP][owner] + depth
-                inputs[k] = known.logit[at]
-                np.copyto(longest, np.int8(k + 1), where=known.seen[at])
+                at = known.first[start : start + STEP].take(owner) + depth
+                inputs[k] = known.logit.take(at)
+                np.maximum(longest, known.seen.take(at).view(np.int8) * np.int8(k + 1), out=longest)
             gate = gates(longest, depth == 0)
             mixed = mixed_logit(inputs, self.fixed.weights, gate)
             cell = cells(gate, mixed)
-            p = refined(mixed, self.fixed.map_ones[cell], self.fixed.map_all[cell])
+            p = refined(mixed, self.fixed.map_ones.take(cell), self.fixed.map_all.take(cell))
             out[start : start + STEP] = np.bincount(owner, np.log10(np.where(bit > 0, p, 1 - p)), len(byte))
         return out
 
@@ -533,16 +552,18 @@ def asked(pair: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, bytes]]:
     yield from _by_shard(pair, n, pair >> np.uint64(40), _LOW40)
 
 
-def asked_words(words: np.ndarray, n: np.ndarray, shards: int) -> Iterator[tuple[int, bytes]]:
-    """The same of hashed words, in any order and often."""
-    order, first = _groups(words)
-    words = words[order[first]]
-    yield from _by_shard(words, np.add.reduceat(n[order], first) if len(first) else n, shard_of(words, shards), ~np.uint64(0))
+def asked_words(words: np.ndarray, trains: np.ndarray, shards: int) -> Iterator[tuple[int, bytes]]:
+    """The same of hashed words, in any order and often; ``trains`` says which of them count."""
+    trained, times = np.unique(words[trains], return_counts=True)
+    words = _distinct(words)
+    count = np.zeros(len(words), np.int64)
+    count[np.searchsorted(words, trained)] = times
+    yield from _by_shard(words, count, shard_of(words, shards), ~np.uint64(0))
 
 
 def _by_shard(key: np.ndarray, n: np.ndarray, shard: np.ndarray, kept: np.uint64) -> Iterator[tuple[int, bytes]]:
-    at = np.flatnonzero(np.diff(shard, prepend=shard[:1] + np.uint64(1)))
-    for a, b in zip(at.tolist(), [*at[1:].tolist(), len(key)], strict=True):
+    at = np.flatnonzero(np.diff(shard, prepend=shard[:1] + np.uint64(1))).tolist()
+    for a, b in zip(at, [*at, len(key)][1:], strict=True):
         yield int(shard[a]), packed(np.diff(key[a:b] & kept, prepend=np.uint64(0)), n[a:b].astype("<u8"))
 
 
@@ -635,43 +656,55 @@ def _gathered(rows: DataFrame, code: Code, shards: int) -> DataFrame:
                 plain, text_at, token_at = plain_bytes(some, starts, ends, before)
                 length = np.diff(np.append(text_at, len(plain)))
                 put(parts, places_of(plain, text_at, token_at, np.repeat(trains[a:b], length))[0])
-                words.append((hash_spans(some, starts, ends), np.repeat(trains[a:b], np.diff(before)).astype(np.int64)))
+                words.append((hash_spans(some, starts, ends), np.repeat(trains[a:b], np.diff(before))))
         if held is not None:
             yield from sent(held, parts, words)
         if learner.n_bits:
             columns = [[None], [None], [None], [None], [learner.rest().tolist()]]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds.values(), strict=True)], list(kinds))
 
-    found = rows.select("bucket", "held_out", "text").mapInArrow(
+    return rows.select("bucket", "held_out", "text").mapInArrow(
         run, "bucket bigint, shard bigint, predictor int, asked binary, rest array<double>"
     )
-    return written(found, "mixing-counts")
 
 
 def _answered(sent: DataFrame) -> DataFrame:
-    """(bucket, shard, predictor, answer): what followed the contexts that a bucket asked for, in the training texts of all."""
+    """(bucket, shard, predictor, answer, tokens, types, rest): what followed the contexts that a bucket asked for, in the training texts of all.
+
+    One row of a shard of words has the numbers of its training words and of different ones. What the
+    tasks learned goes through.
+    """
+    learned = "rest" in sent.columns
+    kinds = {
+        "bucket": pa.int64(), "shard": pa.int64(), "predictor": pa.int32(), "answer": pa.binary(),
+        "tokens": pa.int64(), "types": pa.int64(), "rest": pa.list_(pa.float64()),
+    }
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         shard, k = (x.as_py() for x in key)
+        if shard is None:
+            return pa.table({c: table.column(c) if c == "rest" else pa.nulls(table.num_rows, t) for c, t in kinds.items()})
         parts = list(zip(table.column("bucket").to_pylist(), table.column("asked").to_pylist(), strict=True))
-        out, _, _ = answers(parts, 0 if k == WORDS else 8)
+        out, tokens, types = answers(parts, 0 if k == WORDS else 8)
         n = len(out)
-        columns = [list(out), [shard] * n, [k] * n, list(out.values())]
-        kinds = {"bucket": pa.int64(), "shard": pa.int64(), "predictor": pa.int32(), "answer": pa.binary()}
+        totals = [[x if k == WORDS else None, *[None] * (n - 1)] for x in (tokens, types)]
+        columns = [list(out), [shard] * n, [k] * n, list(out.values()), *totals, [None] * n]
         return pa.table({c: pa.array(x, t) for (c, t), x in zip(kinds.items(), columns, strict=True)})
 
-    return sent.groupBy("shard", "predictor").applyInArrow(run, "bucket bigint, shard bigint, predictor int, answer binary")
+    found = sent.groupBy("shard", "predictor").applyInArrow(
+        run, "bucket bigint, shard bigint, predictor int, answer binary, tokens bigint, types bigint, rest array<double>"
+    )
+    return found if learned else found.drop("rest")
 
 
-def _word_totals(sent: DataFrame) -> tuple[int, int]:
+def _totals(answered: DataFrame) -> tuple[int, int]:
     """Numbers of all training words and of different ones."""
+    return tuple(answered.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first())
 
-    def run(table: pa.Table) -> pa.Table:
-        _, tokens, types = answers(list(zip(table.column("bucket").to_pylist(), table.column("asked").to_pylist(), strict=True)), 0)
-        return pa.table({"tokens": pa.array([tokens], pa.int64()), "types": pa.array([types], pa.int64())})
 
-    found = sent.filter(F.col("predictor") == WORDS).groupBy("shard").applyInArrow(run, "tokens bigint, types bigint")
-    return tuple(found.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first())
+def _word_totals(sent: DataFrame) -> tuple[int, int]:
+    """The same from what the buckets asked."""
+    return _totals(_answered(sent.filter(F.col("predictor") == WORDS)))
 
 
 def mixed_shares(spelled: np.ndarray, share: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
@@ -710,13 +743,14 @@ def scored(docs: DataFrame, folds: int = 10, text: str = "text", size: int | Non
     history[[_SPACE, _END]] = between, ends
     code = Code.of(history[:256])
     rows = rows.filter("bucket IS NOT NULL").drop("history")
-    sent = _gathered(rows, code, shards)
+    # what the buckets asked is shuffled once and stored nowhere; its shuffle files go when the answers are there
+    with shuffles_dropped(spark):
+        answered = written(_answered(_gathered(rows, code, shards)), "mixing-answers")
     rest = np.zeros(1 + GATES * PREDICTORS + 2 * GATES * CELLS)
-    for place, value in sent.filter("rest IS NOT NULL").select(F.posexplode("rest")).groupBy("pos").agg(F.sum("col")).collect():
+    for place, value in answered.filter("rest IS NOT NULL").select(F.posexplode("rest")).groupBy("pos").agg(F.sum("col")).collect():
         rest[place] = value
     fixed = spark.sparkContext.broadcast(Fixed.of(code, rest))
-    sent = sent.filter("bucket IS NOT NULL").drop("rest")
-    tokens, types = _word_totals(sent)
+    tokens, types = _totals(answered)
     tokens, types = tokens + ends, types + (ends > 0)
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
@@ -739,7 +773,9 @@ def scored(docs: DataFrame, folds: int = 10, text: str = "text", size: int | Non
             n_bytes = np.diff(np.append(text_at, len(plain)))
             texts.append((batch.select(["doc_id", "held_out"]), hash_spans(data, starts, ends_), np.diff(before), n_bytes, token_at, which, places.key))
         places = Places.joined(parts)
-        del parts, left
+        del parts, left, batch, data, plain
+        for i, (*kept, keys) in enumerate(texts):
+            texts[i] = (*kept, np.searchsorted(places.key, keys).astype(np.int32))
         evidence: list = [None] * PREDICTORS
         for k, pair, own in pairs_of(places, fixed.value.code, shards):
             evidence[k] = Evidence.of(pair, own, tuple(np.concatenate(x) for x in zip(*got.pop(k), strict=True)), fixed.value.code)
@@ -751,12 +787,12 @@ def scored(docs: DataFrame, folds: int = 10, text: str = "text", size: int | Non
         c_of[found[0] > 0] = found[2]
         whole = -np.log10(tokens + 0.1 * (types + 1))
         out = []
-        for batch, hashes, n_words, n_bytes, token_at, which, keys in texts:
+        for batch, hashes, n_words, n_bytes, token_at, which, at in texts:
             n = len(n_words)
             owner = np.repeat(np.arange(n), n_words)
             c = c_of[np.searchsorted(words, hashes)]
             base = np.bincount(owner, np.log10(c + 0.1) + whole, n) + np.log10(ends + 0.1) + whole
-            spelled = np.add.reduceat(each[np.searchsorted(places.key, keys)][which], token_at)
+            spelled = np.add.reduceat(each[at].take(which), token_at)
             count = np.full(len(token_at), ends, np.float64)
             count[np.arange(len(c)) + owner] = c
             score = mixed_shares(spelled, count / max(1, tokens), np.repeat(np.arange(n), n_words + 1), n)
@@ -766,7 +802,8 @@ def scored(docs: DataFrame, folds: int = 10, text: str = "text", size: int | Non
         return pa.concat_tables(out)
 
     schema = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, n_bytes bigint"
-    return rows.groupBy("bucket").cogroup(_answered(sent).groupBy("bucket")).applyInArrow(run, schema)
+    answered = answered.filter("bucket IS NOT NULL").select("bucket", "shard", "predictor", "answer")
+    return rows.groupBy("bucket").cogroup(answered.groupBy("bucket")).applyInArrow(run, schema)
 
 
 def op3_context_mixing(spark, sf_dir: str) -> DataFrame:
