@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clearspan.llm.common import need, written
-from clearspan.llm.spans import blocks, hash_spans, lowered, mix, words_of
+from clearspan.llm.spans import blocks, lowered, mix, words_of
 from clearspan.llm.toxicity import held_out
 from clearspan.session import shuffles_dropped
 
@@ -248,22 +248,49 @@ def histories(text: np.ndarray, text_at: np.ndarray, token_at: np.ndarray) -> tu
     return window, word
 
 
-def places_of(text: np.ndarray, text_at: np.ndarray, token_at: np.ndarray, trains: np.ndarray | None = None) -> tuple[Places, np.ndarray]:
-    """Distinct places of a batch, and which of them every byte is; ``trains`` says which bytes count, none without it."""
-    window, word = histories(text, text_at, token_at)
-    key = (window ^ (word >> np.uint64(31))) * _SPIN + word
+def _keyed(window: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of bytes by their histories, an order in which equal ones are neighbours, and where in it each key begins."""
+    key = window ^ (word >> np.uint64(31))
+    key *= _SPIN
+    key += word
     key ^= key >> np.uint64(32)
     # ordered by the key's upper bits, with the place in the lower ones: one plain sort
     low = np.uint64((1 << max(1, len(key)).bit_length()) - 1)
-    order = (np.sort((key & ~low) | np.arange(len(key), dtype=np.uint64)) & low).astype(np.int64)
-    ranked = key[order]
+    order = (key & ~low) | np.arange(len(key), dtype=np.uint64)
+    order.sort()
+    order &= low
+    order = order.view(np.int64)
+    ranked = key.take(order)
     new = np.ones(len(key), bool)
-    new[1:] = ranked[1:] != ranked[:-1]
+    np.not_equal(ranked[1:], ranked[:-1], out=new[1:])
+    return key, order, new
+
+
+def places_of(text: np.ndarray, text_at: np.ndarray, token_at: np.ndarray, trains: np.ndarray | None = None) -> tuple[Places, np.ndarray]:
+    """Distinct places of a batch, and which of them every byte is; ``trains`` says which bytes count, none without it."""
+    window, word = histories(text, text_at, token_at)
+    key, order, new = _keyed(window, word)
     which = np.empty(len(key), np.int32)
     which[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
     at = order[new]
     n = np.zeros(len(at), np.int64) if trains is None else np.bincount(which[trains], minlength=len(at))
-    return Places(key[at], window[at], word[at], n), which
+    return Places(key.take(at), window.take(at), word.take(at), n), which
+
+
+def places_and_words(text: np.ndarray, text_at: np.ndarray, token_at: np.ndarray, trains: np.ndarray) -> tuple[Places, np.ndarray]:
+    """Distinct places of a batch, and the hash of each word; ``trains`` says which bytes count."""
+    window, word = histories(text, text_at, token_at)
+    key, order, new = _keyed(window, word)
+    first = np.flatnonzero(new)
+    at = order.take(first)
+    n = np.add.reduceat(trains.take(order), first, dtype=np.int64) if len(first) else np.zeros(0, np.int64)
+    return Places(key.take(at), window.take(at), word.take(at), n), mix(word.take(word_ends(len(text), token_at)))
+
+
+def word_ends(n: int, token_at: np.ndarray) -> np.ndarray:
+    """The byte after each word; there the word so far is the whole word. An end of a text is one byte, and no word."""
+    size = np.diff(np.append(token_at, n))
+    return (token_at + size - 1)[size > 1]
 
 
 def slots(contexts: list[np.ndarray], text: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -655,8 +682,9 @@ def _gathered(rows: DataFrame, code: Code, shards: int) -> DataFrame:
                 starts, ends, before = words_of(some, offsets[a : b + 1] - offsets[a])
                 plain, text_at, token_at = plain_bytes(some, starts, ends, before)
                 length = np.diff(np.append(text_at, len(plain)))
-                put(parts, places_of(plain, text_at, token_at, np.repeat(trains[a:b], length))[0])
-                words.append((hash_spans(some, starts, ends), np.repeat(trains[a:b], np.diff(before))))
+                places, hashes = places_and_words(plain, text_at, token_at, np.repeat(trains[a:b], length))
+                put(parts, places)
+                words.append((hashes, np.repeat(trains[a:b], np.diff(before))))
         if held is not None:
             yield from sent(held, parts, words)
         if learner.n_bits:
@@ -771,7 +799,12 @@ def scored(docs: DataFrame, folds: int = 10, text: str = "text", size: int | Non
             places, which = places_of(plain, text_at, token_at)
             put(parts, places)
             n_bytes = np.diff(np.append(text_at, len(plain)))
-            texts.append((batch.select(["doc_id", "held_out"]), hash_spans(data, starts, ends_), np.diff(before), n_bytes, token_at, which, places.key))
+            # each word of the batch once, and which of them comes where
+            word_of = which.take(word_ends(len(plain), token_at))
+            used = np.zeros(len(places.key), bool)
+            used[word_of] = True
+            word_of = (np.cumsum(used, dtype=np.int32) - np.int32(1)).take(word_of)
+            texts.append((batch.select(["doc_id", "held_out"]), mix(places.word[used]), word_of, np.diff(before), n_bytes, token_at, which, places.key))
         places = Places.joined(parts)
         del parts, left, batch, data, plain
         for i, (*kept, keys) in enumerate(texts):
@@ -787,12 +820,12 @@ def scored(docs: DataFrame, folds: int = 10, text: str = "text", size: int | Non
         c_of[found[0] > 0] = found[2]
         whole = -np.log10(tokens + 0.1 * (types + 1))
         out = []
-        for batch, hashes, n_words, n_bytes, token_at, which, at in texts:
+        for batch, hashes, word_of, n_words, n_bytes, token_at, which, at in texts:
             n = len(n_words)
             owner = np.repeat(np.arange(n), n_words)
-            c = c_of[np.searchsorted(words, hashes)]
+            c = c_of.take(np.searchsorted(words, hashes)).take(word_of)
             base = np.bincount(owner, np.log10(c + 0.1) + whole, n) + np.log10(ends + 0.1) + whole
-            spelled = np.add.reduceat(each[at].take(which), token_at)
+            spelled = np.add.reduceat(each.take(at).take(which), token_at)
             count = np.full(len(token_at), ends, np.float64)
             count[np.arange(len(c)) + owner] = c
             score = mixed_shares(spelled, count / max(1, tokens), np.repeat(np.arange(n), n_words + 1), n)

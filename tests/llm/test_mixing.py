@@ -32,3 +32,18 @@ def test_hashes_that_differ_in_lower_bits_only_are_in_order():
     key[2::3] = key[::3] ^ np.uint64(2)
     order = mixing._hash_order(key)
     assert (key[order] == np.sort(key)).all() and len(set(order.tolist())) == len(key)
+
+
+def test_words_are_known_by_the_hash_at_their_end():
+    """Equal words share a hash wherever they stand, others don't; places and numbers are those of the way that scores."""
+    texts = [b"the cat the", b"", b"a cat\nat", b"the"]
+    raw = np.frombuffer(b"".join(texts), np.uint8)
+    starts, ends, before = mixing.words_of(raw, np.cumsum([0, *map(len, texts)]))
+    plain, text_at, token_at = mixing.plain_bytes(raw, starts, ends, before)
+    trains = np.repeat([True, True, False, True], np.diff(np.append(text_at, len(plain))))
+    places, hashes = mixing.places_and_words(plain, text_at, token_at, trains)
+    want, which = mixing.places_of(plain, text_at, token_at, trains)
+    words = b" ".join(texts).split()
+    assert len(hashes) == len(words) and len(set(hashes.tolist())) == len(set(words)) == len(set(zip(words, hashes.tolist(), strict=True)))
+    assert (mixing.mix(want.word[which[mixing.word_ends(len(plain), token_at)]]) == hashes).all()
+    assert (places.key == want.key).all() and (places.n == want.n).all() and (places.word == want.word).all()
