@@ -9,7 +9,7 @@ written, those of the numbered report from one stored column.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -28,7 +28,7 @@ from clearspan.plans.schemefee import (
     with_size_tickets,
     with_switch_codes,
 )
-from clearspan.session import ensure_checkpoint_dir, shuffles_dropped
+from clearspan.session import MAX_STEPS, ensure_checkpoint_dir, removed, shuffles_dropped, slice_of, slices, steps_for, written
 
 #: The id of a report group.
 GROUP_ID = ["group_id_1", "group_id_2"]
@@ -56,17 +56,23 @@ def group_id(columns: Sequence[Column]) -> list[Column]:
     return [F.xxhash64(F.lit(seed), nulls, *columns).alias(name) for seed, name in enumerate(GROUP_ID)]
 
 
-def stored(df: DataFrame, folder: str, name: str, counts: Mapping[str, Column]) -> tuple[DataFrame, dict[str, int]]:
-    """``df`` written once below ``folder``, and ``counts`` taken from the rows as they are written.
+def stored(
+    parts: Iterable[DataFrame], folder: str, name: str, counts: Mapping[str, Column], by: Mapping[str, Column] | None = None
+) -> tuple[DataFrame, dict[str, int]]:
+    """``parts`` written one after another below ``folder``, and ``counts`` taken from the rows as they are written.
 
-    The shuffle files of a step go when its table is there, so the disk holds those of one step at a time.
+    The shuffle files of a part go when it is there, so the disk holds those of one part at a time. ``by`` adds columns
+    whose values get folders of their own.
     """
-    seen = Observation(f"{name}-{uuid.uuid4().hex}")
-    with shuffles_dropped(df.sparkSession):
-        df.observe(seen, *[c.alias(k) for k, c in counts.items()]).write.option("compression", "zstd").parquet(
-            f"{folder}/{name}"
-        )
-    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}"), {k: v or 0 for k, v in seen.get.items()}
+    by, total = dict(by or {}), dict.fromkeys(counts, 0)
+    for df in parts:
+        seen, spark, schema = Observation(f"{name}-{uuid.uuid4().hex}"), df.sparkSession, df.withColumns(by).schema
+        with shuffles_dropped(spark):
+            df.observe(seen, *[c.alias(k) for k, c in counts.items()]).withColumns(by).write.partitionBy(*by).mode("append").option(
+                "compression", "zstd"
+            ).parquet(f"{folder}/{name}")
+        total = {k: v + (seen.get[k] or 0) for k, v in total.items()}
+    return spark.read.schema(schema).parquet(f"{folder}/{name}"), total
 
 
 def agree(what: str, **counts: int) -> None:
@@ -81,14 +87,23 @@ def month_detail(frames: Sequence[DataFrame], ranges: DataFrame, tickets: DataFr
     return fill_unknown(rows).select("*", *group_id([F.col(d) for d in CUBE_KEYS.values()]))
 
 
-def month_report(detail: DataFrame, first_day: str, file_hash: str) -> DataFrame:
-    """A numbered row for each group, costs at zero; sums are combined before the shuffle."""
+def month_groups(detail: DataFrame) -> DataFrame:
+    """A row for each group of the detail; sums are combined before the shuffle."""
     amount = F.col("report_amount").cast(f"decimal(38,{PLACES})")
-    cube = detail.groupBy(*GROUP_ID, *[F.col(d).alias(r) for r, d in CUBE_KEYS.items()]).agg(
+    return detail.groupBy(*GROUP_ID, *[F.col(d).alias(r) for r, d in CUBE_KEYS.items()]).agg(
         F.sum("transaction_count").cast("bigint").alias("transaction_count"), F.sum(F.round(amount, PLACES)).cast("double").alias("transaction_amount")
     )
+
+
+def month_report(detail: DataFrame, first_day: str, file_hash: str) -> DataFrame:
+    """A numbered row for each group, costs at zero."""
+    return numbered_groups(month_groups(detail), first_day, file_hash)
+
+
+def numbered_groups(groups: DataFrame, first_day: str, file_hash: str, steps: int = 1, folder: str | None = None) -> DataFrame:
+    """Report rows of the groups, which are a stored table if they are numbered in ``steps``."""
     order = [F.asc_nulls_first(c) for c in [*ID_ORDER, *[k for k in CUBE_KEYS if k not in ID_ORDER]]]
-    return global_row_number(cube, order, "app_id").withColumns(
+    return global_row_number(groups, order, "app_id", by=ID_ORDER[0], steps=steps, folder=folder).withColumns(
         {
             "app_type_file": F.lit("report"),
             "app_hash_file": F.lit(file_hash),
@@ -126,31 +141,51 @@ def run_month(
     month: str,
     first_day: str,
     folder: str | None = None,
+    spent: Sequence[str] = (),
+    steps: int | None = None,
 ) -> Month:
     """Run the chain for one execution.
 
     ``frames`` are the detail rows of every kind of record. ``returned`` gives the external costs for a report, by its ids.
     Tables go below ``folder``, which must not hold this execution yet (the shared checkpoint folder if none is
-    given). Raises :class:`CountMismatch` where the report does not count every detail row once, the older format or the
+    given). A large month is worked on in ``steps`` (by its rows, if not given), each over some slices of the group ids, ids or accounts. What a
+    later table replaces is deleted, and so are the ``spent`` folders, which only ``frames`` read, once the detail is there.
+
+    Raises :class:`CountMismatch` where the report does not count every detail row once, the older format or the
     returned costs change the number of groups, two groups share an id, or a detail row gets no group back.
     """
     spark = frames[0].sparkSession
     folder = f"{folder or ensure_checkpoint_dir(spark)}/scheme-fees-{execution}-{month}-{uuid.uuid4().hex}"
     every = F.count(F.lit(1))
-    detail, n = stored(month_detail(frames, ranges, tickets, rates), folder, "detail", {"rows": every})
+    by_slice = {"_slice": slice_of(GROUP_ID, MAX_STEPS)}
+    detail, n = stored([month_detail(frames, ranges, tickets, rates)], folder, "detail", {"rows": every}, by_slice)
+    for path in spent:
+        removed(spark, path)
+    steps = min(steps or steps_for(n["rows"]), MAX_STEPS)
+    mine = [F.col("_slice") % steps == k for k in range(steps)]
+    groups = written(*[month_groups(detail.filter(own)) for own in mine], folder=f"{folder}/groups")
+    report = numbered_groups(groups, first_day, execution, steps, f"{folder}/numbered")
+    removed(spark, f"{folder}/groups")
     # numbering has stored the report, so its counts are read from one column of it
-    report = month_report(detail, first_day, execution)
-    groups = report.agg(every.alias("groups"), F.coalesce(F.sum("transaction_count"), F.lit(0)).alias("transactions")).first()
-    agree("report against detail", detail_rows=n["rows"], transactions=groups["transactions"])
-    priced, after = stored(apply_returned_costs(report, returned(report)), folder, "report-with-costs", {"groups": every})
-    legacy, older = stored(legacy_report(priced, products, funding, countries), folder, "report-older-format", {"groups": every})
-    agree("groups", report=groups["groups"], with_costs=after["groups"], older_format=older["groups"])
-    done, back = stored(
-        with_group_costs(detail, priced, n["rows"]), folder, "detail-with-costs", {"rows": every, "updated": F.count("_group")}
-    )
+    counted = report.agg(every.alias("groups"), F.coalesce(F.sum("transaction_count"), F.lit(0)).alias("transactions")).first()
+    agree("report against detail", detail_rows=n["rows"], transactions=counted["transactions"])
+    costs = [apply_returned_costs(*sides) for sides in slices([report, returned(report)], ["app_id"], steps)]
+    priced, after = stored(costs, folder, "report-with-costs", {"groups": every})
+    removed(spark, f"{folder}/numbered")
+    legacy, older = stored([legacy_report(priced, products, funding, countries)], folder, "report-older-format", {"groups": every})
+    agree("groups", report=counted["groups"], with_costs=after["groups"], older_format=older["groups"])
+
+    def pushed_back() -> Iterator[DataFrame]:
+        for k, own in enumerate(mine):
+            some = priced.withColumns(by_slice).filter(own).drop("_slice")
+            yield with_group_costs(detail.filter(own).drop("_slice"), some, n["rows"])
+            for number in range(k, MAX_STEPS, steps):
+                removed(spark, f"{folder}/detail/_slice={number}")
+
+    done, back = stored(pushed_back(), folder, "detail-with-costs", {"rows": every, "updated": F.count("_group")})
     agree("detail after push back", detail_rows=n["rows"], rows=back["rows"], updated=back["updated"])
     summary = spark.createDataFrame(
-        [(execution, month, n["rows"], groups["groups"], groups["transactions"], back["updated"])],
+        [(execution, month, n["rows"], counted["groups"], counted["transactions"], back["updated"])],
         "app_execution_id string, report_month string, number_of_inserted_rows bigint, number_of_groups bigint, "
         "number_of_transactions bigint, number_of_updated_rows bigint",
     )

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from clearspan.catalogue import inputs
 from clearspan.catalogue.streams import FILE_ROWS, file_share
 from clearspan.operators.skew import global_row_number
-from clearspan.session import shuffles_dropped, written
+from clearspan.plans.calculated import _customer
+from clearspan.session import in_steps, shuffles_dropped, slices, written
 from clearspan.sources import messages
 
 _DROP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -61,3 +62,34 @@ def test_fact_parts_grow_in_number_not_in_size(spark, tmp_path, monkeypatch):
     parts = inputs.Source(spark, str(tmp_path)).lineitem
     assert parts.rdd.getNumPartitions() == 11
     assert sorted(map(str, parts.collect())) == sorted(map(str, spark.createDataFrame(rows, parts.schema).collect()))
+
+
+def test_customers_do_not_shuffle_transactions(spark):
+    money = spark.createDataFrame([("USD", 840), ("EUR", 978)], "currency_alphabetic_code string, currency_numeric_code int")
+    names = ["code", "acquiring_bins", "issuing_bins_6_digits", "issuing_bins_8_digits", "local_currency_code", "settlement_currency_code"]
+    customers = spark.createDataFrame([("A", "1", "2", "3", "USD", "EUR"), ("B", None, None, None, "GBP", None)], ", ".join(f"{n} string" for n in names))
+    rows = spark.range(100).select(F.when(F.col("id") % 3 > 0, F.lit("A")).alias("c"))
+    joined = rows.join(_customer(customers, money), F.col("c") == F.col("_code"), "left")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [c#" in plan and joined.filter("_local_num = 840 AND _settle_num = 978").count() == 66
+
+
+def test_slices_hold_rows_that_meet(spark):
+    left = spark.createDataFrame([(i % 5 if i % 4 else None, f"x{i % 3}", i) for i in range(60)], "a int, b string, v int")
+    right = spark.createDataFrame([(i % 5 if i else None, f"x{i % 2}", i) for i in range(20)], "a int, b string, w int")
+    step = lambda x, y: x.join(y, ["a", "b"], "left")
+    whole = sorted(map(str, step(left, right).collect()))
+    cut = in_steps(step, [left, right], ["a", "b"], 4)
+    assert "Join" not in cut._jdf.queryExecution().optimizedPlan().toString() and sorted(map(str, cut.collect())) == whole
+    # equal numbers of different types have different hashes: only the text is cut by
+    other = right.withColumn("a", F.col("a").cast("bigint"))
+    assert sorted(map(str, in_steps(step, [left, other], ["a", "b"], 4).collect())) == whole
+    assert len(slices([left.select("a"), other.select("a")], ["a"], 4)) == 1
+
+
+def test_numbering_in_steps(spark):
+    rows = written(spark.createDataFrame([(None if i % 9 == 0 else "k" * (i % 3) + str(i % 13), i) for i in range(300)], "k string, v int"))
+    order = [F.asc_nulls_first("k"), F.asc_nulls_first("v")]
+    assert sorted(map(str, global_row_number(rows, order, "n", by="k", steps=5).collect())) == sorted(map(str, global_row_number(rows, order, "n").collect()))
+    same = written(rows.withColumn("k", F.lit(None).cast("string")))
+    assert sorted(r.n for r in global_row_number(same, order, "n", by="k", steps=5).collect()) == list(range(1, 301))

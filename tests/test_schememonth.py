@@ -89,3 +89,20 @@ def test_refusals(spark, masters, tmp_path):
     counted = [frame(spark, ROWS).withColumn("transaction_count", F.lit(2))]
     with pytest.raises(schememonth.CountMismatch, match="report against detail"):
         schememonth.run_month(counted, returned=half, execution="e", month="m", first_day="1998-01-01", folder=f"file://{tmp_path}", **masters)
+
+
+@pytest.mark.parametrize("steps", [2, 8])
+def test_steps_give_the_same_month(spark, masters, tmp_path, steps):
+    rows = [(i % 40, str(1400 + i % 23) if i % 7 else None, 1.5 * (i % 11), "C1" if i % 3 else None) for i in range(200)]
+    run = lambda n: schememonth.run_month([frame(spark, rows)], returned=half, execution="e", month="199801", first_day="1998-01-01", folder=f"file://{tmp_path}/{n}", steps=n, **masters)
+    one, cut = run(1), run(steps)
+    for name in ("detail", "report", "legacy", "summary"):
+        assert sorted(map(str, getattr(cut, name).collect())) == sorted(map(str, getattr(one, name).collect())), name
+    left = [p for p in glob.glob(f"{tmp_path}/{steps}/*/**/*.parquet", recursive=True) if "/groups/" in p or "/numbered/" in p or "/detail/" in p]
+    assert not left
+
+
+def test_small_segments_do_not_shuffle_the_detail(spark, masters):
+    rows = schememonth.with_switch_codes(frame(spark, ROWS), masters["ranges"])
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
