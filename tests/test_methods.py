@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 
+from clearspan import session
 from clearspan.catalogue import interchange, reports
 
 #: The JVM interprets methods of more bytes than this, row by row.
@@ -57,3 +58,21 @@ def test_lookups_of_the_bitmap_book_share_methods(spark, folder, fixed_plans):
     fees = interchange.interchange_fee_bitmap(spark, folder)
     assert fees._jdf.queryExecution().optimizedPlan().toString().count("Repartition 1000000") <= 5
     assert longest_method(fees) <= COMPILED_BYTES
+
+
+@pytest.mark.parametrize("query", [reports.analytics_text, reports.analytics_bitmap])
+def test_methods_of_views_without_shuffles_are_compiled(spark, folder, fixed_plans, query):
+    view = query(spark, folder)
+    assert longest_method(view) <= COMPILED_BYTES
+    # rows meet their fees only: neither customers nor rules shuffle them
+    assert view._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin") <= 1
+
+
+@pytest.mark.parametrize("query", [reports.analytics_text, reports.analytics_online, reports.analytics_bitmap])
+def test_views_in_steps_have_the_same_rows(spark, folder, monkeypatch, query):
+    whole = sorted(map(str, query(spark, folder).collect()))
+    monkeypatch.setattr(session, "STEP_ROWS", 8)
+    cut = query(spark, folder)
+    assert whole and sorted(map(str, cut.collect())) == whole
+    # the joins are done and their shuffle files gone
+    assert "Join" not in cut._jdf.queryExecution().optimizedPlan().toString()
