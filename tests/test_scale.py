@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from clearspan.catalogue import inputs
 from clearspan.catalogue.streams import FILE_ROWS, file_share
-from clearspan.operators.skew import global_row_number
+from clearspan.operators.skew import chunked_scan, global_row_number
 from clearspan.plans.calculated import _customer
 from clearspan.session import in_steps, shuffles_dropped, slices, written
 from clearspan.sources import messages
@@ -93,3 +93,18 @@ def test_numbering_in_steps(spark):
     assert sorted(map(str, global_row_number(rows, order, "n", by="k", steps=5).collect())) == sorted(map(str, global_row_number(rows, order, "n").collect()))
     same = written(rows.withColumn("k", F.lit(None).cast("string")))
     assert sorted(r.n for r in global_row_number(same, order, "n", by="k", steps=5).collect()) == list(range(1, 301))
+
+
+def test_scan_in_steps(spark):
+    rows = spark.createDataFrame([(i % 3 if i % 11 else None, i // 20, i, i % 4 == 0) for i in range(240)], "f bigint, piece bigint, pos bigint, start boolean")
+    args = ["f"], "piece", ["pos"], {"n": F.col("start").cast("int")}, {"last": F.when(F.col("start"), F.col("pos"))}, {"least": F.col("pos")}
+    cut = chunked_scan(rows, *args, steps=4)
+    assert "Window" not in cut._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(str, cut.collect())) == sorted(map(str, chunked_scan(rows, *args).collect()))
+
+
+def test_stored_inputs_are_used_by_others(spark, tmp_path):
+    spark.createDataFrame([(1, 2), (None, 3), (1, 2)], "l_orderkey bigint, l_partkey bigint").write.parquet(f"{tmp_path}/lineitem.parquet")
+    s = inputs.Source(spark, str(tmp_path)).stored("lineitem")
+    assert sorted(map(str, s.sql("SELECT * FROM {lineitem} l").collect())) == sorted(map(str, s.lineitem.collect()))
+    assert s.lineitem.count() == 3 and s.folders["lineitem"].rsplit("/", 1)[1] in s.lineitem.inputFiles()[0] and s.steps("lineitem") == 1
